@@ -28,6 +28,7 @@ def build_session(app_name: str = "tallyloom", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k: str(v) for k, v in conf.items()},
     }
     for key, value in settings.items():

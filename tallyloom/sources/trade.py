@@ -8,10 +8,12 @@ de-duplication to work, so the ordinal is a total order over the line's attribut
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.operators.ordinals import ORDINAL
 from tallyloom.params import MartParams
@@ -37,8 +39,15 @@ LINE_ORDER = [
 ]
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A trade table; its schema is looked up in the files only once."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _order_id():
@@ -181,13 +190,34 @@ def raw_shipping(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def trade_sources(spark: SparkSession, folder: str, dirty: bool = False) -> dict[str, DataFrame]:
-    """All six raw sources."""
-    return {
-        "orders": raw_orders(spark, folder, dirty),
-        "customers": raw_customers(spark, folder),
-        "returns": raw_returns(spark, folder),
-        "products": raw_products(spark, folder),
-        "suppliers": raw_suppliers(spark, folder),
-        "shipping": raw_shipping(spark, folder),
+class TradeSources(Mapping):
+    """The six raw sources by name, each planned when it is first asked for."""
+
+    _PLANS = {
+        "orders": raw_orders,
+        "customers": raw_customers,
+        "returns": raw_returns,
+        "products": raw_products,
+        "suppliers": raw_suppliers,
+        "shipping": raw_shipping,
     }
+
+    def __init__(self, spark: SparkSession, folder: str, dirty: bool = False):
+        self._spark, self._folder, self._dirty = spark, folder, dirty
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            more = {"dirty": self._dirty} if name == "orders" else {}
+            self._planned[name] = self._PLANS[name](self._spark, self._folder, **more)
+        return self._planned[name]
+
+    def __iter__(self):
+        return iter(self._PLANS)
+
+    def __len__(self) -> int:
+        return len(self._PLANS)
+
+
+def trade_sources(spark: SparkSession, folder: str, dirty: bool = False) -> TradeSources:
+    return TradeSources(spark, folder, dirty)
