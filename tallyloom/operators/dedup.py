@@ -17,5 +17,6 @@ def keep_first(df: DataFrame, keys: list[str]) -> DataFrame:
     at most one row per key and a key that holds a third of the table does no harm.
     """
     df = with_ordinal(df)
-    first = W.partitionBy(*keys).orderBy(ORDINAL)
+    fields = df.schema[ORDINAL].dataType.fieldNames()
+    first = W.partitionBy(*keys).orderBy(*[F.col(f"{ORDINAL}.{f}") for f in fields])
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")

@@ -18,6 +18,7 @@ def build_fact_sales(
     dim_product: DataFrame,
     keys: str = "row_index",
     first_order_key: int = 1,
+    order_keys: str = "source",
 ) -> DataFrame:
     """One row per enriched order, with its dimension keys and profit margin.
 
@@ -25,9 +26,13 @@ def build_fact_sales(
     is broadcast, a larger one is sort-merge joined, where AQE splits the partition of
     a hot customer or product. A missing member gets key 0; a zero amount margin 0.
 
-    With ``row_index`` keys the fact has a dense ``order_key`` in source order, which
-    costs one range shuffle; with ``business`` keys it has none.
+    With ``row_index`` keys the fact has a dense ``order_key``. By default it follows
+    the source order, which costs a range shuffle of the fact; ``order_keys="any"``
+    numbers the rows as they are partitioned and saves that shuffle (no analysis looks
+    at the order of the keys). With ``business`` keys there is no order_key.
     """
+    if order_keys not in ("source", "any"):
+        raise ValueError("order_keys must be 'source' or 'any'")
     customers = dim_customer.select("customer_id", "customer_key")
     products = dim_product.select("product_id", "product_key", "supplier_key", "cost_price")
     unknown = unknown_key(keys)
@@ -55,5 +60,7 @@ def build_fact_sales(
     if keys == "business":
         return fact.select(columns[1:])
     fact = fact.select(*columns[1:], ORDINAL)
-    order = [F.col(ORDINAL), F.col("order_id").asc_nulls_first()]
+    order = None
+    if order_keys == "source":
+        order = [F.col(ORDINAL), F.col("order_id").asc_nulls_first()]
     return row_index(fact, order, out="order_key", start=first_order_key).select(columns)

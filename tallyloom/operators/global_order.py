@@ -30,12 +30,10 @@ _TEMPORARY = ["_part", "_slot", "_rows", "_offset"]
 _WIDE = T.DecimalType(38, 2)
 
 
-def range_layout(df: DataFrame, order_by: Sequence[Column], label: str) -> DataFrame:
-    """``df`` staged in global order, with its partition and its slot therein."""
+def _layout(df: DataFrame, label: str) -> DataFrame:
+    """``df`` staged as it is partitioned, with the partition and slot of each row."""
     placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_at", F.monotonically_increasing_id())
+        df.withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _SLOT_BITS))
         .withColumn("_slot", F.col("_at").bitwiseAND(F.lit(_SLOT_MASK)))
         .drop("_at")
@@ -43,6 +41,11 @@ def range_layout(df: DataFrame, order_by: Sequence[Column], label: str) -> DataF
     return stage(placed, label)
 
 
+def range_layout(df: DataFrame, order_by: Sequence[Column], label: str) -> DataFrame:
+    """``df`` staged in global order."""
+    return _layout(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by), label)
+
+
 def _offsets(layout: DataFrame, value: Column, out: str) -> DataFrame:
     """Exclusive running total of ``value`` per partition: one row per partition."""
     earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -54,12 +57,16 @@ def _offsets(layout: DataFrame, value: Column, out: str) -> DataFrame:
 
 
 def row_index(
-    df: DataFrame, order_by: Sequence[Column], out: str = "row_index", start: int | Column = 1
+    df: DataFrame, order_by: Sequence[Column] | None, out: str = "row_index", start: int = 1
 ) -> DataFrame:
-    """Add a dense BIGINT index ``start, start+1, ...`` in the given order."""
-    layout = range_layout(df, order_by, "row-index")
+    """Add a dense BIGINT index ``start, start+1, ...`` in the given order.
+
+    Without an order the rows are numbered as they are partitioned: also dense and
+    unique, but with no range shuffle and no sort.
+    """
+    layout = range_layout(df, order_by, "row-index") if order_by else _layout(df, "row-index")
     offsets = _offsets(layout, F.lit(1), "_offset")
-    begin = F.lit(start).cast("bigint") if isinstance(start, int) else start.cast("bigint")
+    begin = F.lit(start).cast("bigint")
     return (
         layout.join(F.broadcast(offsets), "_part")
         .withColumn(out, F.coalesce("_offset", F.lit(0)) + F.col("_slot") + begin)

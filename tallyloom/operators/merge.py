@@ -12,7 +12,8 @@ def new_rows(batch: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
     The loaded side may be thousands of times larger than the batch. It is first cut
     down to the keys of the batch by a semi join - for a small batch a broadcast hash
     join on a scan of the key column, without a shuffle of the loaded table - so that
-    the anti join meets at most as many keys as the batch has.
+    the anti join meets at most as many keys as the batch has. Rows of one key stay or
+    go together, so this may be done before the batch is de-duplicated.
     """
     keys = batch.select(F.col(key).alias("_wanted"))
     held = loaded.select(F.col(key).alias("_held"))

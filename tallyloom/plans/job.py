@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators import merge, validation
-from tallyloom.operators.cleaning import clean_all
+from tallyloom.operators.cleaning import clean_all, normalise
 from tallyloom.operators.dimensions import (
     build_dim_customer,
     build_dim_date,
@@ -46,15 +46,28 @@ class JobResult:
     new_facts: int | None = None
 
 
+def unseen_orders(sources: Mapping[str, DataFrame], known: Star) -> dict[str, DataFrame]:
+    """The sources without the orders that the fact already holds.
+
+    Done on the raw orders, so that known ones are not de-duplicated, enriched and
+    joined only to be dropped in the end.
+    """
+    orders = normalise(sources["orders"])
+    return {**sources, "orders": merge.new_rows(orders, known.fact_sales, "order_id")}
+
+
 def build_star(
-    ready: Mapping[str, DataFrame], params: MartParams, known: Star | None = None
+    ready: Mapping[str, DataFrame],
+    params: MartParams,
+    known: Star | None = None,
+    order_keys: str = "source",
 ) -> Star:
     """Star tables with surrogate keys from cleaned and enriched sources.
 
     Dimensions are staged, so that the fact join is planned with their real size.
     With ``known``, the tables already loaded, members keep their keys, lookups see
-    loaded and new members, and orders that are in the fact already are left out
-    before anything is computed for them.
+    loaded and new members, and order keys continue after the largest one; the orders
+    are then expected to be new (:func:`unseen_orders`).
     """
     spark = ready["orders"].sparkSession
 
@@ -77,16 +90,16 @@ def build_star(
         ),
         "dim_product",
     )
-    orders, first_key = ready["orders"], 1
+    first_key = 1
     if known is not None:
-        orders = merge.new_rows(orders, known.fact_sales, "order_id")
         top = known.fact_sales.agg(F.coalesce(F.max("order_key"), F.lit(0))).first()[0]
         first_key = top + 1
     fact_sales = build_fact_sales(
-        orders,
+        ready["orders"],
         merged("dim_customer", "customer_id", dim_customer),
         merged("dim_product", "product_id", dim_product),
         first_order_key=first_key,
+        order_keys=order_keys,
     )
     return Star(
         dim_date=build_dim_date(spark, params.date_start, params.date_end),
@@ -110,6 +123,7 @@ class WarehouseJob:
         params: MartParams | None = None,
         declared_rules: bool = False,
         bad_dates: str = "raise",
+        order_keys: str = "source",
     ):
         if (data_dir is None) == (sources is None):
             raise ValueError("give either data_dir or sources")
@@ -119,6 +133,7 @@ class WarehouseJob:
         self.params = params or MartParams()
         self.data_dir, self.sources = data_dir, sources
         self.declared_rules, self.bad_dates = declared_rules, bad_dates
+        self.order_keys = order_keys
         self.warehouse = Warehouse(spark, root)
         self.run_log = RunLog(spark, root)
 
@@ -179,16 +194,17 @@ class WarehouseJob:
             result.quality.update(validation.overall(summary).first().asDict())
 
         with self._phase("transform", result):
+            known = None
+            if self.mode == "incremental" and self.warehouse.last_load("fact_sales"):
+                known = self.warehouse.star()
+                sources = unseen_orders(sources, known)
             clean = clean_all(sources, self.bad_dates)
             ready = enrich_all(clean)
             result.row_counts["clean_returns"] = clean["returns"].count()
             result.row_counts["clean_shipping"] = result.row_counts["raw_shipping"]
 
         with self._phase("build_dimensions", result):
-            known = None
-            if self.mode == "incremental" and self.warehouse.last_load("fact_sales"):
-                known = self.warehouse.star()
-            star = build_star(ready, self.params, known)
+            star = build_star(ready, self.params, known, self.order_keys)
 
         with self._phase("load", result):
             if known is not None:
@@ -202,11 +218,8 @@ class WarehouseJob:
             result.row_counts.update(rows)
             for source in ("customers", "products", "suppliers"):
                 result.row_counts[f"clean_{source}"] = rows[f"dim_{source[:-1]}"]
-            if known is None:
-                # Each cleaned order gives exactly one fact.
-                result.row_counts["clean_orders"] = rows["fact_sales"]
-            else:
-                result.row_counts["clean_orders"] = clean["orders"].count()
+            # Each cleaned order gives exactly one fact (each new one, if incremental).
+            result.row_counts["clean_orders"] = rows["fact_sales"]
 
         with self._phase("analyze", result):
             loaded = self.warehouse.star()

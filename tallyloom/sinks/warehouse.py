@@ -44,6 +44,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._scans: dict[tuple[str, ...], DataFrame] = {}
 
     # -- published state ---------------------------------------------------------
 
@@ -66,7 +67,17 @@ class Warehouse:
         return f"{self.root}/tables/{name}/{_BATCH}={batch}"
 
     def _read(self, name: str, batches: list[str]) -> DataFrame:
-        """The given batches; the fact keeps its month so that filters on it prune."""
+        """The given batches; the fact keeps its month so that filters on it prune.
+
+        Batches never change, so their files are listed only once.
+        """
+        scan = (name, *batches)
+        if scan not in self._scans:
+            self._scans = {k: v for k, v in self._scans.items() if k[0] != name}
+            self._scans[scan] = self._open(name, batches)
+        return self._scans[scan]
+
+    def _open(self, name: str, batches: list[str]) -> DataFrame:
         schema = _SCHEMAS[name]
         scan = T.StructType(list(schema.fields)).add(_BATCH, T.StringType())
         extra = []

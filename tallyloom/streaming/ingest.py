@@ -23,13 +23,11 @@ def ingest_batch(
 ) -> int:
     """Append the new orders of one batch to a loaded warehouse; returns their number."""
     loaded = warehouse.star()
-    enriched = enrich_orders(
-        clean_orders(orders), clean_returns(returns), clean_shipping(shipping)
-    )
-    new = merge.new_rows(enriched, loaded.fact_sales, "order_id")
+    new = merge.new_rows(orders, loaded.fact_sales, "order_id")
+    enriched = enrich_orders(clean_orders(new), clean_returns(returns), clean_shipping(shipping))
     top = loaded.fact_sales.agg(F.coalesce(F.max("order_key"), F.lit(0))).first()[0]
     fact = build_fact_sales(
-        new, loaded.dim_customer, loaded.dim_product, first_order_key=top + 1
+        enriched, loaded.dim_customer, loaded.dim_product, first_order_key=top + 1
     )
     spark = warehouse.spark
     unchanged = {

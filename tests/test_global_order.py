@@ -80,3 +80,9 @@ def test_no_single_partition_exchange_for_scores(many_partitions, skewed):
     # The only unpartitioned window runs over one row per partition.
     assert plan.count("Window [") == 1
     assert "windowspecdefinition(_part" in plan
+
+
+def test_index_without_an_order_is_dense_and_unique(many_partitions, skewed):
+    got = row_index(skewed, None, start=10)
+    assert sorted(r.row_index for r in got.collect()) == list(range(10, 1010))
+    assert got.select("id").distinct().count() == 1000

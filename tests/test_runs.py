@@ -76,7 +76,7 @@ def test_job_full_then_incremental(spark, data_dir, tmp_path, params):
     result = job.run()
     assert result.new_facts == 1 and result.kpis["total_orders"] == 5
     assert job.warehouse.table("data_quality_issues").count() == 1
-    assert result.row_counts["clean_orders"] == 5
+    assert result.row_counts["clean_orders"] == 1
     rows = job.run_log.recent().collect()
     assert [(r.run_id, r.status, r.mode) for r in rows] == [
         (2, "success", "incremental"), (1, "success", "full"),

@@ -110,3 +110,12 @@ def test_known_members_keep_their_keys(frame):
 def test_lazy_star_agrees_with_numbered_star(star, lazy_star):
     columns = ("order_id", "date_key", "total_amount", "profit_margin", "is_returned")
     assert rows_of(lazy_star.fact_sales, *columns) == rows_of(star.fact_sales, *columns)
+
+
+def test_order_keys_in_any_order(sources, params):
+    from tallyloom.operators.cleaning import clean_all
+    from tallyloom.operators.star import enrich_all
+    from tallyloom.plans.job import build_star
+
+    fact = build_star(enrich_all(clean_all(sources)), params, order_keys="any").fact_sales
+    assert rows_of(fact, "order_key") == [(1,), (2,), (3,), (4,)]
