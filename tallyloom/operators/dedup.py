@@ -1,4 +1,4 @@
-"""Keep the first copy of each key."""
+"""Keep one copy of each key, chosen by source order."""
 
 from __future__ import annotations
 
@@ -16,7 +16,16 @@ def keep_first(df: DataFrame, keys: list[str]) -> DataFrame:
     planned with a partial group limit *before* the shuffle, so each map task sends
     at most one row per key and a key that holds a third of the table does no harm.
     """
+    return _keep_one(df, keys, backwards=False)
+
+
+def keep_last(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the last by source order."""
+    return _keep_one(df, keys, backwards=True)
+
+
+def _keep_one(df: DataFrame, keys: list[str], backwards: bool) -> DataFrame:
     df = with_ordinal(df)
-    fields = df.schema[ORDINAL].dataType.fieldNames()
-    first = W.partitionBy(*keys).orderBy(*[F.col(f"{ORDINAL}.{f}") for f in fields])
-    return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
+    ordinal = F.col(ORDINAL).desc() if backwards else F.col(ORDINAL).asc()
+    order = W.partitionBy(*keys).orderBy(ordinal)
+    return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import date_key
 from tallyloom.operators.global_order import row_index
-from tallyloom.operators.ordinals import ORDINAL, with_ordinal
+from tallyloom.operators.ordinals import source_order, with_ordinal
 from tallyloom.params import MartParams
 from tallyloom.schemas import STAR
 
@@ -59,7 +59,7 @@ def assign_keys(
     so facts loaded earlier never change their meaning.
     """
     rows = with_ordinal(rows)
-    order = [F.col(ORDINAL)]
+    order = source_order(rows)
     if known is None:
         return row_index(rows, order, out=surrogate, start=1)
     held = known.select(F.col(business_key).alias("_held"), F.col(surrogate))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import money, round_half_up
-from tallyloom.operators.ordinals import ORDINAL, with_ordinal
+from tallyloom.operators.dedup import keep_last
+from tallyloom.operators.ordinals import with_ordinal
 from tallyloom.schemas import PERCENT
 
 
@@ -36,12 +37,9 @@ def enrich_orders(orders: DataFrame, returns: DataFrame, shipping: DataFrame) ->
         .distinct()
         .withColumn("_returned", F.lit(True))
     )
-    last_cost = (
-        with_ordinal(shipping)
-        .filter(F.col("order_id").isNotNull())
-        .groupBy("order_id")
-        .agg(F.max_by("shipping_cost", ORDINAL).alias("_cost"))
-    )
+    last_cost = keep_last(
+        with_ordinal(shipping).filter(F.col("order_id").isNotNull()), ["order_id"]
+    ).select("order_id", F.col("shipping_cost").alias("_cost"))
     return (
         orders.join(returned, "order_id", "left")
         .join(last_cost, "order_id", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import date_key, round_half_up
 from tallyloom.operators.dimensions import unknown_key
 from tallyloom.operators.global_order import row_index
-from tallyloom.operators.ordinals import ORDINAL
+from tallyloom.operators.ordinals import ORDINAL, source_order
 from tallyloom.schemas import PERCENT, STAR
 
 
@@ -62,5 +62,5 @@ def build_fact_sales(
     fact = fact.select(*columns[1:], ORDINAL)
     order = None
     if order_keys == "source":
-        order = [F.col(ORDINAL), F.col("order_id").asc_nulls_first()]
+        order = [*source_order(fact), F.col("order_id").asc_nulls_first()]
     return row_index(fact, order, out="order_key", start=first_order_key).select(columns)

@@ -38,6 +38,11 @@ def with_ordinal(df: DataFrame) -> DataFrame:
     return df.withColumn(ORDINAL, F.struct(F.monotonically_increasing_id().alias("pos")))
 
 
+def source_order(df: DataFrame) -> list[Column]:
+    """Sort keys of the source order for range partitioning."""
+    return [F.col(f"{ORDINAL}.{f}") for f in df.schema[ORDINAL].dataType.fieldNames()]
+
+
 def data_columns(df: DataFrame) -> list[str]:
     """The columns of the source itself."""
     return [c for c in df.columns if not c.startswith("_")]
@@ -51,7 +56,7 @@ def with_row_index(df: DataFrame, keep: Column, out: str = "row_index") -> DataF
     the kept rows are touched. Other sources are range-partitioned by their ordinal.
     """
     if df.schema[ORDINAL].dataType.fieldNames() != _FILE_FIELDS:
-        return row_index(df, [F.col(ORDINAL)], out=out, start=0).filter(keep)
+        return row_index(df, source_order(df), out=out, start=0).filter(keep)
     splits = df.groupBy(
         F.col("_ordinal.file").alias("_file"), F.col("_ordinal.block").alias("_block")
     ).agg(F.count(F.lit(1)).alias("_rows"), F.min("_ordinal.pos").alias("_first"))

@@ -10,8 +10,10 @@ BIGINT or DOUBLE. Two habits keep them cheap on a large fact table:
 * ``orders`` are counted as rows: order_id is unique in the fact (cleaning and the
   incremental anti-join see to that), so no distinct aggregation is needed.
 
-Only the calendar, whose length is limited, and single-row totals are broadcast by
-hint. Dimension joins are left to the planner and to AQE.
+Totals over a finished report of a few rows (months, weekdays, categories) are taken by
+a window over these rows, so that the fact is read once. Only the calendar, whose length
+is limited, and single-row totals are broadcast by hint. Dimension joins are left to the
+planner and to AQE.
 """
 
 from __future__ import annotations
@@ -43,6 +45,16 @@ def _calendar(star: Star, *columns: str) -> DataFrame:
     return F.broadcast(star.dim_date.select("date_key", *columns))
 
 
+def _report_total(column: str) -> Column:
+    """Sum over all rows of a report that is already aggregated to a few rows."""
+    return F.sum(column).over(W.partitionBy())
+
+
+def _report_mean(column: str) -> Column:
+    count = F.count(column).over(W.partitionBy())
+    return average(_report_total(column), count, 2)
+
+
 def _pre_aggregate(fact: DataFrame, *keys: str) -> DataFrame:
     """Mergeable measures per key: amount and its count, orders, units, returns, margin."""
     return fact.groupBy(*keys).agg(
@@ -99,9 +111,8 @@ def seasonal_index(star: Star, params: MartParams | None = None) -> DataFrame:
         .groupBy("month", "month_name")
         .agg(*_merge("amount"))
     )
-    mean = monthly.agg(average(F.sum("amount"), F.count("amount"), 2).alias("mean"))
     return (
-        monthly.crossJoin(F.broadcast(mean))
+        monthly.withColumn("mean", _report_mean("amount"))
         .orderBy("month")
         .select(
             F.col("month").cast("bigint").alias("month"),
@@ -392,10 +403,9 @@ def day_of_week_patterns(star: Star, params: MartParams | None = None) -> DataFr
         .groupBy("day_name", "day_of_week")
         .agg(*_merge("amount", "amounts", "orders"))
     )
-    mean = daily.agg(average(F.sum("amount"), F.count("amount"), 2).alias("mean"))
     gap = F.try_divide(_real("amount") - F.col("mean"), F.col("mean")) * 100
     return (
-        daily.crossJoin(F.broadcast(mean))
+        daily.withColumn("mean", _report_mean("amount"))
         .orderBy("day_of_week")
         .select(
             "day_name",
@@ -466,20 +476,22 @@ def shipping_efficiency(star: Star, params: MartParams | None = None) -> DataFra
 
 
 def return_rate_analysis(star: Star, params: MartParams | None = None) -> DataFrame:
-    """Return rate per category against the rate of all facts, unknown products included."""
-    per_product = (
-        star.fact_sales.groupBy("product_key")
-        .agg(_count().alias("orders"), _returned().alias("returns"))
-    )
-    company = per_product.agg(
-        ratio_pct(F.sum("returns"), F.sum("orders")).alias("company_rate")
-    )
+    """Return rate per category against the rate of all facts, unknown products included.
+
+    The left join keeps the facts of unknown products in a group of their own until the
+    company rate is taken.
+    """
+    products = star.dim_product.select("product_key", "category", F.lit(True).alias("known"))
     rate = ratio_pct(F.col("returns"), F.col("orders"))
+    company = ratio_pct(_report_total("returns"), _report_total("orders"))
     return (
-        per_product.join(star.dim_product.select("product_key", "category"), "product_key")
-        .groupBy("category")
+        star.fact_sales.groupBy("product_key")
+        .agg(_count().alias("orders"), _returned().alias("returns"))
+        .join(products, "product_key", "left")
+        .groupBy("known", "category")
         .agg(*_merge("orders", "returns"))
-        .crossJoin(F.broadcast(company))
+        .withColumn("company_rate", company)
+        .filter("known")
         .select(
             "category",
             F.col("orders").alias("total_orders"),

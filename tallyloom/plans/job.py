@@ -25,7 +25,7 @@ from tallyloom.params import MartParams
 from tallyloom.plans import analyses
 from tallyloom.plans.named import available_queries, run_named
 from tallyloom.plans.runs import RunLog
-from tallyloom.session import stage
+from tallyloom.session import stage, staging_scope
 from tallyloom.sinks.warehouse import Warehouse
 from tallyloom.sources.registry import extract_all
 
@@ -178,6 +178,22 @@ class WarehouseJob:
         log.info("%s done in %.2fs", name, result.phase_timings[name])
 
     def _execute(self, result: JobResult) -> None:
+        with staging_scope(self.spark):
+            self._extract_to_load(result)
+
+        with self._phase("analyze", result):
+            loaded = self.warehouse.star()
+            result.kpis = analyses.kpi_snapshot(loaded, self.params).first().asDict()
+            for name in available_queries():
+                try:
+                    frame = run_named(name, loaded, self.params)
+                    frame.write.format("noop").mode("overwrite").save()
+                    result.queries[name] = frame
+                except Exception as exc:  # noqa: BLE001 - one query must not stop the rest
+                    log.warning("query %s failed: %s", name, exc)
+                    result.failed_queries[name] = str(exc)
+
+    def _extract_to_load(self, result: JobResult) -> None:
         with self._phase("extract", result):
             sources = self.sources
             if sources is None:
@@ -220,15 +236,3 @@ class WarehouseJob:
                 result.row_counts[f"clean_{source}"] = rows[f"dim_{source[:-1]}"]
             # Each cleaned order gives exactly one fact (each new one, if incremental).
             result.row_counts["clean_orders"] = rows["fact_sales"]
-
-        with self._phase("analyze", result):
-            loaded = self.warehouse.star()
-            result.kpis = analyses.kpi_snapshot(loaded, self.params).first().asDict()
-            for name in available_queries():
-                try:
-                    frame = run_named(name, loaded, self.params)
-                    frame.write.format("noop").mode("overwrite").save()
-                    result.queries[name] = frame
-                except Exception as exc:  # noqa: BLE001 - one query must not stop the rest
-                    log.warning("query %s failed: %s", name, exc)
-                    result.failed_queries[name] = str(exc)

@@ -6,11 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_scope: ContextVar[str | None] = ContextVar("staging_scope", default=None)
 
 
 def build_session(app_name: str = "tallyloom", master: str | None = None, **conf) -> SparkSession:
@@ -67,13 +70,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = _scope.get() or staging_root(spark)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession) -> None:
-    """Delete the staged tables of this application."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession):
+    """Tables staged inside the block are deleted at its end.
+
+    For jobs that write their results inside the block: frames that still read a
+    staged table must not leave it.
+    """
+    folder = f"{staging_root(spark)}/scope-{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        _delete(spark, folder)
+
+
+def release_staged(spark: SparkSession) -> None:
+    """Delete all staged tables of this application."""
+    _delete(spark, staging_root(spark))

@@ -15,6 +15,7 @@ from tallyloom.operators.facts import build_fact_sales
 from tallyloom.operators.ordinals import ORDINAL
 from tallyloom.operators.star import Star
 from tallyloom.schemas import RAW, STAR
+from tallyloom.session import staging_scope
 from tallyloom.sinks.warehouse import Warehouse
 
 
@@ -68,7 +69,8 @@ def stream_orders(
         )
         orders = batch.withColumn(ORDINAL, ordinal).drop("_file", "_block")
         warehouse = Warehouse(batch.sparkSession, root)
-        ingest_batch(warehouse, orders, sources["returns"], sources["shipping"])
+        with staging_scope(warehouse.spark):
+            ingest_batch(warehouse, orders, sources["returns"], sources["shipping"])
 
     return (
         arriving.writeStream.foreachBatch(load)
