@@ -1,11 +1,19 @@
 """ANSI SQL (for DuckDB) of the queries in ``__spark_entry__``.
 
 One shared prefix rebuilds the star from the raw tables; each query adds its own
-SELECT. Written independently of the Spark plans: plain windows and joins.
+SELECT, mostly over one wide view of the sales. Plain windows, joins and subqueries.
 """
 
 from __future__ import annotations
 
+from tallyloom.plans.analyses import (
+    ABC_CLASSES,
+    CHURN_STATES,
+    DISCOUNT_TIERS,
+    RFM_SEGMENTS,
+    SHIPPING_TIERS,
+)
+
 LINE_ORDER = (
     "l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
     "l_returnflag, l_linestatus, l_orderkey, l_linenumber"
@@ -153,83 +161,85 @@ fact_sales AS (
 )"""
 
 
-_RFM = f""",
-rfm_raw AS (
-    SELECT c.customer_id, c.name,
-           CAST(DATE '2001-08-02' - max(d.full_date) AS DOUBLE) AS recency_days,
-           count(DISTINCT f.order_key) AS frequency, sum(f.total_amount) AS amount
-    FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key
-    JOIN dim_date d ON f.date_key = d.date_key GROUP BY c.customer_id, c.name
+# Every sale with the attributes of its members; NULL where a member is unknown.
+_SALES = """,
+sales AS (
+    SELECT f.*, full_date, year, quarter, month, month_name, day_of_week, day_name,
+           customer_id, c.name AS customer_name, segment, region,
+           product_id, p.name AS product_name, category,
+           supplier_id, s.name AS supplier_name, country, reliability_rating
+    FROM fact_sales f
+    LEFT JOIN dim_date d ON d.date_key = f.date_key
+    LEFT JOIN dim_customer c ON c.customer_key = f.customer_key
+    LEFT JOIN dim_product p ON p.product_key = f.product_key
+    LEFT JOIN dim_supplier s ON s.supplier_key = f.supplier_key
+)"""
+
+_AMOUNT = "CAST(sum(total_amount) AS DOUBLE)"
+_MEAN_AMOUNT = avg("sum(total_amount)", "count(total_amount)", 2)
+_RETURNS = "count(*) FILTER (WHERE is_returned)"
+
+
+def _case(choices) -> str:
+    """First matching label; the conditions are the ones the Spark reports state."""
+    whens = " ".join(f"WHEN {test} THEN '{label}'" for label, test in choices if test)
+    return f"CASE {whens} ELSE '{choices[-1][0]}' END"
+
+
+_RFM = f"""{_SALES},
+buyers AS (
+    SELECT customer_id, customer_name AS name, count(*) AS frequency,
+           CAST(DATE '2001-08-02' - max(full_date) AS DOUBLE) AS recency_days,
+           sum(total_amount) AS spent
+    FROM sales WHERE customer_id IS NOT NULL AND full_date IS NOT NULL GROUP BY ALL
 ),
-rfm_scored AS (
-    SELECT *, ntile(5) OVER (ORDER BY recency_days DESC, customer_id) AS r_score,
-           ntile(5) OVER (ORDER BY frequency, customer_id) AS f_score,
-           ntile(5) OVER (ORDER BY amount, customer_id) AS m_score
-    FROM rfm_raw
+tiles AS (
+    SELECT customer_id, name, recency_days, frequency, CAST(spent AS DOUBLE) AS monetary,
+           CAST(ntile(5) OVER oldest AS BIGINT) AS r_score,
+           CAST(ntile(5) OVER rarest AS BIGINT) AS f_score,
+           CAST(ntile(5) OVER smallest AS BIGINT) AS m_score
+    FROM buyers
+    WINDOW oldest AS (ORDER BY recency_days DESC, customer_id),
+           rarest AS (ORDER BY frequency, customer_id),
+           smallest AS (ORDER BY spent, customer_id)
 ),
-rfm AS (
-    SELECT customer_id, name, recency_days, frequency, CAST(amount AS DOUBLE) AS monetary,
-           CAST(r_score AS BIGINT) AS r_score, CAST(f_score AS BIGINT) AS f_score,
-           CAST(m_score AS BIGINT) AS m_score,
-           CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
-                WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal Customers'
-                WHEN r_score >= 4 AND f_score <= 2 THEN 'New Customers'
-                WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk'
-                WHEN r_score <= 2 AND f_score <= 2 THEN 'Lost'
-                ELSE 'Regular' END AS segment
-    FROM rfm_scored
-)"""
+rfm AS (SELECT *, {_case(RFM_SEGMENTS)} AS segment FROM tiles)"""
 
-_ABC = f""",
-product_totals AS (
-    SELECT p.product_id, p.name, p.category, sum(f.total_amount) AS revenue
-    FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key GROUP BY ALL
+_ABC = f"""{_SALES},
+per_product AS (
+    SELECT product_id, product_name AS name, category, sum(total_amount) AS amount
+    FROM sales WHERE product_id IS NOT NULL GROUP BY ALL
 ),
-ranked AS (
-    SELECT *, {rnd(pct('sum(revenue) OVER (ORDER BY revenue DESC)', 'sum(revenue) OVER ()'), 1)}
-           AS cumulative_pct
-    FROM product_totals
+shares AS (
+    SELECT a.product_id, a.name, a.category, CAST(a.amount AS DOUBLE) AS revenue,
+           {rnd(pct('(SELECT sum(b.amount) FROM per_product b WHERE b.amount >= a.amount)',
+                    '(SELECT sum(amount) FROM per_product)'), 1)} AS cumulative_pct
+    FROM per_product a
 ),
-abc AS (
-    SELECT product_id, name, category, CAST(revenue AS DOUBLE) AS revenue, cumulative_pct,
-           CASE WHEN cumulative_pct <= 80 THEN 'A' WHEN cumulative_pct <= 95 THEN 'B'
-                ELSE 'C' END AS abc_class
-    FROM ranked
-)"""
+abc AS (SELECT *, {_case(ABC_CLASSES)} AS abc_class FROM shares)"""
 
-_COHORT = """,
-first_purchase AS (
-    SELECT customer_key, min(date_key) AS first_date_key FROM fact_sales GROUP BY 1
+_COHORT = f"""{_SALES},
+starts AS (
+    SELECT customer_key, min_by(full_date, date_key) AS started
+    FROM (SELECT customer_key, date_key, full_date FROM sales) GROUP BY customer_key
 ),
 cohort AS (
-    SELECT d1.year || '-' || lpad(CAST(d1.month AS VARCHAR), 2, '0') AS cohort_month,
-           (d2.year - d1.year) * 12 + (d2.month - d1.month) AS months_since_first,
-           count(DISTINCT f.customer_key) AS active_customers
-    FROM fact_sales f JOIN first_purchase fp ON f.customer_key = fp.customer_key
-    JOIN dim_date d1 ON fp.first_date_key = d1.date_key
-    JOIN dim_date d2 ON f.date_key = d2.date_key GROUP BY 1, 2
+    SELECT strftime(started, '%Y-%m') AS cohort_month,
+           datediff('month', started, full_date) AS months_since_first,
+           count(DISTINCT customer_key) AS active_customers
+    FROM sales JOIN starts USING (customer_key)
+    WHERE started IS NOT NULL AND full_date IS NOT NULL GROUP BY ALL
 )"""
 
-_LTV = f""",
+_LTV = f"""{_SALES},
 ltv AS (
-    SELECT c.customer_id, c.name, c.segment, c.region,
-           count(DISTINCT f.order_key) AS total_orders,
-           CAST(sum(f.total_amount) AS DOUBLE) AS lifetime_value,
-           {avg('sum(f.total_amount)', 'count(f.total_amount)', 2)} AS avg_order_value,
-           min(d.full_date) AS first_purchase, max(d.full_date) AS last_purchase,
-           CAST(max(d.full_date) - min(d.full_date) AS DOUBLE) AS customer_tenure_days
-    FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key
-    JOIN dim_date d ON f.date_key = d.date_key
-    GROUP BY c.customer_id, c.name, c.segment, c.region
+    SELECT customer_id, customer_name AS name, segment, region, count(*) AS total_orders,
+           {_AMOUNT} AS lifetime_value, {_MEAN_AMOUNT} AS avg_order_value,
+           min(full_date) AS first_purchase, max(full_date) AS last_purchase,
+           CAST(max(full_date) - min(full_date) AS DOUBLE) AS customer_tenure_days
+    FROM sales WHERE customer_id IS NOT NULL AND full_date IS NOT NULL GROUP BY ALL
 )"""
 
-_DAILY = f"""
-SELECT d.full_date AS date, CAST(sum(f.total_amount) AS DOUBLE) AS total_revenue,
-       count(DISTINCT f.order_key) AS total_orders,
-       {avg('sum(f.total_amount)', 'count(f.total_amount)', 2)} AS avg_order_value,
-       count(DISTINCT f.customer_key) AS unique_customers
-FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.full_date"""
-
 
 def _dirty_issues() -> str:
     def rule(field, value, name, message, where):
@@ -310,64 +320,62 @@ def oracle_sql() -> dict[str, str]:
     star, dirty = _prefix(), _prefix(dirty=True)
     sql = {}
 
-    sql["revenue_trends"] = star + f""",
-monthly AS (
-    SELECT d.year, d.month, d.month_name, sum(f.total_amount) AS revenue,
-           count(DISTINCT f.order_key) AS orders
-    FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key GROUP BY ALL
+    sql["revenue_trends"] = star + _SALES + f""",
+months AS (
+    SELECT year, month, month_name, sum(total_amount) AS amount, count(*) AS orders
+    FROM sales WHERE year IS NOT NULL GROUP BY ALL
 ),
-lagged AS (
-    SELECT *, sum(revenue) OVER (ORDER BY year, month) AS running,
-           lag(revenue) OVER (ORDER BY year, month) AS prev FROM monthly
+trend AS (
+    SELECT *, sum(amount) OVER so_far AS running, lag(amount) OVER so_far AS earlier
+    FROM months WINDOW so_far AS (ORDER BY year, month)
 )
-SELECT year, month, month_name, CAST(revenue AS DOUBLE) AS revenue, orders,
-       CAST(running AS DOUBLE) AS cumulative_revenue, CAST(prev AS DOUBLE) AS prev_month_revenue,
-       {rnd(pct('(revenue - prev)', 'prev'), 1)} AS mom_growth_pct
-FROM lagged ORDER BY year, month"""
-
-    sql["seasonal_index"] = star + f""",
-monthly AS (
-    SELECT d.month, d.month_name, sum(f.total_amount) AS revenue
-    FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key GROUP BY ALL
+SELECT year, month, month_name, orders, CAST(amount AS DOUBLE) AS revenue,
+       CAST(running AS DOUBLE) AS cumulative_revenue,
+       CAST(earlier AS DOUBLE) AS prev_month_revenue,
+       {rnd(pct('(amount - earlier)', 'earlier'), 1)} AS mom_growth_pct
+FROM trend"""
+
+    sql["seasonal_index"] = star + _SALES + f""",
+seasons AS (
+    SELECT month, month_name, {_AMOUNT} AS revenue, sum(total_amount) AS amount
+    FROM sales WHERE month IS NOT NULL GROUP BY ALL
 ),
-annual AS (SELECT {avg('sum(revenue)', 'count(revenue)', 2)} AS mean FROM monthly)
-SELECT month, month_name, CAST(revenue AS DOUBLE) AS revenue, mean AS avg_monthly_revenue,
-       {rnd('(CAST(revenue AS DOUBLE) / mean * 100)', 1)} AS seasonal_index
-FROM monthly, annual ORDER BY month"""
+levelled AS (
+    SELECT *, {avg('sum(amount) OVER ()', 'count(amount) OVER ()', 2)} AS avg_monthly_revenue
+    FROM seasons
+)
+SELECT month, month_name, revenue, avg_monthly_revenue,
+       {rnd('(revenue / avg_monthly_revenue * 100)', 1)} AS seasonal_index FROM levelled"""
 
-    sql["rfm_segmentation"] = star + _RFM + "\nSELECT * FROM rfm ORDER BY monetary DESC"
+    sql["rfm_segmentation"] = star + _RFM + "\nSELECT * FROM rfm"
     sql["segment_counts"] = star + _RFM + (
         "\nSELECT segment, count(*) AS customers FROM rfm GROUP BY segment"
     )
-    sql["abc_analysis"] = star + _ABC + "\nSELECT * FROM abc ORDER BY revenue DESC"
+    sql["abc_analysis"] = star + _ABC + "\nSELECT * FROM abc"
     sql["abc_class_counts"] = star + _ABC + """
-SELECT k.abc_class, n.products FROM (VALUES ('A'), ('B'), ('C')) AS k(abc_class)
-LEFT JOIN (SELECT abc_class, count(*) AS products FROM abc GROUP BY 1) n
-    ON k.abc_class = n.abc_class"""
-
-    sql["top_products_by_category"] = star + """,
-product_revenue AS (
-    SELECT p.category, p.name AS product_name, sum(f.total_amount) AS amount,
-           CAST(sum(f.quantity) AS BIGINT) AS units_sold
-    FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key GROUP BY ALL
-)
-SELECT category, product_name, CAST(amount AS DOUBLE) AS revenue, units_sold, rank
-FROM (SELECT *, dense_rank() OVER (PARTITION BY category ORDER BY amount DESC) AS rank
-      FROM product_revenue) WHERE rank <= 3"""
-
-    sql["yoy_category_growth"] = star + f""",
-yearly AS (
-    SELECT p.category, sum(f.total_amount) FILTER (WHERE d.year = 1999) AS a,
-           sum(f.total_amount) FILTER (WHERE d.year = 2000) AS b
-    FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key
-    JOIN dim_date d ON f.date_key = d.date_key GROUP BY p.category
+SELECT label AS abc_class, nullif(count(product_id), 0) AS products
+FROM (VALUES ('A'), ('B'), ('C')) AS classes(label) LEFT JOIN abc ON abc_class = label
+GROUP BY label"""
+
+    sql["top_products_by_category"] = star + _SALES + f"""
+SELECT category, product_name, {_AMOUNT} AS revenue,
+       CAST(sum(quantity) AS BIGINT) AS units_sold,
+       dense_rank() OVER (PARTITION BY category ORDER BY sum(total_amount) DESC) AS rank
+FROM sales WHERE product_id IS NOT NULL GROUP BY category, product_name
+QUALIFY rank <= 3"""
+
+    sql["yoy_category_growth"] = star + _SALES + f""",
+pair AS (
+    SELECT category, sum(total_amount) FILTER (WHERE year = 1999) AS a,
+           sum(total_amount) FILTER (WHERE year = 2000) AS b
+    FROM sales WHERE product_id IS NOT NULL AND year IS NOT NULL GROUP BY category
 )
 SELECT category, CAST(a AS DOUBLE) AS revenue_1999, CAST(b AS DOUBLE) AS revenue_2000,
-       {rnd(pct('(b - a)', 'a'), 1)} AS yoy_growth_pct FROM yearly"""
+       {rnd(pct('(b - a)', 'a'), 1)} AS yoy_growth_pct FROM pair"""
 
     sql["cohort_retention"] = star + _COHORT + "\nSELECT * FROM cohort"
     months = ", ".join(
-        f"max(CASE WHEN months_since_first = {m} THEN active_customers END) AS \"{m}\""
+        f"max(active_customers) FILTER (WHERE months_since_first = {m}) AS \"{m}\""
         for m in range(CALENDAR_MONTHS)
     )
     sql["cohort_matrix"] = star + _COHORT + (
@@ -379,98 +387,90 @@ SELECT category, CAST(a AS DOUBLE) AS revenue_1999, CAST(b AS DOUBLE) AS revenue
         "\nSELECT * FROM ltv ORDER BY lifetime_value DESC, customer_id LIMIT 20"
     )
 
-    sql["customer_churn"] = star + """,
-activity AS (
-    SELECT c.customer_id, c.name, c.segment, c.region, max(d.full_date) AS last_purchase_date,
-           count(DISTINCT f.order_key) AS total_orders, sum(f.total_amount) AS amount
-    FROM dim_customer c LEFT JOIN fact_sales f ON c.customer_key = f.customer_key
-    LEFT JOIN dim_date d ON f.date_key = d.date_key
-    GROUP BY c.customer_id, c.name, c.segment, c.region
+    sql["customer_churn"] = star + _SALES + f""",
+bought AS (
+    SELECT customer_key, max(full_date) AS latest, count(*) AS orders, {_AMOUNT} AS spent
+    FROM sales GROUP BY customer_key
+),
+state AS (
+    SELECT customer_id, name, segment, region, latest AS last_purchase_date,
+           coalesce(orders, 0) AS total_orders, spent AS lifetime_value,
+           CAST(DATE '2001-08-02' - latest AS BIGINT) AS days_since_last
+    FROM dim_customer LEFT JOIN bought USING (customer_key)
 )
-SELECT customer_id, name, segment, region, last_purchase_date, total_orders,
-       CAST(amount AS DOUBLE) AS lifetime_value,
-       CAST(DATE '2001-08-02' - last_purchase_date AS BIGINT) AS days_since_last,
-       CASE WHEN last_purchase_date IS NULL THEN 'Never Purchased'
-            WHEN DATE '2001-08-02' - last_purchase_date > 180 THEN 'Churned'
-            WHEN DATE '2001-08-02' - last_purchase_date > 90 THEN 'At Risk'
-            ELSE 'Active' END AS churn_status
-FROM activity"""
-
-    sql["basket_analysis"] = star + f"""
-SELECT c.segment, d.year || '-Q' || d.quarter AS quarter,
-       count(DISTINCT f.order_key) AS orders,
-       {avg('sum(f.quantity)', 'count(f.quantity)', 1)} AS avg_items_per_order,
-       {avg('sum(f.total_amount)', 'count(f.total_amount)', 2)} AS avg_order_value,
-       CAST(sum(f.total_amount) AS DOUBLE) AS total_revenue
-FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key
-JOIN dim_date d ON f.date_key = d.date_key GROUP BY c.segment, d.year, d.quarter"""
-
-    sql["day_of_week_patterns"] = star + f""",
-daily AS (
-    SELECT d.day_name, d.day_of_week, count(*) AS total_orders, sum(f.total_amount) AS revenue,
-           {avg('sum(f.total_amount)', 'count(f.total_amount)', 2)} AS avg_order_value
-    FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key GROUP BY 1, 2
+SELECT *, {_case(CHURN_STATES)} AS churn_status FROM state"""
+
+    sql["basket_analysis"] = star + _SALES + f"""
+SELECT segment, concat(year, '-Q', quarter) AS quarter, count(*) AS orders,
+       {avg('sum(sales.quantity)', 'count(sales.quantity)', 1)} AS avg_items_per_order,
+       {_MEAN_AMOUNT} AS avg_order_value, {_AMOUNT} AS total_revenue
+FROM sales WHERE customer_id IS NOT NULL AND year IS NOT NULL
+GROUP BY segment, year, sales.quarter"""
+
+    sql["day_of_week_patterns"] = star + _SALES + f""",
+weekdays AS (
+    SELECT day_name, day_of_week, count(*) AS total_orders, {_AMOUNT} AS total_revenue,
+           {_MEAN_AMOUNT} AS avg_order_value, sum(total_amount) AS amount
+    FROM sales WHERE day_name IS NOT NULL GROUP BY ALL
 ),
-overall AS (SELECT {avg('sum(revenue)', 'count(revenue)', 2)} AS mean FROM daily)
-SELECT day_name, day_of_week, total_orders, CAST(revenue AS DOUBLE) AS total_revenue,
-       avg_order_value, {rnd('((CAST(revenue AS DOUBLE) - mean) / mean * 100)', 1)} AS pct_vs_avg
-FROM daily, overall"""
+levelled AS (
+    SELECT *, {avg('sum(amount) OVER ()', 'count(amount) OVER ()', 2)} AS usual FROM weekdays
+)
+SELECT day_name, day_of_week, total_orders, total_revenue, avg_order_value,
+       {rnd('((total_revenue - usual) / usual * 100)', 1)} AS pct_vs_avg FROM levelled"""
 
     sql["discount_impact"] = star + f"""
-SELECT CASE WHEN discount_pct = 0 THEN 'No Discount' WHEN discount_pct <= 5 THEN '1-5%'
-            WHEN discount_pct <= 10 THEN '6-10%' WHEN discount_pct <= 15 THEN '11-15%'
-            ELSE '16-20%' END AS discount_tier,
-       count(*) AS orders,
-       {avg('sum(total_amount)', 'count(total_amount)', 2)} AS avg_order_value,
+SELECT {_case(DISCOUNT_TIERS)} AS discount_tier, count(*) AS orders,
+       {_MEAN_AMOUNT} AS avg_order_value,
        {avg('sum(profit_margin)', 'count(profit_margin)', 1)} AS avg_margin_pct,
-       CAST(sum(total_amount) AS DOUBLE) AS total_revenue
-FROM fact_sales GROUP BY 1"""
+       {_AMOUNT} AS total_revenue
+FROM fact_sales GROUP BY ALL"""
 
     sql["shipping_efficiency"] = star + f"""
-SELECT CASE WHEN shipping_cost < 5 THEN 'Economy (< 5)'
-            WHEN shipping_cost < 8 THEN 'Standard (5-8)' ELSE 'Express (> 8)' END AS shipping_tier,
-       count(*) AS orders, {avg('sum(shipping_cost)', 'count(*)', 2)} AS avg_shipping_cost,
-       {avg('sum(total_amount)', 'count(total_amount)', 2)} AS avg_order_value,
+SELECT {_case(SHIPPING_TIERS)} AS shipping_tier, count(*) AS orders,
+       {avg('sum(shipping_cost)', 'count(*)', 2)} AS avg_shipping_cost,
+       {_MEAN_AMOUNT} AS avg_order_value,
        {rnd(pct('sum(shipping_cost)', 'sum(total_amount)'), 1)} AS shipping_pct
-FROM fact_sales WHERE shipping_cost > 0 GROUP BY 1"""
-
-    flag = "sum(CASE WHEN is_returned THEN 1 ELSE 0 END)"
-    sql["return_rate_analysis"] = star + f""",
-company AS (SELECT {pct(flag, 'count(*)')} AS rate FROM fact_sales),
-categories AS (
-    SELECT p.category, count(*) AS total_orders, CAST({flag} AS BIGINT) AS returns,
-           {pct(flag, 'count(*)')} AS category_rate
-    FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key GROUP BY p.category
+FROM fact_sales WHERE shipping_cost > 0 GROUP BY ALL"""
+
+    sql["return_rate_analysis"] = star + _SALES + f""",
+rates AS (
+    SELECT product_id IS NOT NULL AS known, category, count(*) AS orders, {_RETURNS} AS returns
+    FROM sales GROUP BY ALL
+),
+compared AS (
+    SELECT *, {pct('returns', 'orders')} AS own,
+           {pct('sum(returns) OVER ()', 'sum(orders) OVER ()')} AS usual
+    FROM rates
 )
-SELECT category, total_orders, returns, {rnd('category_rate', 1)} AS return_rate_pct,
-       {rnd('rate', 1)} AS company_avg_pct, {rnd('(category_rate - rate)', 1)} AS vs_avg
-FROM categories, company"""
-
-    sql["supplier_scorecard"] = star + f"""
-SELECT s.supplier_id, s.name AS supplier_name, s.country, s.reliability_rating,
-       count(DISTINCT f.order_key) AS total_orders,
-       CAST(sum(f.total_amount) AS DOUBLE) AS total_revenue,
-       {avg('sum(f.profit_margin)', 'count(f.profit_margin)', 1)} AS avg_margin,
-       {rnd(pct(flag, 'count(*)'), 1)} AS return_rate_pct
-FROM fact_sales f JOIN dim_supplier s ON f.supplier_key = s.supplier_key GROUP BY 1, 2, 3, 4"""
+SELECT category, orders AS total_orders, returns, {rnd('own', 1)} AS return_rate_pct,
+       {rnd('usual', 1)} AS company_avg_pct, {rnd('(own - usual)', 1)} AS vs_avg
+FROM compared WHERE known"""
+
+    sql["supplier_scorecard"] = star + _SALES + f"""
+SELECT supplier_id, supplier_name, country, reliability_rating, count(*) AS total_orders,
+       {_AMOUNT} AS total_revenue,
+       {avg('sum(profit_margin)', 'count(profit_margin)', 1)} AS avg_margin,
+       {rnd(pct(_RETURNS, 'count(*)'), 1)} AS return_rate_pct
+FROM sales WHERE supplier_id IS NOT NULL GROUP BY ALL"""
 
     kpis = f"""
-SELECT CAST(sum(total_amount) AS DOUBLE) AS total_revenue,
-       count(DISTINCT order_key) AS total_orders,
-       {avg('sum(total_amount)', 'count(total_amount)', 2)} AS avg_order_value,
-       count(DISTINCT customer_key) AS unique_customers,
-       {rnd(pct(flag, 'count(*)'), 1)} AS return_rate
+SELECT {_AMOUNT} AS total_revenue, count(DISTINCT order_key) AS total_orders,
+       {_MEAN_AMOUNT} AS avg_order_value, count(DISTINCT customer_key) AS unique_customers,
+       {rnd(pct(_RETURNS, 'count(*)'), 1)} AS return_rate
 FROM fact_sales"""
     sql["kpi_snapshot"] = star + kpis
     sql["kpi_snapshot_dirty"] = dirty + kpis
 
-    category = """
-SELECT p.category, CAST(sum(f.total_amount) AS DOUBLE) AS revenue
-FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key GROUP BY p.category"""
-    sql["category_revenue"] = star + category
-    sql["category_revenue_dirty"] = dirty + category
+    category = f"""
+SELECT category, {_AMOUNT} AS revenue FROM sales WHERE product_id IS NOT NULL GROUP BY category"""
+    sql["category_revenue"] = star + _SALES + category
+    sql["category_revenue_dirty"] = dirty + _SALES + category
 
-    sql["agg_daily_sales"] = star + _DAILY
+    sql["agg_daily_sales"] = star + _SALES + f"""
+SELECT full_date AS date, {_AMOUNT} AS total_revenue, count(DISTINCT order_key) AS total_orders,
+       {_MEAN_AMOUNT} AS avg_order_value, count(DISTINCT customer_key) AS unique_customers
+FROM sales WHERE full_date IS NOT NULL GROUP BY full_date"""
 
     order_columns = """order_id, customer_id, product_id, CAST(quantity AS BIGINT) AS quantity,
        CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount_pct AS DOUBLE) AS discount_pct,
@@ -545,4 +545,57 @@ FROM fact_sales WHERE date_key >= 20010101"""
 SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name,
        CASE WHEN c_acctbal < 5000 THEN 'BATCH' ELSE c_mktsegment END AS segment
 FROM customer"""
+    sql["stable_keys"] = star + """,
+known AS (
+    SELECT customer_id, row_number() OVER (ORDER BY customer_key) AS customer_key
+    FROM dim_customer WHERE month(signup_date) < 7
+)
+SELECT customer_key, customer_id FROM known
+UNION ALL
+SELECT (SELECT max(customer_key) FROM known) + row_number() OVER (ORDER BY customer_key),
+       customer_id
+FROM dim_customer WHERE month(signup_date) >= 7"""
+    sql["declared_issue_counts"] = dirty + _SUMMARY + """
+SELECT source, field, rule, count(*) AS issues FROM (
+    SELECT source, field, rule FROM row_issues
+    UNION ALL SELECT source, field, rule FROM link_issues
+    UNION ALL SELECT 'products', 'supplier_id', 'not_null' FROM priced WHERE supp IS NULL
+    UNION ALL SELECT 'products', 'cost_price', 'positive_value' FROM priced WHERE cost_price <= 0
+    UNION ALL SELECT 'customers', 'segment', 'domain' FROM customer
+        WHERE c_mktsegment NOT IN ('B2B', 'B2C')
+) GROUP BY ALL"""
+    distinct_bad = f"(SELECT count(*) FROM {bad})"
+    sql["quality_summary_distinct_rows"] = dirty + _SUMMARY + f"""
+SELECT source_name, total_rows,
+       CASE WHEN source_name = 'orders' THEN total_rows - {distinct_bad} ELSE valid_rows END
+           AS valid_rows,
+       CASE WHEN source_name = 'orders' THEN {distinct_bad} ELSE invalid_rows END AS invalid_rows,
+       CASE WHEN source_name = 'orders' THEN
+           {rnd(f'(CAST(total_rows - {distinct_bad} AS DOUBLE) / CAST(total_rows AS DOUBLE) * 100)',
+                1)} ELSE quality_score END AS quality_score
+FROM summary"""
+    sql["valid_orders"] = sql["quarantined_orders"].replace("row_index IN", "row_index NOT IN")
+    sql["csv_customers"] = star + """
+SELECT customer_id, name, email, region, city, segment, signup_date FROM dim_customer"""
+    sql["jsonl_suppliers"] = star + """
+SELECT supplier_id, name, country, lead_time_days, reliability_rating FROM dim_supplier"""
+    sql["parquet_products"] = star + """
+SELECT product_id, name, category, subcategory, brand, CAST(supp AS VARCHAR) AS supplier_id,
+       CAST(d.cost_price AS DOUBLE) AS cost_price, CAST(d.retail_price AS DOUBLE) AS retail_price,
+       margin_pct
+FROM dim_product d JOIN priced p ON d.product_id = CAST(p.p_partkey AS VARCHAR)"""
+    sql["loaded_daily_sales"] = sql["agg_daily_sales"]
+    sql["loaded_row_counts"] = star + """
+SELECT table_name, records_processed, 'incremental' AS load_mode FROM (
+    SELECT 'dim_date' AS table_name, count(*) AS records_processed FROM dim_date
+    UNION ALL SELECT 'dim_customer', count(*) FROM dim_customer
+    UNION ALL SELECT 'dim_supplier', count(*) FROM dim_supplier
+    UNION ALL SELECT 'dim_product', count(*) FROM dim_product
+    UNION ALL SELECT 'fact_sales', count(*) FROM (
+        SELECT * FROM fact_sales WHERE order_date >= DATE '2001-01-01'))"""
+    sql["console_sql"] = star + """
+SELECT p.category, d.year || '-Q' || d.quarter AS quarter, count(*) AS orders,
+       CAST(DATE '2001-08-02' - min(d.full_date) AS DOUBLE) AS oldest_days
+FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key
+JOIN dim_date d ON f.date_key = d.date_key GROUP BY p.category, d.year, d.quarter"""
     return sql

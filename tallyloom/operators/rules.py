@@ -45,7 +45,7 @@ def _not_positive(field: str, label: str) -> Rule:
     return _rule(field, "positive_value", f"{label} must be positive", lambda: F.col(field) <= 0)
 
 
-# The rules of the pipeline, per source.
+# The rules every load runs, per source. Rule names and messages.
 PIPELINE_RULES: dict[str, list[Rule]] = {
     "orders": [
         _not_positive("quantity", "Quantity"),
@@ -97,7 +97,7 @@ def _a_date(field: str) -> Rule:
     )
 
 
-# Opt-in rules: the declared record constraints, which the pipeline does not run.
+# Opt-in rules: the declared constraints of a record, with fixed limits and domains.
 # Required fields are covered by the not_null rule.
 DECLARED_RULES: dict[str, list[Rule]] = {
     "orders": [

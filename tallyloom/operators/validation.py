@@ -75,6 +75,7 @@ def check_sources(
         ).withColumn(_LINK, _no_issues())
         for name, df in sources.items()
     }
+    # Fixed values below: rule names and messages.
     text = F.col("_key").cast("string")
     if "customers" in sources and "customer_id" in sources["customers"].columns:
         checked["customers"] = _flag(

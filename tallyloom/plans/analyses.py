@@ -29,6 +29,49 @@ from tallyloom.params import MartParams
 from tallyloom.session import stage
 
 
+# Labels and limits of the reports. In each list the first match counts;
+# the last label takes the rest.
+RFM_TILES = 5
+RFM_SEGMENTS = [
+    ("Champions", "r_score >= 4 AND f_score >= 4 AND m_score >= 4"),
+    ("Loyal Customers", "r_score >= 3 AND f_score >= 3"),
+    ("New Customers", "r_score >= 4 AND f_score <= 2"),
+    ("At Risk", "r_score <= 2 AND f_score >= 3"),
+    ("Lost", "r_score <= 2 AND f_score <= 2"),
+    ("Regular", None),
+]
+ABC_CLASSES = [("A", "cumulative_pct <= 80"), ("B", "cumulative_pct <= 95"), ("C", None)]
+CHURN_STATES = [
+    ("Never Purchased", "days_since_last IS NULL"),
+    ("Churned", "days_since_last > 180"),
+    ("At Risk", "days_since_last > 90"),
+    ("Active", None),
+]
+DISCOUNT_TIERS = [
+    ("No Discount", "discount_pct = 0"),
+    ("1-5%", "discount_pct <= 5"),
+    ("6-10%", "discount_pct <= 10"),
+    ("11-15%", "discount_pct <= 15"),
+    ("16-20%", None),
+]
+SHIPPING_TIERS = [
+    ("Economy (< 5)", "shipping_cost < 5"),
+    ("Standard (5-8)", "shipping_cost < 8"),
+    ("Express (> 8)", None),
+]
+TOP_RANKS = 3
+
+
+def _label(choices: list[tuple[str, str | None]]) -> Column:
+    """The label of the first condition that holds."""
+    return F.coalesce(
+        *[
+            F.lit(label) if condition is None else F.when(F.expr(condition), label)
+            for label, condition in choices
+        ]
+    )
+
+
 def _real(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("double")
 
@@ -155,15 +198,7 @@ def rfm_segmentation(star: Star, params: MartParams | None = None) -> DataFrame:
         "customer_id",
         {"recency": -recency, "frequency": F.col("total_orders"), "amount": F.col("amount")},
         {"recency": "r_score", "frequency": "f_score", "amount": "m_score"},
-    )
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    segment = (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
-        .when((r >= 3) & (f >= 3), "Loyal Customers")
-        .when((r >= 4) & (f <= 2), "New Customers")
-        .when((r <= 2) & (f >= 3), "At Risk")
-        .when((r <= 2) & (f <= 2), "Lost")
-        .otherwise("Regular")
+        RFM_TILES,
     )
     return (
         scored.join(star.dim_customer.select("customer_id", "name"), "customer_id")
@@ -174,10 +209,8 @@ def rfm_segmentation(star: Star, params: MartParams | None = None) -> DataFrame:
             (-F.col("recency").cast("bigint")).cast("double").alias("recency_days"),
             F.col("frequency").cast("bigint").alias("frequency"),
             _real("amount").alias("monetary"),
-            r.cast("bigint").alias("r_score"),
-            f.cast("bigint").alias("f_score"),
-            m.cast("bigint").alias("m_score"),
-            segment.alias("segment"),
+            *[F.col(s).cast("bigint").alias(s) for s in ("r_score", "f_score", "m_score")],
+            _label(RFM_SEGMENTS).alias("segment"),
         )
     )
 
@@ -217,10 +250,7 @@ def abc_analysis(star: Star, params: MartParams | None = None) -> DataFrame:
             "category",
             _real("amount").alias("revenue"),
             "cumulative_pct",
-            F.when(F.col("cumulative_pct") <= 80, "A")
-            .when(F.col("cumulative_pct") <= 95, "B")
-            .otherwise("C")
-            .alias("abc_class"),
+            _label(ABC_CLASSES).alias("abc_class"),
         )
     )
 
@@ -240,7 +270,7 @@ def top_products_by_category(star: Star, params: MartParams | None = None) -> Da
     rank = F.dense_rank().over(W.partitionBy("category").orderBy(F.desc("amount")))
     return (
         revenue.withColumn("rank", rank)
-        .filter("rank <= 3")
+        .filter(F.col("rank") <= TOP_RANKS)
         .orderBy("category", "rank", "name")
         .select(
             "category",
@@ -351,12 +381,6 @@ def customer_churn(star: Star, params: MartParams | None = None) -> DataFrame:
     """Activity status of every customer, including those who never bought."""
     asof = F.lit((params or MartParams()).asof)
     days = F.datediff(asof, F.col("last_purchase"))
-    status = (
-        F.when(F.col("last_purchase").isNull(), "Never Purchased")
-        .when(days > 180, "Churned")
-        .when(days > 90, "At Risk")
-        .otherwise("Active")
-    )
     return (
         star.dim_customer.select("customer_key", "customer_id", "name", "segment", "region")
         .join(_customer_activity(star, "left"), "customer_key", "left")
@@ -369,8 +393,8 @@ def customer_churn(star: Star, params: MartParams | None = None) -> DataFrame:
             F.coalesce("total_orders", F.lit(0)).cast("bigint").alias("total_orders"),
             _real("amount").alias("lifetime_value"),
             days.cast("bigint").alias("days_since_last"),
-            status.alias("churn_status"),
         )
+        .withColumn("churn_status", _label(CHURN_STATES))
         .orderBy(F.desc_nulls_last("days_since_last"), "customer_id")
     )
 
@@ -420,16 +444,8 @@ def day_of_week_patterns(star: Star, params: MartParams | None = None) -> DataFr
 
 def discount_impact(star: Star, params: MartParams | None = None) -> DataFrame:
     """Orders, value and margin per discount tier; the last tier takes the rest."""
-    d = F.col("discount_pct")
-    tier = (
-        F.when(d == 0, "No Discount")
-        .when(d <= 5, "1-5%")
-        .when(d <= 10, "6-10%")
-        .when(d <= 15, "11-15%")
-        .otherwise("16-20%")
-    )
     return (
-        star.fact_sales.groupBy(tier.alias("discount_tier"))
+        star.fact_sales.groupBy(_label(DISCOUNT_TIERS).alias("discount_tier"))
         .agg(
             _count().alias("orders"),
             F.sum("total_amount").alias("amount"),
@@ -451,13 +467,9 @@ def discount_impact(star: Star, params: MartParams | None = None) -> DataFrame:
 
 def shipping_efficiency(star: Star, params: MartParams | None = None) -> DataFrame:
     """Shipping cost against order value per cost tier, for orders with a cost."""
-    c = F.col("shipping_cost")
-    tier = (
-        F.when(c < 5, "Economy (< 5)").when(c < 8, "Standard (5-8)").otherwise("Express (> 8)")
-    )
     return (
-        star.fact_sales.filter(c > 0)
-        .groupBy(tier.alias("shipping_tier"))
+        star.fact_sales.filter("shipping_cost > 0")
+        .groupBy(_label(SHIPPING_TIERS).alias("shipping_tier"))
         .agg(
             _count().alias("orders"),
             F.sum("shipping_cost").alias("cost"),
