@@ -21,6 +21,7 @@ from tallyloom.session import build_session  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
+# The sample shop whose results are worked out by hand.
 ROWS = {
     "customers": [
         ("C0001", "Max Mueller", "max@test.de", "Nord", "Hamburg", "B2C", "2024-01-15"),

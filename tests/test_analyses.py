@@ -57,8 +57,8 @@ def test_kpis(any_star):
     assert row.unique_customers == 3 and row.return_rate == 25.0
 
 
-def test_category_revenue(any_star):
-    assert records(reports.category_revenue(any_star)) == [
+def test_category_revenue(star):
+    assert records(reports.category_revenue(star)) == [
         ("Electronics", 799.0), ("Clothing", 186.22), ("Sports", 69.0),
     ]
 
@@ -78,8 +78,8 @@ def test_abc_ties_share_a_value_and_missing_classes_are_null(make_star, frame):
     assert records(reports.abc_class_counts(star)) == [("A", None), ("B", None), ("C", 2)]
 
 
-def test_churn(any_star):
-    got = records(analyses.customer_churn(any_star))
+def test_churn(star):
+    got = records(analyses.customer_churn(star))
     assert [(r[0], r[5], r[7], r[8]) for r in got] == [
         ("C0002", 1, 621, "Churned"), ("C0001", 2, 601, "Churned"), ("C0003", 1, 538, "Churned"),
     ]
@@ -97,8 +97,8 @@ def test_churn_limits_and_customer_without_sales(make_star, frame):
     assert never.lifetime_value is None and never.days_since_last is None
 
 
-def test_discount_tiers(any_star, make_star, frame):
-    got = records(analyses.discount_impact(any_star))
+def test_discount_tiers(star, make_star, frame):
+    got = records(analyses.discount_impact(star))
     assert [(r[0], r[1]) for r in got] == [("No Discount", 2), ("1-5%", 1), ("6-10%", 1)]
     star = make_star(orders=frame("orders", [order("1", discount=12.0), order("2", discount=20.0),
                                              order("3", discount=50.0),
@@ -107,8 +107,8 @@ def test_discount_tiers(any_star, make_star, frame):
     assert got == {"11-15%": 1, "16-20%": 3}
 
 
-def test_shipping_tiers(any_star, make_star, frame):
-    got = records(analyses.shipping_efficiency(any_star))
+def test_shipping_tiers(star, make_star, frame):
+    got = records(analyses.shipping_efficiency(star))
     assert got == [
         ("Economy (< 5)", 2, 4.24, 68.24, 6.2), ("Standard (5-8)", 2, 6.24, 458.88, 1.4),
     ]
@@ -120,15 +120,15 @@ def test_shipping_tiers(any_star, make_star, frame):
     assert records(analyses.shipping_efficiency(star))[0][:2] == ("Express (> 8)", 1)
 
 
-def test_supplier_scorecard(any_star):
-    got = records(analyses.supplier_scorecard(any_star))
+def test_supplier_scorecard(star):
+    got = records(analyses.supplier_scorecard(star))
     assert [(r[0], r[4], r[5], r[7]) for r in got] == [
         ("SUP-01", 3, 985.22, 33.3), ("SUP-02", 1, 69.0, 0.0),
     ]
 
 
-def test_return_rate(any_star):
-    got = {r.category: r for r in analyses.return_rate_analysis(any_star).collect()}
+def test_return_rate(star):
+    got = {r.category: r for r in analyses.return_rate_analysis(star).collect()}
     assert got["Clothing"][1:] == (2, 1, 50.0, 25.0, 25.0)
     assert got["Sports"][1:] == (1, 0, 0.0, 25.0, -25.0)
 
@@ -187,13 +187,13 @@ def test_cohort_ignores_customers_who_started_outside_the_calendar(make_star, fr
     assert records(analyses.cohort_retention(star)) == [("2024-02", 0, 1)]
 
 
-def test_ltv(any_star):
-    got = records(analyses.customer_ltv(any_star))
+def test_ltv(star):
+    got = records(analyses.customer_ltv(star))
     assert got[0] == (
         "C0001", "Max Mueller", "B2C", "Nord", 2, 868.0, 434.0,
         date(2024, 3, 15), date(2024, 5, 10), 56.0,
     )
-    assert records(analyses.top_customers(any_star, limit=1)) == got[:1]
+    assert records(analyses.top_customers(star, limit=1)) == got[:1]
 
 
 def test_rfm(any_star):
@@ -210,13 +210,13 @@ def test_rfm(any_star):
     ]
 
 
-def test_basket_and_weekdays(any_star):
-    got = records(analyses.basket_analysis(any_star))
+def test_basket_and_weekdays(star):
+    got = records(analyses.basket_analysis(star))
     assert got == [
         ("B2B", "2024-Q2", 1, 3.0, 67.47, 67.47), ("B2C", "2024-Q1", 1, 1.0, 799.0, 799.0),
         ("B2C", "2024-Q2", 1, 2.0, 69.0, 69.0), ("B2C", "2024-Q3", 1, 5.0, 118.75, 118.75),
     ]
-    days = records(analyses.day_of_week_patterns(any_star))
+    days = records(analyses.day_of_week_patterns(star))
     assert [(d[0], d[1], d[2], d[3]) for d in days] == [
         ("Friday", 5, 3, 986.75), ("Saturday", 6, 1, 67.47),
     ]

@@ -25,10 +25,10 @@ def console(spark, tmp_path_factory, star, params):
 @pytest.mark.parametrize(
     "sql",
     [
-        "SELECT * FROM fact_sales LIMIT 5",
-        "  select count(*) from dim_product  ",
-        "WITH t AS (SELECT 1 AS n) SELECT n FROM t",
-        "SELECT * FROM fact_sales;",
+        "SELECT order_id, total_amount FROM fact_sales ORDER BY 2 DESC LIMIT 3",
+        "\n  select max(retail_price) from dim_product\n",
+        "WITH big AS (SELECT * FROM fact_sales WHERE quantity > 2) SELECT count(*) FROM big",
+        "SELECT name FROM dim_customer ;",
         "",
         "SELECT replace('update', 'a', 'delete') AS created -- drop table x",
         "SELECT f.*, d.* FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key",
@@ -41,14 +41,13 @@ def test_allowed(console, sql):
 @pytest.mark.parametrize(
     "sql",
     [
-        "DROP TABLE dim_product",
-        "delete from fact_sales",
-        "SELECT 1; DROP TABLE dim_product",
-        "UPDATE dim_product SET name = 'x'",
-        "PRAGMA table_info(fact_sales)",
-        "SELECT * FROM pragma_database_list()",
-        "select * from pragma_table_info('fact_sales')",
-        "WITH RECURSIVE c(x) AS (SELECT 1 UNION ALL SELECT x+1 FROM c) SELECT count(*) FROM c",
+        "DROP VIEW dim_product",
+        "DELETE FROM fact_sales WHERE quantity > 1",
+        "SELECT name FROM dim_customer; DROP VIEW dim_customer",
+        "UPDATE dim_supplier SET country = 'FR'",
+        "PRAGMA database_list",
+        "SELECT name FROM pragma_table_list()",
+        "WITH RECURSIVE n(i) AS (SELECT 0 UNION ALL SELECT i + 1 FROM n) SELECT max(i) FROM n",
         "WITH t AS (SELECT 1) INSERT INTO dim_product SELECT * FROM t",
         "SET spark.sql.ansi.enabled=false",
         "SELECT reflect('java.lang.System', 'exit', 1)",
