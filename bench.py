@@ -28,7 +28,7 @@ from tallyloom.operators.star import enrich_all  # noqa: E402
 from tallyloom.plans import analyses, reports  # noqa: E402
 from tallyloom.plans.job import build_star, unseen_orders  # noqa: E402
 from tallyloom.plans.named import NAMED_QUERIES  # noqa: E402
-from tallyloom.session import build_session  # noqa: E402
+from tallyloom.session import build_session, release_staged  # noqa: E402
 from tallyloom.sinks.warehouse import Warehouse  # noqa: E402
 from tallyloom.sources.trade import TRADE_PARAMS, trade_sources  # noqa: E402
 
@@ -123,6 +123,7 @@ def main() -> None:
             }
         )
     )
+    release_staged(spark)
     spark.stop()
     shutil.rmtree(root, ignore_errors=True)
 

@@ -6,6 +6,7 @@ import re
 import threading
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,18 @@ def tidy(sql: str) -> str:
     return sql.strip().rstrip(";").strip()
 
 
+@contextmanager
+def _no_file_tables(spark: SparkSession):
+    """Keep SQL text from reading files by path; the session is put back afterwards."""
+    setting = "spark.sql.runSQLOnFiles"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def validate_readonly_sql(spark: SparkSession, sql: str) -> str | None:
     """Why a text may not run, or None; an empty text is no error.
 
@@ -54,7 +67,8 @@ def validate_readonly_sql(spark: SparkSession, sql: str) -> str | None:
     if _JVM_CALLS.search(text):
         return "Only read-only SELECT queries are allowed."
     try:
-        plan = spark.sql(f"SELECT * FROM (\n{text}\n) AS _q")
+        with _no_file_tables(spark):
+            plan = spark.sql(f"SELECT * FROM (\n{text}\n) AS _q")
     except PySparkException as exc:
         return f"Only a single valid SELECT is allowed: {str(exc).splitlines()[0]}"
     # Also finds such a function when its name is put together by IDENTIFIER().
@@ -116,7 +130,6 @@ class Console:
 
     def open(self) -> list[str]:
         """Register the tables as views, and ``julianday`` for queries that use it."""
-        self.spark.conf.set("spark.sql.runSQLOnFiles", "false")
         self.spark.sql(
             "CREATE OR REPLACE TEMPORARY FUNCTION julianday(day DATE) RETURNS DOUBLE "
             "RETURN unix_date(day) + 2440587.5D"
@@ -138,6 +151,7 @@ class Console:
             return self.spark.createDataFrame([], "empty string")
         ensure_checkpoint_dir(self.spark)
         seconds = QUERY_TIMEOUT_SECONDS if timeout is None else timeout
-        return run_with_deadline(
-            self.spark, seconds, lambda: self.spark.sql(text).checkpoint(eager=True)
-        )
+        with _no_file_tables(self.spark):
+            return run_with_deadline(
+                self.spark, seconds, lambda: self.spark.sql(text).checkpoint(eager=True)
+            )

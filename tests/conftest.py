@@ -17,7 +17,7 @@ from tallyloom.operators.star import enrich_all, star_of  # noqa: E402
 from tallyloom.params import MartParams  # noqa: E402
 from tallyloom.plans.job import build_star  # noqa: E402
 from tallyloom.schemas import RAW  # noqa: E402
-from tallyloom.session import build_session  # noqa: E402
+from tallyloom.session import build_session, release_staged  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,6 +63,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release_staged(session)
     session.stop()
 
 
