@@ -25,6 +25,7 @@ from tallyloom.params import MartParams
 from tallyloom.plans import analyses
 from tallyloom.plans.named import available_queries, run_named
 from tallyloom.plans.runs import RunLog
+from tallyloom.schemas import QUALITY_ISSUES
 from tallyloom.session import stage, staging_scope
 from tallyloom.sinks.warehouse import Warehouse
 from tallyloom.sources.registry import extract_all
@@ -201,13 +202,20 @@ class WarehouseJob:
 
         with self._phase("validate", result):
             checked = validation.check_sources(sources, declared=self.declared_rules)
-            issues = stage(validation.issues_of(checked), "issues")
             summary = stage(validation.summarise(checked).coalesce(1), "quality")
             # Six rows and one row.
+            flawed = {}
             for row in summary.collect():
+                if row["invalid_rows"]:
+                    flawed[row["source_name"]] = checked[row["source_name"]]
                 result.row_counts[f"raw_{row['source_name']}"] = row["total_rows"]
                 result.quality[row["source_name"]] = row.asDict()
             result.quality.update(validation.overall(summary).first().asDict())
+            # Sources without issues need not be read again to list them.
+            if flawed:
+                issues = stage(validation.issues_of(flawed), "issues")
+            else:
+                issues = self.spark.createDataFrame([], QUALITY_ISSUES)
 
         with self._phase("transform", result):
             known = None
