@@ -77,7 +77,7 @@ def test_all_tables_can_be_queried(console):
         console.execute_raw(f"SELECT * FROM {name}").collect()
 
 
-def test_sqlite_style_text_runs(console):
+def test_julianday_text_runs(console):
     df = console.execute_raw(
         "SELECT d.year || '-Q' || d.quarter AS q, printf('%02d', d.month) AS m, "
         "julianday('2026-01-01') - julianday(MAX(d.full_date)) AS age "
