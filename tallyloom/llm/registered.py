@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import line_runs
+from tallyloom.llm import line_runs, signature_tree
 from tallyloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +19,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by 5-word shingles at a Jaccard similarity of 0.8, and their classes."""
+    return signature_tree.near_duplicates(read(spark, sf_dir, "documents"), k=5, threshold=80)
+
+
 def queries() -> dict[str, Query]:
-    return {"op9_line_dedup": op9_line_dedup}
+    return {"op9_line_dedup": op9_line_dedup, "op10_ngram_join": op10_ngram_join}
 
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
@@ -43,5 +48,31 @@ SELECT doc_id, count(*) AS n_lines,
 FROM keyed GROUP BY doc_id"""
 
 
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+_OP10 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), {_WORDS}) AS w
+  FROM documents),
+grams AS (
+  SELECT doc_id, unnest(list_distinct(CASE
+    WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS g
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (
+  SELECT doc_id, doc_id AS root FROM documents
+  UNION SELECT links.y, reach.root FROM reach JOIN links ON links.x = reach.doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": _OP9}
+    return {"op9_line_dedup": _OP9, "op10_ngram_join": _OP10}
