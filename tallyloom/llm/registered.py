@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import line_runs, signature_tree
+from tallyloom.llm import block_anchors, line_runs, signature_tree
 from tallyloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in windows of 50 that a document with a smaller id has too are removed."""
+    out = block_anchors.remove_repeats(read(spark, sf_dir, "documents"), span=50)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in ten documents lose all their copies."""
     out = line_runs.drop_common_lines(read(spark, sf_dir, "documents"), min_docs=10)
@@ -25,7 +31,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op9_line_dedup": op9_line_dedup, "op10_ngram_join": op10_ngram_join}
+    return {
+        "op4_substring_dedup": op4_substring_dedup,
+        "op9_line_dedup": op9_line_dedup,
+        "op10_ngram_join": op10_ngram_join,
+    }
 
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
@@ -50,6 +60,24 @@ FROM keyed GROUP BY doc_id"""
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
+_OP4 = f"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)),
+firsts AS (SELECT h, min(doc_id) AS owner FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k
+  FROM windows JOIN firsts USING (h) WHERE doc_id > owner),
+kept AS (
+  SELECT p.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p.k) AS t
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM words) p
+  LEFT JOIN gone USING (doc_id, k) WHERE gone.k IS NULL GROUP BY p.doc_id)
+SELECT words.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)"""
+
 _OP10 = f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), {_WORDS}) AS w
@@ -75,4 +103,4 @@ JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r USI
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": _OP9, "op10_ngram_join": _OP10}
+    return {"op4_substring_dedup": _OP4, "op9_line_dedup": _OP9, "op10_ngram_join": _OP10}

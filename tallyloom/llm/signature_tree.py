@@ -9,11 +9,12 @@ that cannot link:
    shingles are missing there. Of the shingles below a point in hash space (a half of them),
    all but ``slack`` must then stand in some other set too. One packed shuffle of that half
    counts this, and leaves the families that can have a partner.
-3. Two linked sets share one of their ``slack + 1`` smallest hashes. Components over these
-   common hashes are the *areas* in which links can lie.
-4. Within an area, blocks of bounded size are joined by trees of bitmaps, first by chunks of
-   the area, then by chunks of what is left after joined documents are replaced by one of
-   them. Hashes of step 3 whose documents are all joined need no further look; the documents
+3. Two linked sets share one of their ``slack + 1`` first shingles in any order that holds
+   for all; here the rarest among the sets left come first, so that common passages don't
+   count. Components over these shared shingles are the *areas* in which links can lie.
+4. Within an area, blocks of bounded size are joined by trees of bitmaps. An area that fits
+   one block is done. A larger one is joined by chunks, then by chunks of what is left after
+   joined documents are replaced by one of them. Shingles of step 3 whose documents are all joined need no further look; the documents
    of the others meet in all pairs of chunks, so nothing is missed.
 5. Components over the links found.
 
@@ -44,7 +45,15 @@ from pyspark.sql import functions as F
 from tallyloom.llm import batches as B
 from tallyloom.llm.common import documents, parts_for, stage, text_size
 from tallyloom.llm.graph import components
-from tallyloom.llm.packed import PACKED_TYPE, Packer, joined, unpacked
+from tallyloom.llm.packed import (
+    PACKED_TYPE,
+    Packer,
+    by_document,
+    fact_row,
+    joined,
+    per_key,
+    places,
+)
 
 _U = np.uint64
 #: Shingles with a smaller hash are counted in step 2.
@@ -104,16 +113,9 @@ def _count_tasks(k: int, buckets: int):
             n = np.diff(bounds)
             sampled = _sums(low.astype(np.int64), bounds)
             turn += int(ids[0]) + 1
-            packed = [x.astype(np.int64).tobytes() for x in (ids, n, sampled, s1, s2)]
-            yield pa.RecordBatch.from_pydict(
-                {"bucket": [turn % buckets], "keys": [None], "ids": packed[:1],
-                 "tags": packed[1:2], "counts": packed[2:3], "low": packed[3:4],
-                 "high": packed[4:5]},
-                schema=pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in
-                                 ("keys", "ids", "tags", "counts", "low", "high")]),
-            )
+            yield fact_row(turn % buckets, ids=ids, tags=n, counts=sampled, low=s1, high=s2)
             doc = np.repeat(np.arange(len(ids)), n)[low]
-            yield from packer.add(sets[low], doc, doc, ids, s1)
+            yield from packer.add(sets[low], doc, ids, tags=s1)
         yield from packer.end()
 
     return run
@@ -134,7 +136,8 @@ def _count_bucket(table: pa.Table) -> pa.Table:
             schema=_FACTS,
         )
     ]
-    keys, ids, tags, _ = unpacked(table.filter(pc.invert(is_fact)))
+    asked = table.filter(pc.invert(is_fact))
+    keys, ids, tags = joined(asked["keys"], np.uint32), per_key(asked, "ids"), per_key(asked, "tags")
     if len(keys):
         order = np.argsort(keys)
         key, tag = keys[order], tags[order]
@@ -287,20 +290,68 @@ def _set_tasks(k: int):
     return run
 
 
+def _rank_tasks(buckets: int):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Packer(buckets)
+        for part in parts:
+            ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for k, grams in enumerate(part.column(1)):
+                one = np.frombuffer(grams.as_buffer(), dtype=_U)
+                none = np.zeros(len(one), np.int64)
+                yield from packer.add(one, none, ids[k : k + 1], np.arange(len(one)))
+        yield from packer.end()
+
+    return run
+
+
+def _rank_bucket(table: pa.Table) -> pa.Table:
+    """How many sets have the shingle, for shingles of at least two."""
+    keys, ids, at = joined(table["keys"], np.uint32), per_key(table, "ids"), places(table)
+    _, back, count = np.unique(keys, return_inverse=True, return_counts=True)
+    count = count[back]
+    shared = count > 1
+    return by_document(
+        ids[shared], at=at[shared].astype(np.uint32), sets=count[shared].astype(np.uint32)
+    )
+
+
 def _prefix_tasks(threshold: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            ids = part.column(0).to_numpy(zero_copy_only=False)
-            keys = [np.frombuffer(g.as_buffer(), dtype=np.int64) for g in part.column(1)]
-            keys = [g[: slack(len(g), threshold) + 1] for g in keys]
-            counts = [len(g) for g in keys]
-            key = np.concatenate(keys) if keys else np.empty(0, np.int64)
-            doc = np.repeat(ids, counts) if keys else key
+            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+            keys, found = [], part.column("found").to_pylist()
+            for grams, answers in zip(part.column("grams"), found, strict=True):
+                one = np.frombuffer(grams.as_buffer(), dtype=_U)
+                sets = np.ones(len(one), np.int64)
+                for x in answers:
+                    sets[np.frombuffer(x["at"], np.uint32)] = np.frombuffer(x["sets"], np.uint32)
+                first = np.lexsort((one, sets))[: slack(len(one), threshold) + 1]
+                keys.append(one[first[sets[first] > 1]])
+            key = B.signed(np.concatenate([np.empty(0, _U), *keys]))
+            doc = np.repeat(ids.astype(np.int64), [len(k) for k in keys])
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc)], ["key", "doc_id"])
 
     return run
 
 
+def rare_prefixes(sets: DataFrame, threshold: int) -> DataFrame:
+    """(key, doc_id): the rarest ``slack + 1`` shingles of each set that another set has too."""
+    size = 8 * (sets.agg(F.sum("n")).first()[0] or 0)
+    answers = (
+        sets.select("doc_id", "grams")
+        .mapInArrow(_rank_tasks(parts_for(size, 8 << 20, 64)), PACKED_TYPE)
+        .groupBy("bucket")
+        .applyInArrow(_rank_bucket, "doc_id long, at binary, sets binary")
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("at", "sets")).alias("found"))
+    )
+    return (
+        sets.select("doc_id", "grams")
+        .join(answers, "doc_id")
+        .mapInArrow(_prefix_tasks(threshold), "key long, doc_id long")
+    )
+
+
 def _chunks(members: DataFrame, most: int, most_bytes: int) -> DataFrame:
     """Members (doc_id, area, n, ...) with the number of chunks of their area and their own."""
     sizes = stage(
@@ -311,57 +362,64 @@ def _chunks(members: DataFrame, most: int, most_bytes: int) -> DataFrame:
     return members.join(sizes, "area").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "m").cast("int"))
 
 
-def similar_sets(sets: DataFrame, threshold: int, chunk: int = 256, block: int = 1024) -> DataFrame:
+def _joined_within(blocks: DataFrame, sets: DataFrame, by: list[str], threshold: int) -> DataFrame:
+    """Links within each block of (doc_id, grp, side) rows."""
+    return (
+        blocks.select("doc_id", "grp", "side", *by)
+        .join(sets.select("doc_id", "grams"), "doc_id")
+        .groupBy(*by)
+        .applyInArrow(_link_block(threshold), _LINKS_TYPE)
+    )
+
+
+def _regrouped(state: DataFrame, links: DataFrame) -> DataFrame:
+    """The state with groups that links join made one."""
+    heads = components(links).select(F.col("node").alias("grp"), F.col("component").alias("head"))
+    return state.join(stage(heads, "heads"), "grp", "left").select(
+        "doc_id", "area", "n", F.coalesce("head", "grp").alias("grp")
+    )
+
+
+def similar_sets(sets: DataFrame, threshold: int, chunk: int = 64, block: int = 128) -> DataFrame:
     """(node, component) over the linked sets of a staged table (doc_id, n, grams)."""
     most_bytes = 16 << 20
-    keys = sets.select("doc_id", "grams").mapInArrow(_prefix_tasks(threshold), "key long, doc_id long")
-    keys = stage(keys, "keys")
+    keys = stage(rare_prefixes(sets, threshold), "keys")
     hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"))
     hubs = stage(hubs.filter("hub != last").select("key", "hub"), "hubs")
     stars = keys.join(hubs, "key").filter("doc_id != hub")
-    areas = stage(components(stars.select(F.col("doc_id").alias("v"), F.col("hub").alias("u"))), "areas")
-    state = areas.select(F.col("node").alias("doc_id"), F.col("component").alias("area"), F.col("node").alias("grp"))
-    link = _link_block(threshold)
-
-    for _ in range(2):  # chunks of each area, then chunks of their representatives
-        heads = state.filter("doc_id = grp").join(sets.select("doc_id", "n"), "doc_id")
-        heads = _chunks(heads.select("doc_id", "area", "n", "grp"), chunk, most_bytes)
-        blocks = stage(heads.select("doc_id", "area", "chunk", "grp", F.lit(0).alias("side")), "blocks")
-        links = (
-            blocks.join(sets.select("doc_id", "grams"), "doc_id")
-            .groupBy("area", "chunk")
-            .applyInArrow(link, _LINKS_TYPE)
-        )
-        heads = components(links).select(F.col("node").alias("grp"), F.col("component").alias("head"))
-        state = stage(
-            state.join(stage(heads, "heads"), "grp", "left").select(
-                "doc_id", "area", F.coalesce("head", "grp").alias("grp")
-            ),
-            "state",
-        )
-
-    # What is not joined yet and still shares a prefix hash meets in all pairs of chunks.
-    tagged = stage(keys.join(stage(hubs.select("key"), "keys"), "key").join(state, "doc_id"), "tagged")
-    mixed = tagged.groupBy("key").agg(F.min("grp").alias("a"), F.max("grp").alias("b"))
+    areas = components(stars.select(F.col("doc_id").alias("v"), F.col("hub").alias("u")))
+    areas = areas.select(F.col("node").alias("doc_id"), F.col("component").alias("area"))
+    state = stage(areas.join(sets.select("doc_id", "n"), "doc_id"), "state")
+    state = _chunks(state.withColumn("grp", F.col("doc_id")), chunk, most_bytes)
+    state = stage(state.withColumn("side", F.lit(0)), "state")
+    links = stage(_joined_within(state, sets, ["area", "chunk"], threshold), "links")
+    wide = state.filter("m > 1")  # the other areas are done
+    if wide.isEmpty():
+        return components(links)
+
+    # One document of each group found so far, in new chunks.
+    wide = stage(_regrouped(wide, links), "state")
+    heads = _chunks(wide.filter("doc_id = grp"), chunk, most_bytes).withColumn("side", F.lit(0))
+    more = stage(_joined_within(stage(heads, "heads"), sets, ["area", "chunk"], threshold), "links")
+    wide = stage(_regrouped(wide, more), "state")
+
+    # What is not joined yet and still shares a prefix shingle meets in all pairs of chunks.
+    shared = keys.join(stage(hubs.select("key"), "keys"), "key").join(wide.select("doc_id", "grp"), "doc_id")
+    shared = stage(shared, "shared")
+    mixed = shared.groupBy("key").agg(F.min("grp").alias("a"), F.max("grp").alias("b"))
     mixed = stage(mixed.filter("a != b").select("key"), "mixed")
-    members = tagged.join(mixed, "key", "left_semi").select("doc_id", "area", "grp").distinct()
-    members = stage(members.join(sets.select("doc_id", "n"), "doc_id"), "members")
-    places = _chunks(members, block, most_bytes).withColumn(
+    members = shared.join(mixed, "key", "left_semi").select("doc_id").distinct()
+    members = stage(wide.join(members, "doc_id", "left_semi"), "members")
+    meetings = _chunks(members, block, most_bytes).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("m") - 1))
     )
-    places = places.select(
+    meetings = meetings.select(
         "doc_id", "area", "grp",
         F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
         (F.col("chunk") > F.col("other")).cast("int").alias("side"),
     )
-    links = (
-        stage(places, "places")
-        .join(sets.select("doc_id", "grams"), "doc_id")
-        .groupBy("area", "i", "j")
-        .applyInArrow(link, _LINKS_TYPE)
-    )
-    joined_ = state.filter("doc_id != grp").select(F.col("doc_id").alias("v"), F.col("grp").alias("u"))
-    return components(stage(links, "links").unionByName(joined_))
+    last = _joined_within(stage(meetings, "meetings"), sets, ["area", "i", "j"], threshold)
+    return components(links.unionByName(more).unionByName(stage(last, "links")))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
