@@ -64,12 +64,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def pieces(batches, column: str = "text", limit: int = PIECE) -> Iterator[pa.RecordBatch]:
+def pieces(batches, limit: int = PIECE, piece_column: int = 1) -> Iterator[pa.RecordBatch]:
     """The batches, cut between rows so that the texts of a piece have about ``limit`` bytes."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        sizes = pc.fill_null(pc.binary_length(batch.column(piece_column)), 0)
         group = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)) // limit
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
         for low, high in zip(cuts, cuts[1:], strict=False):

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.common import documents, stage
 
@@ -121,36 +122,33 @@ def common_lines(
     return lines.drop("batch").join(common, ["h1", "h2"], "left_semi")
 
 
-REBUILT_TYPE = "doc_id long, n_lines long, n_dropped long, kept string"
+def _without(text: bytes | None, drop: list[dict] | None) -> tuple[int, list[bytes]]:
+    """The number of lines, and those whose key is not dropped."""
+    lines = _lines(text)
+    if not drop:
+        return len(lines), lines
+    keys = {(x["h1"], x["h2"]) for x in drop}
+    return len(lines), [x for x in lines if _digest(line_key(x)) not in keys]
 
 
 def _rebuild(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_drop`` in the last column becomes n_lines, n_dropped and the text that is kept."""
     for part in parts:
-        ids, texts = part.column("doc_id"), part.column("text").cast(pa.binary())
+        *others, text, drop = part.columns
         n_lines, n_dropped, kept = [], [], []
-        for text, drop in zip(texts, part.column("drop"), strict=True):
-            lines, gone = _lines(text.as_py()), drop.as_py()
-            if gone:
-                keys = {(x["h1"], x["h2"]) for x in gone}
-                stay = [x for x in lines if _digest(line_key(x)) not in keys]
-            else:
-                stay = lines
-            n_lines.append(len(lines))
-            n_dropped.append(len(lines) - len(stay))
-            kept.append(b"\n".join(stay))
-        yield pa.RecordBatch.from_arrays(
-            [
-                ids,
-                pa.array(n_lines, pa.int64()),
-                pa.array(n_dropped, pa.int64()),
-                pa.array(kept, pa.binary()).cast(pa.string()),
-            ],
-            ["doc_id", "n_lines", "n_dropped", "kept"],
-        )
+        for t, d in zip(text.cast(pa.binary()), drop, strict=True):
+            n, stay = _without(t.as_py(), d.as_py())
+            n_lines.append(n)
+            n_dropped.append(n - len(stay))
+            kept.append(b"\n".join(stay) if n > len(stay) else t.as_py())
+        counts = [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
+        kept = pa.array(kept, pa.binary()).cast(text.type)
+        names = [*part.schema.names[:-2], "_n_lines", "_n_dropped", "_kept"]
+        yield pa.RecordBatch.from_arrays([*others, *counts, kept], names)
 
 
-def drop_common_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
-    """Each document without its common lines: doc_id, n_lines, n_dropped, kept (the text left).
+def _rebuilt(docs: DataFrame, min_docs: int) -> DataFrame:
+    """All columns but text, then _n_lines, _n_dropped, _kept (null for a null text).
 
     The table is read twice: for the hashes, and for the texts, which meet the few hashes to
     drop by doc_id.
@@ -158,12 +156,41 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     drops = (
         common_lines(docs, min_docs)
         .dropDuplicates(["doc_id", "h1", "h2"])
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("h1", "h2")).alias("drop"))
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.collect_list(F.struct("h1", "h2")).alias("_drop"))
     )
-    return (
-        documents(docs)
-        .join(stage(drops, "drops").hint("shuffle_hash"), "doc_id", "left")
-        .select("doc_id", "text", "drop")
-        .mapInArrow(_rebuild, REBUILT_TYPE)
+    drops = stage(drops, "drops").hint("shuffle_hash")
+    others = [f"`{c}`" for c in docs.columns if c != "text"]
+    joined = docs.join(drops, docs["doc_id"].cast("long") == drops["_id"], "left")
+    kinds = [f for f in docs.schema.fields if f.name != "text"]
+    kinds += [T.StructField("_n_lines", T.LongType()), T.StructField("_n_dropped", T.LongType())]
+    kinds += [T.StructField("_kept", T.StringType())]
+    return joined.select(*others, "text", "_drop").mapInArrow(_rebuild, T.StructType(kinds))
+
+
+def drop_common_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """Each document without its common lines: doc_id, n_lines, n_dropped, kept (the text left)."""
+    return _rebuilt(documents(docs), min_docs).select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_dropped").alias("n_dropped"),
+        F.coalesce("_kept", F.lit("")).alias("kept"),
     )
+
+
+def with_kept_text(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """The rows and columns of ``docs`` with the text that is left; a null text stays null.
+
+    ``n_chars``, where the table has it, follows the new text.
+    """
+    changed = {"text": F.col("_kept"), "n_chars": F.char_length("_kept")}
+    kinds = dict(docs.dtypes)
+    columns = [
+        F.when(F.col("_n_dropped") > 0, changed[c].cast(kinds[c]))
+        .otherwise(F.col("_kept") if c == "text" else F.col(f"`{c}`"))
+        .alias(c)
+        if c in changed
+        else F.col(f"`{c}`")
+        for c in docs.columns
+    ]
+    return _rebuilt(docs, min_docs).select(*columns)

@@ -7,11 +7,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import block_anchors, line_runs, signature_tree
-from tallyloom.llm.common import read
+from tallyloom.llm import (
+    block_anchors,
+    line_runs,
+    signature_tree,
+    string_tiling,
+    sum_of_squares,
+    toxicity_ssk,
+)
+from tallyloom.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: A document with a toxicity score of at least this is toxic.
+TOXIC = 0.7
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file, a parameter of the packing operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text; learned outside the fold of crc32 remainder 1 of 3."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity_ssk.fit_toxicity(docs, labels, folds=3, held=1)
+    return toxicity_ssk.score_toxicity(docs, model).select(
+        "doc_id",
+        F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4,096 tokens."""
+    return sum_of_squares.pack(read(spark, sf_dir, "documents"), tokenizer_path(), 4096)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold a test item, by the share of it that tiles cover."""
+    docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return string_tiling.contamination(docs, benchmark)
+
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in windows of 50 that a document with a smaller id has too are removed."""
@@ -32,7 +72,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_toxicity": op2_toxicity,
+        "op3_packing": op3_packing,
         "op4_substring_dedup": op4_substring_dedup,
+        "op5_decontamination": op5_decontamination,
         "op9_line_dedup": op9_line_dedup,
         "op10_ngram_join": op10_ngram_join,
     }

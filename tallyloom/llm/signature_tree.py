@@ -449,3 +449,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
         .unionByName(alone)
         .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     )
+
+
+def once(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """``kept`` in the columns of ``docs``, with one of the rows that repeat a doc_id.
+
+    Rows without doc_id all stay. Whether ids repeat at all is seen from the id column alone.
+    """
+    columns = [f"`{c}`" for c in docs.columns]
+    ids = docs.filter("doc_id is not null").groupBy("doc_id").count()
+    if ids.filter("count > 1").isEmpty():
+        return kept.select(*columns)
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    marked = kept.withColumn("_alone", alone)
+    return marked.dropDuplicates(["doc_id", "_alone"]).select(*columns)

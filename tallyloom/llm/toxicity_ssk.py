@@ -3,8 +3,8 @@
 *Kernel.* ``K(s, t)`` sums over all common subsequences of four characters (bytes), each
 weighted by ``decay`` to the length it spans in s plus the length it spans in t. Inserted
 characters only stretch a span, so "idxiot" stays close to "idiot". The kernel of a word and a
-landmark is divided by the landmark's own, and is taken as 0 if the word misses more than one
-character of the landmark (longest common subsequence).
+landmark is divided by the landmark's own and at most 1; it is taken as 0 below 0.6, or if the
+word misses more than one character of the landmark (longest common subsequence).
 
 *Landmarks* are word parts of 4 to 10 bytes, chosen greedily by how much more often words with
 them stand in positive than in negative training documents. The Nyström map multiplies the
@@ -40,12 +40,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyloom.llm import batches as B
-from tallyloom.llm.common import labelled_sample
+from tallyloom.llm.common import documents, labelled_sample
 
 _P = 4
+#: Smaller kernel values, as chance words have them, count as 0.
+_LEAST = 0.6
 _WIDTH = 32
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[10, 33, 46, 63]] = True  # line feed ! . ?
@@ -145,7 +146,7 @@ def common_length(chars: np.ndarray, landmark: bytes) -> np.ndarray:
 
 
 def kernel_values(chars: np.ndarray, landmarks: list[bytes], decay: float) -> np.ndarray:
-    """Kernel of each word with each landmark, divided by the landmark's own."""
+    """Kernel of each word with each landmark, divided by the landmark's own, 0 or ``_LEAST`` to 1."""
     out = np.zeros((len(chars), len(landmarks)))
     bit = np.uint64(1) << (np.arange(256, dtype=np.uint64) & np.uint64(63))
     mask = np.bitwise_or.reduce(np.where(chars > 0, bit[chars], np.uint64(0)), axis=1)
@@ -157,7 +158,8 @@ def kernel_values(chars: np.ndarray, landmarks: list[bytes], decay: float) -> np
         if len(near):
             own = subsequence_kernel(np.frombuffer(mark, np.uint8)[None], mark, decay)[0]
             out[near, k] = subsequence_kernel(chars[near], mark, decay) / own
-    return out
+    out[out < _LEAST] = 0
+    return np.minimum(out, 1)
 
 
 def suspicious(column: pa.Array, landmarks: list[bytes], decay: float):
@@ -203,7 +205,7 @@ def choose_landmarks(texts: list[str | None], toxic: np.ndarray, most: int) -> l
             parts[p].add(word)
             cover[p] += lift[word]
     chosen: list[bytes] = []
-    floor = 0.02 * max(cover.values(), default=0)
+    floor = 0.05 * max(cover.values(), default=0)
     while cover and len(chosen) < most:
         best = max(cover, key=lambda p: (round(cover[p], 9), len(p), p))
         if cover[best] <= floor:
@@ -323,17 +325,23 @@ def fit_toxicity(
     return fit(rows["text"].to_pylist(), rows["label"].to_numpy())
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, *more: str) -> DataFrame:
-    """doc_id, the columns ``more`` and the score (0 to 1) of every whole text."""
+def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """doc_id and the score (0 to 1) of every whole text."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in B.pieces(parts):
-            names = [n for n in piece.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [*(piece.column(n) for n in names), pa.array(model.scores(piece.column("text")))],
-                [*names, "score"],
-            )
-
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, "text")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.drop("text").schema)
-    return base.mapInArrow(run, f"{kinds}, score double")
+            score = pa.array(model.scores(piece.column(1)))
+            yield pa.RecordBatch.from_arrays([piece.column(0), score], ["doc_id", "score"])
+
+    return documents(docs).mapInArrow(run, "doc_id long, score double")
+
+
+def keep_clean(docs: DataFrame, model: ToxicityModel, limit: float) -> DataFrame:
+    """The rows of ``docs`` that score less than ``limit``, with all their columns."""
+    place = docs.columns.index("text")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in B.pieces(parts, piece_column=place):
+            yield piece.filter(pa.array(model.scores(piece.column(place)) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
