@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
+    bit_sliced,
     block_anchors,
     line_runs,
     signature_tree,
@@ -59,6 +60,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return bit_sliced.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in ten documents lose all their copies."""
     out = line_runs.drop_common_lines(read(spark, sf_dir, "documents"), min_docs=10)
@@ -76,6 +83,7 @@ def queries() -> dict[str, Query]:
         "op3_packing": op3_packing,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_decontamination": op5_decontamination,
+        "op6_topk_search": op6_topk_search,
         "op9_line_dedup": op9_line_dedup,
         "op10_ngram_join": op10_ngram_join,
     }
@@ -121,6 +129,21 @@ SELECT words.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)"""
 
+_OP6 = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(embedding) = len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)])),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+  WHERE a.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM pairs)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
 _OP10 = f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), {_WORDS}) AS w
@@ -146,4 +169,9 @@ JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r USI
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": _OP4, "op9_line_dedup": _OP9, "op10_ngram_join": _OP10}
+    return {
+        "op4_substring_dedup": _OP4,
+        "op6_topk_search": _OP6,
+        "op9_line_dedup": _OP9,
+        "op10_ngram_join": _OP10,
+    }
