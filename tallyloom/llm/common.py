@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import stage
@@ -36,27 +36,25 @@ def parts_for(size: int, each: int, least: int) -> int:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, sample: int, size: int
+    docs: DataFrame, known: DataFrame, folds: int, held: int, sample: int, size: int
 ) -> pa.Table:
-    """At most ``sample`` documents of either class, of at most ``size`` bytes: text and label.
+    """At most ``sample`` documents of each label, of at most ``size`` bytes: text and label.
 
-    Documents of the held-out fold, and rows without id or label, take no part. Rows of one
-    document count once, with the largest label. Documents are chosen by a hash of their id, so
-    the choice is the same on every run. First ids alone are chosen, then their texts are read.
+    ``known`` has doc_id and label. Documents of the held-out fold, and rows without id or
+    label, take no part. Rows of one document count once, with the largest label. Documents are
+    chosen by a hash of their id, so the choice is the same on every run. First ids alone are
+    chosen, which the window limits before it shuffles; then their texts are read.
     """
     known = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .filter(f"doc_id is not null and label is not null and {_FOLD.format(folds)} != {held}")
+        known.select(F.col("doc_id").cast("long").alias("doc_id"), "label")
+        .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & (remainder(folds) != held))
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
     short = documents(docs).filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= size)
     known = known.join(short.select("doc_id"), "doc_id", "left_semi")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    kinds = [known.filter(F.col("label") == k).orderBy(*order).limit(sample) for k in (0, 1)]
-    chosen = stage(kinds[0].unionByName(kinds[1]), "sample")  # 2 * sample rows at most
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), F.col("doc_id"))
+    chosen = known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample)
+    chosen = stage(chosen.drop("_n"), "sample")  # ``sample`` rows a label at most
     rows = short.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     return rows.orderBy("doc_id").select("text", "label").toArrow()
-
-
-_FOLD = "crc32(cast(cast(doc_id as string) as binary)) % {}"

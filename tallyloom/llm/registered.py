@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tallyloom.llm import (
     bit_sliced,
     block_anchors,
+    diagonal_voting,
     line_runs,
+    neighbour_voting,
     signature_tree,
     string_tiling,
     sum_of_squares,
@@ -66,6 +68,23 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_sliced.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and statements in every text."""
+    return diagonal_voting.scan(read(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text; learned outside the fold of crc32 remainder 0 of 5."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = neighbour_voting.fit_quality(docs, labels, folds=5, held=0)
+    return neighbour_voting.score_quality(docs, model).select(
+        "doc_id",
+        F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in ten documents lose all their copies."""
     out = line_runs.drop_common_lines(read(spark, sf_dir, "documents"), min_docs=10)
@@ -84,6 +103,8 @@ def queries() -> dict[str, Query]:
         "op4_substring_dedup": op4_substring_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_topk_search": op6_topk_search,
+        "op7_license_scan": op7_license_scan,
+        "op8_quality": op8_quality,
         "op9_line_dedup": op9_line_dedup,
         "op10_ngram_join": op10_ngram_join,
     }

@@ -321,7 +321,8 @@ def fit_toxicity(
     sample_bytes: int = 32768,
 ) -> ToxicityModel:
     """Fit on a bounded sample of the labelled documents outside the held-out fold."""
-    rows = labelled_sample(docs, labels, "toxic", folds, held, sample, sample_bytes)
+    known = labels.select("doc_id", labels["toxic"].cast("int").alias("label"))
+    rows = labelled_sample(docs, known, folds, held, sample, sample_bytes)
     return fit(rows["text"].to_pylist(), rows["label"].to_numpy())
 
 
