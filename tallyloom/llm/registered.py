@@ -11,6 +11,7 @@ from tallyloom.llm import (
     bit_sliced,
     block_anchors,
     diagonal_voting,
+    language_crf,
     line_runs,
     neighbour_voting,
     signature_tree,
@@ -33,6 +34,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text; learned outside the fold of crc32 remainder 1 of 3."""
+    docs = read(spark, sf_dir, "documents")
+    model = language_crf.fit_languages(docs, folds=3, held=1)
+    return language_crf.label_languages(docs, model).select(
+        "doc_id",
+        F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every text; learned outside the fold of crc32 remainder 1 of 3."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -98,6 +111,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_toxicity": op2_toxicity,
         "op3_packing": op3_packing,
         "op4_substring_dedup": op4_substring_dedup,
