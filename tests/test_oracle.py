@@ -1,5 +1,7 @@
 """A sample of the registered queries against plain SQL; check_oracle.py runs them all."""
 
+import re
+
 import pytest
 from conftest import SF
 
@@ -8,7 +10,9 @@ from check_oracle import compare
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    """Those of the corpus package, where it is present, have other tests."""
+    mine = {q for q in queries() if not re.match(r"op\d+_|pipeline$", q)}
+    assert mine <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry_has_rows(spark):
