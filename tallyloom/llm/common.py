@@ -43,7 +43,8 @@ def labelled_sample(
     ``known`` has doc_id and label. Documents of the held-out fold, and rows without id or
     label, take no part. Rows of one document count once, with the largest label. Documents are
     chosen by a hash of their id, so the choice is the same on every run. First ids alone are
-    chosen, which the window limits before it shuffles; then their texts are read.
+    chosen: a share of the hashes that leaves about twice the sample of each label, and the
+    smallest of these; so the window sees a bounded number of rows. Then their texts are read.
     """
     known = (
         known.select(F.col("doc_id").cast("long").alias("doc_id"), "label")
@@ -53,8 +54,12 @@ def labelled_sample(
     )
     short = documents(docs).filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= size)
     known = known.join(short.select("doc_id"), "doc_id", "left_semi")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), F.col("doc_id"))
-    chosen = known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample)
-    chosen = stage(chosen.drop("_n"), "sample")  # ``sample`` rows a label at most
+    known = stage(known.withColumn("_h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))), "labelled")
+    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("_all"))  # one row a label
+    share = F.lit(2.0 * sample * (1 << 40)) / F.col("_all")
+    some = known.join(F.broadcast(sizes), "label").filter(F.col("_h") < share)
+    order = Window.partitionBy("label").orderBy("_h", "doc_id")
+    chosen = some.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample)
+    chosen = stage(chosen.select("doc_id", "label"), "sample")  # ``sample`` rows a label at most
     rows = short.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     return rows.orderBy("doc_id").select("text", "label").toArrow()

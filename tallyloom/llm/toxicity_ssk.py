@@ -188,35 +188,38 @@ def _parts(word: bytes) -> set[bytes]:
 
 def choose_landmarks(texts: list[str | None], toxic: np.ndarray, most: int) -> list[bytes]:
     """Word parts whose words stand more often in positive documents, by greedy cover."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
+    least = (2 if n1 > 3 else 1) / n1
+    lift: dict[bytes, float] = {}
+    positive: Counter = Counter()
     for text, label in zip(texts, toxic, strict=True):
         s = sentences(pa.array([text], pa.string()))
-        seen[int(label)].update({row.tobytes().rstrip(b"\0") for row in s.chars})
-    n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
-    words = [w for w in set(seen[0]) | set(seen[1]) if len(w) >= _P]
-    # A word must be three times as common in positive documents before it speaks for a part.
-    lift = {w: seen[1][w] / n1 - 3 * seen[0][w] / n0 for w in words}
-    least = 2 if n1 > 3 else 1
-    strong = sorted((w for w in words if seen[1][w] >= least), key=lambda w: (-lift[w], w))
-    parts: dict[bytes, set[bytes]] = {p: set() for w in strong[:4000] for p in _parts(w)}
-    cover = dict.fromkeys(parts, 0.0)
-    for word in words:
-        for p in _parts(word) & parts.keys():
-            parts[p].add(word)
-            cover[p] += lift[word]
+        words = {w for row in s.chars if len(w := row.tobytes().rstrip(b"\0")) >= _P}
+        if label:
+            positive.update(words)
+        # A word must be three times as common in positive documents to speak for a part.
+        change = 1 / n1 if label else -3 / n0
+        for word in words:
+            lift[word] = lift.get(word, 0.0) + change
+    strong = sorted((w for w in positive if positive[w] / n1 >= least), key=lambda w: (-lift[w], w))
+    cover = {p: 0.0 for w in strong[:2000] for p in _parts(w)}
+    del positive, strong
+    for word, change in lift.items():
+        for p in _parts(word) & cover.keys():
+            cover[p] += change
     chosen: list[bytes] = []
     floor = 0.05 * max(cover.values(), default=0)
+    cover = {p: c for p, c in cover.items() if c > floor}
     while cover and len(chosen) < most:
         best = max(cover, key=lambda p: (round(cover[p], 9), len(p), p))
         if cover[best] <= floor:
             break
         chosen.append(best)
-        for word in list(parts[best]):
+        for word in [w for w in lift if best in w]:
+            change = lift.pop(word)
             for p in _parts(word) & cover.keys():
-                parts[p].discard(word)
-                cover[p] -= lift[word]
-                if not parts[p]:
-                    del cover[p]
+                cover[p] -= change
+        cover.pop(best, None)
     return chosen
 
 
@@ -317,7 +320,7 @@ def fit(texts: list[str | None], toxic: np.ndarray, most: int = 48, decay: float
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, sample: int = 1500,
+    docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, sample: int = 1000,
     sample_bytes: int = 32768,
 ) -> ToxicityModel:
     """Fit on a bounded sample of the labelled documents outside the held-out fold."""
