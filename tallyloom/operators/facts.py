@@ -18,7 +18,7 @@ def build_fact_sales(
     dim_product: DataFrame,
     keys: str = "row_index",
     first_order_key: int = 1,
-    order_keys: str = "source",
+    order_keys: str = "any",
 ) -> DataFrame:
     """One row per enriched order, with its dimension keys and profit margin.
 
@@ -26,10 +26,10 @@ def build_fact_sales(
     is broadcast, a larger one is sort-merge joined, where AQE splits the partition of
     a hot customer or product. A missing member gets key 0; a zero amount margin 0.
 
-    With ``row_index`` keys the fact has a dense ``order_key``. By default it follows
-    the source order, which costs a range shuffle of the fact; ``order_keys="any"``
-    numbers the rows as they are partitioned and saves that shuffle (no analysis looks
-    at the order of the keys). With ``business`` keys there is no order_key.
+    With ``row_index`` keys the fact has a dense ``order_key``. By default rows are numbered
+    as they are partitioned (no analysis looks at the order of the keys);
+    ``order_keys="source"`` follows the source order, at the price of a range shuffle of
+    the fact. With ``business`` keys there is no order_key.
     """
     if order_keys not in ("source", "any"):
         raise ValueError("order_keys must be 'source' or 'any'")

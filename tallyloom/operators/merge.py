@@ -6,19 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def new_rows(batch: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
+def new_rows(
+    batch: DataFrame, loaded: DataFrame, key: str, small_batch: bool = False
+) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``loaded``; NULL keys are equal.
 
-    The loaded side may be thousands of times larger than the batch. It is first cut
-    down to the keys of the batch by a semi join - for a small batch a broadcast hash
-    join on a scan of the key column, without a shuffle of the loaded table - so that
-    the anti join meets at most as many keys as the batch has. Rows of one key stay or
-    go together, so this may be done before the batch is de-duplicated.
+    One anti join on the plain key, so that a later de-duplication or join by it finds
+    the batch partitioned already, and the loaded keys are shuffled once. Whether NULL is
+    loaded is one look-up that the scan's statistics answer. A batch known to be small is
+    best not met by all loaded keys: ``small_batch`` first cuts them down to those of the
+    batch by a broadcast semi join on a scan of the key column. Rows of one key stay or go
+    together, so this may be done before the batch is de-duplicated.
     """
-    keys = batch.select(F.col(key).alias("_wanted"))
     held = loaded.select(F.col(key).alias("_held"))
-    held = held.join(keys, F.col("_held").eqNullSafe(F.col("_wanted")), "left_semi").distinct()
-    return batch.join(held, F.col(key).eqNullSafe(F.col("_held")), "left_anti")
+    if not held.filter(F.col("_held").isNull()).isEmpty():
+        batch = batch.filter(F.col(key).isNotNull())
+    if small_batch:
+        keys = F.broadcast(batch.select(F.col(key).alias("_wanted")))
+        held = held.join(keys, F.col("_held") == F.col("_wanted"), "left_semi")
+    return batch.join(held, F.col(key) == F.col("_held"), "left_anti")
 
 
 def upsert(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:

@@ -26,6 +26,10 @@ class Star:
     dim_product: DataFrame
     fact_sales: DataFrame
 
+    # Of a star that was read from a warehouse, or built on such tables: not fields.
+    version = None
+    top_order_key = None
+
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 

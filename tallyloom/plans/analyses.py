@@ -11,9 +11,8 @@ BIGINT or DOUBLE. Two habits keep them cheap on a large fact table:
   incremental anti-join see to that), so no distinct aggregation is needed.
 
 Totals over a finished report of a few rows (months, weekdays, categories) are taken by
-a window over these rows, so that the fact is read once. Only the calendar, whose length
-is limited, and single-row totals are broadcast by hint. Dimension joins are left to the
-planner and to AQE.
+a window over these rows, so that the fact is read once. Only single-row totals are
+broadcast by hint. Joins with dimensions and the calendar are left to the planner and AQE.
 """
 
 from __future__ import annotations
@@ -85,7 +84,7 @@ def _returned() -> Column:
 
 
 def _calendar(star: Star, *columns: str) -> DataFrame:
-    return F.broadcast(star.dim_date.select("date_key", *columns))
+    return star.dim_date.select("date_key", *columns)
 
 
 def _report_total(column: str) -> Column:
@@ -324,12 +323,10 @@ def cohort_retention(star: Star, params: MartParams | None = None) -> DataFrame:
         .agg(F.min("date_key").alias("first_in_month"))
     )
     first = F.min("first_in_month").over(W.partitionBy("customer_key"))
-    start = F.broadcast(
-        star.dim_date.select(
-            F.col("date_key").alias("first_key"),
-            F.col("year").alias("first_year"),
-            F.col("month").alias("first_month"),
-        )
+    start = star.dim_date.select(
+        F.col("date_key").alias("first_key"),
+        F.col("year").alias("first_year"),
+        F.col("month").alias("first_month"),
     )
     offset = (F.col("year") - F.col("first_year")) * 12 + F.col("month") - F.col("first_month")
     return (
@@ -564,7 +561,7 @@ def daily_sales(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     Grouping by day and customer first splits a hot day over many tasks and makes the
     number of customers a row count.
     """
-    calendar = F.broadcast(dim_date.select("date_key", "full_date"))
+    calendar = dim_date.select("date_key", "full_date")
     return (
         _pre_aggregate(fact_sales, "date_key", "customer_key")
         .groupBy("date_key")

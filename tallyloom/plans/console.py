@@ -6,7 +6,6 @@ import re
 import threading
 import uuid
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +19,11 @@ from tallyloom.sinks.warehouse import Warehouse
 QUERY_TIMEOUT_SECONDS = 5.0
 _POLL_SECONDS = 0.2
 
-# Functions that call arbitrary JVM code.
-_JVM_CALLS = re.compile(r"\b(try_reflect|reflect|java_method)`?\s*\(", re.IGNORECASE)
+# Expressions that call arbitrary JVM code.
+_JVM_CALLS = {"CallMethodViaReflection", "TryReflect"}
 _RECURSIVE = re.compile(r"\bWITH\s+RECURSIVE\b", re.IGNORECASE)
 _STARTS = re.compile(r"\(*\s*(SELECT|WITH)\b", re.IGNORECASE)
+_GROUP = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
 
 
 class QueryRefusedError(ValueError):
@@ -38,42 +38,61 @@ def tidy(sql: str) -> str:
     return sql.strip().rstrip(";").strip()
 
 
-@contextmanager
-def _no_file_tables(spark: SparkSession):
-    """Keep SQL text from reading files by path; the session is put back afterwards."""
-    setting = "spark.sql.runSQLOnFiles"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for SQL text: its views and settings are nobody else's.
 
-def validate_readonly_sql(spark: SparkSession, sql: str) -> str | None:
+    SQL cannot read files by path in it.
+    """
+    session = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        session.conf.set(name, spark.conf.get(name))
+    session.conf.set("spark.sql.runSQLOnFiles", "false")
+    return session
+
+
+def _each(sequence):
+    """Elements of a Scala sequence."""
+    return [sequence.apply(k) for k in range(sequence.size())]
+
+
+def _names_in(plan) -> set[str]:
+    """Class names of all expressions of a logical plan, those of subqueries too."""
+    names: set[str] = set()
+    stack = [(plan, True)]
+    while stack:
+        node, is_plan = stack.pop()
+        stack += [(child, is_plan) for child in _each(node.children())]
+        if is_plan:
+            stack += [(x, False) for x in _each(node.expressions())]
+            continue
+        name = node.getClass().getSimpleName()
+        names.add(name)
+        if name.endswith("Subquery") or name == "Exists":
+            stack.append((node.plan(), True))
+    return names
+
+
+def validate_readonly_sql(session: SparkSession, sql: str) -> str | None:
     """Why a text may not run, or None; an empty text is no error.
 
     The text is analysed, not run, as a subquery. Spark's own grammar allows nothing
     but a query there: DDL, INSERT, SET, a second statement and unbalanced brackets
-    are syntax errors. No list of words is needed, so ``replace()`` may be used.
+    are syntax errors. No list of words is needed, so ``replace()`` may be used. Calls
+    of JVM methods are found among the analysed expressions, however they are written.
     """
     text = tidy(sql)
     if not text:
         return None
     if not _STARTS.match(text):
-        return "Only SELECT queries are allowed."
+        return "A query must begin with SELECT or WITH."
     if _RECURSIVE.search(text):
-        return "Recursive queries are not allowed here."
-    if _JVM_CALLS.search(text):
-        return "Only read-only SELECT queries are allowed."
+        return "WITH RECURSIVE has no bound and is refused."
     try:
-        with _no_file_tables(spark):
-            plan = spark.sql(f"SELECT * FROM (\n{text}\n) AS _q")
+        plan = session.sql(f"SELECT * FROM (\n{text}\n) AS _q")
     except PySparkException as exc:
-        return f"Only a single valid SELECT is allowed: {str(exc).splitlines()[0]}"
-    # Also finds such a function when its name is put together by IDENTIFIER().
-    if _JVM_CALLS.search(plan._jdf.queryExecution().analyzed().toString()):
-        return "Only read-only SELECT queries are allowed."
+        return f"This is not one valid query: {str(exc).splitlines()[0]}"
+    if _names_in(plan._jdf.queryExecution().analyzed()) & _JVM_CALLS:
+        return "Calling JVM methods is refused."
     return None
 
 
@@ -95,6 +114,7 @@ def run_with_deadline(spark: SparkSession, seconds: float, action: Callable):
             context.cancelJobGroup(group)
 
     watcher = threading.Thread(target=watch, daemon=True)
+    before = [context.getLocalProperty(name) for name in _GROUP]
     context.setJobGroup(group, "query with a deadline", interruptOnCancel=True)
     watcher.start()
     try:
@@ -106,8 +126,8 @@ def run_with_deadline(spark: SparkSession, seconds: float, action: Callable):
     finally:
         done.set()
         watcher.join()
-        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
-            context.setLocalProperty(name, None)
+        for name, value in zip(_GROUP, before, strict=True):
+            context.setLocalProperty(name, value)
 
 
 class Console:
@@ -117,6 +137,8 @@ class Console:
         self.warehouse = warehouse
         self.spark = warehouse.spark
         self.params = params or MartParams()
+        self.session = own_session(self.spark)
+        self._tables = Warehouse(self.session, warehouse.root)
 
     def available_queries(self) -> list[str]:
         return available_queries()
@@ -129,12 +151,12 @@ class Console:
         return analyses.kpi_snapshot(self.warehouse.star(), self.params).first().asDict()
 
     def open(self) -> list[str]:
-        """Register the tables as views, and ``julianday`` for queries that use it."""
-        self.spark.sql(
+        """Register the tables as views, and ``julianday``, in the console's own session."""
+        self.session.sql(
             "CREATE OR REPLACE TEMPORARY FUNCTION julianday(day DATE) RETURNS DOUBLE "
             "RETURN unix_date(day) + 2440587.5D"
         )
-        return self.warehouse.register_views()
+        return self._tables.register_views()
 
     def execute_raw(self, sql: str, timeout: float | None = None) -> DataFrame:
         """The result of one read-only SELECT, computed within the time limit.
@@ -143,15 +165,14 @@ class Console:
         row order, and returned as a DataFrame: none of it passes the driver.
         """
         self.open()
-        error = validate_readonly_sql(self.spark, sql)
+        error = validate_readonly_sql(self.session, sql)
         if error:
             raise QueryRefusedError(error)
         text = tidy(sql)
         if not text:
-            return self.spark.createDataFrame([], "empty string")
+            return self.session.createDataFrame([], "empty string")
         ensure_checkpoint_dir(self.spark)
         seconds = QUERY_TIMEOUT_SECONDS if timeout is None else timeout
-        with _no_file_tables(self.spark):
-            return run_with_deadline(
-                self.spark, seconds, lambda: self.spark.sql(text).checkpoint(eager=True)
-            )
+        return run_with_deadline(
+            self.session, seconds, lambda: self.session.sql(text).checkpoint(eager=True)
+        )

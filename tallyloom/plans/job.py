@@ -47,28 +47,51 @@ class JobResult:
     new_facts: int | None = None
 
 
-def unseen_orders(sources: Mapping[str, DataFrame], known: Star) -> dict[str, DataFrame]:
+def of_orders(events: DataFrame, orders: DataFrame, key: str | None = None) -> DataFrame:
+    """The events of some orders; with ``key`` all copies of an event one of which is of them.
+
+    A first copy decides for all copies of a return, so these must stay together.
+    """
+    mine = events.join(orders, "order_id", "left_semi")
+    if key is None:
+        return mine
+    return events.join(mine.select(key).distinct(), key, "left_semi")
+
+
+def unseen_orders(
+    sources: Mapping[str, DataFrame], known: Star, small_batch: bool = False
+) -> dict[str, DataFrame]:
     """The sources without the orders that the fact already holds.
 
-    Done on the raw orders, so that known ones are not de-duplicated, enriched and
-    joined only to be dropped in the end.
+    Done on the raw orders, so that known ones are not de-duplicated, enriched and joined
+    only to be dropped in the end. The new orders are staged, laid out by order_id; returns
+    and shipping events are cut down to theirs before anything of them is shuffled, which
+    is a broadcast join as long as the new ids are below the broadcast limit.
     """
     orders = normalise(sources["orders"])
-    return {**sources, "orders": merge.new_rows(orders, known.fact_sales, "order_id")}
+    fresh = merge.new_rows(orders, known.fact_sales, "order_id", small_batch)
+    fresh = stage(fresh, "new-orders")
+    ids = stage(fresh.select("order_id").filter("order_id is not null").distinct(), "new-ids")
+    return {
+        **sources,
+        "orders": fresh,
+        "returns": of_orders(normalise(sources["returns"]), ids, "return_id"),
+        "shipping": of_orders(normalise(sources["shipping"]), ids),
+    }
 
 
 def build_star(
     ready: Mapping[str, DataFrame],
     params: MartParams,
     known: Star | None = None,
-    order_keys: str = "source",
+    order_keys: str = "any",
 ) -> Star:
     """Star tables with surrogate keys from cleaned and enriched sources.
 
-    Dimensions are staged, so that the fact join is planned with their real size.
     With ``known``, the tables already loaded, members keep their keys, lookups see
     loaded and new members, and order keys continue after the largest one; the orders
-    are then expected to be new (:func:`unseen_orders`).
+    are then expected to be new (:func:`unseen_orders`). Dimensions are then staged, as
+    finding their keys joins them with the loaded ones.
     """
     spark = ready["orders"].sparkSession
 
@@ -77,13 +100,16 @@ def build_star(
             return batch
         return stage(merge.upsert(getattr(known, name), batch, key), name)
 
-    dim_customer = stage(
+    def settled(df: DataFrame, name: str) -> DataFrame:
+        return df if known is None else stage(df, name)
+
+    dim_customer = settled(
         build_dim_customer(ready["customers"], known and known.dim_customer), "dim_customer"
     )
-    dim_supplier = stage(
+    dim_supplier = settled(
         build_dim_supplier(ready["suppliers"], known and known.dim_supplier), "dim_supplier"
     )
-    dim_product = stage(
+    dim_product = settled(
         build_dim_product(
             ready["products"],
             merged("dim_supplier", "supplier_id", dim_supplier),
@@ -91,10 +117,7 @@ def build_star(
         ),
         "dim_product",
     )
-    first_key = 1
-    if known is not None:
-        top = known.fact_sales.agg(F.coalesce(F.max("order_key"), F.lit(0))).first()[0]
-        first_key = top + 1
+    first_key = 1 if known is None else top_order_key(known) + 1
     fact_sales = build_fact_sales(
         ready["orders"],
         merged("dim_customer", "customer_id", dim_customer),
@@ -102,13 +125,22 @@ def build_star(
         first_order_key=first_key,
         order_keys=order_keys,
     )
-    return Star(
+    star = Star(
         dim_date=build_dim_date(spark, params.date_start, params.date_end),
         dim_customer=dim_customer,
         dim_supplier=dim_supplier,
         dim_product=dim_product,
         fact_sales=fact_sales,
     )
+    star.version = known and known.version
+    return star
+
+
+def top_order_key(star: Star) -> int:
+    """The largest order key; a star read from a warehouse has it from the manifest."""
+    if star.top_order_key is not None:
+        return star.top_order_key
+    return star.fact_sales.agg(F.coalesce(F.max("order_key"), F.lit(0))).first()[0]
 
 
 class WarehouseJob:
@@ -124,7 +156,7 @@ class WarehouseJob:
         params: MartParams | None = None,
         declared_rules: bool = False,
         bad_dates: str = "raise",
-        order_keys: str = "source",
+        order_keys: str = "any",
     ):
         if (data_dir is None) == (sources is None):
             raise ValueError("give either data_dir or sources")
@@ -221,10 +253,14 @@ class WarehouseJob:
             known = None
             if self.mode == "incremental" and self.warehouse.last_load("fact_sales"):
                 known = self.warehouse.star()
+                # Counted before the returns are cut down to those of new orders.
+                kept = clean_all(sources, self.bad_dates)["returns"].count()
                 sources = unseen_orders(sources, known)
             clean = clean_all(sources, self.bad_dates)
             ready = enrich_all(clean)
-            result.row_counts["clean_returns"] = clean["returns"].count()
+            if known is None:
+                kept = clean["returns"].count()
+            result.row_counts["clean_returns"] = kept
             result.row_counts["clean_shipping"] = result.row_counts["raw_shipping"]
 
         with self._phase("build_dimensions", result):
@@ -235,6 +271,7 @@ class WarehouseJob:
                 result.new_facts = self.warehouse.load_incremental(
                     star, issues, facts_checked=True
                 )
+                self.warehouse.compact()
                 rows = {r["table_name"]: r["records_processed"]
                         for r in self.warehouse.table("load_metadata").collect()}
             else:

@@ -1,10 +1,18 @@
-"""The warehouse: Parquet tables behind one published manifest.
+"""The warehouse: Parquet tables behind numbered manifests.
 
 A table is a list of immutable batch folders. A load writes new batch folders and then
-replaces one small file, ``CURRENT``, which names the batches that count. Readers see
-either the old or the new state of *all* tables, two loads at once both leave a
-complete state, and a load that dies leaves nothing but unreferenced folders. An
-incremental load adds a batch to the fact table and does not rewrite what is there.
+publishes the next manifest, one small file that names the batches that count. Readers
+follow the highest number, so they see either the old or the new state of *all* tables,
+and a load that dies leaves nothing but unreferenced folders.
+
+Publishing is compare-and-set: a number is claimed by creating a file that must not exist
+yet. An increment that finds its number taken is made again on the state published
+meanwhile: its orders, keys and aggregates are checked against that one, so two loads at
+once lose nothing. The storage must refuse to create a file that exists (HDFS, local and
+network file systems, object stores with conditional writes).
+
+An incremental load adds a batch to the fact table and does not rewrite what is there;
+:meth:`Warehouse.compact` merges small batches.
 """
 
 from __future__ import annotations
@@ -12,6 +20,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +29,18 @@ from pyspark.sql import types as T
 
 from tallyloom import schemas
 from tallyloom.operators import merge
+from tallyloom.operators.dimensions import assign_keys
 from tallyloom.operators.global_order import row_index
+from tallyloom.operators.ordinals import ORDINAL
 from tallyloom.operators.star import Star
 from tallyloom.plans.analyses import daily_sales
+from tallyloom.session import stage
 from tallyloom.sinks import files
 
 MONTH = "sale_month"
 _BATCH = "batch"
+_STALE_SECONDS = 600
+_ATTEMPTS = 20
 _DIMENSIONS = ["dim_date", "dim_supplier", "dim_customer", "dim_product"]
 _SCHEMAS: dict[str, T.StructType] = {
     **schemas.STAR,
@@ -40,6 +54,21 @@ class NotLoadedError(LookupError):
     """The warehouse has no such table yet."""
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Other loads were published first, again and again."""
+
+
+@dataclass(frozen=True)
+class State:
+    """What one manifest says."""
+
+    number: int = 0
+    version: str | None = None
+    tables: dict[str, list[str]] = field(default_factory=dict)
+    fact_rows: dict[str, int] = field(default_factory=dict)  # rows of each fact batch
+    top_order_key: int = 0
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -48,20 +77,53 @@ class Warehouse:
 
     # -- published state ---------------------------------------------------------
 
-    def _manifest(self) -> dict:
-        text = files.read_text(self.spark, f"{self.root}/CURRENT")
-        return json.loads(text) if text else {"version": None, "tables": {}}
+    def _number(self, number: int, kind: str) -> str:
+        return f"{self.root}/manifests/{number:012d}.{kind}"
 
-    def _publish(self, tables: dict[str, list[str]]) -> None:
-        state = {"version": uuid.uuid4().hex, "tables": tables}
-        files.replace_text(self.spark, f"{self.root}/CURRENT", json.dumps(state))
+    def _state(self) -> State:
+        names = [n for n, _ in files.children(self.spark, f"{self.root}/manifests")]
+        numbers = [int(n.split(".")[0]) for n in names if n.endswith(".json")]
+        if not numbers:
+            return State()
+        text = files.read_text(self.spark, self._number(max(numbers), "json"))
+        return State(number=max(numbers), **json.loads(text))
+
+    def _publish(self, base: State, tables: dict, fact_rows: dict, top: int) -> bool:
+        """Publish the successor of ``base``; False if another load did so first.
+
+        A claim without a manifest belongs to a load that is just writing it; it is
+        waited for, and passed over once it is so old that its owner must have died.
+        """
+        number = base.number + 1
+        while True:
+            started = time.monotonic()
+            if files.claim(self.spark, self._number(number, "claim")):
+                break
+            if self._state().number > base.number:
+                return False
+            claims = dict(files.children(self.spark, f"{self.root}/manifests"))
+            claimed = claims.get(f"{number:012d}.claim", time.time() * 1000)
+            if time.time() * 1000 - claimed > _STALE_SECONDS * 1000:
+                number += 1
+            else:
+                time.sleep(0.1)
+        if self._state().number > base.number or time.monotonic() - started > _STALE_SECONDS / 2:
+            return False
+        state = {
+            "version": uuid.uuid4().hex,
+            "tables": tables,
+            "fact_rows": {b: fact_rows[b] for b in tables.get("fact_sales", [])},
+            "top_order_key": top,
+        }
+        files.replace_text(self.spark, self._number(number, "json"), json.dumps(state))
+        return True
 
     def version(self) -> str | None:
         """Id of the published state; None before the first load."""
-        return self._manifest()["version"]
+        return self._state().version
 
     def has(self, name: str) -> bool:
-        return bool(self._manifest()["tables"].get(name))
+        return bool(self._state().tables.get(name))
 
     def _folder(self, name: str, batch: str) -> str:
         return f"{self.root}/tables/{name}/{_BATCH}={batch}"
@@ -96,22 +158,24 @@ class Warehouse:
         """A table as last published."""
         if name not in _SCHEMAS:
             raise NotLoadedError(f"no such table: {name}")
-        batches = self._manifest()["tables"].get(name)
+        batches = self._state().tables.get(name)
         if batches is None:
             raise NotLoadedError(f"table not loaded yet: {name}")
         return self._read(name, batches)
 
     def star(self) -> Star:
         """The star tables of one and the same published state."""
-        tables = self._manifest()["tables"]
-        missing = [n for n in schemas.STAR if n not in tables]
+        state = self._state()
+        missing = [n for n in schemas.STAR if n not in state.tables]
         if missing:
             raise NotLoadedError(f"tables not loaded yet: {missing}")
-        return Star(**{n: self._read(n, tables[n]) for n in schemas.STAR})
+        star = Star(**{n: self._read(n, state.tables[n]) for n in schemas.STAR})
+        star.version, star.top_order_key = state.version, state.top_order_key
+        return star
 
     def register_views(self) -> list[str]:
         """Temporary views of all loaded tables, under their own names."""
-        tables = self._manifest()["tables"]
+        tables = self._state().tables
         for name, batches in tables.items():
             self._read(name, batches).createOrReplaceTempView(name)
         return sorted(tables)
@@ -150,11 +214,18 @@ class Warehouse:
     def load_full(self, star: Star, issues: DataFrame | None = None) -> dict[str, int]:
         """Replace all star tables; returns the rows written per table.
 
-        Without ``issues`` the stored quality issues stay as they are.
+        Without ``issues`` the stored quality issues stay as they are. Of full loads at
+        once the last one published counts, as a whole.
         """
-        before = self._manifest()["tables"]
-        tables = dict(before)
-        counts = {}
+        written = self._write_all(star, issues)
+        for _ in range(_ATTEMPTS):
+            if self._publish_all(self._state(), *written):
+                return written[1]
+        raise ConcurrentLoadError("full load")
+
+    def _write_all(self, star: Star, issues: DataFrame | None):
+        """Batches and row counts of a full load."""
+        tables, counts = {}, {}
         for name in [*_DIMENSIONS, "fact_sales"]:
             batch, counts[name] = self._write(name, getattr(star, name))
             tables[name] = [batch]
@@ -165,12 +236,15 @@ class Warehouse:
         tables["agg_daily_sales"] = [self._write("agg_daily_sales", daily)[0]]
         if issues is not None:
             tables["data_quality_issues"] = [self._write("data_quality_issues", issues)[0]]
-        tables.setdefault("data_quality_issues", [])
+        return tables, counts
+
+    def _publish_all(self, base: State, new: dict, counts: dict) -> bool:
+        tables = {"data_quality_issues": [], **base.tables, **new}
         tables["load_metadata"] = [
-            self._metadata_batch(before.get("load_metadata", []), counts, "full")
+            self._metadata_batch(base.tables.get("load_metadata", []), counts, "full")
         ]
-        self._publish(tables)
-        return counts
+        rows = counts["fact_sales"]
+        return self._publish(base, tables, {new["fact_sales"][0]: rows}, rows)
 
     def load_incremental(
         self, star: Star, issues: DataFrame | None = None, facts_checked: bool = False
@@ -178,14 +252,50 @@ class Warehouse:
         """Upsert the dimensions and append the facts whose order_id is new.
 
         Returns the number of new facts; falls back to a full load, and returns None,
-        if nothing was loaded before. New facts are numbered after the largest
-        order_key. ``facts_checked`` says that the fact holds new orders with new
-        order keys only, as built by :func:`tallyloom.plans.job.build_star`.
+        if nothing was loaded before. ``facts_checked`` says that the fact holds new
+        orders with new order keys only, as built by
+        :func:`tallyloom.plans.job.build_star` on the tables of one published state. If
+        that state is not the present one, or the star was built without the loaded
+        tables, its members get the keys they have here, its orders are checked, and new
+        facts are numbered after the largest order_key.
         """
-        if self.last_load("fact_sales") is None:
-            self.load_full(star, issues)
-            return None
-        tables = dict(self._manifest()["tables"])
+        whole = None
+        for _ in range(_ATTEMPTS):
+            base = self._state()
+            if not base.tables.get("fact_sales"):
+                whole = whole or self._write_all(star, issues)
+                if self._publish_all(base, *whole):
+                    return None
+                continue
+            current = star.version is not None and star.version == base.version
+            batch = star if current else self._rekeyed(star, base)
+            done = self._increment(base, batch, issues, facts_checked and current)
+            if done is not None:
+                return done
+        raise ConcurrentLoadError("incremental load")
+
+    def _rekeyed(self, star: Star, base: State) -> Star:
+        """The batch with the surrogate keys of the loaded dimensions."""
+        tables, new_keys = star.tables(), {}
+        for name in ("dim_supplier", "dim_customer", "dim_product"):
+            surrogate = name.removeprefix("dim_") + "_key"
+            held = self._read(name, base.tables[name])
+            given = tables[name].withColumnRenamed(surrogate, "_given")
+            if name == "dim_product":
+                given = _with_new_keys(given, "supplier_key", new_keys["supplier_key"])
+            given = given.withColumn(ORDINAL, F.struct(F.col("_given").alias("pos")))
+            keyed = stage(assign_keys(given, schemas.BUSINESS_KEYS[name], surrogate, held), name)
+            new_keys[surrogate] = keyed.select("_given", F.col(surrogate).alias("_new"))
+            tables[name] = keyed.select(_SCHEMAS[name].fieldNames())
+        for surrogate, pairs in new_keys.items():
+            tables["fact_sales"] = _with_new_keys(tables["fact_sales"], surrogate, pairs)
+        return Star(**tables)
+
+    def _increment(
+        self, base: State, star: Star, issues: DataFrame | None, facts_checked: bool
+    ) -> int | None:
+        """The number of facts added to ``base``; None if another load came first."""
+        tables = dict(base.tables)
         counts, new_days = {}, True
         for name in _DIMENSIONS:
             key = schemas.BUSINESS_KEYS[name]
@@ -198,14 +308,12 @@ class Warehouse:
                 tables[name] = [self._write(name, merge.upsert(existing, batch, key))[0]]
         new = star.fact_sales
         if not facts_checked:
-            loaded = self._read("fact_sales", tables["fact_sales"])
-            new = merge.new_rows(new, loaded, "order_id")
-            top = loaded.agg(F.coalesce(F.max("order_key"), F.lit(0))).first()[0]
+            new = merge.new_rows(new, self._read("fact_sales", tables["fact_sales"]), "order_id")
             new = row_index(
                 new.withColumnRenamed("order_key", "_given"),
                 [F.col("_given"), F.col("order_id").asc_nulls_first()],
                 out="order_key",
-                start=top + 1,
+                start=base.top_order_key + 1,
             )
         appended, counts["fact_sales"] = self._write("fact_sales", new)
         if counts["fact_sales"]:
@@ -221,8 +329,29 @@ class Warehouse:
         tables["load_metadata"] = [
             self._metadata_batch(tables["load_metadata"], counts, "incremental")
         ]
-        self._publish(tables)
-        return counts["fact_sales"]
+        rows = {**base.fact_rows, appended: counts["fact_sales"]}
+        top = base.top_order_key + counts["fact_sales"]
+        return counts["fact_sales"] if self._publish(base, tables, rows, top) else None
+
+    def compact(self, most: int = 16) -> int:
+        """Merge the smallest fact batches if there are more than ``most``.
+
+        Half of ``most``, the largest, stay as they are, so a row is rewritten a number of
+        times that grows with the logarithm of the batches. Returns the batches merged.
+        """
+        for _ in range(_ATTEMPTS):
+            base = self._state()
+            batches = base.tables.get("fact_sales", [])
+            if len(batches) <= most:
+                return 0
+            by_size = sorted(batches, key=lambda b: (base.fact_rows[b], b))
+            small = by_size[: len(batches) - most // 2]
+            merged, rows = self._write("fact_sales", self._read("fact_sales", small))
+            kept = [b for b in batches if b not in small]
+            tables = {**base.tables, "fact_sales": [*kept, merged]}
+            if self._publish(base, tables, {**base.fact_rows, merged: rows}, base.top_order_key):
+                return len(small)
+        raise ConcurrentLoadError("compaction")
 
     def _daily_after(self, tables: dict, appended: str, rebuild: bool) -> DataFrame:
         """Daily aggregates after an append.
@@ -234,10 +363,12 @@ class Warehouse:
         dim_date = self._read("dim_date", tables["dim_date"])
         if rebuild:
             return daily_sales(fact, dim_date)
-        # At most one value per calendar month reaches the driver.
-        touched = [
-            r[0] for r in self._read("fact_sales", [appended]).select(MONTH).distinct().collect()
-        ]
+        # At most one value per calendar month reaches the driver. Facts without a date
+        # belong to no day.
+        months = self._read("fact_sales", [appended]).select(MONTH).distinct().filter(
+            F.col(MONTH).isNotNull()
+        )
+        touched = [r[0] for r in months.collect()]
         month = F.year("date") * 100 + F.month("date")
         kept = self._read("agg_daily_sales", tables["agg_daily_sales"]).filter(
             ~month.isin(touched)
@@ -268,8 +399,11 @@ class Warehouse:
     def vacuum(self, older_than_hours: float = 24.0) -> list[str]:
         """Delete batch folders that no published state names and that are old enough."""
         limit = (time.time() - older_than_hours * 3600) * 1000
-        live = self._manifest()["tables"]
-        removed = []
+        state = self._state()
+        live, removed = state.tables, []
+        for child, modified in files.children(self.spark, f"{self.root}/manifests"):
+            if int(child.split(".")[0]) < state.number and modified < limit:
+                files.remove(self.spark, f"{self.root}/manifests/{child}")
         for name in _SCHEMAS:
             keep = {f"{_BATCH}={b}" for b in live.get(name, [])}
             for child, modified in files.children(self.spark, f"{self.root}/tables/{name}"):
@@ -277,3 +411,13 @@ class Warehouse:
                     files.remove(self.spark, f"{self.root}/tables/{name}/{child}")
                     removed.append(f"{name}/{child}")
         return removed
+
+
+def _with_new_keys(rows: DataFrame, surrogate: str, pairs: DataFrame) -> DataFrame:
+    """``surrogate`` replaced by ``_new`` where ``pairs`` has it as ``_given``."""
+    pairs = pairs.select(F.col("_given").alias("_old"), F.col("_new"))
+    return (
+        rows.join(pairs, F.col(surrogate) == F.col("_old"), "left")
+        .withColumn(surrogate, F.coalesce("_new", surrogate))
+        .drop("_old", "_new")
+    )

@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyloom.operators import merge
 from tallyloom.operators.cleaning import clean_orders, clean_returns, clean_shipping
 from tallyloom.operators.enrichment import enrich_orders
 from tallyloom.operators.facts import build_fact_sales
-from tallyloom.operators.ordinals import ORDINAL
 from tallyloom.operators.star import Star
-from tallyloom.schemas import RAW, STAR
-from tallyloom.session import staging_scope
+from tallyloom.plans.job import top_order_key, unseen_orders
+from tallyloom.schemas import STAR
+from tallyloom.session import stage, staging_scope
 from tallyloom.sinks.warehouse import Warehouse
+from tallyloom.sources.registry import read_source
+
+
+#: A batch of at most so many orders is sent to all tasks that look for its ids.
+SMALL_BATCH = 1_000_000
+_FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def ingest_batch(
@@ -24,17 +28,27 @@ def ingest_batch(
 ) -> int:
     """Append the new orders of one batch to a loaded warehouse; returns their number."""
     loaded = warehouse.star()
-    new = merge.new_rows(orders, loaded.fact_sales, "order_id")
-    enriched = enrich_orders(clean_orders(new), clean_returns(returns), clean_shipping(shipping))
-    top = loaded.fact_sales.agg(F.coalesce(F.max("order_key"), F.lit(0))).first()[0]
+    sources = {"orders": stage(orders, "arrived"), "returns": returns, "shipping": shipping}
+    small = sources["orders"].count() <= SMALL_BATCH
+    sources = unseen_orders(sources, loaded, small_batch=small)
+    enriched = enrich_orders(
+        clean_orders(sources["orders"]),
+        clean_returns(sources["returns"]),
+        clean_shipping(sources["shipping"]),
+    )
     fact = build_fact_sales(
-        enriched, loaded.dim_customer, loaded.dim_product, first_order_key=top + 1
+        enriched,
+        loaded.dim_customer,
+        loaded.dim_product,
+        first_order_key=top_order_key(loaded) + 1,
     )
     spark = warehouse.spark
     unchanged = {
         name: spark.createDataFrame([], STAR[name]) for name in STAR if name != "fact_sales"
     }
-    return warehouse.load_incremental(Star(fact_sales=fact, **unchanged), facts_checked=True)
+    star = Star(fact_sales=fact, **unchanged)
+    star.version = loaded.version
+    return warehouse.load_incremental(star, facts_checked=True)
 
 
 def stream_orders(
@@ -47,29 +61,22 @@ def stream_orders(
 ) -> StreamingQuery:
     """Load all order files that have arrived since the last call, then stop.
 
-    ``sources`` gives the returns and shipping events. The warehouse must have been
-    loaded before. A batch that is repeated after a failure adds nothing, since known
-    order ids are left out.
+    The stream follows the files; each batch of them is read by the same reader as any
+    other source, so headers, quotes and numbers mean the same. ``sources`` gives the
+    returns and shipping events. The warehouse must have been loaded before. A batch that
+    is repeated after a failure adds nothing, since known order ids are left out.
     """
-    reader = spark.readStream.schema(RAW["orders"])
-    if kind == "csv":
-        reader = reader.option("header", True)
-    arriving = reader.format(kind).load(orders_path)
-    arriving = arriving.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    names = spark.readStream.format("binaryFile").schema(_FILES).load(orders_path)
+    arriving = names.select("path")  # the contents are not read here
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        ordinal = F.struct(
-            F.col("_file").alias("file"),
-            F.col("_block").alias("block"),
-            F.monotonically_increasing_id().alias("pos"),
-        )
-        orders = batch.withColumn(ORDINAL, ordinal).drop("_file", "_block")
-        warehouse = Warehouse(batch.sparkSession, root)
-        with staging_scope(warehouse.spark):
+        paths = [r["path"] for r in batch.collect()]  # names of the files of one batch
+        if not paths:
+            return
+        session = batch.sparkSession
+        with staging_scope(session):
+            orders = read_source(session, "orders", kind, sorted(paths))
+            warehouse = Warehouse(session, root)
             ingest_batch(warehouse, orders, sources["returns"], sources["shipping"])
 
     return (

@@ -90,7 +90,7 @@ def sources(frame):
 @pytest.fixture(scope="session")
 def star(sources, params):
     """The sample star with surrogate keys."""
-    return build_star(enrich_all(clean_all(sources)), params)
+    return build_star(enrich_all(clean_all(sources)), params, order_keys="source")
 
 
 @pytest.fixture(scope="session")

@@ -35,7 +35,7 @@ def console(spark, tmp_path_factory, star, params):
     ],
 )
 def test_allowed(console, sql):
-    assert validate_readonly_sql(console.spark, sql) is None
+    assert validate_readonly_sql(console.session, sql) is None
 
 
 @pytest.mark.parametrize(
@@ -59,7 +59,7 @@ def test_allowed(console, sql):
     ],
 )
 def test_refused(console, sql):
-    assert validate_readonly_sql(console.spark, sql) is not None
+    assert validate_readonly_sql(console.session, sql) is not None
     with pytest.raises(QueryRefusedError):
         console.execute_raw(sql)
 
