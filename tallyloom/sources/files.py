@@ -134,7 +134,7 @@ def read_json(
     such file is read in one task; large sources should be split into many files or landed as
     JSON lines, which are splittable.
     """
-    lines = spark.read.option("wholetext", not json_lines).text(_listed(path))
+    lines = spark.read.text(_listed(path), wholetext=not json_lines)
     kind = "map<string,string>" if json_lines else "array<map<string,string>>"
     parsed = F.from_json("value", kind)
     ordinal = scan_ordinal()

@@ -1,3 +1,4 @@
+import threading
 import time
 
 import pytest
@@ -118,3 +119,38 @@ def test_named_queries_and_kpis(console):
     assert console.kpis()["total_revenue"] == 1054.22
     with pytest.raises(UnknownQueryError):
         console.execute_query("nonexistent_query")
+
+
+def test_a_literal_that_looks_like_a_call_is_fine(console):
+    assert console.execute_raw("SELECT 'reflect (x)' AS t").first().t == "reflect (x)"
+
+
+def test_overlapping_queries_keep_to_themselves(spark, console, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "rows"))
+    before = spark.conf.get("spark.sql.runSQLOnFiles")
+    other, seen = Console(console.warehouse), {}
+
+    def slow():
+        text = "SELECT count(*) AS n FROM range(300000000) WHERE id % 7 = 1"
+        seen["slow"] = console.execute_raw(text, timeout=120).first().n
+
+    thread = threading.Thread(target=slow)
+    thread.start()
+    with pytest.raises(QueryRefusedError):
+        other.execute_raw(f"SELECT * FROM parquet.`{tmp_path}/rows`")
+    assert spark.sql(f"SELECT * FROM parquet.`{tmp_path}/rows`").count() == 3
+    thread.join()
+    assert seen["slow"] == 42857143
+    assert spark.conf.get("spark.sql.runSQLOnFiles") == before
+    assert not spark.catalog.tableExists("fact_sales")
+
+
+def test_the_callers_job_group_is_put_back(spark, console):
+    context = spark.sparkContext
+    context.setJobGroup("mine", "my work")
+    try:
+        console.execute_raw("SELECT 1")
+        assert context.getLocalProperty("spark.jobGroup.id") == "mine"
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            context.setLocalProperty(name, None)

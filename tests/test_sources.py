@@ -104,3 +104,50 @@ def test_row_index_over_many_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == {rid: i for i, rid in enumerate(expected) if rid.endswith("7")}
+
+
+HEADER = "order_id,customer_id,product_id,quantity,unit_price,discount_pct,order_date,status"
+
+
+def test_csv_files_with_different_column_order(spark, tmp_path):
+    (tmp_path / "1.csv").write_text(f"{HEADER}\nO1,C1,P1,1.0,2.5,0,2024-01-01,completed\n")
+    (tmp_path / "2.csv").write_text(
+        "customer_id, ORDER_ID ,note,product_id,quantity,unit_price,discount_pct,order_date,status\n"
+        "C2,O2,hello,P2,2.5,2.5,0,2024-01-01,pending\n"
+    )
+    rows = {r.order_id: r for r in read_csv(spark, str(tmp_path), RAW["orders"]).collect()}
+    assert (rows["O1"].customer_id, rows["O1"].quantity, rows["O1"].note) == ("C1", 1, None)
+    assert (rows["O2"].customer_id, rows["O2"].quantity, rows["O2"].note) == ("C2", None, "hello")
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(
+        "supplier_id,name,country,lead_time_days,reliability_rating\n"
+        'S1,"A ""B"" C, x",DE,5.0,4.5\n'
+        'S2,"two\nlines",FR,7,3\n'
+    )
+    row = read_csv(spark, str(tmp_path), RAW["suppliers"]).filter("supplier_id = 'S1'").first()
+    assert (row.name, row.country, row.lead_time_days) == ('A "B" C, x', "DE", 5)
+    names = read_csv(spark, str(tmp_path), RAW["suppliers"], multiline=True).select("name", "country")
+    assert sorted(map(tuple, names.collect())) == [('A "B" C, x', "DE"), ("two\nlines", "FR")]
+
+
+@pytest.mark.parametrize("lines", [False, True])
+def test_json_keys_in_any_case_and_undeclared_ones(spark, tmp_path, lines):
+    one = '{"Supplier_ID": "S1", " NAME ": "a", "lead_time_days": 5.0, "extra": null, "Tags": [1, 2]}'
+    two = '{"supplier_id": "S2", "name": "b", "Reliability_Rating": 4.5}'
+    (tmp_path / "s.json").write_text(f"{one}\n{two}\n" if lines else f"[{one},\n {two}]")
+    df = read_json(spark, str(tmp_path), RAW["suppliers"], json_lines=lines)
+    assert df.columns == [*RAW["suppliers"].fieldNames(), "extra", "tags", "_ordinal"]
+    assert sorted((r.supplier_id, r.name, r.lead_time_days, r.reliability_rating, r.tags) for r in df.collect()) == [
+        ("S1", "a", 5, None, "[1,2]"), ("S2", "b", None, 4.5, None),
+    ]
+
+
+def test_parquet_keeps_undeclared_columns(spark, tmp_path):
+    rows = spark.createDataFrame([("S1", "n", "DE", 5, 4.5, 7)],
+                                 "SUPPLIER_ID string, name string, country string, lead_time_days int,"
+                                 " reliability_rating double, Extra int")
+    rows.write.parquet(str(tmp_path / "p"))
+    row = read_parquet(spark, str(tmp_path / "p"), RAW["suppliers"]).first()
+    assert (row.supplier_id, row.extra) == ("S1", "7")
