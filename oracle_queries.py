@@ -6,13 +6,22 @@ SELECT, mostly over one wide view of the sales. Plain windows, joins and subquer
 
 from __future__ import annotations
 
-from tallyloom.plans.analyses import (
-    ABC_CLASSES,
-    CHURN_STATES,
-    DISCOUNT_TIERS,
-    RFM_SEGMENTS,
-    SHIPPING_TIERS,
-)
+# Published labels, with their limits in SQL; the first that holds counts.
+_RFM_CASE = """CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
+    WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal Customers'
+    WHEN r_score >= 4 AND f_score <= 2 THEN 'New Customers'
+    WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk'
+    WHEN r_score <= 2 AND f_score <= 2 THEN 'Lost' ELSE 'Regular' END"""
+_ABC_CASE = """CASE WHEN cumulative_pct <= 80 THEN 'A' WHEN cumulative_pct <= 95 THEN 'B'
+    ELSE 'C' END"""
+_CHURN_CASE = """CASE WHEN days_since_last IS NULL THEN 'Never Purchased'
+    WHEN days_since_last > 180 THEN 'Churned' WHEN days_since_last > 90 THEN 'At Risk'
+    ELSE 'Active' END"""
+_DISCOUNT_CASE = """CASE WHEN discount_pct = 0 THEN 'No Discount'
+    WHEN discount_pct <= 5 THEN '1-5%' WHEN discount_pct <= 10 THEN '6-10%'
+    WHEN discount_pct <= 15 THEN '11-15%' ELSE '16-20%' END"""
+_SHIPPING_CASE = """CASE WHEN shipping_cost < 5 THEN 'Economy (< 5)'
+    WHEN shipping_cost < 8 THEN 'Standard (5-8)' ELSE 'Express (> 8)' END"""
 
 LINE_ORDER = (
     "l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
@@ -49,7 +58,10 @@ def _orders(dirty: bool = False) -> str:
     )
     if dirty:
         quantity = f"CASE WHEN l_orderkey % 97 = 0 THEN -{quantity} ELSE {quantity} END"
-        price = f"CASE WHEN l_orderkey % 101 <> 0 THEN {price} END"
+        price = (
+            f"CASE WHEN l_orderkey % 101 = 0 THEN NULL WHEN l_orderkey % 127 = 0 THEN -({price}) "
+            f"ELSE {price} END"
+        )
         discount = f"CASE WHEN l_orderkey % 103 = 0 THEN 150.0::DOUBLE ELSE {discount} END"
         customer = "o_custkey + CASE WHEN l_orderkey % 107 = 0 THEN 1000000000 ELSE 0 END"
         product = "l_partkey + CASE WHEN l_orderkey % 109 = 0 THEN 1000000000 ELSE 0 END"
@@ -180,12 +192,6 @@ _MEAN_AMOUNT = avg("sum(total_amount)", "count(total_amount)", 2)
 _RETURNS = "count(*) FILTER (WHERE is_returned)"
 
 
-def _case(choices) -> str:
-    """First matching label; the conditions are the ones the Spark reports state."""
-    whens = " ".join(f"WHEN {test} THEN '{label}'" for label, test in choices if test)
-    return f"CASE {whens} ELSE '{choices[-1][0]}' END"
-
-
 _RFM = f"""{_SALES},
 buyers AS (
     SELECT customer_id, customer_name AS name, count(*) AS frequency,
@@ -203,7 +209,7 @@ tiles AS (
            rarest AS (ORDER BY frequency, customer_id),
            smallest AS (ORDER BY spent, customer_id)
 ),
-rfm AS (SELECT *, {_case(RFM_SEGMENTS)} AS segment FROM tiles)"""
+rfm AS (SELECT *, {_RFM_CASE} AS segment FROM tiles)"""
 
 _ABC = f"""{_SALES},
 per_product AS (
@@ -216,7 +222,7 @@ shares AS (
                     '(SELECT sum(amount) FROM per_product)'), 1)} AS cumulative_pct
     FROM per_product a
 ),
-abc AS (SELECT *, {_case(ABC_CLASSES)} AS abc_class FROM shares)"""
+abc AS (SELECT *, {_ABC_CASE} AS abc_class FROM shares)"""
 
 _COHORT = f"""{_SALES},
 starts AS (
@@ -398,7 +404,7 @@ state AS (
            CAST(DATE '2001-08-02' - latest AS BIGINT) AS days_since_last
     FROM dim_customer LEFT JOIN bought USING (customer_key)
 )
-SELECT *, {_case(CHURN_STATES)} AS churn_status FROM state"""
+SELECT *, {_CHURN_CASE} AS churn_status FROM state"""
 
     sql["basket_analysis"] = star + _SALES + f"""
 SELECT segment, concat(year, '-Q', quarter) AS quarter, count(*) AS orders,
@@ -420,14 +426,14 @@ SELECT day_name, day_of_week, total_orders, total_revenue, avg_order_value,
        {rnd('((total_revenue - usual) / usual * 100)', 1)} AS pct_vs_avg FROM levelled"""
 
     sql["discount_impact"] = star + f"""
-SELECT {_case(DISCOUNT_TIERS)} AS discount_tier, count(*) AS orders,
+SELECT {_DISCOUNT_CASE} AS discount_tier, count(*) AS orders,
        {_MEAN_AMOUNT} AS avg_order_value,
        {avg('sum(profit_margin)', 'count(profit_margin)', 1)} AS avg_margin_pct,
        {_AMOUNT} AS total_revenue
 FROM fact_sales GROUP BY ALL"""
 
     sql["shipping_efficiency"] = star + f"""
-SELECT {_case(SHIPPING_TIERS)} AS shipping_tier, count(*) AS orders,
+SELECT {_SHIPPING_CASE} AS shipping_tier, count(*) AS orders,
        {avg('sum(shipping_cost)', 'count(*)', 2)} AS avg_shipping_cost,
        {_MEAN_AMOUNT} AS avg_order_value,
        {rnd(pct('sum(shipping_cost)', 'sum(total_amount)'), 1)} AS shipping_pct

@@ -77,7 +77,7 @@ def raw_orders(spark: SparkSession, folder: str, dirty: bool = False) -> DataFra
             return F.col("l_orderkey") % n == 0
 
         quantity = F.when(every(97), -quantity).otherwise(quantity)
-        price = F.when(~every(101), price)
+        price = F.when(every(101), None).when(every(127), -price).otherwise(price)
         discount = F.when(every(103), F.lit(150.0)).otherwise(discount)
         customer = F.when(every(107), customer + 1_000_000_000).otherwise(customer)
         product = F.when(every(109), product + 1_000_000_000).otherwise(product)

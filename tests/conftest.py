@@ -24,18 +24,18 @@ SF = "/root/testdata/sf0.001"
 # The sample shop whose results are worked out by hand.
 ROWS = {
     "customers": [
-        ("C0001", "Max Mueller", "max@test.de", "Nord", "Hamburg", "B2C", "2024-01-15"),
-        ("C0002", "Anna Schmidt", "anna@test.de", "Sued", "Muenchen", "B2B", "2024-03-20"),
-        ("C0003", "Peter Weber", "peter@test.de", "West", "Koeln", "B2C", "2024-06-10"),
+        ("C0001", "Ida Brandt", "ida@shop.example", "Nord", "Hamburg", "B2C", "2024-01-15"),
+        ("C0002", "Noor Haddad", "noor@shop.example", "Sued", "Muenchen", "B2B", "2024-03-20"),
+        ("C0003", "Tom Okafor", "tom@shop.example", "West", "Koeln", "B2C", "2024-06-10"),
     ],
     "suppliers": [
-        ("SUP-01", "TechLieferant GmbH", "DE", 5, 4.5),
-        ("SUP-02", "AsiaImport AG", "CN", 20, 3.2),
+        ("SUP-01", "Elbe Parts KG", "DE", 5, 4.5),
+        ("SUP-02", "Orient Trade SE", "CN", 20, 3.2),
     ],
     "products": [
-        ("P001", "Laptop Pro", "Electronics", "Laptops", "TechPro", "SUP-01", 400.0, 800.0),
-        ("P002", "T-Shirt Basic", "Clothing", "T-Shirts", "StyleWear", "SUP-01", 10.0, 25.0),
-        ("P003", "Yoga Matte", "Sports", "Fitness", "FitLife", "SUP-02", 15.0, 35.0),
+        ("P001", "Notebook 14", "Electronics", "Laptops", "Norvex", "SUP-01", 400.0, 800.0),
+        ("P002", "Cotton Shirt", "Clothing", "T-Shirts", "Linnea", "SUP-01", 10.0, 25.0),
+        ("P003", "Cork Mat", "Sports", "Fitness", "Movo", "SUP-02", 15.0, 35.0),
     ],
     "orders": [
         ("ORD-00001", "C0001", "P001", 1, 799.0, 0.0, "2024-03-15", "completed"),
@@ -44,7 +44,7 @@ ROWS = {
         ("ORD-00004", "C0003", "P001", 1, 789.0, 15.0, "2024-06-01", "cancelled"),
         ("ORD-00005", "C0003", "P002", 5, 25.0, 5.0, "2024-07-12", "completed"),
     ],
-    "returns": [("RET-0001", "ORD-00002", "2024-05-05", "Falsche Groesse")],
+    "returns": [("RET-0001", "ORD-00002", "2024-05-05", "wrong colour")],
     "shipping": [
         ("ORD-00001", "DHL", "2024-03-16", "2024-03-19", 6.99),
         ("ORD-00002", "DPD", "2024-04-21", "2024-04-24", 4.49),

@@ -190,7 +190,7 @@ def test_cohort_ignores_customers_who_started_outside_the_calendar(make_star, fr
 def test_ltv(star):
     got = records(analyses.customer_ltv(star))
     assert got[0] == (
-        "C0001", "Max Mueller", "B2C", "Nord", 2, 868.0, 434.0,
+        "C0001", "Ida Brandt", "B2C", "Nord", 2, 868.0, 434.0,
         date(2024, 3, 15), date(2024, 5, 10), 56.0,
     )
     assert records(analyses.top_customers(star, limit=1)) == got[:1]

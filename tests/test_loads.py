@@ -80,7 +80,7 @@ def test_a_batch_built_without_the_loaded_tables_is_keyed_anew(loaded, sources,
     ])
     products = frame("products", [
         ("P009", "Lamp", "Home", "Lamps", "Lux", "SUP-09", 10.0, 20.0),
-        ("P001", "Laptop", "Electronics", "Laptops", "TechPro", "SUP-01", 400.0, 800.0),
+        ("P001", "Laptop", "Electronics", "Laptops", "Norvex", "SUP-01", 400.0, 800.0),
     ])
     suppliers = frame("suppliers", [("SUP-09", "Lux AG", "DE", 5, 4.0), ("SUP-01", "Tech", "DE", 5, 4.5)])
     orders = frame("orders", [

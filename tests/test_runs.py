@@ -19,41 +19,42 @@ def test_start(log):
     assert row.duration_seconds is None and row.phase_timings == {}
 
 
-def test_finish(log):
-    first = log.start("incremental")
-    log.finish(first, "success", quality_score=97.5, phase_timings={"extract": 0.4, "load": 0.2},
-               row_counts={"fact_sales": 12345})
-    second = log.start()
-    log.finish(second, "failed", error_message="Source file missing: orders.csv")
-    log.start()
-    rows = log.recent().collect()
-    assert [r.run_id for r in rows] == [3, 2, 1]
-    assert [r.status for r in rows] == ["running", "failed", "success"]
-    assert "orders.csv" in rows[1].error_message
-    done = rows[2]
-    assert (done.mode, done.quality_score) == ("incremental", 97.5)
-    assert done.phase_timings == {"extract": 0.4, "load": 0.2}
-    assert done.row_counts == {"fact_sales": 12345}
-    assert done.duration_seconds >= 0 and done.finished_at >= done.started_at
-    assert log.recent(2).count() == 2
-
-    stats = reports.run_statistics(log.runs()).first()
-    assert (stats.total_runs, stats.success_runs, stats.failed_runs) == (3, 1, 1)
-    assert stats.success_rate == pytest.approx(33.33, abs=0.01)
+def test_a_run_ends_once_and_is_counted(log):
+    nightly = log.start("full")
+    hourly = log.start("incremental")
+    log.finish(nightly, "failed", error_message="disk quota of node 7 used up")
+    log.finish(hourly, "success", quality_score=88.25,
+               phase_timings={"validate": 1.75, "analyze": 3.5, "load": 0.125},
+               row_counts={"dim_supplier": 41, "raw_orders": 902})
+    log.start("incremental")
+    by_id = {r.run_id: r for r in log.recent().collect()}
+    assert list(by_id) == [3, 2, 1]
+    assert {k: r.status for k, r in by_id.items()} == {1: "failed", 2: "success", 3: "running"}
+    assert by_id[1].error_message == "disk quota of node 7 used up" and by_id[1].quality_score is None
+    good = by_id[2]
+    assert good.mode == "incremental" and good.quality_score == 88.25
+    assert good.row_counts == {"dim_supplier": 41, "raw_orders": 902}
+    assert good.phase_timings["analyze"] == 3.5
+    assert good.finished_at >= good.started_at and good.duration_seconds >= 0
+    assert [r.run_id for r in log.recent(1).collect()] == [3]
+
+    stats = reports.run_statistics(log.runs()).first().asDict()
+    assert (stats["total_runs"], stats["success_runs"], stats["failed_runs"]) == (3, 1, 1)
+    assert stats["success_rate"] == pytest.approx(100 / 3)
     assert reports.duration_trend(log.runs()).count() == 3
-    assert reports.phase_breakdown(log.runs()).count() == 0
-    latest = log.runs().filter("run_id = 1")
-    assert sorted(map(tuple, reports.phase_breakdown(latest).collect())) == [
-        (1, "extract", 0.4), (1, "load", 0.2),
-    ]
+    # The latest run has no phases yet; the one before it has.
+    assert reports.phase_breakdown(log.runs()).collect() == []
+    ended = log.runs().filter("run_id = 2")
+    phases = {r.phase: (r.run_id, r.seconds) for r in reports.phase_breakdown(ended).collect()}
+    assert phases == {"validate": (2, 1.75), "analyze": (2, 3.5), "load": (2, 0.125)}
 
 
-def test_unknown_run_is_ignored_and_empty_statistics(log):
-    log.finish(9999, "success")
-    assert log.recent().count() == 0
+def test_without_runs(log):
+    log.finish(31, "failed", error_message="never started")
+    assert log.recent().collect() == []
     stats = reports.run_statistics(log.runs()).first()
-    assert (stats.total_runs, stats.success_rate, stats.avg_duration) == (0, 0.0, None)
-    assert reports.duration_trend(log.runs()).count() == 0
+    assert stats.total_runs == 0 and stats.success_rate == 0.0 and stats.avg_duration is None
+    assert reports.duration_trend(log.runs()).collect() == []
 
 
 def test_job_full_then_incremental(spark, data_dir, tmp_path, params):
