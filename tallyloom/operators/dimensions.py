@@ -27,9 +27,11 @@ def build_dim_date(
         return spark.createDataFrame([], STAR["dim_date"])
     d = F.col("full_date")
     iso_day = F.weekday(d) + 1
+    days = (end - start).days + 1
+    first = F.lit(start.isoformat()).cast("date")
     return (
-        spark.range(1, numPartitions=1)
-        .select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("full_date"))
+        spark.range(0, days, numPartitions=1 + days // 200_000)
+        .select(F.date_add(first, F.col("id").cast("int")).alias("full_date"))
         .select(
             date_key(d).alias("date_key"),
             d,

@@ -1,8 +1,8 @@
 from datetime import date
 from decimal import Decimal
 
-import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from tallyloom.operators import cleaning, dimensions, facts
 from tallyloom.operators.enrichment import enrich_orders, enrich_products
@@ -23,11 +23,12 @@ def test_dim_date(spark):
     )
 
 
-def test_dim_date_defaults_and_limits(spark):
+def test_dim_date_defaults_and_long_calendars(spark):
     assert dimensions.build_dim_date(spark).count() == 731
     assert dimensions.build_dim_date(spark, date(2024, 1, 2), date(2024, 1, 1)).count() == 0
-    with pytest.raises(ValueError):
-        dimensions.build_dim_date(spark, date(1, 1, 1), date(9999, 1, 1))
+    long = dimensions.build_dim_date(spark, date(800, 3, 1), date(2800, 2, 28))
+    assert long.count() == (date(2800, 2, 28) - date(800, 3, 1)).days + 1
+    assert long.agg(F.min("date_key"), F.max("date_key")).first()[:] == (8000301, 28000228)
 
 
 def test_tables_have_their_declared_columns(star):
