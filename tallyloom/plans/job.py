@@ -26,7 +26,7 @@ from tallyloom.plans import analyses
 from tallyloom.plans.named import available_queries, run_named
 from tallyloom.plans.runs import RunLog
 from tallyloom.schemas import QUALITY_ISSUES
-from tallyloom.session import stage, staging_scope
+from tallyloom.session import in_parallel, stage, staging_scope
 from tallyloom.sinks.warehouse import Warehouse
 from tallyloom.sources.registry import extract_all
 
@@ -96,18 +96,19 @@ def build_star(
     spark = ready["orders"].sparkSession
 
     def merged(name: str, key: str, batch: DataFrame) -> DataFrame:
-        if known is None:
-            return batch
-        return stage(merge.upsert(getattr(known, name), batch, key), name)
+        return batch if known is None else merge.upsert(getattr(known, name), batch, key)
 
     def settled(df: DataFrame, name: str) -> DataFrame:
         return df if known is None else stage(df, name)
 
-    dim_customer = settled(
-        build_dim_customer(ready["customers"], known and known.dim_customer), "dim_customer"
-    )
-    dim_supplier = settled(
-        build_dim_supplier(ready["suppliers"], known and known.dim_supplier), "dim_supplier"
+    dim_customer, dim_supplier = in_parallel(
+        spark,
+        lambda: settled(
+            build_dim_customer(ready["customers"], known and known.dim_customer), "dim_customer"
+        ),
+        lambda: settled(
+            build_dim_supplier(ready["suppliers"], known and known.dim_supplier), "dim_supplier"
+        ),
     )
     dim_product = settled(
         build_dim_product(

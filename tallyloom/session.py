@@ -6,9 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -81,6 +84,21 @@ def _delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def in_parallel(spark: SparkSession, *tasks: Callable) -> list:
+    """Results of independent tasks; the jobs they submit run beside each other.
+
+    Tasks see the caller's staging scope and job properties. The first failure is raised
+    when all have ended.
+    """
+    contexts = [copy_context() for _ in tasks]
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        started = [
+            pool.submit(c.run, inheritable_thread_target(spark)(task))
+            for c, task in zip(contexts, tasks, strict=True)
+        ]
+    return [task.result() for task in started]
+
+
 @contextmanager
 def staging_scope(spark: SparkSession):
     """Tables staged inside the block are deleted at its end.

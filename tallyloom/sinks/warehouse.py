@@ -34,7 +34,7 @@ from tallyloom.operators.global_order import row_index
 from tallyloom.operators.ordinals import ORDINAL
 from tallyloom.operators.star import Star
 from tallyloom.plans.analyses import daily_sales
-from tallyloom.session import stage
+from tallyloom.session import in_parallel, stage
 from tallyloom.sinks import files
 
 MONTH = "sale_month"
@@ -134,10 +134,12 @@ class Warehouse:
         Batches never change, so their files are listed only once.
         """
         scan = (name, *batches)
-        if scan not in self._scans:
-            self._scans = {k: v for k, v in self._scans.items() if k[0] != name}
-            self._scans[scan] = self._open(name, batches)
-        return self._scans[scan]
+        found = self._scans.get(scan)
+        if found is None:
+            found = self._open(name, batches)
+            others = {k: v for k, v in self._scans.items() if k[0] != name}
+            self._scans = {**others, scan: found}  # replaced as a whole: threads may read it
+        return found
 
     def _open(self, name: str, batches: list[str]) -> DataFrame:
         schema = _SCHEMAS[name]
@@ -225,10 +227,12 @@ class Warehouse:
 
     def _write_all(self, star: Star, issues: DataFrame | None):
         """Batches and row counts of a full load."""
-        tables, counts = {}, {}
-        for name in [*_DIMENSIONS, "fact_sales"]:
-            batch, counts[name] = self._write(name, getattr(star, name))
-            tables[name] = [batch]
+        names = [*_DIMENSIONS, "fact_sales"]
+        written = in_parallel(
+            self.spark, *(lambda n=n: self._write(n, getattr(star, n)) for n in names)
+        )
+        tables = {n: [batch] for n, (batch, _) in zip(names, written, strict=True)}
+        counts = {n: rows for n, (_, rows) in zip(names, written, strict=True)}
         daily = daily_sales(
             self._read("fact_sales", tables["fact_sales"]),
             self._read("dim_date", tables["dim_date"]),
@@ -296,27 +300,38 @@ class Warehouse:
     ) -> int | None:
         """The number of facts added to ``base``; None if another load came first."""
         tables = dict(base.tables)
-        counts, new_days = {}, True
-        for name in _DIMENSIONS:
+
+        def dimension(name: str) -> tuple[str, list[str], int, bool]:
             key = schemas.BUSINESS_KEYS[name]
-            existing = self._read(name, tables[name])
-            batch = getattr(star, name)
+            existing, batch = self._read(name, base.tables[name]), getattr(star, name)
+            # Of the calendar only new days matter.
+            rows, new_days = batch.count(), False
             if name == "dim_date":
                 new_days = not merge.new_rows(batch, existing, key).isEmpty()
-            counts[name] = batch.count()
-            if counts[name]:
-                tables[name] = [self._write(name, merge.upsert(existing, batch, key))[0]]
-        new = star.fact_sales
-        if not facts_checked:
-            new = merge.new_rows(new, self._read("fact_sales", tables["fact_sales"]), "order_id")
-            new = row_index(
-                new.withColumnRenamed("order_key", "_given"),
-                [F.col("_given"), F.col("order_id").asc_nulls_first()],
-                out="order_key",
-                start=base.top_order_key + 1,
-            )
-        appended, counts["fact_sales"] = self._write("fact_sales", new)
-        if counts["fact_sales"]:
+            if not rows or name == "dim_date" and not new_days:
+                return name, base.tables[name], rows, new_days
+            return name, [self._write(name, merge.upsert(existing, batch, key))[0]], rows, new_days
+
+        def facts() -> tuple[str, int]:
+            new = star.fact_sales
+            if not facts_checked:
+                loaded = self._read("fact_sales", base.tables["fact_sales"])
+                new = merge.new_rows(new, loaded, "order_id")
+                new = row_index(
+                    new.withColumnRenamed("order_key", "_given"),
+                    [F.col("_given"), F.col("order_id").asc_nulls_first()],
+                    out="order_key",
+                    start=base.top_order_key + 1,
+                )
+            return self._write("fact_sales", new)
+
+        *dimensions, (appended, added) = in_parallel(
+            self.spark, *(lambda n=n: dimension(n) for n in _DIMENSIONS), facts
+        )
+        tables |= {name: batches for name, batches, _, _ in dimensions}
+        counts = {name: rows for name, _, rows, _ in dimensions} | {"fact_sales": added}
+        new_days = any(new for _, _, _, new in dimensions)
+        if added:
             tables["fact_sales"] = [*tables["fact_sales"], appended]
         if issues is not None:
             tables["data_quality_issues"] = [
