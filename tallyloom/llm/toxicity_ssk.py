@@ -1,12 +1,14 @@
 """Toxicity by a subsequence string kernel SVM with Nyström landmarks.
 
-*Kernel.* ``K(s, t)`` sums over all common subsequences of four characters (bytes), each
-weighted by ``decay`` to the length it spans in s plus the length it spans in t. Inserted
-characters only stretch a span, so "idxiot" stays close to "idiot". The kernel of a word and a
-landmark is divided by the landmark's own and at most 1; it is taken as 0 below 0.6, or if the
-word misses more than one character of the landmark (longest common subsequence).
-
-*Landmarks* are word parts of 4 to 10 bytes, chosen greedily by how much more often words with
+*Kernel.* ``K(s, t)`` sums over all common subsequences of four characters, each weighted by
+``decay`` to the length it spans in s plus the length it spans in t. Inserted characters only
+stretch a span, so "idxiot" stays close to "idiot". The kernel of a word and a landmark is
+divided by the landmark's own and at most 1; it is taken as 0 below 0.6, or if the word misses
+more than one character of the landmark (longest common subsequence). A word with the whole
+landmark has 0.6 at least if no more characters are inserted than one between every two, as in
+"ixdxixoxt".
+
+*Landmarks* are word parts of 4 to 10 characters, chosen greedily by how much more often words with
 them stand in positive than in negative training documents. The Nyström map multiplies the
 kernel values with the inverse root of the landmarks' kernel matrix.
 
@@ -16,9 +18,10 @@ worst (twice, starting with the largest kernel value). A document is judged by t
 its worst sentence, the evidence of all its sentences, and that evidence per word; a logistic
 fit on the training documents turns the three into a probability.
 
-Words are what stands between white space without ASCII punctuation, A-Z lower-cased, so
-"i.d.i.o.t" is one word; four or more one-letter words in a row are one word too. Words over
-32 bytes are looked at in windows of 32 that overlap by half, so whole texts are covered.
+Words are what stands between white space without punctuation, symbols, combining marks and
+characters of no width, of all of Unicode; A-Z are lower-cased. So "i.d.i.o.t" is one word; four
+or more one-letter words in a row are one word too. Words over 32 characters are looked at in
+windows of 32 that overlap by half, so whole texts are covered.
 
 Bounds: the fit takes at most ``sample`` documents a class, of at most ``sample_bytes`` each,
 chosen by the hash of their id. Scoring reads the text only.
@@ -33,6 +36,7 @@ Edge cases
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,36 +49,86 @@ from tallyloom.llm import batches as B
 from tallyloom.llm.common import documents, labelled_sample
 
 _P = 4
-#: Smaller kernel values, as chance words have them, count as 0.
+#: Smaller kernel values, as chance words have them, count as 0 (but see ``kernel_values``).
 _LEAST = 0.6
 _WIDTH = 32
-_ENDS = np.zeros(256, dtype=bool)
-_ENDS[[10, 33, 46, 63]] = True  # line feed ! . ?
+_FAR = 1 << 20
+_ENDS = np.array([10, 33, 46, 63])  # line feed ! . ?
+_LETTER, _WHITE, _DROPPED = 0, 1, 2
+
+
+def _kind(c: int) -> int:
+    """What a character is to a word: part of it, its end, or nothing."""
+    kind = unicodedata.category(chr(c))
+    if kind[0] == "Z" or 9 <= c <= 13 or c == 0x85:
+        return _WHITE
+    name = unicodedata.name(chr(c), "")
+    unseen = name.startswith("COMBINING") or "VARIATION SELECTOR" in name or name.endswith("FILLER")
+    return _DROPPED if kind[0] in "PS" or kind in ("Cc", "Cf") or unseen else _LETTER
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of characters of one kind start, and their kinds."""
+    codes = [*range(0x20000), *range(0xE0000, 0xE0200)]
+    kinds = np.array([_kind(c) for c in codes], dtype=np.uint8)
+    first = np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1]))
+    return np.array(codes, dtype=np.uint32)[first], kinds[first]
+
+
+_KIND_FROM, _KINDS = _kinds()
+_ASCII_KIND = _KINDS[np.searchsorted(_KIND_FROM, np.arange(128, dtype=np.uint32), "right") - 1]
 
 
 @dataclass
 class Sentences:
     """Words of texts: their characters (once per different word), sentence and document."""
 
-    chars: np.ndarray  # (different words, width), 0 behind the end
+    chars: np.ndarray  # (different words, width), code points, 0 behind the end
     word: np.ndarray  # index into chars, per occurrence
     sentence: np.ndarray
     doc: np.ndarray
     counts: np.ndarray  # words per document
 
 
+def characters(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 texts, and the bounds of the texts in them."""
+    if not (raw > 127).any():
+        return raw, bounds
+    lead = (raw & 0xC0) != 0x80
+    lead[bounds[:-1][bounds[:-1] < len(raw)]] = True
+    at = np.flatnonzero(lead)
+    code = raw[at].astype(np.uint32)
+    wide = np.flatnonzero(code > 127)
+    first = code[wide]
+    size = 2 + (first >= 0xE0) + (first >= 0xF0)
+    value = first & (0x7F >> size).astype(np.uint32)
+    for k in (1, 2, 3):
+        on = size > k
+        after = raw[np.minimum(at[wide[on]] + k, len(raw) - 1)].astype(np.uint32)
+        value[on] = value[on] << np.uint32(6) | after & np.uint32(0x3F)
+    code[wide] = np.where(value > 0x10FFFF, 0xFFFD, value)
+    return code, np.concatenate([[0], np.cumsum(lead, dtype=np.int64)])[bounds]
+
+
 def sentences(column: pa.Array) -> Sentences:
-    raw, bounds = B.text_bytes(column)
-    keep = B.ALNUM | ~B.NOT_SPACE
-    kept = keep[raw]
-    ends = np.cumsum(_ENDS[raw], dtype=np.int64)[kept]
-    shift = np.concatenate([[0], np.cumsum(kept, dtype=np.int64)])
-    text = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(bounds) - 1,
-        [None, pa.py_buffer(shift[bounds].tobytes()), pa.py_buffer(raw[kept].tobytes())],
-    )
-    words = B.split_words(text, B.ALNUM, B.LOWER)
-    data, start, end, doc = words.data, words.start, words.end, words.documents()
+    code, bounds = characters(*B.text_bytes(column))
+    kind = _ASCII_KIND[np.minimum(code, 127)]
+    wide = np.flatnonzero(code > 127)
+    kind[wide] = _KINDS[np.searchsorted(_KIND_FROM, code[wide], "right") - 1]
+    kept = kind != _DROPPED
+    ends = np.cumsum(np.isin(code, _ENDS), dtype=np.int64)[kept]
+    bounds = np.concatenate([[0], np.cumsum(kept, dtype=np.int64)])[bounds]
+    data, mine = code[kept], kind[kept] == _LETTER
+    data[(data >= 65) & (data <= 90)] += 32
+    if len(data):
+        data = data.astype(np.min_scalar_type(data.max()))
+    cut = np.zeros(len(data) + 1, dtype=bool)  # before each character
+    cut[bounds] = True
+    white = np.concatenate([[True], ~mine, [True]])
+    start = np.flatnonzero(mine & (white[:-2] | cut[:-1]))
+    end = np.flatnonzero(mine & (white[2:] | cut[1:])) + 1
+    counts = np.diff(np.searchsorted(start, bounds))
+    doc = np.repeat(np.arange(len(counts)), counts)
     length = end - start
     sent = ends[start] if len(start) else start
     # Four or more single letters in a row are one more word.
@@ -88,7 +142,7 @@ def sentences(column: pa.Array) -> Sentences:
     if extra:
         joined = [data[start[a : b + 1]] for a, b in extra]
         at = len(data) + np.concatenate([[0], np.cumsum([len(x) for x in joined])])
-        data = np.concatenate([data, *joined, np.zeros(8, np.uint8)])
+        data = np.concatenate([data, *joined])
         first = np.array([a for a, _ in extra])
         start, end = np.concatenate([start, at[:-1]]), np.concatenate([end, at[1:]])
         doc, sent = np.concatenate([doc, doc[first]]), np.concatenate([sent, sent[first]])
@@ -102,21 +156,33 @@ def sentences(column: pa.Array) -> Sentences:
         end = np.concatenate([end[short], np.minimum(start[owner] + step + _WIDTH, end[owner])])
         start = np.concatenate([start[short], start[owner] + step])
         doc, sent = (np.concatenate([x[short], x[owner]]) for x in (doc, sent))
+    each = data.itemsize
+    spans = np.concatenate([data.view(np.uint8), np.zeros(8, np.uint8)])
     _, one, word = np.unique(
-        B.span_hashes(data, start, end), return_index=True, return_inverse=True
+        B.span_hashes(spans, start * each, end * each), return_index=True, return_inverse=True
     )
-    chars = np.zeros((len(one), _WIDTH), dtype=np.uint8)
+    chars = np.zeros((len(one), _WIDTH), dtype=data.dtype)
     size = end[one] - start[one]
     for k in range(int(size.max()) if len(one) else 0):
         on = size > k
         chars[on, k] = data[start[one][on] + k]
-    return Sentences(chars, word, sent, doc, words.counts)
+    return Sentences(chars, word, sent, doc, counts)
+
+
+def _codes(word: str | bytes) -> np.ndarray:
+    """Code points of a word, of the smallest type."""
+    codes = np.array([*word] if isinstance(word, bytes) else [ord(c) for c in word], np.uint32)
+    return codes.astype(np.min_scalar_type(codes.max()))
+
 
+def _word(row: np.ndarray) -> str:
+    return "".join(map(chr, row[row > 0].tolist()))
 
-def subsequence_kernel(chars: np.ndarray, landmark: bytes, decay: float) -> np.ndarray:
+
+def subsequence_kernel(chars: np.ndarray, landmark: str | bytes, decay: float) -> np.ndarray:
     """Kernel of each row of characters (0 behind the end) with one string."""
     n, m, d2 = len(chars), len(landmark), decay * decay
-    target = np.frombuffer(landmark, dtype=np.uint8)
+    target = _codes(landmark)
     # above[i][:, j]: subsequences of i characters within the row so far and the first j of
     # the landmark, weighted from their first character to the end of both.
     above = [np.ones((n, m + 1))] + [np.zeros((n, m + 1)) for _ in range(_P - 1)]
@@ -132,10 +198,11 @@ def subsequence_kernel(chars: np.ndarray, landmark: bytes, decay: float) -> np.n
     return total
 
 
-def common_length(chars: np.ndarray, landmark: bytes) -> np.ndarray:
+def common_length(chars: np.ndarray, landmark: str | bytes) -> np.ndarray:
     """Length of the longest common subsequence of each row with the landmark, bit-parallel."""
-    table = np.zeros(256, dtype=np.uint64)
-    for k, c in enumerate(landmark):
+    codes = _codes(landmark)
+    table = np.zeros(max(255, int(codes.max()), int(chars.max(initial=0))) + 1, dtype=np.uint64)
+    for k, c in enumerate(codes):
         table[c] |= np.uint64(1 << k)
     full = np.uint64((1 << len(landmark)) - 1)
     state = np.full(len(chars), full)
@@ -145,24 +212,42 @@ def common_length(chars: np.ndarray, landmark: bytes) -> np.ndarray:
     return len(landmark) - np.bitwise_count(state).astype(np.int64)
 
 
-def kernel_values(chars: np.ndarray, landmarks: list[bytes], decay: float) -> np.ndarray:
-    """Kernel of each word with each landmark, divided by the landmark's own, 0 or ``_LEAST`` to 1."""
+def shortest_span(chars: np.ndarray, landmark: str | bytes) -> np.ndarray:
+    """Characters from first to last where a row holds the landmark closest together, or many."""
+    codes = _codes(landmark)
+    begun = np.full((len(chars), len(codes) + 1), -_FAR)  # latest start of the first j characters
+    span = np.full(len(chars), _FAR)
+    for at, x in enumerate(chars.T):
+        begun[:, 0] = at
+        begun[:, 1:] = np.where(x[:, None] == codes, begun[:, :-1], begun[:, 1:])
+        span = np.minimum(span, at + 1 - begun[:, -1])
+    return span
+
+
+def kernel_values(chars: np.ndarray, landmarks: list[str], decay: float) -> np.ndarray:
+    """Kernel of each word with each landmark, divided by the landmark's own: 0, or ``_LEAST`` to 1.
+
+    A landmark with at most one more character between every two of its own has ``_LEAST``.
+    """
     out = np.zeros((len(chars), len(landmarks)))
-    bit = np.uint64(1) << (np.arange(256, dtype=np.uint64) & np.uint64(63))
-    mask = np.bitwise_or.reduce(np.where(chars > 0, bit[chars], np.uint64(0)), axis=1)
+    bit = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    mask = np.bitwise_or.reduce(np.where(chars > 0, bit[chars & 63], np.uint64(0)), axis=1)
     for k, mark in enumerate(landmarks):
-        letters = np.bitwise_or.reduce(bit[np.frombuffer(mark, np.uint8)])
+        letters = np.bitwise_or.reduce(bit[_codes(mark) & 63])
         need = int(np.bitwise_count(letters)) - 1  # one character may be missing
         near = np.flatnonzero(np.bitwise_count(mask & letters) >= need)
         near = near[common_length(chars[near], mark) >= max(_P, len(mark) - 1)]
         if len(near):
-            own = subsequence_kernel(np.frombuffer(mark, np.uint8)[None], mark, decay)[0]
-            out[near, k] = subsequence_kernel(chars[near], mark, decay) / own
-    out[out < _LEAST] = 0
+            own = subsequence_kernel(_codes(mark)[None], mark, decay)[0]
+            value = subsequence_kernel(chars[near], mark, decay) / own
+            weak = np.flatnonzero(value < _LEAST)
+            whole = shortest_span(chars[near[weak]], mark) < 2 * len(mark)
+            value[weak] = np.where(whole, _LEAST, 0)
+            out[near, k] = value
     return np.minimum(out, 1)
 
 
-def suspicious(column: pa.Array, landmarks: list[bytes], decay: float):
+def suspicious(column: pa.Array, landmarks: list[str], decay: float):
     """Document and features of each sentence with a word close to a landmark; words per text."""
     s = sentences(column)
     values = kernel_values(s.chars, landmarks, decay)
@@ -178,7 +263,7 @@ def suspicious(column: pa.Array, landmarks: list[bytes], decay: float):
     return place[0], features, s.counts
 
 
-def _parts(word: bytes) -> set[bytes]:
+def _parts(word: str) -> set[str]:
     return {
         word[k : k + size]
         for size in range(_P, min(10, len(word)) + 1)
@@ -186,15 +271,15 @@ def _parts(word: bytes) -> set[bytes]:
     }
 
 
-def choose_landmarks(texts: list[str | None], toxic: np.ndarray, most: int) -> list[bytes]:
+def choose_landmarks(texts: list[str | None], toxic: np.ndarray, most: int) -> list[str]:
     """Word parts whose words stand more often in positive documents, by greedy cover."""
     n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
     least = (2 if n1 > 3 else 1) / n1
-    lift: dict[bytes, float] = {}
+    lift: dict[str, float] = {}
     positive: Counter = Counter()
     for text, label in zip(texts, toxic, strict=True):
         s = sentences(pa.array([text], pa.string()))
-        words = {w for row in s.chars if len(w := row.tobytes().rstrip(b"\0")) >= _P}
+        words = {w for row in s.chars if len(w := _word(row)) >= _P}
         if label:
             positive.update(words)
         # A word must be three times as common in positive documents to speak for a part.
@@ -207,7 +292,7 @@ def choose_landmarks(texts: list[str | None], toxic: np.ndarray, most: int) -> l
     for word, change in lift.items():
         for p in _parts(word) & cover.keys():
             cover[p] += change
-    chosen: list[bytes] = []
+    chosen: list[str] = []
     floor = 0.05 * max(cover.values(), default=0)
     cover = {p: c for p, c in cover.items() if c > floor}
     while cover and len(chosen) < most:
@@ -225,7 +310,7 @@ def choose_landmarks(texts: list[str | None], toxic: np.ndarray, most: int) -> l
 
 @dataclass
 class ToxicityModel:
-    landmarks: list[bytes]
+    landmarks: list[str]
     decay: float
     weights: np.ndarray  # on kernel values: Nyström map times SVM weights
     bias: float
@@ -248,11 +333,11 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.evidence(column) @ self.judge, -50, 50)))
 
 
-def nystrom_map(landmarks: list[bytes], decay: float) -> np.ndarray:
+def nystrom_map(landmarks: list[str], decay: float) -> np.ndarray:
     """Inverse root of the landmarks' kernel matrix, for values divided by own kernels."""
-    chars = np.zeros((len(landmarks), _WIDTH), dtype=np.uint8)
+    chars = np.zeros((len(landmarks), _WIDTH), dtype=np.uint32)
     for k, mark in enumerate(landmarks):
-        chars[k, : len(mark)] = np.frombuffer(mark, np.uint8)
+        chars[k, : len(mark)] = _codes(mark)
     raw = np.stack([subsequence_kernel(chars, mark, decay) for mark in landmarks])
     root = np.sqrt(np.diag(raw))
     values, vectors = np.linalg.eigh(raw / np.outer(root, root))

@@ -79,6 +79,36 @@ def test_gapped_insults_are_found(corpus):
     assert (score[:4] > 0.7).all() and (score[4:] < 0.2).all()
 
 
+def test_insertions_between_every_two_letters():
+    def values(*words):
+        s = toxicity_ssk.sentences(pa.array(words))
+        first = np.flatnonzero(np.append(True, np.diff(s.doc)))
+        return toxicity_ssk.kernel_values(s.chars, ["idiot", "worthless", "chón"], 0.8)[s.word[first]]
+
+    hit = values("ixdxixoxt", "idxixot", "wxoxrxtxhxlxexsxs", "cxhxóxn", "éidéiéoét")
+    assert (hit >= 0.6).tolist() == [[True, False, False]] * 2 + [[False, True, False], [False, False, True],
+                                     [True, False, False]]
+    assert not values("ixxxdxxxixxxoxxxt", "rose", "idxixo").any()
+
+
+@pytest.mark.parametrize("mark", ["\u200b", "\u00b7", "\u00ad", "\u2060", "\ufeff", "\u2014", "\u0336", "\U0001f4a9"])
+def test_marks_beyond_ascii_are_dropped_from_words(mark):
+    texts = ["such an " + mark.join("idiot") + " he is", f"id{mark}iot", None, mark, "é\u00a0" + mark]
+    s = toxicity_ssk.sentences(pa.array(texts))
+    forms = ["".join(map(chr, row[row > 0])) for row in s.chars]
+    found = sorted((int(d), forms[w]) for d, w in zip(s.doc, s.word, strict=True))
+    assert found == sorted([*((0, w) for w in "such an idiot he is".split()), (1, "idiot"), (4, "é")])
+    assert s.counts.tolist() == [5, 1, 0, 0, 1]
+
+
+def test_stretched_insults_are_toxic(corpus):
+    docs, labels = corpus
+    train = [d for d in docs if d["doc_id"] in labels and fold(d["doc_id"], 3) != 1][:1500]
+    model = toxicity_ssk.fit([d["text"] for d in train], np.array([labels[d["doc_id"]]["toxic"] for d in train]))
+    texts = [f"such a {c.join('loser')} he is" for c in ("\u200b", "\u00b7", "x")] + ["such a los\u200ber he is"]
+    assert (model.scores(pa.array(texts)) > 0.7).all()
+
+
 def test_toxicity_on_held_out_rows(spark, corpus):
     _, labels = corpus
     rows = registered.op2_toxicity(spark, SF).collect()
