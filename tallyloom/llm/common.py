@@ -35,16 +35,25 @@ def parts_for(size: int, each: int, least: int) -> int:
     return max(least, -(-size // each))
 
 
+def _stretch(size: int) -> Column:
+    """The text, or ``size`` bytes of a longer one, without the characters cut at its ends."""
+    more = F.octet_length("text") - size
+    place = F.pmod(F.xxhash64("doc_id", F.lit("place")), more + 1).cast("int") + 1
+    part = F.substring(F.col("text").cast("binary"), place, F.lit(size)).cast("string")
+    return F.when(more > 0, F.trim(F.make_valid_utf8(part), F.lit("\ufffd"))).otherwise(F.col("text"))
+
+
 def labelled_sample(
     docs: DataFrame, known: DataFrame, folds: int, held: int, sample: int, size: int
 ) -> pa.Table:
-    """At most ``sample`` documents of each label, of at most ``size`` bytes: text and label.
+    """At most ``sample`` documents of each label, at most ``size`` bytes of each: text and label.
 
     ``known`` has doc_id and label. Documents of the held-out fold, and rows without id or
     label, take no part. Rows of one document count once, with the largest label. Documents are
     chosen by a hash of their id, so the choice is the same on every run. First ids alone are
     chosen: a share of the hashes that leaves about twice the sample of each label, and the
-    smallest of these; so the window sees a bounded number of rows. Then their texts are read.
+    smallest of these; so the window sees a bounded number of rows. Then their texts are read, of
+    a longer one a stretch of ``size`` bytes at a place given by the hash of its id.
     """
     known = (
         known.select(F.col("doc_id").cast("long").alias("doc_id"), "label")
@@ -52,8 +61,7 @@ def labelled_sample(
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    short = documents(docs).filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= size)
-    known = known.join(short.select("doc_id"), "doc_id", "left_semi")
+    known = known.join(documents(docs).select("doc_id"), "doc_id", "left_semi")
     known = stage(known.withColumn("_h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))), "labelled")
     sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("_all"))  # one row a label
     share = F.lit(2.0 * sample * (1 << 40)) / F.col("_all")
@@ -61,5 +69,6 @@ def labelled_sample(
     order = Window.partitionBy("label").orderBy("_h", "doc_id")
     chosen = some.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample)
     chosen = stage(chosen.select("doc_id", "label"), "sample")  # ``sample`` rows a label at most
-    rows = short.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = documents(docs).join(F.broadcast(chosen), "doc_id")
+    rows = rows.withColumn("text", _stretch(size)).dropDuplicates(["doc_id"])
     return rows.orderBy("doc_id").select("text", "label").toArrow()

@@ -24,7 +24,7 @@ or more one-letter words in a row are one word too. Words over 32 characters are
 windows of 32 that overlap by half, so whole texts are covered.
 
 Bounds: the fit takes at most ``sample`` documents a class, of at most ``sample_bytes`` each,
-chosen by the hash of their id. Scoring reads the text only.
+chosen by the hash of their id (of a longer one, a stretch). Scoring reads the text only.
 
 Edge cases
   * Null and empty texts, or texts without a suspicious word, get the score of no evidence.

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shared import TEXTS, by_key, documents
 
 from tallyloom.llm import language_crf, neighbour_voting, registered, toxicity_ssk
+from tallyloom.llm.common import labelled_sample
 
 SF = "/root/testdata/sf0.1"
 
@@ -142,6 +143,30 @@ def test_toxicity_without_both_classes(spark, known):
     assert toxicity_ssk.score_toxicity(documents(spark, []), model).collect() == []
 
 
+def test_labels_of_long_documents_stay_in_the_sample(spark):
+    long = " ".join(f"é{k}日" for k in range(5000))
+    docs = documents(spark, [(1, "short"), (2, long), (3, long), (4, None), (2, long)])
+    known = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "d")], "doc_id long, label string")
+    rows = labelled_sample(docs, known, 1, 1, 10, 1000).to_pylist()
+    texts = [(r["label"], r["text"]) for r in rows if r["label"] != "b"]
+    assert texts == [("a", "short"), ("c", None)]
+    parts = [r["text"] for r in rows if r["label"] == "b"]
+    assert len(set(parts)) == 2  # not at the same place
+    assert all(p in long and 990 <= len(p.encode()) <= 1000 for p in parts)
+    assert rows == labelled_sample(docs, known, 1, 1, 10, 1000).to_pylist()
+
+
+def test_models_know_labels_of_long_documents_alone(spark):
+    base = [(k, "der hund und die katze " * 3) for k in range(4)] + [(k, "le chien et le chat " * 900) for k in range(4, 8)]
+    docs = documents(spark, base).drop("score")
+    lang = docs.withColumn("lang", F.when(F.col("doc_id") < 4, "de").otherwise("fr"))
+    model = language_crf.fit_languages(lang, folds=1, held=1)
+    assert model.languages == ["de", "fr"]
+    far = documents(spark, [(k, t * 3) for k, t in base])
+    known = labels_of(spark, [(k, int(k < 4), int(k < 4), "t", 0) for k, _ in base])
+    assert sorted(neighbour_voting.fit_quality(far, known, folds=1, held=1).labels) == [0] * 4 + [1] * 4
+
+
 # --- quality ---------------------------------------------------------------------------------
 
 
