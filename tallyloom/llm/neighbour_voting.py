@@ -2,8 +2,10 @@
 
 A document's terms are the shapes of its words (runs of capitals, small letters, digits,
 characters beyond ASCII, and other characters, each run as one), pairs of neighbouring
-shapes, and marks for words that repeat the word before. Terms are hashed to ``TERMS`` columns
-and weighted by log counts and inverse document frequency. A singular value decomposition of
+shapes, and marks for words that repeat the word before; and its words (letters and digits, A-Z
+lower-cased) and pairs of neighbouring words. Terms are hashed to ``TERMS`` columns for shapes and
+as many for words, and weighted by log counts and inverse document frequency; the words' part
+has the length ``_SHARE`` of the shapes' part. A singular value decomposition of
 a labelled sample gives the latent space. The labelled vectors (a bounded sample) are
 broadcast; each document's vector meets all of them in exact blocked cosine products, and its
 ``k`` nearest vote with their similarity as weight.
@@ -30,6 +32,8 @@ from tallyloom.llm import batches as B
 from tallyloom.llm.common import documents, labelled_sample
 
 TERMS = 4096
+#: Of words against shapes.
+_SHARE = 0.5
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[65:91], _SHAPE[97:123], _SHAPE[48:58] = ord("A"), ord("a"), ord("0")
 _SHAPE[128:] = 128
@@ -37,7 +41,7 @@ _SHAPE[9:14] = 32
 
 
 def term_counts(column: pa.Array) -> np.ndarray:
-    """Counts of the hashed terms, a row per text."""
+    """Counts of the hashed terms, a row per text: of shapes, then of words."""
     words = B.split_words(column, B.NOT_SPACE, B.LOWER)
     same = words.hashes()
     again = np.zeros(len(same), dtype=bool)
@@ -55,14 +59,24 @@ def term_counts(column: pa.Array) -> np.ndarray:
         [None, pa.py_buffer(cuts.astype(np.int64).tobytes()), pa.py_buffer(shape[keep].tobytes())],
     )
     shapes = B.split_words(short, B.NOT_SPACE)
-    one = shapes.hashes()
-    starts = B.window_starts(shapes.first, 2)
+    marks = np.full(int(again.sum()), 7, np.int64), words.documents()[again]
+    out = np.empty((len(column), 2 * TERMS), np.float32)
+    spelled = B.split_words(column, B.ALNUM, B.LOWER)
+    for k, (term, doc) in enumerate((_ones_and_pairs(shapes), _ones_and_pairs(spelled))):
+        if not k:
+            term, doc = np.concatenate([term, marks[0]]), np.concatenate([doc, marks[1]])
+        flat = np.bincount(doc * TERMS + term, minlength=len(column) * TERMS)
+        out[:, k * TERMS : (k + 1) * TERMS] = flat.reshape(len(column), TERMS)
+    return out
+
+
+def _ones_and_pairs(words: B.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Column and document of each word and each pair of neighbouring words."""
+    one, doc = words.hashes(), words.documents()
+    starts = B.window_starts(words.first, 2)
     two = B.window_hashes(one, 2)[starts] if len(starts) else one[:0]
-    doc = shapes.documents()
-    term = np.concatenate([one, two, np.full(int(again.sum()), 7, np.uint64)]) % np.uint64(TERMS)
-    doc = np.concatenate([doc, doc[starts], words.documents()[again]])
-    flat = np.bincount(doc * TERMS + term.astype(np.int64), minlength=len(column) * TERMS)
-    return flat.reshape(len(column), TERMS).astype(np.float32)
+    term = np.concatenate([one, two]) % np.uint64(TERMS)
+    return term.astype(np.int64), np.concatenate([doc, doc[starts]])
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -70,6 +84,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
+def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    x = np.log1p(counts) * idf
+    return _unit(np.hstack([_unit(x[:, :TERMS]), np.float32(_SHARE) * _unit(x[:, TERMS:])]))
+
+
 @dataclass
 class NeighbourModel:
     idf: np.ndarray
@@ -79,7 +98,7 @@ class NeighbourModel:
     k: int
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        return _unit(_unit(np.log1p(counts) * self.idf) @ self.space)
+        return _unit(_weighted(counts, self.idf) @ self.space)
 
     def scores(self, column: pa.Array, block: int = 512) -> np.ndarray:
         share = float(self.labels.mean()) if len(self.labels) else 0.0
@@ -87,7 +106,10 @@ class NeighbourModel:
         k = min(self.k, len(self.labels))
         if not k:
             return out
-        mine = self.latent(term_counts(column))
+        cuts = range(0, len(column), block)  # counts are wide, so not of all short texts at once
+        none = np.zeros((0, self.space.shape[1]), np.float32)
+        parts = (self.latent(term_counts(column.slice(low, block))) for low in cuts)
+        mine = np.concatenate([none, *parts])
         some = np.flatnonzero((mine != 0).any(axis=1))
         for low in range(0, len(some), block):
             rows = some[low : low + block]
@@ -116,10 +138,10 @@ def fit(texts: list[str | None], labels: np.ndarray, dims: int = 48, k: int = 25
     """The latent space and the labelled vectors of a sample."""
     labels = np.asarray(labels, dtype=np.float32)
     groups = [texts[i : i + 500] for i in range(0, len(texts), 500)]
-    empty = np.zeros((0, TERMS), np.float32)
+    empty = np.zeros((0, 2 * TERMS), np.float32)
     counts = np.concatenate([empty, *(term_counts(pa.array(g, pa.string())) for g in groups)])
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    x = _unit(np.log1p(counts) * idf)
+    x = _weighted(counts, idf)
     space = right_singular(x, dims)
     model = NeighbourModel(idf, space, np.zeros((0, space.shape[1]), np.float32), labels, k)
     model.vectors = model.latent(counts)

@@ -198,6 +198,16 @@ def test_neighbours_vote_by_similarity():
     assert model.scores(probe, block=1) == pytest.approx(expected, abs=1e-5)
 
 
+def test_quality_of_plain_words():
+    kinds = ["cheap pills casino bonus winner click offer deal".split(), "river museum garden engine painter village".split()]
+    common = "the a of in and to with for on by".split()
+    rng = np.random.default_rng(3)
+    y = np.arange(300) % 2
+    texts = [" ".join(rng.choice(kinds[k] if rng.random() < 0.4 else common) for _ in range(40)) for k in y]
+    model = neighbour_voting.fit(texts[:200], y[:200])
+    assert np.mean((model.scores(pa.array(texts[200:])) > 0.5) == y[200:]) > 0.95
+
+
 def test_quality_edges(spark):
     docs = documents(spark)
     known = [(6, 1, 0, "t", 0), (6, 0, 0, "t", 0), (10, 0, 0, "t", 0), (None, 1, 0, "t", 0), (9, None, 0, "t", 0)]
