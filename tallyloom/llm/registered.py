@@ -14,10 +14,13 @@ from tallyloom.llm import (
     language_crf,
     line_runs,
     neighbour_voting,
+    piece_agenda,
     signature_tree,
+    spelling_bitsets,
     string_tiling,
     sum_of_squares,
     toxicity_ssk,
+    weighted_whitening,
 )
 from tallyloom.llm.common import read, remainder
 
@@ -109,6 +112,29 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_tree.near_duplicates(read(spark, sf_dir, "documents"), k=5, threshold=80)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words at one error from a word five times as frequent, and the words they come from."""
+    return spelling_bitsets.variant_groups(read(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the first 32 principal components, with unit variance."""
+    return weighted_whitening.by_component(weighted_whitening.whiten(read(spark, sf_dir, "embeddings")))
+
+
+def piece_model_path() -> str:
+    """The merge-type model file, a parameter of the encoding operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every text, compared with the library's."""
+    docs = read(spark, sf_dir, "documents")
+    return piece_agenda.digest(piece_agenda.code_texts(docs, piece_model_path(), check=True))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
@@ -121,6 +147,9 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_line_dedup": op9_line_dedup,
         "op10_ngram_join": op10_ngram_join,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_whitening": op12_whitening,
+        "op13_pieces": op13_pieces,
     }
 
 
@@ -203,10 +232,60 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)"""
 
 
+def _crc_table() -> list[int]:
+    """The table of crc32, from its rule."""
+    out = []
+    for k in range(256):
+        for _ in range(8):
+            k = k >> 1 ^ (0xEDB88320 if k & 1 else 0)
+        out.append(k)
+    return out
+
+
+_OP11 = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, {_UPPER}, {_LOWER}) AS run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  GROUP BY ALL),
+spelled AS (SELECT *, hex(encode(doc_id || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, k, xor(list_reduce(
+           [4294967295::BIGINT] || [('0x' || x[2 * i + 1:2 * i + 2])::BIGINT FOR i IN range(0, len(x) // 2)],
+           lambda c, b: xor(c >> 8, ({_crc_table()}::BIGINT[])[1 + (xor(c, b) & 255)])), 4294967295) AS h
+  FROM spelled),
+cut AS (
+  SELECT k, CASE WHEN h % 199 = 0
+                 THEN substring(run, 1, (h % length(run))::INT) || substring(run, (h % length(run))::INT + 2)
+                 ELSE run END AS word
+  FROM hashed),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM cut WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+less AS (
+  SELECT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(0, length(word)))::INT AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n
+  FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT less.word, words.word, words.n FROM less JOIN words ON rest = words.word
+  UNION SELECT words.word, less.word, less.n FROM less JOIN words ON rest = words.word),
+best AS (
+  SELECT word, count(*) AS n_near, min({{'order': -other_n, 'form': other}}) AS b FROM near GROUP BY word),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -b['order'] >= 5 * n THEN b.form END AS form, CASE WHEN -b['order'] >= 5 * n THEN -b['order'] END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+follow AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT follow.word, forms.form FROM follow JOIN forms ON forms.word = follow.root WHERE forms.form IS NOT NULL),
+roots AS (SELECT follow.word, root FROM follow JOIN forms ON forms.word = root WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_substring_dedup": _OP4,
         "op6_topk_search": _OP6,
         "op9_line_dedup": _OP9,
         "op10_ngram_join": _OP10,
+        "op11_spelling_variants": _OP11,
     }
