@@ -97,7 +97,7 @@ def test_empty_tables(spark, tmp_path):
 
 def test_all_operators_are_registered():
     names = set(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None
     assert set(registered.oracle_sql()) <= names
