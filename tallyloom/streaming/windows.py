@@ -15,7 +15,7 @@ def _bounded(events: DataFrame, time: str, delay: str) -> DataFrame:
 
 
 def sessions(events: DataFrame, user: str, time: str, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
-    """Activity of each user between pauses of at least ``gap``.
+    """Activity of each user between pauses longer than ``gap``.
 
     Sessions of equal neighbours are merged before the shuffle too, so a user with a third of all
     events sends one row per session and task. Events without user or time are in no session.

@@ -261,7 +261,7 @@ tiers AS (
 
 _SESSIONS = """
 WITH marked AS (
-    SELECT user_id, ts, coalesce(ts >= lag(ts) OVER w + INTERVAL 30 MINUTES, true)::INT AS fresh
+    SELECT user_id, ts, coalesce(ts > lag(ts) OVER w + INTERVAL 30 MINUTES, true)::INT AS fresh
     FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM marked)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_at, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_at,
