@@ -280,7 +280,7 @@ class PieceCoder:
 def _coding_tasks(path: str, check: bool):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = None
-        for part in B.pieces(parts):
+        for part in B.pieces(parts, limit=2 * B.PIECE):
             coder = coder or PieceCoder(path)
             ids, cuts = coder.encode(part.column(1))
             split = [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
