@@ -9,16 +9,20 @@ that cannot link:
    shingles are missing there. Of the shingles below a point in hash space (a half of them),
    all but ``slack`` must then stand in some other set too. One packed shuffle of that half
    counts this, and leaves the families that can have a partner.
-3. Two linked sets share one of their ``slack + 1`` first shingles in any order that holds
-   for all; here the rarest among the sets left come first, so that common passages don't
-   count. Components over these shared shingles are the *areas* in which links can lie.
-4. Within an area, blocks of bounded size are joined by trees of bitmaps. An area that fits
-   one block is done. A larger one is joined by chunks, then by chunks of what is left after
-   joined documents are replaced by one of them. Shingles of step 3 whose documents are all joined need no further look; the documents
-   of the others meet in all pairs of chunks, so nothing is missed.
-5. Components over the links found.
-
-A signature tree holds the documents of a block in leaves of 16, neighbours by smallest hash.
+3. Two linked sets share one of their first shingles in any order that holds for all; here the
+   rarest among the sets left come first, so that common passages don't count. Of the larger
+   set ``slack + 1`` shingles must be looked at, of the smaller (or equal) one about half as many,
+   as it lacks less of what the sizes of both demand. A shingle counts if it is among the few of one
+   set, and for the sets whose sizes fit it. Components over these shingles are the *areas* in
+   which links can lie. An area is usually a handful of documents.
+4. Signature trees join the documents of an area: all of it if it fits one block, else first its
+   blocks of ``chunk`` documents, then new blocks of one document of each group found; these two
+   steps join up nearly all of a family of near copies at a cost in proportion to its size. The
+   documents that share a shingle of step 3 with another group still, meet in one block of up to
+   ``block`` documents or 16 MB; only a larger rest is cut, and its parts meet two by two.
+5. Components over the groups that the last step links.
+
+A signature tree holds the documents of a block in leaves of 64, neighbours by smallest hash.
 A node has the OR of its documents' 4,096-bit bitmaps, the range of their sizes, and the most
 shingles that a document lost to bit collisions. Two nodes are traversed together only if
 their sizes and common bits leave room for the overlap a link needs, and they are not joined
@@ -59,7 +63,7 @@ _U = np.uint64
 #: Shingles with a smaller hash are counted in step 2.
 _HALF = _U(1 << 63)
 _WORDS = 64  # 64-bit words of a bitmap
-_LEAF = 16
+_LEAF = 64
 
 
 def slack(n, threshold: int):
@@ -67,6 +71,11 @@ def slack(n, threshold: int):
     return n - (threshold * n + 99) // 100
 
 
+def short_slack(n, threshold: int):
+    """Most elements of a set of ``n`` that a linked set of as many or more may lack."""
+    return n - (2 * threshold * n + 99 + threshold) // (100 + threshold)
+
+
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text in ascending order, and their bounds."""
     words = B.split_words(column, B.NOT_SPACE, B.LOWER)
@@ -201,12 +210,11 @@ class SignatureTree:
 
 
 def _may_link(x, y, threshold: int) -> bool:
-    """Whether documents of two nodes can overlap enough."""
-    need = max(x[3], y[3])
-    if min(x[4], y[4]) * 100 < threshold * need:
+    """Whether documents of two nodes can overlap enough, by their sizes and bits."""
+    if min(x[4], y[4]) * 100 < threshold * max(x[3], y[3]):
         return False
     bits = int(np.bitwise_count(x[2] & y[2]).sum())
-    return (bits + min(x[5], y[5])) * 100 >= threshold * need
+    return (bits + min(x[5], y[5])) * (100 + threshold) >= threshold * (x[3] + y[3])
 
 
 def tree_links(
@@ -224,8 +232,8 @@ def tree_links(
         a, b = np.arange(x[0], x[1]), np.arange(y[0], y[1])
         bits = np.bitwise_count(tree.maps[a][:, None] & tree.maps[b][None]).sum(axis=2)
         room = bits + np.minimum(tree.lost[a][:, None], tree.lost[b][None])
-        need = np.maximum(tree.sizes[a][:, None], tree.sizes[b][None])
-        open_ = (room * 100 >= threshold * need) & (group[a][:, None] != group[b][None])
+        both = tree.sizes[a][:, None] + tree.sizes[b][None]
+        open_ = (room * (100 + threshold) >= threshold * both) & (group[a][:, None] != group[b][None])
         if across:
             open_ &= side[a][:, None] != side[b][None]
         for i, j in zip(*np.nonzero(open_), strict=True):
@@ -263,15 +271,22 @@ def tree_links(
 _LINKS_TYPE = "v long, u long"
 
 
-def _link_block(threshold: int):
+def _link_block(threshold: int, across: bool):
+    """The links between groups of a block; or, if no group is in other blocks, each group's new head."""
+
     def run(table: pa.Table) -> pa.Table:
         ids = table["doc_id"].to_numpy()
         first = [np.frombuffer(x, dtype=_U) for x in table["grams"].to_pylist()]
         order = sorted(range(len(first)), key=lambda r: (first[r][:8].tolist(), ids[r]))
         ids = ids[order]
-        group, side = table["grp"].to_numpy()[order].copy(), table["side"].to_numpy()[order]
+        before, side = table["grp"].to_numpy()[order], table["side"].to_numpy()[order]
+        group = before.copy()
         links = tree_links([first[r] for r in order], group, side, threshold)
-        v, u = ([ids[p] for p, _ in links], [ids[q] for _, q in links])
+        if across:
+            v, u = ([before[p] for p, _ in links], [before[q] for _, q in links])
+        else:
+            moved = group != before
+            v, u = before[moved], group[moved]
         return pa.table([pa.array(v, pa.int64()), pa.array(u, pa.int64())], names=["v", "u"])
 
     return run
@@ -319,23 +334,32 @@ def _prefix_tasks(threshold: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            keys, found = [], part.column("found").to_pylist()
+            keys, short, found = [], [], part.column("found").to_pylist()
             for grams, answers in zip(part.column("grams"), found, strict=True):
                 one = np.frombuffer(grams.as_buffer(), dtype=_U)
                 sets = np.ones(len(one), np.int64)
                 for x in answers:
                     sets[np.frombuffer(x["at"], np.uint32)] = np.frombuffer(x["sets"], np.uint32)
                 first = np.lexsort((one, sets))[: slack(len(one), threshold) + 1]
-                keys.append(one[first[sets[first] > 1]])
+                shared = sets[first] > 1
+                keys.append(one[first[shared]])
+                short.append((np.arange(len(first)) <= short_slack(len(one), threshold))[shared])
             key = B.signed(np.concatenate([np.empty(0, _U), *keys]))
-            doc = np.repeat(ids.astype(np.int64), [len(k) for k in keys])
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc)], ["key", "doc_id"])
+            counts = [len(k) for k in keys]
+            doc, n = np.repeat(ids.astype(np.int64), counts), np.repeat(part.column("n").to_numpy(), counts)
+            short = np.concatenate([np.empty(0, bool), *short])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(doc), pa.array(n), pa.array(short)], ["key", "doc_id", "n", "short"]
+            )
 
     return run
 
 
 def rare_prefixes(sets: DataFrame, threshold: int) -> DataFrame:
-    """(key, doc_id): the rarest ``slack + 1`` shingles of each set that another set has too."""
+    """The rarest ``slack + 1`` shingles of each set, as far as another set has them too.
+
+    Rows are (key, doc_id, n, short); the rarest ``short_slack + 1`` of a set are short.
+    """
     size = 8 * (sets.agg(F.sum("n")).first()[0] or 0)
     answers = (
         sets.select("doc_id", "grams")
@@ -346,12 +370,23 @@ def rare_prefixes(sets: DataFrame, threshold: int) -> DataFrame:
         .agg(F.collect_list(F.struct("at", "sets")).alias("found"))
     )
     return (
-        sets.select("doc_id", "grams")
+        sets.select("doc_id", "n", "grams")
         .join(answers, "doc_id")
-        .mapInArrow(_prefix_tasks(threshold), "key long, doc_id long")
+        .mapInArrow(_prefix_tasks(threshold), "key long, doc_id long, n long, short boolean")
     )
 
 
+def fitting_keys(sets: DataFrame, threshold: int) -> DataFrame:
+    """(key, doc_id, hub): the shingles by which a document may link, and a document they are short in."""
+    keys = stage(rare_prefixes(sets, threshold), "keys")
+    hubs = keys.filter("short").groupBy("key").agg(
+        F.min("doc_id").alias("hub"), F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("shorts")
+    )
+    fits = F.col("short") | ((F.col("n") >= F.col("least")) & (F.col("n") * threshold <= F.col("most") * 100))
+    met = keys.join(stage(hubs, "hubs"), "key").filter(fits)
+    return stage(met.select("key", "doc_id", "hub"), "keys")
+
+
 def _chunks(members: DataFrame, most: int, most_bytes: int) -> DataFrame:
     """Members (doc_id, area, n, ...) with the number of chunks of their area and their own."""
     sizes = stage(
@@ -362,64 +397,74 @@ def _chunks(members: DataFrame, most: int, most_bytes: int) -> DataFrame:
     return members.join(sizes, "area").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "m").cast("int"))
 
 
-def _joined_within(blocks: DataFrame, sets: DataFrame, by: list[str], threshold: int) -> DataFrame:
+def _joined_within(
+    blocks: DataFrame, sets: DataFrame, by: list[str], threshold: int, across: bool = False
+) -> DataFrame:
     """Links within each block of (doc_id, grp, side) rows."""
     return (
         blocks.select("doc_id", "grp", "side", *by)
         .join(sets.select("doc_id", "grams"), "doc_id")
         .groupBy(*by)
-        .applyInArrow(_link_block(threshold), _LINKS_TYPE)
+        .applyInArrow(_link_block(threshold, across), _LINKS_TYPE)
     )
 
 
-def _regrouped(state: DataFrame, links: DataFrame) -> DataFrame:
-    """The state with groups that links join made one."""
-    heads = components(links).select(F.col("node").alias("grp"), F.col("component").alias("head"))
-    return state.join(stage(heads, "heads"), "grp", "left").select(
-        "doc_id", "area", "n", F.coalesce("head", "grp").alias("grp")
-    )
+def _regrouped(state: DataFrame, heads: DataFrame) -> DataFrame:
+    """The state with each group v put into the group u."""
+    moved = stage(heads.select(F.col("v").alias("grp"), F.col("u").alias("head")), "heads")
+    columns = [c for c in state.columns if c != "grp"]
+    return state.join(moved, "grp", "left").select(*columns, F.coalesce("head", "grp").alias("grp"))
 
 
-def similar_sets(sets: DataFrame, threshold: int, chunk: int = 64, block: int = 128) -> DataFrame:
+def similar_sets(sets: DataFrame, threshold: int, chunk: int = 64, block: int = 16_384) -> DataFrame:
     """(node, component) over the linked sets of a staged table (doc_id, n, grams)."""
     most_bytes = 16 << 20
-    keys = stage(rare_prefixes(sets, threshold), "keys")
-    hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"))
-    hubs = stage(hubs.filter("hub != last").select("key", "hub"), "hubs")
-    stars = keys.join(hubs, "key").filter("doc_id != hub")
+    keys = fitting_keys(sets, threshold)
+    stars = keys.filter("doc_id != hub")
     areas = components(stars.select(F.col("doc_id").alias("v"), F.col("hub").alias("u")))
     areas = areas.select(F.col("node").alias("doc_id"), F.col("component").alias("area"))
     state = stage(areas.join(sets.select("doc_id", "n"), "doc_id"), "state")
-    state = _chunks(state.withColumn("grp", F.col("doc_id")), chunk, most_bytes)
-    state = stage(state.withColumn("side", F.lit(0)), "state")
-    links = stage(_joined_within(state, sets, ["area", "chunk"], threshold), "links")
-    wide = state.filter("m > 1")  # the other areas are done
+    state = stage(_chunks(state.withColumn("grp", F.col("doc_id")), chunk, most_bytes), "state")
+    own = state.withColumn("side", F.lit(0))
+    state = stage(_regrouped(state, _joined_within(own, sets, ["area", "chunk"], threshold)), "state")
+    named = state.select(F.col("doc_id").alias("node"), F.col("grp").alias("component"))
+    wide = state.filter("m > 1").drop("m", "chunk")  # the other areas are done
     if wide.isEmpty():
-        return components(links)
+        return named
 
     # One document of each group found so far, in new chunks.
-    wide = stage(_regrouped(wide, links), "state")
     heads = _chunks(wide.filter("doc_id = grp"), chunk, most_bytes).withColumn("side", F.lit(0))
-    more = stage(_joined_within(stage(heads, "heads"), sets, ["area", "chunk"], threshold), "links")
-    wide = stage(_regrouped(wide, more), "state")
+    heads = stage(heads, "heads")
+    wide = stage(_regrouped(wide, _joined_within(heads, sets, ["area", "chunk"], threshold)), "state")
+
+    # What still shares a shingle with another group meets.
+    members = stage(open_members(keys, wide), "members")
+    last = stage(_joined_within(meetings(members, block, most_bytes), sets, ["area", "i", "j"], threshold, True), "links")
+    joined = components(last).select(F.col("node").alias("v"), F.col("component").alias("u"))
+    wide = stage(_regrouped(wide, joined), "state")
+    done = state.filter("m = 1").select(F.col("doc_id").alias("node"), F.col("grp").alias("component"))
+    return done.unionByName(wide.select(F.col("doc_id").alias("node"), F.col("grp").alias("component")))
+
 
-    # What is not joined yet and still shares a prefix shingle meets in all pairs of chunks.
-    shared = keys.join(stage(hubs.select("key"), "keys"), "key").join(wide.select("doc_id", "grp"), "doc_id")
-    shared = stage(shared, "shared")
+def open_members(keys: DataFrame, wide: DataFrame) -> DataFrame:
+    """The documents that share a key with a document of another group."""
+    shared = stage(keys.select("key", "doc_id").join(wide.select("doc_id", "grp"), "doc_id"), "shared")
     mixed = shared.groupBy("key").agg(F.min("grp").alias("a"), F.max("grp").alias("b"))
     mixed = stage(mixed.filter("a != b").select("key"), "mixed")
-    members = shared.join(mixed, "key", "left_semi").select("doc_id").distinct()
-    members = stage(wide.join(members, "doc_id", "left_semi"), "members")
-    meetings = _chunks(members, block, most_bytes).withColumn(
+    open_ = shared.join(mixed, "key", "left_semi").select("doc_id").distinct()
+    return wide.join(open_, "doc_id", "left_semi")
+
+
+def meetings(members: DataFrame, block: int, most_bytes: int) -> DataFrame:
+    """Rows of the blocks in which members meet: one block an area, or pairs of parts of a larger one."""
+    met = _chunks(members, block, most_bytes).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("m") - 1))
     )
-    meetings = meetings.select(
+    return met.select(
         "doc_id", "area", "grp",
         F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
         (F.col("chunk") > F.col("other")).cast("int").alias("side"),
     )
-    last = _joined_within(stage(meetings, "meetings"), sets, ["area", "i", "j"], threshold)
-    return components(links.unionByName(more).unionByName(stage(last, "links")))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:

@@ -176,6 +176,49 @@ def test_large_areas_go_by_chunks(spark):
     assert sorted(classes.items()) == expected
 
 
+def near_copies(copies, words=150):
+    """One family of near copies, most of which differ too much to link with each other."""
+    rng = random.Random(copies)
+    base = [f"w{k}" for k in range(words)]
+    out = []
+    for d in range(copies):
+        text = list(base)
+        for at in rng.sample(range(words), rng.choice([2, 3, 3, 3, 4])):
+            text[at] = f"x{rng.randrange(10**9)}"
+        out.append((d, " ".join(text)))
+    return out
+
+
+def test_meetings_grow_with_the_family(spark, monkeypatch):
+    """Four times the near copies give at most five times the rows that meet; classes stay exact."""
+    seen = []
+    plain = signature_tree.meetings
+
+    def counted(*args):
+        out = plain(*args)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(signature_tree, "meetings", counted)
+    for copies in (250, 1000):
+        texts = near_copies(copies)
+        got = by_key(signature_tree.near_duplicates(documents(spark, texts)), "doc_id", "n_shingles", "component_id")
+        assert got == sorted(brute_classes(texts), key=repr)
+        assert len({c for _, _, c in got}) > 1
+    assert 100 < seen[0] and seen[1] <= 5 * seen[0] and seen[1] <= 1000
+
+
+def test_short_prefixes_are_enough():
+    """Of two sets that link, the smaller one lacks no more than its short slack of the other."""
+    for t in (50, 80, 90, 100):
+        for n in range(1, 200):
+            for more in range(n, 260):
+                least = -(-t * (n + more) // (100 + t))  # the overlap that a link needs
+                if least <= n:
+                    assert n - least <= signature_tree.short_slack(n, t)
+                    assert more - least <= signature_tree.slack(more, t)
+
+
 def test_tree_bounds_lose_nothing():
     rng = np.random.default_rng(4)
     base = np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64))
