@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import stage
 
-__all__ = ["documents", "read", "remainder", "stage", "text_size", "parts_for"]
+__all__ = ["documents", "keyed_documents", "read", "remainder", "row_key", "stage", "text_size", "parts_for"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,6 +20,20 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more)
 
 
+def row_key() -> Column:
+    """The doc_id; for a row without one a number below -2^62 that follows from its text.
+
+    So rows without an id can be judged too: those of one text alike.
+    """
+    of_text = F.pmod(F.xxhash64("text"), F.lit(1 << 62))
+    return F.coalesce(F.col("doc_id").cast("long"), -of_text - F.lit((1 << 62) + 1))
+
+
+def keyed_documents(docs: DataFrame) -> DataFrame:
+    """``documents`` with the row key in the place of doc_id."""
+    return docs.select(row_key().alias("doc_id"), "text")
+
+
 def remainder(n: int) -> Column:
     """crc32 of the id's digits modulo ``n``: the fold of a document."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n

@@ -38,6 +38,7 @@ from tallyloom.llm.common import documents, labelled_sample
 
 COLUMNS = 1 << 16
 CHAIN = 256
+#: Letters, and numbers that are no digits, such as fractions; ``isalpha`` tells them apart.
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -150,7 +151,7 @@ class LanguageModel:
         best = total.argmax(axis=1)
         share = total[np.arange(n), best] / np.maximum(total.sum(axis=1), 1e-9)
         for k, text in enumerate(column.to_pylist()):
-            if text and _LETTER.search(text):
+            if text and any(c.group().isalpha() for c in _LETTER.finditer(text)):
                 out[k], score[k] = self.languages[best[k]], min(float(share[k]), 1.0)
         return out, score
 

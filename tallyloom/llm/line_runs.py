@@ -11,7 +11,8 @@ Definitions and edge cases
   * The key of a line is the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z lower-cased.
     Keys are compared by 128 bits of BLAKE2b. An empty key is never common.
   * A key counts once per document, however often it stands there. Rows that repeat a doc_id
-    are one document. A row without doc_id is not counted and keeps its lines.
+    are one document. A row without doc_id is no document to be counted, but loses the lines that
+    are common among the others, too.
   * An empty table gives an empty result. Columns other than doc_id and text don't matter.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.common import documents, stage
+from tallyloom.llm.common import documents, keyed_documents, row_key, stage
 
 LINE_TYPE = "doc_id long, h1 long, h2 long, batch int"
 
@@ -44,7 +45,7 @@ def _lines(text: bytes | None) -> list[bytes]:
 
 
 def line_hashes(docs: DataFrame, batches: int) -> DataFrame:
-    """The distinct line keys of each document, and the batch that the document is in."""
+    """The distinct line keys of each row, and the batch of its document (-1 without doc_id)."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -52,13 +53,14 @@ def line_hashes(docs: DataFrame, batches: int) -> DataFrame:
             ids = part.column(0).to_pylist()
             for doc, text in zip(ids, part.column(1).cast(pa.binary()), strict=True):
                 keys = {line_key(x) for x in _lines(text.as_py())} - {b""}
-                rows += [(doc, *_digest(key), doc % batches) for key in keys]
+                batch = doc % batches if doc >= -(1 << 62) else -1
+                rows += [(doc, *_digest(key), batch) for key in keys]
             columns = zip(*rows, strict=True) if rows else [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "h1", "h2", "batch"])
 
-    return documents(docs).filter("doc_id is not null").mapInArrow(run, LINE_TYPE)
+    return keyed_documents(docs).mapInArrow(run, LINE_TYPE)
 
 
 class LineRuns:
@@ -132,9 +134,9 @@ def _without(text: bytes | None, drop: list[dict] | None) -> tuple[int, list[byt
 
 
 def _rebuild(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``_drop`` in the last column becomes n_lines, n_dropped and the text that is kept."""
+    """(row, text, drop) become (row, n_lines, n_dropped, kept)."""
     for part in parts:
-        *others, text, drop = part.columns
+        row, text, drop = part.columns
         n_lines, n_dropped, kept = [], [], []
         for t, d in zip(text.cast(pa.binary()), drop, strict=True):
             n, stay = _without(t.as_py(), d.as_py())
@@ -143,54 +145,50 @@ def _rebuild(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(b"\n".join(stay) if n > len(stay) else t.as_py())
         counts = [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
         kept = pa.array(kept, pa.binary()).cast(text.type)
-        names = [*part.schema.names[:-2], "_n_lines", "_n_dropped", "_kept"]
-        yield pa.RecordBatch.from_arrays([*others, *counts, kept], names)
+        yield pa.RecordBatch.from_arrays([row, *counts, kept], ["row", "n_lines", "n_dropped", "kept"])
 
 
 def _rebuilt(docs: DataFrame, min_docs: int) -> DataFrame:
-    """All columns but text, then _n_lines, _n_dropped, _kept (null for a null text).
+    """row (a struct of all columns but text), n_lines, n_dropped, kept (null for a null text).
 
     The table is read twice: for the hashes, and for the texts, which meet the few hashes to
-    drop by doc_id.
+    drop by their row key.
     """
     drops = (
         common_lines(docs, min_docs)
         .dropDuplicates(["doc_id", "h1", "h2"])
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.collect_list(F.struct("h1", "h2")).alias("_drop"))
+        .groupBy(F.col("doc_id").alias("owner"))
+        .agg(F.collect_list(F.struct("h1", "h2")).alias("drop"))
     )
     drops = stage(drops, "drops").hint("shuffle_hash")
-    others = [f"`{c}`" for c in docs.columns if c != "text"]
-    joined = docs.join(drops, docs["doc_id"].cast("long") == drops["_id"], "left")
-    kinds = [f for f in docs.schema.fields if f.name != "text"]
-    kinds += [T.StructField("_n_lines", T.LongType()), T.StructField("_n_dropped", T.LongType())]
-    kinds += [T.StructField("_kept", T.StringType())]
-    return joined.select(*others, "text", "_drop").mapInArrow(_rebuild, T.StructType(kinds))
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))
+    joined = docs.select(others.alias("row"), "text", row_key().alias("key")).join(drops, F.col("key") == F.col("owner"), "left")
+    joined = joined.select("row", "text", "drop")
+    counts = [T.StructField(c, T.LongType()) for c in ("n_lines", "n_dropped")]
+    kinds = T.StructType([joined.schema["row"], *counts, T.StructField("kept", T.StringType())])
+    return joined.mapInArrow(_rebuild, kinds)
 
 
 def drop_common_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """Each document without its common lines: doc_id, n_lines, n_dropped, kept (the text left)."""
     return _rebuilt(documents(docs), min_docs).select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_dropped").alias("n_dropped"),
-        F.coalesce("_kept", F.lit("")).alias("kept"),
+        "row.doc_id", "n_lines", "n_dropped", F.coalesce("kept", F.lit("")).alias("kept")
     )
 
 
 def with_kept_text(docs: DataFrame, min_docs: int = 10) -> DataFrame:
-    """The rows and columns of ``docs`` with the text that is left; a null text stays null.
+    """The rows and columns of ``docs``, whatever their names, with the text that is left.
 
-    ``n_chars``, where the table has it, follows the new text.
+    A null text stays null. ``n_chars``, where the table has it, follows the new text.
     """
-    changed = {"text": F.col("_kept"), "n_chars": F.char_length("_kept")}
     kinds = dict(docs.dtypes)
-    columns = [
-        F.when(F.col("_n_dropped") > 0, changed[c].cast(kinds[c]))
-        .otherwise(F.col("_kept") if c == "text" else F.col(f"`{c}`"))
-        .alias(c)
-        if c in changed
-        else F.col(f"`{c}`")
-        for c in docs.columns
-    ]
-    return _rebuilt(docs, min_docs).select(*columns)
+
+    def column(name: str):
+        if name == "text":
+            return F.col("kept").cast(kinds[name]).alias(name)
+        old = F.col(f"row.`{name}`")
+        if name == "n_chars":
+            old = F.when(F.col("n_dropped") > 0, F.char_length("kept").cast(kinds[name])).otherwise(old)
+        return old.alias(name)
+
+    return _rebuilt(docs, min_docs).select(*map(column, docs.columns))

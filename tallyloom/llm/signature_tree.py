@@ -496,15 +496,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     )
 
 
-def once(kept: DataFrame, docs: DataFrame) -> DataFrame:
-    """``kept`` in the columns of ``docs``, with one of the rows that repeat a doc_id.
+def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The documents that represent their class, in the columns of ``docs``, whatever their names.
 
-    Rows without doc_id all stay. Whether ids repeat at all is seen from the id column alone.
+    Of rows that repeat a doc_id with the same text one stays; rows of one id with different texts
+    all stay, as they are different documents, and rows without doc_id, as no class names them.
+    Whether ids repeat at all is seen from the id column alone.
     """
-    columns = [f"`{c}`" for c in docs.columns]
+    copies = stage(classes.filter("component_id != doc_id").select(F.col("doc_id").alias("copy")), "copies")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, F.col("doc_id").cast("long").alias("key"), "text")
+    kept = rows.join(copies.hint("shuffle_hash"), F.col("key") == F.col("copy"), "left_anti")
     ids = docs.filter("doc_id is not null").groupBy("doc_id").count()
-    if ids.filter("count > 1").isEmpty():
-        return kept.select(*columns)
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    marked = kept.withColumn("_alone", alone)
-    return marked.dropDuplicates(["doc_id", "_alone"]).select(*columns)
+    if not ids.filter("count > 1").isEmpty():
+        lone = F.when(F.col("key").isNull(), F.monotonically_increasing_id())
+        kept = kept.withColumn("lone", lone).dropDuplicates(["key", "text", "lone"])
+    return kept.select("row.*")

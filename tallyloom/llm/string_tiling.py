@@ -15,8 +15,8 @@ joined, with the same result.
 Definitions and edge cases
   * Words are runs of digits, letters A-Z (lower-cased) and characters beyond ASCII.
   * Null or empty texts and items, and items of fewer than ``seed`` words, match nothing.
-  * Repeated rows of a document or an item count once. A row without doc_id or item_id matches
-    nothing. Among matches of one length the first in the document, then in the item, wins.
+  * Repeated rows of a document or an item count once. Rows without doc_id are judged by their text.
+    An item without item_id matches nothing. Among matches of one length the first in the document, then in the item, wins.
   * Empty tables give an empty result or no matches. Other columns don't matter.
 """
 
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import batches as B
-from tallyloom.llm.common import documents, stage
+from tallyloom.llm.common import keyed_documents, row_key, stage
 
 _RUN_TYPE = "id long, at int, seed long, n_words int"
 _TILE_TYPE = (
@@ -128,7 +128,7 @@ def _tile(seed: int):
 def tilings(
     docs: DataFrame, benchmark: DataFrame, seed: int = 4, most_seeds: int = 2_000_000
 ) -> DataFrame:
-    """The tiles of every document and item with a shared run of ``seed`` words."""
+    """The tiles of every document (by its row key) and item with a shared run of ``seed`` words."""
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text").filter("id is not null")
     items = stage(items.mapInArrow(_runs(seed), _RUN_TYPE).distinct(), "items")
     only = None
@@ -138,8 +138,7 @@ def tilings(
         if not len(known):
             known = np.zeros(1, np.uint64)
         only = docs.sparkSession.sparkContext.broadcast(np.sort(known))
-    base = documents(docs).filter("doc_id is not null")
-    shared = base.mapInArrow(_runs(seed, only), _RUN_TYPE).drop("n_words")
+    shared = keyed_documents(docs).mapInArrow(_runs(seed, only), _RUN_TYPE).drop("n_words")
     items = items.select("seed", F.col("id").alias("item_id"), F.col("at").alias("j"), "n_words")
     return (
         shared.withColumnRenamed("id", "doc_id")
@@ -168,9 +167,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5)
     found = leaks(docs, benchmark, coverage).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_items"), best.alias("best")
     )
+    found = stage(found.withColumnRenamed("doc_id", "owner"), "leaks")
     return (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-        .join(stage(found, "leaks"), "doc_id", "left")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"))
+        .join(found, F.col("key") == F.col("owner"), "left")
         .select(
             "doc_id",
             F.col("n_items").isNotNull().alias("contaminated"),
@@ -180,3 +180,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5)
             F.coalesce("best.coverage", F.lit(0.0)).alias("coverage"),
         )
     )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that hold no item, in their columns, whatever their names."""
+    bad = stage(leaks(docs, benchmark, coverage).select(F.col("doc_id").alias("owner")).distinct(), "contaminated")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), row_key().alias("key"))
+    kept = rows.join(bad.hint("shuffle_hash"), F.col("key") == F.col("owner"), "left_anti")
+    return kept.select("row.*")

@@ -44,7 +44,7 @@ def brute_lines(texts, least):
     out = []
     for d, t in texts:
         lines = (t or "").encode().split(b"\n")
-        gone = [d is not None and len(docs[key(x)]) >= least for x in lines]
+        gone = [len(docs[key(x)]) >= least for x in lines]
         kept = [x for x, g in zip(lines, gone, strict=True) if not g]
         out.append((d, len(lines), sum(gone), sha(b"\n".join(kept))))
     return sorted(out, key=repr)
@@ -63,10 +63,20 @@ def test_lines_kept_with_all_columns(spark):
     out = line_runs.with_kept_text(docs, 3)
     assert out.schema.simpleString() == docs.schema.simpleString()
     assert by_key(out, "doc_id", "text", "n_chars") == sorted(
-        [(0, "b0", 2), (1, "b1", 2), (2, "b2", 2), (9, None, 4), (None, "a\nc", 4)], key=repr
+        [(0, "b0", 2), (1, "b1", 2), (2, "b2", 2), (9, None, 4), (None, "c", 1)], key=repr
     )
 
 
+def test_any_column_names_pass_line_dedup(spark):
+    names = ["_id", "_drop", "_kept", "_n_dropped", "row", "key", "owner", "drop", "kept", "a.b"]
+    docs = documents(spark, [(k, f"a\nb{k}") for k in range(3)]).select("doc_id", "text")
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    out = line_runs.with_kept_text(docs, 3)
+    assert out.columns == docs.columns
+    assert sorted(r[1:] for r in out.collect()) == [(f"b{k}", *names) for k in range(3)]
+
+
 def test_runs_are_levelled(spark):
     runs = line_runs.LineRuns(min_docs=3, fanout=2)
     for batch in range(5):
@@ -250,13 +260,14 @@ def test_near_duplicates_of_nothing(spark):
     assert signature_tree.near_duplicates(documents(spark, [])).collect() == []
 
 
-def test_once_keeps_one_of_repeated_rows(spark):
-    docs = documents(spark, [(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c")])
-    out = signature_tree.once(docs, docs)
+def test_one_of_each_class_stays(spark):
+    rows = [(1, "a"), (1, "a"), (1, "other"), (2, "b"), (3, "b"), (None, "c"), (None, "c")]
+    docs = documents(spark, rows).withColumn("_alone", F.lit(0)).withColumn("lone", F.lit(0)).withColumn("row", F.lit(0))
+    classes = spark.createDataFrame([(1, 1), (2, 2), (3, 2)], "doc_id long, component_id long")
+    out = signature_tree.one_of_each(docs, classes)
     assert out.columns == docs.columns
-    assert by_key(out, "doc_id", "text") == sorted(
-        [(1, "a"), (2, "b"), (None, "c"), (None, "c")], key=repr
-    )
+    kept = [(1, "a"), (1, "other"), (2, "b"), (None, "c"), (None, "c")]
+    assert by_key(out, "doc_id", "text") == sorted(kept, key=repr)
 
 
 def test_packed_rows_round_trip():

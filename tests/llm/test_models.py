@@ -269,8 +269,8 @@ def test_language_edges(spark, corpus):
     model = language_crf.fit([d["text"] for d in train], [d["lang"] for d in train])
     by = {(r["doc_id"], r["lang_pred"] == "und") for r in language_crf.label_languages(documents(spark), model).collect()}
     assert {(1, True), (2, True), (3, True), (4, False), (5, False), (11, False)} <= by
-    digits = documents(spark, [(1, "123 45!\n"), (2, "7 x")])
-    assert by_key(language_crf.label_languages(digits, model).withColumn("u", F.expr("lang_pred = 'und'")), "doc_id", "u") == [(1, True), (2, False)]
+    digits = documents(spark, [(1, "123 45!\n"), (2, "7 x"), (3, "½ ² 12 ①"), (4, "½ ⅷ ab")])
+    assert by_key(language_crf.label_languages(digits, model).withColumn("u", F.expr("lang_pred = 'und'")), "doc_id", "u") == [(1, True), (2, False), (3, True), (4, False)]
     assert language_crf.label_languages(documents(spark, []), model).collect() == []
     none = language_crf.fit([], [])
     assert {r["lang_pred"] for r in language_crf.label_languages(documents(spark), none).collect()} == {"und"}

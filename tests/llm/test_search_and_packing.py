@@ -148,10 +148,14 @@ def test_reordered_passages_are_found(spark):
     for most in (2_000_000, 0):  # with the hashes at hand, and by a join of all runs
         tiled = string_tiling.tilings(documents(spark, texts), items, most_seeds=most)
         assert by_key(tiled, "doc_id", "item_id", "covered", "n_words") == [(30, 1, 19, 19), (31, 1, 19, 19), (32, 1, 6, 19)]
+    kept = string_tiling.without_leaks(documents(spark, [*texts, (None, ITEM)]).withColumn("row", F.lit(1)), items)
+    left = [t for t in texts if t[0] not in (30, 31)]
+    assert by_key(kept, "doc_id", "text") == sorted(left, key=repr)
+    texts.append((None, "so " + ITEM))  # without an id, and found all the same
     out = string_tiling.contamination(documents(spark, texts), items)
     assert out.count() == len(texts)
     bad = by_key(out.filter("contaminated").distinct(), "doc_id", "n_items", "item_id", "coverage")
-    assert bad == [(30, 1, 1, 1.0), (31, 1, 1, 1.0)]
+    assert bad == sorted([(30, 1, 1, 1.0), (31, 1, 1, 1.0), (None, 1, 1, 1.0)], key=repr)
     assert string_tiling.contamination(documents(spark, []), items).collect() == []
     assert not string_tiling.leaks(documents(spark, texts), items.limit(0)).collect()
 
