@@ -3,13 +3,17 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes the result of
 each as Parquet in the shared folder and gives it to the next one. All but the last return the
 columns of ``docs`` as they are, whatever these columns are; ``doc_id`` and ``text`` must be
-among them. A row without doc_id goes through all filters, as no decision can name it.
+among them.
+
+Rows without doc_id are scored, lose common lines and are tested for benchmark items like any
+other; only near-duplicate classes can't name them. Null and empty texts, very long ones, repeated
+rows and empty tables are what each operator's docstring says; of rows equal in doc_id and text
+one is left after the near-duplicate stage, and rows of one doc_id with different texts all stay.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyloom.llm import (
     line_runs,
@@ -36,16 +40,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group of near duplicates."""
     classes = signature_tree.near_duplicates(docs, k=5, threshold=80)
-    copies = stage(classes.filter("component_id != doc_id").select("doc_id"), "copies")
-    return signature_tree.once(docs.join(copies.hint("shuffle_hash"), "doc_id", "left_anti"), docs)
+    return signature_tree.one_of_each(docs, classes)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark item."""
-    leaks = string_tiling.leaks(docs, read(spark, sf_dir, "benchmark"))
-    bad = stage(leaks.select("doc_id").distinct(), "contaminated")
-    kept = docs.join(bad.hint("shuffle_hash"), "doc_id", "left_anti")
-    return kept.select(*(f"`{c}`" for c in docs.columns))
+    return string_tiling.without_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
