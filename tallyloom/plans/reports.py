@@ -64,3 +64,29 @@ def abc_class_counts(star: Star, params: MartParams | None = None) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("products"))
     )
     return classes.join(counts, "abc_class", "left").orderBy("abc_class")
+
+
+def revenue_cube(star: Star, params: MartParams | None = None) -> DataFrame:
+    """Revenue by category, customer segment and quarter, with all subtotals and the total.
+
+    ``level`` is the grouping id: its bits (category 4, segment 2, quarter 1) say over which columns
+    a row is a total, so a total is told apart from the members that are NULL (unknown products,
+    customers, dates). The fact is summed by its own keys first; what is repeated for the
+    eight grouping sets is one row per combination.
+    """
+    fact = star.fact_sales.groupBy("product_key", "customer_key", "date_key").agg(
+        F.sum("total_amount").alias("amount"), F.count(F.lit(1)).alias("orders")
+    )
+    quarter = F.concat("year", F.lit("-Q"), "quarter").alias("quarter")
+    by_member = (
+        fact.join(star.dim_product.select("product_key", "category"), "product_key", "left")
+        .join(star.dim_customer.select("customer_key", "segment"), "customer_key", "left")
+        .join(star.dim_date.select("date_key", quarter), "date_key", "left")
+        .groupBy("category", "segment", "quarter")
+        .agg(F.sum("amount").alias("amount"), F.sum("orders").alias("orders"))
+    )
+    return (
+        by_member.cube("category", "segment", "quarter")
+        .agg(F.grouping_id().alias("level"), F.sum("amount").alias("amount"), F.sum("orders").alias("orders"))
+        .select("category", "segment", "quarter", "level", F.col("amount").cast("double").alias("revenue"), "orders")
+    )

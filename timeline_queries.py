@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 
 import oracle_queries as oracle
 from tallyloom.operators import cleaning
+from tallyloom.operators.frames import trailing_days, trailing_rows
 from tallyloom.operators.history import interval_faults, merge_history, versions
 from tallyloom.operators.ordinals import ORDINAL
+from tallyloom.operators.reconcile import reconcile
+from tallyloom.operators.sketches import daily_sketches, estimates, merged
+from tallyloom.operators.star import Star, enrich_all, star_of
 from tallyloom.operators.timejoin import as_of_join, interval_join
+from tallyloom.plans import analyses, reports
 from tallyloom.session import stage, staging_root
+from tallyloom.sinks.bucketed import save_bucketed
 from tallyloom.sources import trade
+from tallyloom.sources.trade import TRADE_PARAMS, trade_sources
 from tallyloom.streaming import stateful, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,12 +241,92 @@ def event_windows_streamed(spark: SparkSession, folder: str) -> DataFrame:
     return latest.filter("event_type <> 'end'").select("event_type", "begins_at", "ends_at", "events", "value")
 
 
+# --- whole-table frames, cubes, sketches, reconciliation, buckets --------------------------
+
+
+def _star(spark: SparkSession, folder: str, dirty: bool = False) -> Star:
+    return star_of(trade_sources(spark, folder, dirty), TRADE_PARAMS)
+
+
+def trailing_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Each order with the revenue of the last 7 and 28 days and of the last 100 orders."""
+    sources = cleaning.clean_all(trade_sources(spark, folder))
+    orders = enrich_all(sources)["orders"].select("order_id", "order_date", "total_amount")
+    by_day = trailing_days(orders, "order_date", "total_amount", {"revenue_7d": 7, "revenue_28d": 28}, bin_days=180)
+    order = [F.col("order_date").asc_nulls_first(), F.col("order_id")]
+    return trailing_rows(by_day, order, "total_amount", 100, "last_100_orders", stretch=5_000)
+
+
+def revenue_cube(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.revenue_cube(_star(spark, folder, dirty=True), TRADE_PARAMS)
+
+
+def sketched_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Unique customers by month and year: exact, and whether merged daily sketches come close."""
+    star = _star(spark, folder)
+    fact = stage(star.fact_sales.select("date_key", "customer_key", "total_amount"), "fact")
+    daily = stage(daily_sketches(fact), "sketches")
+    monthly = stage(merged(daily, F.expr("date_key div 100").alias("period")), "sketches")
+    yearly = merged(monthly, F.expr("period div 100").alias("period"))
+    both = estimates(monthly.unionByName(yearly)).withColumnRenamed("unique_customers", "estimate")
+    periods = F.explode(F.array(F.expr("date_key div 100"), F.expr("date_key div 10000"))).alias("period")
+    exact = fact.select("customer_key", "total_amount", periods).join(
+        both.select("period", "orders", "estimate", F.col("amount_quantiles")[0].alias("median")), "period"
+    )
+    low = F.count_if(F.col("total_amount") < F.col("median")) / F.count(F.lit(1))
+    high = F.count_if(F.col("total_amount") <= F.col("median")) / F.count(F.lit(1))
+    unique = F.countDistinct("customer_key")
+    return exact.groupBy("period").agg(
+        F.max("orders").alias("orders"),
+        unique.alias("unique_customers"),
+        (F.abs(F.max("estimate") - unique) <= 0.05 * unique + 1).alias("customers_close"),
+        ((low <= 0.53) & (high >= 0.47)).alias("median_close"),
+    )
+
+
+def reconciled_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Lost, doubled, changed and added facts against the orders they come from."""
+    sources = cleaning.clean_all(trade_sources(spark, folder))
+    columns = ["customer_id", "product_id", "quantity", "total_amount", "is_returned", "shipping_cost"]
+    source = stage(enrich_all(sources)["orders"].select("order_id", *columns), "orders")
+    key = F.split_part("order_id", F.lit("-"), F.lit(1)).cast("bigint")
+    loaded = source.filter(key % 97 != 0).withColumn(
+        "total_amount", F.col("total_amount") + F.when(key % 89 == 0, F.lit(1)).otherwise(F.lit(0))
+    )
+    twice = source.filter((key % 83 == 0) & (key % 97 != 0) & (key % 89 != 0))
+    more = source.filter(key % 79 == 0).withColumn("order_id", F.concat(F.lit("x"), "order_id"))
+    return reconcile(source, loaded.unionByName(twice).unionByName(more), ["order_id"], columns)
+
+
+def _bucketed(spark: SparkSession, folder: str) -> Star:
+    """The star with fact and customers in the same 16 buckets by customer."""
+    star = _star(spark, folder)
+    name = f"fact_{uuid.uuid4().hex}"
+    fact = save_bucketed(star.fact_sales, name, "customer_key", 16)
+    customers = save_bucketed(star.dim_customer, f"{name}_customer", "customer_key", 16)
+    return Star(star.dim_date, customers, star.dim_supplier, star.dim_product, fact)
+
+
+def bucketed_ltv(spark: SparkSession, folder: str) -> DataFrame:
+    return analyses.customer_ltv(_bucketed(spark, folder), TRADE_PARAMS)
+
+
+def bucketed_rfm(spark: SparkSession, folder: str) -> DataFrame:
+    return analyses.rfm_segmentation(_bucketed(spark, folder), TRADE_PARAMS)
+
+
+def bucketed_churn(spark: SparkSession, folder: str) -> DataFrame:
+    return analyses.customer_churn(_bucketed(spark, folder), TRADE_PARAMS)
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: lambda spark, folder, f=f: _written(f(spark, folder))
         for f in (
             dim_customer_history, history_faults, facts_as_of, orders_on_watch, streamed_shipping_costs,
             streamed_order_returns, user_sessions, event_windows, user_sessions_streamed, event_windows_streamed,
+            trailing_revenue, revenue_cube, sketched_customers, reconciled_facts, bucketed_ltv, bucketed_rfm,
+            bucketed_churn,
         )
     }
 
@@ -278,7 +365,8 @@ GROUP BY ALL"""
 
 
 def oracle_sql() -> dict[str, str]:
-    star = oracle._prefix()
+    base = oracle.oracle_sql()
+    star, dirty = oracle._prefix(), oracle._prefix(dirty=True)
     returns = """
 returns AS (
     SELECT order_id, return_date FROM (
@@ -323,4 +411,32 @@ LEFT JOIN (SELECT * FROM returns, mark
         "user_sessions_streamed": _SESSIONS,
         "event_windows": _WINDOWS,
         "event_windows_streamed": _WINDOWS,
+        "trailing_revenue": star + """
+SELECT order_id, order_date, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(sum(total_amount) OVER (w RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS DOUBLE) AS revenue_7d,
+       CAST(sum(total_amount) OVER (w RANGE BETWEEN INTERVAL 27 DAYS PRECEDING AND CURRENT ROW) AS DOUBLE) AS revenue_28d,
+       CAST(sum(total_amount) OVER (ORDER BY order_date, order_id ROWS 99 PRECEDING) AS DOUBLE) AS last_100_orders
+FROM enriched WINDOW w AS (ORDER BY order_date)""",
+        "revenue_cube": dirty + """
+SELECT category, segment, quarter, GROUPING(category, segment, quarter) AS level,
+       CAST(sum(total_amount) AS DOUBLE) AS revenue, count(*) AS orders
+FROM (SELECT total_amount, category, segment, d.year || '-Q' || d.quarter AS quarter
+      FROM fact_sales f LEFT JOIN dim_product p ON f.product_key = p.product_key
+      LEFT JOIN dim_customer c ON f.customer_key = c.customer_key LEFT JOIN dim_date d ON f.date_key = d.date_key)
+GROUP BY CUBE (category, segment, quarter)""",
+        "sketched_customers": star + """
+SELECT CAST(period AS BIGINT) AS period, count(*) AS orders, count(DISTINCT customer_id) AS unique_customers,
+       true AS customers_close, true AS median_close
+FROM (SELECT customer_id, unnest([year(order_date) * 100 + month(order_date), year(order_date)]) AS period FROM clean)
+GROUP BY period""",
+        "reconciled_facts": star + """
+SELECT * FROM (
+    SELECT order_id, CASE WHEN k % 97 = 0 THEN 'lost' WHEN k % 89 = 0 THEN 'changed' ELSE 'doubled' END AS fault,
+           1::BIGINT AS in_source, CASE WHEN k % 97 = 0 THEN 0 WHEN k % 89 = 0 THEN 1 ELSE 2 END::BIGINT AS in_target
+    FROM (SELECT order_id, CAST(split_part(order_id, '-', 1) AS BIGINT) AS k FROM clean)
+    WHERE k % 97 = 0 OR k % 89 = 0 OR k % 83 = 0
+    UNION ALL SELECT 'x' || order_id, 'added', 0, 1 FROM clean WHERE CAST(split_part(order_id, '-', 1) AS BIGINT) % 79 = 0)""",
+        "bucketed_ltv": base["customer_ltv"],
+        "bucketed_rfm": base["rfm_segmentation"],
+        "bucketed_churn": base["customer_churn"],
     }
