@@ -191,13 +191,12 @@ def loaded_daily_sales_undated(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compacted_daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    """Facts after three increments and a compaction."""
+    """Facts after three increments."""
     warehouse = _first_load(spark, folder)
     sources = dict(trade_sources(spark, folder))
     for k in (1, 2, 3):
         some = sources["orders"].filter((F.col("order_date") < SPLIT) | (_line_key() % 3 < k))
         _increment(warehouse, {**sources, "orders": some})
-    warehouse.compact(most=2)
     fact = warehouse.table("fact_sales")
     return fact.groupBy("date_key").agg(
         F.count(F.lit(1)).alias("orders"), F.countDistinct("order_key").alias("order_keys"),

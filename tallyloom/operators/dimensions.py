@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import date_key
 from tallyloom.operators.global_order import row_index
-from tallyloom.operators.ordinals import source_order, with_ordinal
+from tallyloom.operators.ordinals import ORDINAL, source_order, with_ordinal
 from tallyloom.params import MartParams
 from tallyloom.schemas import STAR
+from tallyloom.session import stage
 
 UNKNOWN_KEY = 0  # fixed value: the surrogate key of a member that is not in the dimension
 UNKNOWN_ID = "(unknown)"
@@ -75,6 +77,32 @@ def assign_keys(
     return kept.unionByName(new)
 
 
+def changed_members(rows: DataFrame, known: DataFrame, business_key: str, surrogate: str) -> DataFrame:
+    """The members of a batch that the loaded dimension lacks or has otherwise, with their keys.
+
+    One join; what it leaves is staged, which is little or nothing for a usual increment. Loaded
+    members keep their key, new ones are numbered after the largest.
+    """
+    kinds = {f.name: f.dataType for f in known.schema.fields if f.name != surrogate}
+    rows = with_ordinal(rows).select(*(F.col(c).cast(k).alias(c) for c, k in kinds.items()), ORDINAL)
+    held = known.select(*(F.col(c).alias(f"_held_{c}") for c in known.columns))
+    same = F.col(business_key).eqNullSafe(F.col(f"_held_{business_key}"))
+    differs = reduce(
+        lambda a, b: a | b,
+        (~F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in kinds if c != business_key),
+        F.col(f"_held_{surrogate}").isNull(),
+    )
+    changed = rows.join(held, same, "left").filter(differs)
+    changed = stage(changed.select(*kinds, ORDINAL, F.col(f"_held_{surrogate}").alias(surrogate)), "changed")
+    new = changed.filter(F.col(surrogate).isNull()).drop(surrogate)
+    if new.isEmpty():
+        return changed.select(known.columns)
+    top = known.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
+    numbered = row_index(new, source_order(new), out=surrogate, start=top + 1)
+    kept = changed.filter(F.col(surrogate).isNotNull())
+    return kept.select(known.columns).unionByName(numbered.select(known.columns))
+
+
 def _keyed(rows, business_key, surrogate, known, keys):
     if keys == "row_index":
         return assign_keys(rows, business_key, surrogate, known)
@@ -110,9 +138,11 @@ def build_dim_product(
 ) -> DataFrame:
     """Enriched products with the key of their supplier (unknown supplier: key 0)."""
     keyed = _keyed(products, "product_id", "product_key", known, keys)
+    return with_supplier_key(keyed, dim_supplier, keys).select(STAR["dim_product"].fieldNames())
+
+
+def with_supplier_key(products: DataFrame, dim_supplier: DataFrame, keys: str = "row_index") -> DataFrame:
     suppliers = dim_supplier.select("supplier_id", "supplier_key")
-    return (
-        keyed.join(suppliers, "supplier_id", "left")
-        .withColumn("supplier_key", F.coalesce("supplier_key", unknown_key(keys)))
-        .select(STAR["dim_product"].fieldNames())
+    return products.join(suppliers, "supplier_id", "left").withColumn(
+        "supplier_key", F.coalesce("supplier_key", unknown_key(keys))
     )

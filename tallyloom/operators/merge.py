@@ -15,14 +15,14 @@ def new_rows(
     the batch partitioned already, and the loaded keys are shuffled once. Whether NULL is
     loaded is one look-up that the scan's statistics answer. A batch known to be small is
     best not met by all loaded keys: ``small_batch`` first cuts them down to those of the
-    batch by a broadcast semi join on a scan of the key column. Rows of one key stay or go
+    batch by a semi join, which is planned as a broadcast while the batch's keys are below its limit. Rows of one key stay or go
     together, so this may be done before the batch is de-duplicated.
     """
     held = loaded.select(F.col(key).alias("_held"))
     if not held.filter(F.col("_held").isNull()).isEmpty():
         batch = batch.filter(F.col(key).isNotNull())
     if small_batch:
-        keys = F.broadcast(batch.select(F.col(key).alias("_wanted")))
+        keys = batch.select(F.col(key).alias("_wanted"))
         held = held.join(keys, F.col("_held") == F.col("_wanted"), "left_semi")
     return batch.join(held, F.col(key) == F.col("_held"), "left_anti")
 

@@ -26,9 +26,12 @@ class Star:
     dim_product: DataFrame
     fact_sales: DataFrame
 
-    # Of a star that was read from a warehouse, or built on such tables: not fields.
+    # Of a star that was read from a warehouse, or built on such tables: not fields. The latter holds
+    # changed members only; ``known`` is what it was built on, ``members`` counts those looked at.
     version = None
     top_order_key = None
+    known = None
+    members = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}

@@ -18,6 +18,8 @@ from tallyloom.operators.dimensions import (
     build_dim_date,
     build_dim_product,
     build_dim_supplier,
+    changed_members,
+    with_supplier_key,
 )
 from tallyloom.operators.facts import build_fact_sales
 from tallyloom.operators.star import Star, enrich_all
@@ -25,7 +27,7 @@ from tallyloom.params import MartParams
 from tallyloom.plans import analyses
 from tallyloom.plans.named import available_queries, run_named
 from tallyloom.plans.runs import RunLog
-from tallyloom.schemas import QUALITY_ISSUES
+from tallyloom.schemas import BUSINESS_KEYS, QUALITY_ISSUES, SURROGATE_KEYS
 from tallyloom.session import in_parallel, stage, staging_scope
 from tallyloom.sinks.warehouse import Warehouse
 from tallyloom.sources.registry import extract_all
@@ -64,14 +66,14 @@ def unseen_orders(
     """The sources without the orders that the fact already holds.
 
     Done on the raw orders, so that known ones are not de-duplicated, enriched and joined
-    only to be dropped in the end. The new orders are staged, laid out by order_id; returns
-    and shipping events are cut down to theirs before anything of them is shuffled, which
-    is a broadcast join as long as the new ids are below the broadcast limit.
+    only to be dropped in the end. The new orders are staged; returns and shipping events are
+    cut down to theirs before anything of them is shuffled, which is a broadcast join as long
+    as the new ids are below the broadcast limit.
     """
     orders = normalise(sources["orders"])
     fresh = merge.new_rows(orders, known.fact_sales, "order_id", small_batch)
     fresh = stage(fresh, "new-orders")
-    ids = stage(fresh.select("order_id").filter("order_id is not null").distinct(), "new-ids")
+    ids = fresh.select("order_id").filter("order_id is not null")
     return {
         **sources,
         "orders": fresh,
@@ -88,52 +90,47 @@ def build_star(
 ) -> Star:
     """Star tables with surrogate keys from cleaned and enriched sources.
 
-    With ``known``, the tables already loaded, members keep their keys, lookups see
-    loaded and new members, and order keys continue after the largest one; the orders
-    are then expected to be new (:func:`unseen_orders`). Dimensions are then staged, as
-    finding their keys joins them with the loaded ones.
+    With ``known``, the tables already loaded, the dimensions are those members that are new or
+    changed; members keep their keys, lookups see loaded and new members, and order keys continue
+    after the largest one. The orders are then expected to be new (:func:`unseen_orders`).
     """
     spark = ready["orders"].sparkSession
-
-    def merged(name: str, key: str, batch: DataFrame) -> DataFrame:
-        return batch if known is None else merge.upsert(getattr(known, name), batch, key)
-
-    def settled(df: DataFrame, name: str) -> DataFrame:
-        return df if known is None else stage(df, name)
-
-    dim_customer, dim_supplier = in_parallel(
-        spark,
-        lambda: settled(
-            build_dim_customer(ready["customers"], known and known.dim_customer), "dim_customer"
-        ),
-        lambda: settled(
-            build_dim_supplier(ready["suppliers"], known and known.dim_supplier), "dim_supplier"
-        ),
+    dim_date = build_dim_date(spark, params.date_start, params.date_end)
+    if known is not None:
+        return _increment_star(ready, known, dim_date, order_keys)
+    dim_supplier = build_dim_supplier(ready["suppliers"])
+    dim_customer = build_dim_customer(ready["customers"])
+    dim_product = build_dim_product(ready["products"], dim_supplier)
+    fact_sales = build_fact_sales(ready["orders"], dim_customer, dim_product, order_keys=order_keys)
+    return Star(dim_date, dim_customer, dim_supplier, dim_product, fact_sales)
+
+
+def _increment_star(ready: Mapping[str, DataFrame], known: Star, dim_date: DataFrame, order_keys: str) -> Star:
+    """Changed members and new facts; independent parts are built beside each other."""
+
+    def changed(name: str, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The changed members, and the whole dimension with them."""
+        held, key = getattr(known, name), BUSINESS_KEYS[name]
+        some = changed_members(rows, held, key, SURROGATE_KEYS[name])
+        return some, held if some.isEmpty() else merge.upsert(held, some, key)
+
+    def products() -> tuple:
+        supplier, suppliers = changed("dim_supplier", ready["suppliers"])
+        return supplier, *changed("dim_product", with_supplier_key(ready["products"], suppliers))
+
+    (customer, customers), (supplier, product, all_products), *counts = in_parallel(
+        ready["orders"].sparkSession,
+        lambda: changed("dim_customer", ready["customers"]),
+        products,
+        *(ready[n].count for n in ("customers", "suppliers", "products")),
     )
-    dim_product = settled(
-        build_dim_product(
-            ready["products"],
-            merged("dim_supplier", "supplier_id", dim_supplier),
-            known and known.dim_product,
-        ),
-        "dim_product",
-    )
-    first_key = 1 if known is None else top_order_key(known) + 1
+    first_key = top_order_key(known) + 1
     fact_sales = build_fact_sales(
-        ready["orders"],
-        merged("dim_customer", "customer_id", dim_customer),
-        merged("dim_product", "product_id", dim_product),
-        first_order_key=first_key,
-        order_keys=order_keys,
-    )
-    star = Star(
-        dim_date=build_dim_date(spark, params.date_start, params.date_end),
-        dim_customer=dim_customer,
-        dim_supplier=dim_supplier,
-        dim_product=dim_product,
-        fact_sales=fact_sales,
+        ready["orders"], customers, all_products, first_order_key=first_key, order_keys=order_keys
     )
-    star.version = known and known.version
+    star = Star(dim_date, customer, supplier, product, fact_sales)
+    star.version, star.known = known.version, known
+    star.members = dict(zip(("dim_customer", "dim_supplier", "dim_product"), counts, strict=True))
     return star
 
 
@@ -272,7 +269,6 @@ class WarehouseJob:
                 result.new_facts = self.warehouse.load_incremental(
                     star, issues, facts_checked=True
                 )
-                self.warehouse.compact()
                 rows = {r["table_name"]: r["records_processed"]
                         for r in self.warehouse.table("load_metadata").collect()}
             else:

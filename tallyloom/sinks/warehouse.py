@@ -11,8 +11,8 @@ meanwhile: its orders, keys and aggregates are checked against that one, so two
 once lose nothing. The storage must refuse to create a file that exists (HDFS, local and
 network file systems, object stores with conditional writes).
 
-An incremental load adds a batch to the fact table and does not rewrite what is there;
-:meth:`Warehouse.compact` merges small batches.
+An incremental load adds a batch to the fact table and rewrites only dimensions with changed
+members.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from tallyloom.sinks import files
 
 MONTH = "sale_month"
 _BATCH = "batch"
-_STALE_SECONDS = 600
+_WAIT_SECONDS = 120
 _ATTEMPTS = 20
 _DIMENSIONS = ["dim_date", "dim_supplier", "dim_customer", "dim_product"]
 _SCHEMAS: dict[str, T.StructType] = {
@@ -91,24 +91,18 @@ class Warehouse:
     def _publish(self, base: State, tables: dict, fact_rows: dict, top: int) -> bool:
         """Publish the successor of ``base``; False if another load did so first.
 
-        A claim without a manifest belongs to a load that is just writing it; it is
-        waited for, and passed over once it is so old that its owner must have died.
+        A claim without a manifest belongs to a load that is just writing it, so it is waited for.
+        One that stays is of a load that died in that moment: then its file is to be deleted by
+        hand, as nobody else can know that it won't be written any more.
         """
-        number = base.number + 1
-        while True:
-            started = time.monotonic()
-            if files.claim(self.spark, self._number(number, "claim")):
-                break
+        number, started = base.number + 1, time.monotonic()
+        claim = self._number(number, "claim")
+        while not files.claim(self.spark, claim):
             if self._state().number > base.number:
                 return False
-            claims = dict(files.children(self.spark, f"{self.root}/manifests"))
-            claimed = claims.get(f"{number:012d}.claim", time.time() * 1000)
-            if time.time() * 1000 - claimed > _STALE_SECONDS * 1000:
-                number += 1
-            else:
-                time.sleep(0.1)
-        if self._state().number > base.number or time.monotonic() - started > _STALE_SECONDS / 2:
-            return False
+            if time.monotonic() - started > _WAIT_SECONDS:
+                raise ConcurrentLoadError(f"claimed, but not published; if that load has died, delete {claim}")
+            time.sleep(0.1)
         state = {
             "version": uuid.uuid4().hex,
             "tables": tables,
@@ -184,12 +178,8 @@ class Warehouse:
 
     # -- writing -----------------------------------------------------------------
 
-    def _write(self, name: str, df: DataFrame) -> tuple[str, int]:
-        """Write one batch of a table; returns its id and its number of rows.
-
-        The rows are counted from the file footers: metrics collected while writing
-        would count a task twice that is run again after an executor is lost.
-        """
+    def _save(self, name: str, df: DataFrame) -> str:
+        """Write one batch of a table; returns its id."""
         batch = f"b{uuid.uuid4().hex}"
         rows = df.select([F.col(f.name).cast(f.dataType) for f in _SCHEMAS[name].fields])
         if name == "fact_sales":
@@ -200,16 +190,24 @@ class Warehouse:
             )
         else:
             rows.write.parquet(self._folder(name, batch))
+        return batch
+
+    def _write(self, name: str, df: DataFrame) -> tuple[str, int]:
+        """Write one batch of a table; returns its id and its number of rows.
+
+        The rows are counted from the file footers: metrics collected while writing
+        would count a task twice that is run again after an executor is lost.
+        """
+        batch = self._save(name, df)
         return batch, self._open(name, [batch]).count()
 
     def _metadata_batch(self, old: list[str], counts: dict[str, int], mode: str) -> str:
         """Load metadata with the given tables brought up to date: one row per table."""
         now = datetime.now(timezone.utc).isoformat()
-        fresh = self.spark.createDataFrame(
-            [(name, now, rows, mode) for name, rows in counts.items()], schemas.LOAD_METADATA
-        )
-        merged = merge.upsert(self._read("load_metadata", old), fresh, "table_name")
-        return self._write("load_metadata", merged.coalesce(1))[0]
+        rows = {r["table_name"]: tuple(r) for r in self._read("load_metadata", old).collect()}  # a handful
+        rows |= {name: (name, now, n, mode) for name, n in counts.items()}
+        fresh = self.spark.createDataFrame(list(rows.values()), schemas.LOAD_METADATA)
+        return self._save("load_metadata", fresh.coalesce(1))
 
     # -- loads -------------------------------------------------------------------
 
@@ -237,9 +235,9 @@ class Warehouse:
             self._read("fact_sales", tables["fact_sales"]),
             self._read("dim_date", tables["dim_date"]),
         )
-        tables["agg_daily_sales"] = [self._write("agg_daily_sales", daily)[0]]
+        tables["agg_daily_sales"] = [self._save("agg_daily_sales", daily)]
         if issues is not None:
-            tables["data_quality_issues"] = [self._write("data_quality_issues", issues)[0]]
+            tables["data_quality_issues"] = [self._save("data_quality_issues", issues)]
         return tables, counts
 
     def _publish_all(self, base: State, new: dict, counts: dict) -> bool:
@@ -281,6 +279,10 @@ class Warehouse:
     def _rekeyed(self, star: Star, base: State) -> Star:
         """The batch with the surrogate keys of the loaded dimensions."""
         tables, new_keys = star.tables(), {}
+        if star.known is not None:  # its members are the changed ones: the others may have other keys here
+            for name in ("dim_supplier", "dim_customer", "dim_product"):
+                held, key = getattr(star.known, name), schemas.BUSINESS_KEYS[name]
+                tables[name] = merge.upsert(held, tables[name], key)
         for name in ("dim_supplier", "dim_customer", "dim_product"):
             surrogate = name.removeprefix("dim_") + "_key"
             held = self._read(name, base.tables[name])
@@ -293,7 +295,9 @@ class Warehouse:
             tables[name] = keyed.select(_SCHEMAS[name].fieldNames())
         for surrogate, pairs in new_keys.items():
             tables["fact_sales"] = _with_new_keys(tables["fact_sales"], surrogate, pairs)
-        return Star(**tables)
+        rekeyed = Star(**tables)
+        rekeyed.members = star.members
+        return rekeyed
 
     def _increment(
         self, base: State, star: Star, issues: DataFrame | None, facts_checked: bool
@@ -304,13 +308,14 @@ class Warehouse:
         def dimension(name: str) -> tuple[str, list[str], int, bool]:
             key = schemas.BUSINESS_KEYS[name]
             existing, batch = self._read(name, base.tables[name]), getattr(star, name)
+            rows = (star.members or {}).get(name)
+            rows = batch.count() if rows is None else rows
             # Of the calendar only new days matter.
-            rows, new_days = batch.count(), False
-            if name == "dim_date":
-                new_days = not merge.new_rows(batch, existing, key).isEmpty()
-            if not rows or name == "dim_date" and not new_days:
+            new_days = name == "dim_date" and not merge.new_rows(batch, existing, key).isEmpty()
+            same = not new_days if name == "dim_date" else batch.isEmpty()
+            if same:
                 return name, base.tables[name], rows, new_days
-            return name, [self._write(name, merge.upsert(existing, batch, key))[0]], rows, new_days
+            return name, [self._save(name, merge.upsert(existing, batch, key))], rows, new_days
 
         def facts() -> tuple[str, int]:
             new = star.fact_sales
@@ -336,11 +341,11 @@ class Warehouse:
         if issues is not None:
             tables["data_quality_issues"] = [
                 *tables["data_quality_issues"],
-                self._write("data_quality_issues", issues)[0],
+                self._save("data_quality_issues", issues),
             ]
         if counts["fact_sales"] or new_days:
             daily = self._daily_after(tables, appended, rebuild=new_days)
-            tables["agg_daily_sales"] = [self._write("agg_daily_sales", daily)[0]]
+            tables["agg_daily_sales"] = [self._save("agg_daily_sales", daily)]
         tables["load_metadata"] = [
             self._metadata_batch(tables["load_metadata"], counts, "incremental")
         ]
@@ -348,26 +353,6 @@ class Warehouse:
         top = base.top_order_key + counts["fact_sales"]
         return counts["fact_sales"] if self._publish(base, tables, rows, top) else None
 
-    def compact(self, most: int = 16) -> int:
-        """Merge the smallest fact batches if there are more than ``most``.
-
-        Half of ``most``, the largest, stay as they are, so a row is rewritten a number of
-        times that grows with the logarithm of the batches. Returns the batches merged.
-        """
-        for _ in range(_ATTEMPTS):
-            base = self._state()
-            batches = base.tables.get("fact_sales", [])
-            if len(batches) <= most:
-                return 0
-            by_size = sorted(batches, key=lambda b: (base.fact_rows[b], b))
-            small = by_size[: len(batches) - most // 2]
-            merged, rows = self._write("fact_sales", self._read("fact_sales", small))
-            kept = [b for b in batches if b not in small]
-            tables = {**base.tables, "fact_sales": [*kept, merged]}
-            if self._publish(base, tables, {**base.fact_rows, merged: rows}, base.top_order_key):
-                return len(small)
-        raise ConcurrentLoadError("compaction")
-
     def _daily_after(self, tables: dict, appended: str, rebuild: bool) -> DataFrame:
         """Daily aggregates after an append.
 

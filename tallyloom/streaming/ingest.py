@@ -18,8 +18,6 @@ from tallyloom.sinks.warehouse import Warehouse
 from tallyloom.sources.registry import read_source
 
 
-#: A batch of at most so many orders is sent to all tasks that look for its ids.
-SMALL_BATCH = 1_000_000
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -29,8 +27,7 @@ def ingest_batch(
     """Append the new orders of one batch to a loaded warehouse; returns their number."""
     loaded = warehouse.star()
     sources = {"orders": stage(orders, "arrived"), "returns": returns, "shipping": shipping}
-    small = sources["orders"].count() <= SMALL_BATCH
-    sources = unseen_orders(sources, loaded, small_batch=small)
+    sources = unseen_orders(sources, loaded, small_batch=True)
     enriched = enrich_orders(
         clean_orders(sources["orders"]),
         clean_returns(sources["returns"]),
@@ -47,7 +44,7 @@ def ingest_batch(
         name: spark.createDataFrame([], STAR[name]) for name in STAR if name != "fact_sales"
     }
     star = Star(fact_sales=fact, **unchanged)
-    star.version = loaded.version
+    star.version, star.known = loaded.version, loaded
     return warehouse.load_incremental(star, facts_checked=True)
 
 
@@ -58,19 +55,22 @@ def stream_orders(
     checkpoint: str,
     sources: Mapping[str, DataFrame],
     kind: str = "csv",
+    files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Load all order files that have arrived since the last call, then stop.
 
     The stream follows the files; each batch of them is read by the same reader as any
     other source, so headers, quotes and numbers mean the same. ``sources`` gives the
     returns and shipping events. The warehouse must have been loaded before. A batch that
-    is repeated after a failure adds nothing, since known order ids are left out.
+    is repeated after a failure adds nothing, since known order ids are left out. A batch has
+    ``files_per_batch`` files at most, whose names pass the driver.
     """
-    names = spark.readStream.format("binaryFile").schema(_FILES).load(orders_path)
+    names = spark.readStream.format("binaryFile").schema(_FILES).option("maxFilesPerTrigger", files_per_batch)
+    names = names.load(orders_path)
     arriving = names.select("path")  # the contents are not read here
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        paths = [r["path"] for r in batch.collect()]  # names of the files of one batch
+        paths = [r["path"] for r in batch.collect()]  # at most files_per_batch names
         if not paths:
             return
         session = batch.sparkSession

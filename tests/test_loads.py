@@ -4,7 +4,7 @@ import os
 import threading
 
 import pytest
-from conftest import rows_of
+from conftest import ROWS, rows_of
 from pyspark.sql import functions as F
 
 from tallyloom.operators.cleaning import clean_all
@@ -105,26 +105,59 @@ def test_a_batch_built_without_the_loaded_tables_is_keyed_anew(loaded, sources,
     ]
 
 
-def test_compaction_changes_no_result(loaded, sources, frame, params):
+def test_many_increments_leave_earlier_facts_alone(loaded, sources, frame, params):
     for n in range(6):
         increment(loaded, {**sources, "orders": frame("orders", [order(80 + n, day=f"2024-0{n + 3}-09")])}, params)
     before = rows_of(loaded.table("fact_sales"), *loaded.table("fact_sales").columns)
-    assert loaded.compact(most=20) == 0
-    assert loaded.compact(most=4) == 5
-    assert len(loaded._state().tables["fact_sales"]) == 3
-    assert rows_of(loaded.table("fact_sales"), *loaded.table("fact_sales").columns) == before
+    assert len(loaded._state().tables["fact_sales"]) == 7
     assert increment(loaded, {**sources, "orders": frame("orders", [order(99)])}, params) == 1
+    after = rows_of(loaded.table("fact_sales"), *loaded.table("fact_sales").columns)
+    assert set(before) < set(after)
     assert loaded.table("fact_sales").agg(F.max("order_key")).first()[0] == len(before) + 1
 
 
-def test_a_claim_whose_owner_died_is_passed_over(loaded, star, monkeypatch):
+def test_unchanged_dimensions_are_not_written_again(loaded, sources, frame, params):
+    before = loaded._state().tables
+    assert increment(loaded, {**sources, "orders": frame("orders", [order(90)])}, params) == 1
+    after = loaded._state().tables
+    assert all(after[n] == before[n] for n in ("dim_date", "dim_customer", "dim_supplier", "dim_product"))
+    counts = rows_of(loaded.table("load_metadata"), "table_name", "records_processed")
+    assert ("dim_customer", 3) in counts and ("dim_product", 3) in counts  # looked at, all the same
+    renamed = frame("suppliers", [("SUP-01", "Elbe AG", "DE", 5, 4.5), ("SUP-03", "New", "FR", 9, 4.0)])
+    assert increment(loaded, {**sources, "suppliers": renamed, "orders": frame("orders", [order(91)])}, params) == 1
+    last = loaded._state().tables
+    assert last["dim_customer"] == before["dim_customer"] and last["dim_supplier"] != before["dim_supplier"]
+    assert rows_of(loaded.table("dim_supplier"), "supplier_key", "supplier_id", "name") == [
+        (1, "SUP-01", "Elbe AG"), (2, "SUP-02", "Orient Trade SE"), (3, "SUP-03", "New"),
+    ]
+
+
+def test_full_load_between_building_and_loading_an_increment(loaded, sources, frame, params):
+    """The full load gives other keys; unchanged members of the increment follow them too."""
+    known = loaded.star()
+    later = {**sources, "orders": frame("orders", [order(95)])}
+    batch = build_star(enrich_all(clean_all(unseen_orders(later, known))), params, known)
+    turned = frame("customers", [*reversed(ROWS["customers"])])
+    loaded.load_full(build_star(enrich_all(clean_all({**sources, "customers": turned})), params))
+    keys = dict(rows_of(loaded.table("dim_customer"), "customer_id", "customer_key"))
+    assert keys != dict(rows_of(known.dim_customer, "customer_id", "customer_key"))
+    assert loaded.load_incremental(batch, facts_checked=True) == 1
+    new = loaded.table("fact_sales").filter("order_key > 4").first()
+    who = later["orders"].first().customer_id
+    assert new.customer_key == keys[who]
+
+
+def test_a_claim_that_stays_is_reported(loaded, star, monkeypatch):
     from tallyloom.sinks import files, warehouse
 
     number = loaded._state().number + 1
-    assert files.claim(loaded.spark, loaded._number(number, "claim"))
-    monkeypatch.setattr(warehouse, "_STALE_SECONDS", 1)
+    claim = loaded._number(number, "claim")
+    assert files.claim(loaded.spark, claim)
+    monkeypatch.setattr(warehouse, "_WAIT_SECONDS", 1)
+    with pytest.raises(warehouse.ConcurrentLoadError, match="claim"):
+        loaded.load_full(star)
+    files.remove(loaded.spark, claim)
     assert loaded.load_full(star)["fact_sales"] == 4
-    assert loaded._state().number == number + 1
 
 
 def test_copies_of_a_return_stay_together(frame):
@@ -148,7 +181,7 @@ def test_new_rows_shuffles_each_side_once(spark):
         assert plan.count("Exchange hashpartitioning") == 2
         assert new.count() == 50
         small = new_rows(batch, loaded, "k", small_batch=True)
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi" in small._jdf.queryExecution().executedPlan().toString()
         assert small.count() == 50
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
