@@ -20,7 +20,7 @@ from tallyloom.operators.star import enrich_all
 from tallyloom.plans import runs
 from tallyloom.plans.job import WarehouseJob, build_star, unseen_orders
 from tallyloom.schemas import RAW, RUN_EVENTS
-from tallyloom.session import staging_root
+from tallyloom.session import in_parallel, stage, staging_root
 from tallyloom.sinks.warehouse import Warehouse
 from tallyloom.sources import trade
 from tallyloom.sources.registry import SOURCES, extract_all, read_source
@@ -92,8 +92,8 @@ def json_shipping(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean_shipping(read_source(spark, "shipping", "jsonl", f"{path}/*"))
 
 
-def extracted_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows and columns of all six sources, landed in the layout that a job reads."""
+def _land_sources(spark: SparkSession, folder: str) -> str:
+    """All six sources in the layout that a job reads."""
     root = _place(spark, "landed")
     for name, (kind, file_name) in SOURCES.items():
         rows = trade_sources(spark, folder)[name].select(RAW[name].fieldNames())
@@ -105,6 +105,12 @@ def extracted_sources(spark: SparkSession, folder: str) -> DataFrame:
             _json_lists(rows.withColumn("batch_key", key), path, "batch_key")
         else:
             _json_lists(rows, path, f"{name[:-1]}_id")
+    return root
+
+
+def extracted_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of all six sources, counted by a query on each."""
+    root = _land_sources(spark, folder)
     parts = [
         e.df.agg(F.count(F.lit(1)).alias("total_rows")).select(
             F.lit(e.name).alias("source"), "total_rows"
@@ -117,6 +123,28 @@ def extracted_sources(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+def observed_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of all six sources, observed while they are read for something else, and their columns."""
+    counts = []
+    for e in extract_all(spark, _land_sources(spark, folder)).values():
+        rows, watch = e.observed()
+        stage(rows.drop(ORDINAL), "observed")
+        counts.append((e.name, watch.get["rows"], ",".join(c for c in e.columns if c in RAW[e.name].fieldNames())))
+    return spark.createDataFrame(counts, "source string, total_rows long, columns string")
+
+
+def first_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers landed in files with copies that only their place tells apart: the first one stays."""
+    path = _place(spark, "copied-customers")
+    rows = trade.raw_customers(spark, folder).select(RAW["customers"].fieldNames())
+    key = F.col("customer_id").cast("bigint")
+    old = rows.filter(key % 3 != 0)
+    again = rows.withColumn("name", F.concat(F.lit("copy of "), "name"))
+    for place, part in (("a", old), ("b", again), ("c", rows)):
+        part.coalesce(1).write.option("header", True).csv(f"{path}/{place}")
+    return cleaning.clean_customers(read_source(spark, "customers", "csv", f"{path}/*")).select("customer_id", "name", "city")
+
+
 # --- flawed master data --------------------------------------------------------------------
 
 
@@ -249,6 +277,26 @@ def ingested_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def loads_at_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Three increments published beside each other on one loaded state: none is lost, none counts twice."""
+    warehouse = _first_load(spark, folder)
+    sources = dict(trade_sources(spark, folder))
+    known = warehouse.star()
+
+    def load(k: int) -> None:
+        # parts overlap: orders of every second remainder are in two of the loads
+        some = sources["orders"].filter((F.col("order_date") < SPLIT) | (_line_key() % 6).isin(2 * k, 2 * k + 1, (2 * k + 2) % 6))
+        ready = enrich_all(cleaning.clean_all(unseen_orders({**sources, "orders": some}, known)))
+        Warehouse(spark, warehouse.root).load_incremental(build_star(ready, TRADE_PARAMS, known), facts_checked=True)
+
+    in_parallel(spark, *(lambda k=k: load(k) for k in range(3)))
+    fact = warehouse.table("fact_sales")
+    return fact.groupBy("date_key").agg(
+        F.count(F.lit(1)).alias("orders"), F.countDistinct("order_key").alias("order_keys"),
+        F.sum("total_amount").cast("double").alias("revenue"),
+    )
+
+
 def job_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts that a full job records, read back from its run log."""
     job = WarehouseJob(
@@ -327,7 +375,8 @@ def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
-            csv_orders, json_list_suppliers, json_shipping, extracted_sources, master_data_issues,
+            csv_orders, json_list_suppliers, json_shipping, extracted_sources, observed_sources, first_copies,
+            loads_at_once, master_data_issues,
             dim_customer_dirty, dim_supplier_dirty, loaded_daily_sales_undated, compacted_daily_revenue,
             loaded_issues, last_loads, ingested_facts, job_row_counts, run_records, recent_runs,
             run_statistics, run_durations, run_phases,
@@ -377,6 +426,16 @@ SELECT order_id, customer_id, product_id, CAST(quantity AS BIGINT) AS quantity,
         "json_list_suppliers": base["jsonl_suppliers"],
         "json_shipping": base["clean_shipping"],
         "extracted_sources": f"SELECT * FROM (VALUES {sources}) AS t(source, total_rows)",
+        "observed_sources": "SELECT source, total_rows, columns FROM (VALUES " + sources + ") AS t(source, total_rows)"
+        " JOIN (VALUES " + ", ".join(f"('{n}', '{','.join(RAW[n].fieldNames())}')" for n in SOURCES) + ") AS c(name, columns)"
+        " ON source = name",
+        "first_copies": """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+       CASE WHEN c_custkey % 3 = 0 THEN 'copy of ' || c_name ELSE c_name END AS name, n_name AS city
+FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+        "loads_at_once": star + """
+SELECT date_key, count(*) AS orders, count(*) AS order_keys, CAST(sum(total_amount) AS DOUBLE) AS revenue
+FROM fact_sales GROUP BY date_key""",
         "master_data_issues": """
 SELECT 'customers' AS source, 'customer_id' AS field, 'Duplicate customer_id' AS message, count(*) AS issues
 FROM customer WHERE c_custkey % 40 = 0

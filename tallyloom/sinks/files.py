@@ -80,33 +80,3 @@ def children(spark: SparkSession, location: str) -> list[tuple[str, int]]:
 def remove(spark: SparkSession, location: str) -> None:
     path = _path(spark, location)
     _fs(spark, path).delete(path, True)
-
-
-def data_files(spark: SparkSession, location: str) -> list[str]:
-    """The files that a scan of a file, folder or glob would read, in order of their names."""
-    path = _path(spark, location)
-    fs = _fs(spark, path)
-    found: list[str] = []
-    for status in fs.globStatus(path) or []:
-        if status.isDirectory():
-            files = fs.listFiles(status.getPath(), True)
-            while files.hasNext():
-                found.append(files.next().getPath())
-        else:
-            found.append(status.getPath())
-    return sorted(p.toString() for p in found if not p.getName().startswith(("_", ".")))
-
-
-def first_line(spark: SparkSession, location: str) -> str | None:
-    """The first line of a text file that may be compressed, or None if it is empty."""
-    path = _path(spark, location)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    stream = _fs(spark, path).open(path)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        return reader.readLine()
-    finally:
-        reader.close()

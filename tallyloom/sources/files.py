@@ -8,6 +8,7 @@ not_null rule reports.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.ordinals import scan_ordinal
-from tallyloom.sinks import files
 
 CORRUPT = "_corrupt_record"
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -59,23 +59,43 @@ def _must_have(where: object, names: Sequence[str], schema: T.StructType) -> Non
         raise ValueError(f"{where}: missing columns {missing}")
 
 
+#: Files of one source may differ in their columns; so many different headers are no source any more.
+_MOST_HEADERS = 1000
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The first line that isn't empty of each file: file, line. Tasks read the files; one job."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+        "value",
+    )
+    first = F.min_by("value", "pos").alias("line")
+    return lines.filter((F.col("block") == 0) & (F.trim("value") != "")).groupBy("file").agg(first)
+
+
 def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files below the paths by their normalised header. Only first lines are read."""
+    """The files below the paths by their normalised header.
+
+    Only the different headers come to the driver (usually one), and where there are several, the
+    names of the files of each, which the driver's own listing of the files holds too.
+    """
+    headers = _headers(spark, paths)
+    lines = [r[0] for r in headers.select("line").distinct().limit(_MOST_HEADERS + 1).collect()]
+    if len(lines) > _MOST_HEADERS:
+        raise ValueError(f"{paths}: more than {_MOST_HEADERS} different headers")
+    names = {line: _split_header(line) for line in lines}
+    if len(set(names.values())) < 2:
+        return dict.fromkeys(names.values(), paths)
     found: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        for name in files.data_files(spark, path):
-            line = files.first_line(spark, name)
-            if line is None:
-                continue
-            one = spark.createDataFrame([(line,)], "line string")
-            row = one.select(F.from_csv("line", _text_columns(line), {"escape": '"'}).alias("h"))
-            header = tuple((c or "").strip().strip("\ufeff").lower() for c in row.first()["h"])
-            found.setdefault(header, []).append(name)
+    for row in headers.orderBy("file").collect():
+        found.setdefault(names[row["line"]], []).append(row["file"])
     return found
 
 
-def _text_columns(line: str) -> str:
-    return ", ".join(f"c{k} string" for k in range(line.count(",") + 1))
+def _split_header(line: str) -> tuple[str, ...]:
+    return tuple(c.strip().strip("\ufeff").strip().lower() for c in next(csv.reader([line])))
 
 
 def read_csv(
@@ -88,7 +108,7 @@ def read_csv(
     """CSV with a header row in every file.
 
     Files of one source may have their columns in different order: they are read by groups of
-    one header each. Quotes inside a quoted field are doubled. ``multiline`` also reads line
+    one header each, which a first job over the lines finds out. Quotes inside a quoted field are doubled. ``multiline`` also reads line
     breaks inside quotes, at the price of one task per file. ``keep_corrupt`` keeps the raw
     line of a row whose number of fields doesn't fit its header.
     """

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordinals import data_columns, with_ordinal
+from tallyloom.operators.ordinals import ORDINAL, data_columns
 from tallyloom.schemas import RAW
 from tallyloom.sources.files import read_csv, read_json, read_parquet
 
@@ -44,8 +45,14 @@ class Extraction:
         return self.df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
 
 
-def read_source(spark: SparkSession, name: str, kind: str, path: str) -> DataFrame:
-    """Read one named source as csv, json (a list), jsonl, parquet or catalog table."""
+def read_source(
+    spark: SparkSession, name: str, kind: str, path: str, order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Read one named source as csv, json (a list), jsonl, parquet or catalog table.
+
+    Files have an order of rows; a catalog table has none that outlives a rewrite of it, so the
+    columns that say which row comes first must be given for a table.
+    """
     schema = RAW[name]
     if kind == "csv":
         return read_csv(spark, path, schema)
@@ -54,18 +61,20 @@ def read_source(spark: SparkSession, name: str, kind: str, path: str) -> DataFra
     if kind == "parquet":
         return read_parquet(spark, path, schema)
     if kind == "table":
-        table = spark.table(path)
-        return with_ordinal(table.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
+        if not order_by:
+            raise ValueError(f"table {path}: order_by must name the columns that order its rows")
+        columns = [F.col(f.name).cast(f.dataType) for f in schema.fields]
+        return spark.table(path).select(*columns, F.struct(*order_by).alias(ORDINAL))
     raise ValueError(f"unknown source format: {kind}")
 
 
 def extract_all(
-    spark: SparkSession, data_dir: str, overrides: dict[str, tuple[str, str]] | None = None
+    spark: SparkSession, data_dir: str, overrides: dict[str, tuple] | None = None
 ) -> dict[str, Extraction]:
     """All six sources below ``data_dir/raw``.
 
-    ``overrides`` maps a source name to another ``(format, path)``. A missing file
-    raises ``AnalysisException`` when the source is opened.
+    ``overrides`` maps a source name to another ``(format, path)``, or for a catalog table
+    ``("table", name, order columns)``. A missing file raises ``AnalysisException`` when the source is opened.
     """
     unknown = set(overrides or {}) - set(SOURCES)
     if unknown:
@@ -73,7 +82,9 @@ def extract_all(
     sources = {}
     for name, (kind, file_name) in SOURCES.items():
         path = f"{data_dir.rstrip('/')}/raw/{file_name}"
+        order_by = None
         if overrides and name in overrides:
-            kind, path = overrides[name]
-        sources[name] = Extraction(name, read_source(spark, name, kind, path), path)
+            kind, path, *more = overrides[name]
+            order_by = more[0] if more else None
+        sources[name] = Extraction(name, read_source(spark, name, kind, path, order_by), path)
     return sources

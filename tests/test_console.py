@@ -54,6 +54,11 @@ def test_allowed(console, sql):
         "SELECT reflect('java.lang.System', 'exit', 1)",
         "SELECT `java_method`('java.lang.System', 'nanoTime')",
         "SELECT IDENTIFIER('ref' || 'lect')('java.lang.System', 'nanoTime')",
+        "SELECT 'it''s', try_reflect /* x */ ('java.lang.System', 'nanoTime')",
+        "SELECT 'a\\'', reflect('java.lang.System', 'nanoTime') --'",
+        "SELECT r'\\', reflect('java.lang.System', 'nanoTime'), 'b'",
+        "SELECT 1 AS `'`, reflect('java.lang.System', 'nanoTime') AS `'`",
+        "SELECT \"'\", reflect('java.lang.System', 'nanoTime'), \"'\"",
         "SELECT * FROM parquet.`/etc`",
         "SELECT 1) AS a CROSS JOIN (SELECT 2; SELECT 3",
         "CREATE TABLE x AS SELECT 1",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.ordinals import with_row_index
 from tallyloom.schemas import RAW
 from tallyloom.sources import extract_all, read_csv, read_json, read_parquet
+from tallyloom.sources.registry import read_source
 
 
 def test_six_sources_with_row_counts(spark, data_dir):
@@ -75,10 +76,12 @@ def test_parquet_and_table_sources(spark, data_dir, sources, tmp_path):
     found = extract_all(
         spark,
         data_dir,
-        {"orders": ("parquet", path), "customers": ("table", "raw_customers_view")},
+        {"orders": ("parquet", path), "customers": ("table", "raw_customers_view", ["signup_date", "name"])},
     )
     assert found["orders"].row_count() == 5
-    assert found["customers"].row_count() == 3
+    assert found["customers"].row_count() == sources["customers"].count()
+    with pytest.raises(ValueError, match="order_by"):
+        extract_all(spark, data_dir, {"customers": ("table", "raw_customers_view")})
     with pytest.raises(ValueError, match="missing columns"):
         read_parquet(spark, path, RAW["returns"])
 
@@ -151,3 +154,56 @@ def test_parquet_keeps_undeclared_columns(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "p"))
     row = read_parquet(spark, str(tmp_path / "p"), RAW["suppliers"]).first()
     assert (row.supplier_id, row.extra) == ("S1", "7")
+
+
+def jobs_of(spark, group, action):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = action()
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            spark.sparkContext.setLocalProperty(name, None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_many_csv_files_need_few_jobs(spark, tmp_path):
+    """Five hundred files of one header, then one with another: the jobs don't grow with the files."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(500):
+        (folder / f"{k:03d}.csv").write_text(f"return_id,order_id,return_date,reason\nR{k},O{k},2024-01-01,x\n")
+    df, jobs = jobs_of(spark, "one-header", lambda: read_csv(spark, str(folder), RAW["returns"]))
+    assert jobs <= 3 and df.count() == 500
+    (folder / "zzz.csv").write_text("\nreason,return_date,order_id,return_id\ny,2024-01-02,O,R\n")
+    df, jobs = jobs_of(spark, "two-headers", lambda: read_csv(spark, str(folder), RAW["returns"]))
+    assert jobs <= 10
+    assert df.filter("reason = 'y'").first()[:4] == ("R", "O", "2024-01-02", "y")
+    assert df.filter("reason = 'x' AND return_id = concat('R', substr(order_id, 2))").count() == 500
+
+
+def test_csv_without_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("return_id,order_id,return_date,reason\n")
+    (tmp_path / "b.csv").write_text("")
+    df = read_csv(spark, str(tmp_path), RAW["returns"])
+    assert df.count() == 0 and df.columns == [*RAW["returns"].fieldNames(), "_ordinal"]
+
+
+def test_file_order_decides_between_copies(spark, tmp_path):
+    """Copies of one customer that differ in nothing but their place: the first by file and line stays."""
+    from tallyloom.operators.cleaning import clean_customers
+
+    head = "customer_id,name,email,region,city,segment,signup_date\n"
+    (tmp_path / "b.csv").write_text(head + "C1,third,e,r,c,s,2024-01-01\nC2,first,e,r,c,s,2024-01-01\n")
+    (tmp_path / "a.csv").write_text(head + "C1,first,e,r,c,s,2024-01-01\nC1,second,e,r,c,s,2024-01-01\n")
+    got = clean_customers(read_csv(spark, str(tmp_path), RAW["customers"]))
+    assert sorted((r.customer_id, r.name) for r in got.collect()) == [("C1", "first"), ("C2", "first")]
+
+
+def test_order_columns_decide_between_copies_in_a_table(spark):
+    from tallyloom.operators.cleaning import clean_customers
+
+    rows = [("C1", n, "e", "r", "c", "s", "2024-01-01", at) for n, at in (("late", 9), ("early", 2), ("later", 11))]
+    table = spark.createDataFrame(rows, [*RAW["customers"].fieldNames(), "arrived"])
+    table.createOrReplaceTempView("copied_customers")
+    got = clean_customers(read_source(spark, "customers", "table", "copied_customers", ["arrived"]))
+    assert [r.name for r in got.collect()] == ["early"]
