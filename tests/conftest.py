@@ -21,35 +21,43 @@ from tallyloom.session import build_session, release_staged  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
-# The sample shop whose results are worked out by hand.
+# A small outdoor shop of our own; its results are worked out by hand in FIXTURES.md.
 ROWS = {
     "customers": [
-        ("C0001", "Ida Brandt", "ida@shop.example", "Nord", "Hamburg", "B2C", "2024-01-15"),
-        ("C0002", "Noor Haddad", "noor@shop.example", "Sued", "Muenchen", "B2B", "2024-03-20"),
-        ("C0003", "Tom Okafor", "tom@shop.example", "West", "Koeln", "B2C", "2024-06-10"),
+        ("K17", "Ida Brandt", "ida@shop.example", "Alps", "Innsbruck", "B2C", "2024-02-03"),
+        ("K23", "Noor Haddad", "noor@shop.example", "Coast", "Rostock", "B2B", "2024-02-19"),
+        ("K41", "Tom Okafor", "tom@shop.example", "Coast", "Husum", "B2C", "2024-04-28"),
+        ("K58", "Mara Lindt", "mara@shop.example", "Alps", "Graz", "B2B", "2024-05-06"),
     ],
     "suppliers": [
-        ("SUP-01", "Elbe Parts KG", "DE", 5, 4.5),
-        ("SUP-02", "Orient Trade SE", "CN", 20, 3.2),
+        ("L1", "Elbe Parts KG", "PL", 9, 4.1),
+        ("L2", "Orient Trade SE", "VN", 31, 2.8),
+        ("L3", "Fjord Gear AS", "NO", 14, 3.6),
     ],
     "products": [
-        ("P001", "Notebook 14", "Electronics", "Laptops", "Norvex", "SUP-01", 400.0, 800.0),
-        ("P002", "Cotton Shirt", "Clothing", "T-Shirts", "Linnea", "SUP-01", 10.0, 25.0),
-        ("P003", "Cork Mat", "Sports", "Fitness", "Movo", "SUP-02", 15.0, 35.0),
+        ("A10", "Ridge Tent", "Tents", "Two Person", "Norvex", "L2", 110.0, 240.0),
+        ("A20", "Gas Stove", "Kitchen", "Stoves", "Linnea", "L1", 18.0, 45.0),
+        ("A30", "Tin Mug", "Kitchen", "Cups", "Movo", "L1", 3.0, 8.0),
+        ("A40", "Head Lamp", "Light", "Lamps", "Movo", "L3", 12.5, 20.0),
     ],
     "orders": [
-        ("ORD-00001", "C0001", "P001", 1, 799.0, 0.0, "2024-03-15", "completed"),
-        ("ORD-00002", "C0002", "P002", 3, 24.99, 10.0, "2024-04-20", "completed"),
-        ("ORD-00003", "C0001", "P003", 2, 34.5, 0.0, "2024-05-10", "completed"),
-        ("ORD-00004", "C0003", "P001", 1, 789.0, 15.0, "2024-06-01", "cancelled"),
-        ("ORD-00005", "C0003", "P002", 5, 25.0, 5.0, "2024-07-12", "completed"),
+        ("B-101", "K23", "A10", 2, 235.5, 0.0, "2024-02-22", "completed"),
+        ("B-102", "K17", "A20", 1, 44.0, 15.0, "2024-03-09", "completed"),
+        ("B-103", "K41", "A30", 10, 7.5, 4.0, "2024-05-02", "completed"),
+        ("B-104", "K17", "A10", 1, 240.0, 0.0, "2024-05-14", "cancelled"),
+        ("B-105", "K23", "A30", 4, 8.0, 0.0, "2024-08-11", "completed"),
+        ("B-106", "K17", "A20", 3, 45.0, 10.0, "2024-08-30", "completed"),
+    ],
+    "returns": [
+        ("RT-1", "B-103", "2024-05-20", "dented"),
+        ("RT-2", "B-102", "2024-03-30", "too small"),
     ],
-    "returns": [("RET-0001", "ORD-00002", "2024-05-05", "wrong colour")],
     "shipping": [
-        ("ORD-00001", "DHL", "2024-03-16", "2024-03-19", 6.99),
-        ("ORD-00002", "DPD", "2024-04-21", "2024-04-24", 4.49),
-        ("ORD-00003", "Hermes", "2024-05-11", "2024-05-15", 3.99),
-        ("ORD-00005", "GLS", "2024-07-13", "2024-07-16", 5.49),
+        ("B-101", "Posthorn", "2024-02-23", "2024-02-27", 11.9),
+        ("B-102", "Kurier", "2024-03-11", "2024-03-12", 4.2),
+        ("B-103", "Posthorn", "2024-05-03", "2024-05-08", 5.6),
+        ("B-105", "Kurier", "2024-08-12", "2024-08-13", 3.1),
+        ("B-106", "Radbote", "2024-09-02", "2024-09-04", 8.4),
     ],
 }
 

@@ -11,7 +11,7 @@ from tallyloom.operators.enrichment import enrich_orders, enrich_products
 
 
 def order(order_id="O1", quantity=1, price=10.0, status="completed", discount=0.0, day="2024-01-01",
-          customer="C0001", product="P001"):
+          customer="K17", product="A10"):
     return (order_id, customer, product, quantity, price, discount, day, status)
 
 
@@ -78,7 +78,7 @@ def test_other_sources_drop_repeated_ids(frame, sources, name, clean):
 
 def test_shipping_keeps_all_events(frame, sources):
     twice = sources["shipping"].union(sources["shipping"])
-    assert cleaning.clean_shipping(twice).count() == 8
+    assert cleaning.clean_shipping(twice).count() == 10
 
 
 def enriched(sources, frame, orders=None, returns=None, shipping=None):
@@ -94,10 +94,11 @@ def test_enriched_sample(sources, frame):
         enriched(sources, frame), "order_id", "total_amount", "is_returned", "shipping_cost"
     )
     assert got == [
-        ("ORD-00001", Decimal("799.00"), False, Decimal("6.99")),
-        ("ORD-00002", Decimal("67.47"), True, Decimal("4.49")),
-        ("ORD-00003", Decimal("69.00"), False, Decimal("3.99")),
-        ("ORD-00005", Decimal("118.75"), False, Decimal("5.49")),
+        ("B-101", Decimal("471.00"), False, Decimal("11.90")),
+        ("B-102", Decimal("37.40"), True, Decimal("4.20")),
+        ("B-103", Decimal("72.00"), True, Decimal("5.60")),
+        ("B-105", Decimal("32.00"), False, Decimal("3.10")),
+        ("B-106", Decimal("121.50"), False, Decimal("8.40")),
     ]
 
 
@@ -129,7 +130,7 @@ def test_amount_rounds_once(sources, frame):
 def test_margin(frame, sources):
     products = enrich_products(cleaning.clean_products(sources["products"]))
     assert rows_of(products, "product_id", "margin_pct") == [
-        ("P001", Decimal("50.0")), ("P002", Decimal("60.0")), ("P003", Decimal("57.1")),
+        ("A10", Decimal("54.2")), ("A20", Decimal("60.0")), ("A30", Decimal("62.5")), ("A40", Decimal("37.5")),
     ]
     free = frame("products", [("P", "n", "c", "s", "b", "S", 1.0, 0.0)])
     assert enrich_products(cleaning.clean_products(free)).first().margin_pct is None

@@ -73,7 +73,7 @@ def test_refused(console, sql):
 def test_raw_result_keeps_order_and_names(console):
     df = console.execute_raw("SELECT order_id, count(*) FROM fact_sales GROUP BY 1 ORDER BY 1 DESC;")
     assert df.columns == ["order_id", "count(1)"]
-    assert [r.order_id for r in df.collect()][:2] == ["ORD-00005", "ORD-00003"]
+    assert [r.order_id for r in df.collect()][:2] == ["B-106", "B-105"]
     assert console.execute_raw("SELECT 1 AS x, NULL AS y").first()[:] == (1, None)
     assert console.execute_raw("  ").count() == 0
 
@@ -90,7 +90,7 @@ def test_julianday_text_runs(console):
         "FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key "
         "GROUP BY d.year, d.quarter, d.month ORDER BY q, m"
     )
-    assert df.first()[:] == ("2024-Q1", "03", 657.0)
+    assert df.first()[:] == ("2024-Q1", "02", 679.0)
 
 
 def test_invalid_sql_is_refused(console):
@@ -121,7 +121,7 @@ def test_other_errors_pass_the_deadline(console):
 def test_named_queries_and_kpis(console):
     assert len(console.available_queries()) == 15
     assert console.execute_query("revenue_trends").count() == 4
-    assert console.kpis()["total_revenue"] == 1054.22
+    assert console.kpis()["total_revenue"] == 733.9
     with pytest.raises(UnknownQueryError):
         console.execute_query("nonexistent_query")
 

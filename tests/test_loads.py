@@ -29,8 +29,8 @@ def increment(warehouse, sources, params):
     return warehouse.load_incremental(build_star(ready, params, known), facts_checked=True)
 
 
-def order(n, customer="C0001", day="2024-08-01"):
-    return (f"ORD-{n:05d}", customer, "P001", 1, 100.0, 0.0, day, "completed")
+def order(n, customer="K17", day="2024-08-01"):
+    return (f"B-2{n:02d}", customer, "A10", 1, 100.0, 0.0, day, "completed")
 
 
 def days(warehouse):
@@ -50,7 +50,7 @@ def test_increments_at_once_lose_nothing(spark, loaded, sources, frame, params):
 
     def load(n):
         try:
-            orders = frame("orders", [order(n), order(n + 1, customer="C0777")])
+            orders = frame("orders", [order(n), order(n + 1, customer="K777")])
             customers = frame("customers", [(f"C1{n}", "New", "n@x", "Nord", "Kiel", "B2C", "2024-08-01")])
             warehouse = Warehouse(spark, root)
             known = warehouse.star()
@@ -67,41 +67,41 @@ def test_increments_at_once_lose_nothing(spark, loaded, sources, frame, params):
         t.join()
     assert errors == [] and results == [2, 2, 2]
     fact = loaded.table("fact_sales")
-    assert fact.count() == 10
-    assert sorted(r.order_key for r in fact.collect()) == list(range(1, 11))
+    assert fact.count() == 11
+    assert sorted(r.order_key for r in fact.collect()) == list(range(1, 12))
     customers = loaded.table("dim_customer")
-    assert customers.count() == 6 and customers.select("customer_key").distinct().count() == 6
+    assert customers.count() == 7 and customers.select("customer_key").distinct().count() == 7
 
 
 def test_a_batch_built_without_the_loaded_tables_is_keyed_anew(loaded, sources, frame, params):
     customers = frame("customers", [
-        ("C0009", "New", "n@x", "Nord", "Kiel", "B2C", "2024-08-01"),
-        ("C0002", "Anna", "a@x", "Sued", "Muenchen", "B2B", "2024-03-20"),
+        ("K90", "New", "n@x", "Nord", "Kiel", "B2C", "2024-08-01"),
+        ("K23", "Anna", "a@x", "Sued", "Muenchen", "B2B", "2024-03-20"),
     ])
     products = frame("products", [
-        ("P009", "Lamp", "Home", "Lamps", "Lux", "SUP-09", 10.0, 20.0),
-        ("P001", "Laptop", "Electronics", "Laptops", "Norvex", "SUP-01", 400.0, 800.0),
+        ("A90", "Lamp", "Home", "Lamps", "Lux", "L9", 10.0, 20.0),
+        ("A10", "Laptop", "Electronics", "Laptops", "Norvex", "L1", 400.0, 800.0),
     ])
-    suppliers = frame("suppliers", [("SUP-09", "Lux AG", "DE", 5, 4.0), ("SUP-01", "Tech", "DE", 5, 4.5)])
+    suppliers = frame("suppliers", [("L9", "Lux AG", "DE", 5, 4.0), ("L1", "Tech", "DE", 5, 4.5)])
     orders = frame("orders", [
-        ("ORD-00070", "C0009", "P009", 1, 20.0, 0.0, "2024-08-01", "completed"),
-        ("ORD-00071", "C0002", "P001", 1, 800.0, 0.0, "2024-08-02", "completed"),
-        ("ORD-00072", "C0404", "P404", 1, 5.0, 0.0, "2024-08-03", "completed"),
+        ("B-270", "K90", "A90", 1, 20.0, 0.0, "2024-08-01", "completed"),
+        ("B-271", "K23", "A10", 1, 800.0, 0.0, "2024-08-02", "completed"),
+        ("B-272", "K404", "A404", 1, 5.0, 0.0, "2024-08-03", "completed"),
     ])
     replaced = {"customers": customers, "products": products, "suppliers": suppliers, "orders": orders}
     batch = build_star(enrich_all(clean_all({**sources, **replaced})), params)
     assert batch.version is None
     assert loaded.load_incremental(batch, facts_checked=True) == 3
     assert rows_of(loaded.table("dim_customer"), "customer_key", "customer_id") == [
-        (1, "C0001"), (2, "C0002"), (3, "C0003"), (4, "C0009"),
+        (1, "K17"), (2, "K23"), (3, "K41"), (4, "K58"), (5, "K90"),
     ]
     star = loaded.star()
-    lamp = star.dim_product.filter("product_id = 'P009'").first()
-    lux = star.dim_supplier.filter("supplier_id = 'SUP-09'").first()
-    assert (lamp.product_key, lux.supplier_key, lamp.supplier_key) == (4, 3, 3)
-    new = star.fact_sales.filter("order_key > 4")
+    lamp = star.dim_product.filter("product_id = 'A90'").first()
+    lux = star.dim_supplier.filter("supplier_id = 'L9'").first()
+    assert (lamp.product_key, lux.supplier_key, lamp.supplier_key) == (5, 4, 4)
+    new = star.fact_sales.filter("order_key > 5")
     assert rows_of(new, "order_id", "customer_key", "product_key", "supplier_key") == [
-        ("ORD-00070", 4, 4, 3), ("ORD-00071", 2, 1, 1), ("ORD-00072", 0, 0, 0),
+        ("B-270", 5, 5, 4), ("B-271", 2, 1, 1), ("B-272", 0, 0, 0),
     ]
 
 
@@ -122,13 +122,13 @@ def test_unchanged_dimensions_are_not_written_again(loaded, sources, frame, para
     after = loaded._state().tables
     assert all(after[n] == before[n] for n in ("dim_date", "dim_customer", "dim_supplier", "dim_product"))
     counts = rows_of(loaded.table("load_metadata"), "table_name", "records_processed")
-    assert ("dim_customer", 3) in counts and ("dim_product", 3) in counts  # looked at, all the same
-    renamed = frame("suppliers", [("SUP-01", "Elbe AG", "DE", 5, 4.5), ("SUP-03", "New", "FR", 9, 4.0)])
+    assert ("dim_customer", 4) in counts and ("dim_product", 4) in counts  # looked at, all the same
+    renamed = frame("suppliers", [("L1", "Elbe AG", "PL", 9, 4.1), ("L7", "New", "FR", 9, 4.0)])
     assert increment(loaded, {**sources, "suppliers": renamed, "orders": frame("orders", [order(91)])}, params) == 1
     last = loaded._state().tables
     assert last["dim_customer"] == before["dim_customer"] and last["dim_supplier"] != before["dim_supplier"]
     assert rows_of(loaded.table("dim_supplier"), "supplier_key", "supplier_id", "name") == [
-        (1, "SUP-01", "Elbe AG"), (2, "SUP-02", "Orient Trade SE"), (3, "SUP-03", "New"),
+        (1, "L1", "Elbe AG"), (2, "L2", "Orient Trade SE"), (3, "L3", "Fjord Gear AS"), (4, "L7", "New"),
     ]
 
 
@@ -142,7 +142,7 @@ def test_full_load_between_building_and_loading_an_increment(loaded, sources, fr
     keys = dict(rows_of(loaded.table("dim_customer"), "customer_id", "customer_key"))
     assert keys != dict(rows_of(known.dim_customer, "customer_id", "customer_key"))
     assert loaded.load_incremental(batch, facts_checked=True) == 1
-    new = loaded.table("fact_sales").filter("order_key > 4").first()
+    new = loaded.table("fact_sales").filter("order_key > 5").first()
     who = later["orders"].first().customer_id
     assert new.customer_key == keys[who]
 
@@ -157,7 +157,7 @@ def test_a_claim_that_stays_is_reported(loaded, star, monkeypatch):
     with pytest.raises(warehouse.ConcurrentLoadError, match="claim"):
         loaded.load_full(star)
     files.remove(loaded.spark, claim)
-    assert loaded.load_full(star)["fact_sales"] == 4
+    assert loaded.load_full(star)["fact_sales"] == 5
 
 
 def test_copies_of_a_return_stay_together(frame):

@@ -62,20 +62,20 @@ def test_job_full_then_incremental(spark, data_dir, tmp_path, params):
     result = WarehouseJob(spark, root, data_dir=data_dir, params=params).run()
     assert set(result.phase_timings) == set(PHASES)
     assert result.failed_queries == {} and len(result.queries) == 15
-    assert result.kpis["total_orders"] == 4 and result.quality["overall_score"] == 100.0
+    assert result.kpis["total_orders"] == 5 and result.quality["overall_score"] == 100.0
     expected = {
-        "raw_orders": 5, "clean_orders": 4, "clean_customers": 3, "clean_products": 3,
-        "clean_suppliers": 2, "clean_returns": 1, "clean_shipping": 4, "dim_date": 366,
-        "fact_sales": 4,
+        "raw_orders": 6, "clean_orders": 5, "clean_customers": 4, "clean_products": 4,
+        "clean_suppliers": 3, "clean_returns": 2, "clean_shipping": 5, "dim_date": 366,
+        "fact_sales": 5,
     }
     assert expected.items() <= result.row_counts.items()
 
     with open(f"{data_dir}/raw/orders.csv", "a") as out:
-        out.write("ORD-00009,C0001,P001,1,100.0,0,2024-12-01,completed\n")
-        out.write("ORD-00008,C0001,P001,-1,100.0,0,2024-12-01,completed\n")
+        out.write("B-209,K17,A10,1,100.0,0,2024-12-01,completed\n")
+        out.write("B-208,K17,A10,-1,100.0,0,2024-12-01,completed\n")
     job = WarehouseJob(spark, root, data_dir=data_dir, mode="incremental", params=params)
     result = job.run()
-    assert result.new_facts == 1 and result.kpis["total_orders"] == 5
+    assert result.new_facts == 1 and result.kpis["total_orders"] == 6
     assert job.warehouse.table("data_quality_issues").count() == 1
     assert result.row_counts["clean_orders"] == 1
     rows = job.run_log.recent().collect()
@@ -100,7 +100,7 @@ def test_run_log_fault_does_not_stop_the_job(spark, data_dir, tmp_path, params,
 
     monkeypatch.setattr(RunLog, "start", broken)
     job = WarehouseJob(spark, str(tmp_path / "wh"), data_dir=data_dir, params=params)
-    assert job.run().kpis["total_orders"] == 4
+    assert job.run().kpis["total_orders"] == 5
 
 
 def test_arguments(spark, tmp_path):

@@ -14,7 +14,7 @@ def test_six_sources_with_row_counts(spark, data_dir):
     sources = extract_all(spark, data_dir)
     counts = {name: e.row_count() for name, e in sources.items()}
     assert counts == {
-        "orders": 5, "customers": 3, "returns": 1, "products": 3, "suppliers": 2, "shipping": 4,
+        "orders": 6, "customers": 4, "returns": 2, "products": 4, "suppliers": 3, "shipping": 5,
     }
     for name, extraction in sources.items():
         assert extraction.columns == RAW[name].fieldNames()
@@ -24,7 +24,7 @@ def test_six_sources_with_row_counts(spark, data_dir):
 def test_observed_count_comes_with_the_first_action(spark, data_dir):
     df, watch = extract_all(spark, data_dir)["orders"].observed()
     df.write.format("noop").mode("overwrite").save()
-    assert watch.get["rows"] == 5
+    assert watch.get["rows"] == 6
 
 
 def test_missing_file(spark, tmp_path):
@@ -78,7 +78,7 @@ def test_parquet_and_table_sources(spark, data_dir, sources, tmp_path):
         data_dir,
         {"orders": ("parquet", path), "customers": ("table", "raw_customers_view", ["signup_date", "name"])},
     )
-    assert found["orders"].row_count() == 5
+    assert found["orders"].row_count() == 6
     assert found["customers"].row_count() == sources["customers"].count()
     with pytest.raises(ValueError, match="order_by"):
         extract_all(spark, data_dir, {"customers": ("table", "raw_customers_view")})

@@ -38,10 +38,10 @@ def test_tables_have_their_declared_columns(star):
 
 def test_keys_follow_source_order(star):
     assert rows_of(star.dim_customer, "customer_key", "customer_id") == [
-        (1, "C0001"), (2, "C0002"), (3, "C0003"),
+        (1, "K17"), (2, "K23"), (3, "K41"), (4, "K58"),
     ]
     assert rows_of(star.dim_product, "product_key", "product_id", "supplier_key") == [
-        (1, "P001", 1), (2, "P002", 1), (3, "P003", 2),
+        (1, "A10", 2), (2, "A20", 1), (3, "A30", 1), (4, "A40", 3),
     ]
 
 
@@ -51,10 +51,11 @@ def test_fact(star):
         "supplier_key", "profit_margin", "is_returned",
     )
     assert got == [
-        (1, "ORD-00001", 20240315, 1, 1, 1, Decimal("49.1"), False),
-        (2, "ORD-00002", 20240420, 2, 2, 1, Decimal("48.9"), True),
-        (3, "ORD-00003", 20240510, 1, 3, 2, Decimal("50.7"), False),
-        (4, "ORD-00005", 20240712, 3, 2, 1, Decimal("53.3"), False),
+        (1, "B-101", 20240222, 2, 1, 2, Decimal("50.8"), False),
+        (2, "B-102", 20240309, 1, 2, 1, Decimal("40.6"), True),
+        (3, "B-103", 20240502, 3, 3, 1, Decimal("50.6"), True),
+        (4, "B-105", 20240811, 2, 3, 1, Decimal("52.8"), False),
+        (5, "B-106", 20240830, 1, 2, 1, Decimal("48.6"), False),
     ]
 
 
@@ -76,8 +77,8 @@ def test_unknown_members_get_key_zero(sources, frame):
     dim_product, fact = build(
         sources, frame,
         [("O1", "C9", "P9", 1, 10.0, 0.0, "2024-01-01", "completed"),
-         ("O2", "C0001", "P8", 1, 10.0, 0.0, "2024-01-01", "completed")],
-        [("P8", "n", "c", "s", "b", "SUP-99", 4.0, 8.0)],
+         ("O2", "K17", "P8", 1, 10.0, 0.0, "2024-01-01", "completed")],
+        [("P8", "n", "c", "s", "b", "L99", 4.0, 8.0)],
     )
     assert dim_product.first().supplier_key == 0
     assert rows_of(fact, "customer_key", "product_key", "supplier_key", "profit_margin") == [
@@ -87,7 +88,7 @@ def test_unknown_members_get_key_zero(sources, frame):
 
 def test_zero_amount_has_zero_margin(sources, frame):
     _, fact = build(
-        sources, frame, [("O1", "C0001", "P001", 1, 10.0, 100.0, "2024-01-01", "completed")]
+        sources, frame, [("O1", "K17", "A10", 1, 10.0, 100.0, "2024-01-01", "completed")]
     )
     assert fact.first().profit_margin == Decimal("0.0")
 
@@ -119,4 +120,4 @@ def test_order_keys_in_any_order(sources, params):
     from tallyloom.plans.job import build_star
 
     fact = build_star(enrich_all(clean_all(sources)), params, order_keys="any").fact_sales
-    assert rows_of(fact, "order_key") == [(1,), (2,), (3,), (4,)]
+    assert rows_of(fact, "order_key") == [(1,), (2,), (3,), (4,), (5,)]

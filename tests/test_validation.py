@@ -14,7 +14,7 @@ def issues(sources, **kwargs):
 
 
 def bad_order(**changes):
-    base = dict(order_id="O1", customer_id="C0001", product_id="P001", quantity=1,
+    base = dict(order_id="O1", customer_id="K17", product_id="A10", quantity=1,
                 unit_price=10.0, discount_pct=0.0, order_date="2024-01-01", status="completed")
     return tuple({**base, **changes}.values())
 
@@ -72,7 +72,7 @@ def test_empty_parents(sources, frame):
     """No customers: every order is reported. No products: the check is off."""
     none = {"customers": frame("customers", []), "products": frame("products", [])}
     got = issues({**sources, **none})
-    assert len(got) == 5 and {g[2] for g in got} == {"customer_id"}
+    assert len(got) == 6 and {g[2] for g in got} == {"customer_id"}
     assert issues({"orders": sources["orders"]}) == []
 
 
@@ -125,7 +125,7 @@ def test_reports(sources, frame, star):
     assert rows_of(validation.issues_by_source(found), "source", "issues") == [("orders", 60)]
     assert validation.issue_sample(found).count() == 50
     score = validation.warehouse_score(found, star.fact_sales).first()
-    assert score[:] == (6.3, 60, 4)
+    assert score[:] == (7.7, 60, 5)
     empty = found.filter(F.lit(False))
     assert validation.warehouse_score(empty, star.fact_sales).first().quality_score == 100.0
 
@@ -133,6 +133,6 @@ def test_reports(sources, frame, star):
 def test_file_sources_report_file_positions(spark, data_dir):
     path = f"{data_dir}/raw/orders.csv"
     with open(path, "a") as out:
-        out.write("ORD-9,C0001,P001,-2,5.0,0,2024-01-01,completed\n")
+        out.write("ORD-9,K17,A10,-2,5.0,0,2024-01-01,completed\n")
     frames = {n: e.df for n, e in extract_all(spark, data_dir).items()}
-    assert issues(frames) == [("orders", 5, "quantity", "-2", "positive_value")]
+    assert issues(frames) == [("orders", 6, "quantity", "-2", "positive_value")]
