@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +40,14 @@ def remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def send_model(spark: SparkSession, model: object) -> Broadcast:
+    """A broadcast of a model's bytes, with its class in them; a task opens it with ``pickle.loads``.
+
+    A plain broadcast would name the class only, and executors need not have this package.
+    """
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
 def text_size(docs: DataFrame) -> int:
     """Bytes of all texts."""
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -25,6 +25,7 @@ Definitions and edge cases
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallyloom.llm import batches as B
-from tallyloom.llm.common import documents, labelled_sample
+from tallyloom.llm.common import documents, labelled_sample, send_model
 
 COLUMNS = 1 << 16
 CHAIN = 256
@@ -227,11 +228,12 @@ def fit_languages(
 
 def label_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred and score of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = send_model(docs.sparkSession, model)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pickle.loads(shared.value)
         for piece in B.pieces(parts):
-            labels, score = shared.value.labels(piece.column(1))
+            labels, score = own.labels(piece.column(1))
             yield pa.RecordBatch.from_arrays(
                 [piece.column(0), pa.array(labels, pa.string()), pa.array(score)],
                 ["doc_id", "lang_pred", "score"],

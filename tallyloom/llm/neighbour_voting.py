@@ -21,6 +21,7 @@ Edge cases
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallyloom.llm import batches as B
-from tallyloom.llm.common import documents, labelled_sample
+from tallyloom.llm.common import documents, labelled_sample, send_model
 
 TERMS = 4096
 #: Of words against shapes.
@@ -160,11 +161,12 @@ def fit_quality(
 
 def score_quality(docs: DataFrame, model: NeighbourModel) -> DataFrame:
     """doc_id and the score (0 to 1) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = send_model(docs.sparkSession, model)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pickle.loads(shared.value)
         for piece in B.pieces(parts, limit=B.PIECE // 2):
-            score = pa.array(shared.value.scores(piece.column(1)), pa.float64())
+            score = pa.array(own.scores(piece.column(1)), pa.float64())
             yield pa.RecordBatch.from_arrays([piece.column(0), score], ["doc_id", "score"])
 
     return documents(docs).mapInArrow(run, "doc_id long, score double")
