@@ -26,7 +26,7 @@ from tallyloom.operators.cleaning import clean_all  # noqa: E402
 from tallyloom.operators.global_order import row_index  # noqa: E402
 from tallyloom.operators.star import enrich_all  # noqa: E402
 from tallyloom.plans import analyses, reports  # noqa: E402
-from tallyloom.plans.job import build_star, unseen_orders  # noqa: E402
+from tallyloom.plans.job import build_star, increment_star  # noqa: E402
 from tallyloom.plans.named import NAMED_QUERIES  # noqa: E402
 from tallyloom.session import build_session, release_staged  # noqa: E402
 from tallyloom.sinks.warehouse import Warehouse  # noqa: E402
@@ -69,9 +69,7 @@ def main() -> None:
         warehouse.load_full(build_star(enrich_all(clean_all(early)), TRADE_PARAMS))
 
     def incremental_load() -> None:
-        known = warehouse.star()
-        ready = enrich_all(clean_all(unseen_orders(sources, known)))
-        star = build_star(ready, TRADE_PARAMS, known)
+        star = increment_star(sources, TRADE_PARAMS, warehouse.star())
         warehouse.load_incremental(star, facts_checked=True)
 
     queries["full_load"] = timed(full_load)

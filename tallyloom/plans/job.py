@@ -97,7 +97,8 @@ def build_star(
     spark = ready["orders"].sparkSession
     dim_date = build_dim_date(spark, params.date_start, params.date_end)
     if known is not None:
-        return _increment_star(ready, known, dim_date, order_keys)
+        dimensions = _changed_dimensions(ready, known)
+        return _increment_star(ready["orders"], dimensions, known, dim_date, order_keys)
     dim_supplier = build_dim_supplier(ready["suppliers"])
     dim_customer = build_dim_customer(ready["customers"])
     dim_product = build_dim_product(ready["products"], dim_supplier)
@@ -105,35 +106,58 @@ def build_star(
     return Star(dim_date, dim_customer, dim_supplier, dim_product, fact_sales)
 
 
-def _increment_star(ready: Mapping[str, DataFrame], known: Star, dim_date: DataFrame, order_keys: str) -> Star:
-    """Changed members and new facts; independent parts are built beside each other."""
+def _changed_dimensions(ready: Mapping[str, DataFrame], known: Star) -> dict:
+    """Per dimension: its changed members, the whole of it with them, and the members looked at."""
 
     def changed(name: str, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The changed members, and the whole dimension with them."""
         held, key = getattr(known, name), BUSINESS_KEYS[name]
         some = changed_members(rows, held, key, SURROGATE_KEYS[name])
         return some, held if some.isEmpty() else merge.upsert(held, some, key)
 
     def products() -> tuple:
-        supplier, suppliers = changed("dim_supplier", ready["suppliers"])
-        return supplier, *changed("dim_product", with_supplier_key(ready["products"], suppliers))
+        supplier = changed("dim_supplier", ready["suppliers"])
+        return supplier, changed("dim_product", with_supplier_key(ready["products"], supplier[1]))
 
-    (customer, customers), (supplier, product, all_products), *counts = in_parallel(
-        ready["orders"].sparkSession,
+    customer, (supplier, product), *counts = in_parallel(
+        ready["customers"].sparkSession,
         lambda: changed("dim_customer", ready["customers"]),
         products,
         *(ready[n].count for n in ("customers", "suppliers", "products")),
     )
-    first_key = top_order_key(known) + 1
+    names = ("dim_customer", "dim_supplier", "dim_product")
+    return {n: (*d, c) for n, d, c in zip(names, (customer, supplier, product), counts, strict=True)}
+
+
+def _increment_star(
+    orders: DataFrame, dimensions: dict, known: Star, dim_date: DataFrame, order_keys: str
+) -> Star:
+    """New facts, and the members that are new or changed."""
+    changed, whole = ({n: d[k] for n, d in dimensions.items()} for k in (0, 1))
     fact_sales = build_fact_sales(
-        ready["orders"], customers, all_products, first_order_key=first_key, order_keys=order_keys
-    )
-    star = Star(dim_date, customer, supplier, product, fact_sales)
+        orders, whole["dim_customer"], whole["dim_product"],
+        first_order_key=top_order_key(known) + 1, order_keys=order_keys,
+    )
+    star = Star(dim_date=dim_date, fact_sales=fact_sales, **changed)
     star.version, star.known = known.version, known
-    star.members = dict(zip(("dim_customer", "dim_supplier", "dim_product"), counts, strict=True))
+    star.members = {n: d[2] for n, d in dimensions.items()}
     return star
 
 
+def increment_star(
+    sources: Mapping[str, DataFrame], params: MartParams, known: Star, bad_dates: str = "raise",
+    order_keys: str = "any",
+) -> Star:
+    """What raw sources add to a loaded star. New orders and changed members are looked for beside each other."""
+    spark = sources["orders"].sparkSession
+    masters = enrich_all(clean_all(sources, bad_dates))  # its orders are not used
+    fresh, dimensions = in_parallel(
+        spark, lambda: unseen_orders(sources, known), lambda: _changed_dimensions(masters, known)
+    )
+    orders = enrich_all(clean_all(fresh, bad_dates))["orders"]
+    dim_date = build_dim_date(spark, params.date_start, params.date_end)
+    return _increment_star(orders, dimensions, known, dim_date, order_keys)
+
+
 def top_order_key(star: Star) -> int:
     """The largest order key; a star read from a warehouse has it from the manifest."""
     if star.top_order_key is not None:
@@ -253,16 +277,17 @@ class WarehouseJob:
                 known = self.warehouse.star()
                 # Counted before the returns are cut down to those of new orders.
                 kept = clean_all(sources, self.bad_dates)["returns"].count()
-                sources = unseen_orders(sources, known)
-            clean = clean_all(sources, self.bad_dates)
-            ready = enrich_all(clean)
-            if known is None:
+            else:
+                ready = enrich_all(clean := clean_all(sources, self.bad_dates))
                 kept = clean["returns"].count()
             result.row_counts["clean_returns"] = kept
             result.row_counts["clean_shipping"] = result.row_counts["raw_shipping"]
 
         with self._phase("build_dimensions", result):
-            star = build_star(ready, self.params, known, self.order_keys)
+            if known is None:
+                star = build_star(ready, self.params, order_keys=self.order_keys)
+            else:
+                star = increment_star(sources, self.params, known, self.bad_dates, self.order_keys)
 
         with self._phase("load", result):
             if known is not None:

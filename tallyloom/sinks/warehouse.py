@@ -343,12 +343,17 @@ class Warehouse:
                 *tables["data_quality_issues"],
                 self._save("data_quality_issues", issues),
             ]
-        if counts["fact_sales"] or new_days:
-            daily = self._daily_after(tables, appended, rebuild=new_days)
-            tables["agg_daily_sales"] = [self._save("agg_daily_sales", daily)]
-        tables["load_metadata"] = [
-            self._metadata_batch(tables["load_metadata"], counts, "incremental")
-        ]
+
+        def daily() -> list[str]:
+            if not counts["fact_sales"] and not new_days:
+                return tables["agg_daily_sales"]
+            return [self._save("agg_daily_sales", self._daily_after(tables, appended, rebuild=new_days))]
+
+        def metadata() -> list[str]:
+            return [self._metadata_batch(base.tables["load_metadata"], counts, "incremental")]
+
+        days, loads = in_parallel(self.spark, daily, metadata)
+        tables |= {"agg_daily_sales": days, "load_metadata": loads}
         rows = {**base.fact_rows, appended: counts["fact_sales"]}
         top = base.top_order_key + counts["fact_sales"]
         return counts["fact_sales"] if self._publish(base, tables, rows, top) else None

@@ -11,7 +11,7 @@ from tallyloom.operators.cleaning import clean_all
 from tallyloom.operators.merge import new_rows
 from tallyloom.operators.star import Star, enrich_all
 from tallyloom.plans.analyses import rfm_segmentation
-from tallyloom.plans.job import build_star, of_orders, unseen_orders
+from tallyloom.plans.job import build_star, increment_star, of_orders, unseen_orders
 from tallyloom.session import staging_root, staging_scope
 from tallyloom.sinks.warehouse import Warehouse
 
@@ -24,9 +24,7 @@ def loaded(spark, tmp_path, star):
 
 
 def increment(warehouse, sources, params):
-    known = warehouse.star()
-    ready = enrich_all(clean_all(unseen_orders(sources, known)))
-    return warehouse.load_incremental(build_star(ready, params, known), facts_checked=True)
+    return warehouse.load_incremental(increment_star(sources, params, warehouse.star()), facts_checked=True)
 
 
 def order(n, customer="K17", day="2024-08-01"):
