@@ -8,7 +8,9 @@ and diagonal before anything is shuffled. A template may be found
 * exactly (the base phrases): all its k-grams on one diagonal, which is then the place where
   the phrase starts; or
 * in part: diagonals at most ``drift`` apart are merged, so that an inserted or missing word
-  doesn't break a match, and the span is kept if enough of the template's k-grams are in it.
+  doesn't break a match. The span is verified: only k-grams that follow one another in the
+  document as in the template count, and words that set a template apart from its relatives
+  (``needs``: the "nc" of a licence that has variants without it) must be among those matched.
 
 The join is verified by a second, independent 64-bit hash of each k-gram.
 
@@ -18,6 +20,7 @@ Definitions and edge cases
     rows without doc_id each have their result. An empty table gives an empty result; other
     columns don't matter.
   * Templates have at least k and at most 64 + k - 1 words.
+  * The score is the largest share of a template's k-grams in a span that has what it needs.
 """
 
 from __future__ import annotations
@@ -45,6 +48,7 @@ class Template:
     label: str
     text: str
     exact: bool = False
+    needs: tuple[str, ...] = ()
 
 
 # The base phrases and their labels.
@@ -56,16 +60,19 @@ BASE = (
 
 #: Statements that may be found in part.
 STATEMENTS = (
-    Template("apache", "licensed under the apache license version 2 0"),
+    Template("apache", "licensed under the apache license version 2 0", needs=("apache",)),
     Template("bsd", "redistribution and use in source and binary forms with or without"
              " modification are permitted provided that the following conditions are met"),
-    Template("cc-by-nc", "licensed under cc by nc 4 0"),
-    Template("cc-by-sa", "licensed under a creative commons attribution share alike license"),
-    Template("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    Template("mit", "released under the mit license"),
+    Template("cc-by-nc", "licensed under cc by nc 4 0", needs=("nc",)),
+    Template("cc-by-sa", "licensed under a creative commons attribution share alike license",
+             needs=("share", "alike")),
+    Template("gpl-3", "this work is licensed under the gnu general public license version 3",
+             needs=("general", "3")),
+    Template("mit", "released under the mit license", needs=("mit",)),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy"
              " of this software and associated documentation files"),
-    Template("mpl", "this source code form is subject to the terms of the mozilla public license"),
+    Template("mpl", "this source code form is subject to the terms of the mozilla public license",
+             needs=("mozilla",)),
 )
 
 
@@ -132,27 +139,54 @@ def votes(docs: DataFrame, templates: tuple[Template, ...], k: int = _K) -> Data
     )
 
 
+#: The most k-grams of a span that can be taken with places and template positions both rising:
+#: ``t`` holds the smallest last position of a run of each length.
+_IN_ORDER = """
+  size(aggregate(
+    array_sort(flatten(transform(parts, x -> transform(
+      filter(sequence(0, 63), j -> shiftright(x.seen, j) & 1L = 1L),
+      j -> struct(x.diagonal + j AS at, -j AS back))))),
+    cast(array() AS array<int>),
+    (t, p) -> concat(filter(t, v -> v < -p.back), array(-p.back),
+                     slice(t, size(filter(t, v -> v < -p.back)) + 2, 64))))"""
+
+
 def spans(found: DataFrame, drift: int = 2) -> DataFrame:
     """Votes of neighbouring diagonals as one span; a document's own row stays as it is.
 
-    Rows (row_id, template, label, exact, start, coverage, doc_id).
+    Rows (row_id, template, label, exact, start, seen, coverage, doc_id); ``coverage`` is the share
+    of the template's k-grams that the span has in the template's order.
     """
     order = Window.partitionBy("row_id", "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(order) > drift
     fresh = F.col("exact") | F.coalesce(apart, F.lit(False))  # exact ones stay on one diagonal
+    matched = F.when(F.size("parts") > 1, F.expr(_IN_ORDER)).otherwise(F.bit_count("seen"))
     return (
         found.withColumn("part", F.sum(fresh.cast("int")).over(order))
         .groupBy("row_id", "template", "label", "exact", "grams", "part")
         .agg(
+            F.collect_list(F.when(~F.col("exact"), F.struct("diagonal", "seen"))).alias("parts"),
             F.bit_or("seen").alias("seen"),
             F.min("diagonal").cast("long").alias("start"),
             F.max("doc_id").alias("doc_id"),
         )
-        .withColumn("coverage", F.bit_count("seen") / F.col("grams"))
-        .drop("part", "grams", "seen")
+        .withColumn("coverage", matched / F.col("grams"))
+        .drop("part", "grams", "parts")
     )
 
 
+def _has_needs(templates: tuple[Template, ...], k: int = _K):
+    """Whether the span's k-grams hold every word that its template needs."""
+    ok = F.lit(True)
+    for t, template in enumerate(templates):
+        words = template.text.split()
+        for need in template.needs:
+            grams = {j for w, x in enumerate(words) if x == need for j in range(max(w - k + 1, 0), w + 1)}
+            mask = sum(1 << j for j in grams if j <= len(words) - k)
+            ok = ok & ((F.col("template") != t) | (F.col("seen").bitwiseAND(F.lit(mask)) != 0))
+    return ok
+
+
 def scan(
     docs: DataFrame, base: tuple[Template, ...] = BASE,
     statements: tuple[Template, ...] = STATEMENTS, enough: float = 0.6,
@@ -160,9 +194,11 @@ def scan(
     """Per document: its words, the base phrases' places, all labels, and the best coverage."""
     own = F.col("template") == -1
     hit = ~own & F.col("exact") & (F.col("coverage") == 1)
-    named = hit | ~own & ~F.col("exact") & (F.col("coverage") >= enough)
+    named = hit | ~own & ~F.col("exact") & F.col("sound") & (F.col("coverage") >= enough)
+    templates = base + statements
     return (
-        spans(votes(docs, base + statements))
+        spans(votes(docs, templates))
+        .withColumn("sound", _has_needs(templates))
         .groupBy("row_id")
         .agg(
             F.max(F.when(own, F.col("doc_id"))).alias("doc_id"),
@@ -172,7 +208,7 @@ def scan(
             F.max(F.when(hit, F.col("start"))).alias("last_word"),
             _labels(hit).alias("base_labels"),
             _labels(named).alias("labels"),
-            F.coalesce(F.max(F.when(~own, F.col("coverage"))), F.lit(0.0)).alias("score"),
+            F.coalesce(F.max(F.when(~own & F.col("sound"), F.col("coverage"))), F.lit(0.0)).alias("score"),
         )
         .drop("row_id")
     )

@@ -240,3 +240,55 @@ def test_license_scan_of_the_tables(spark):
     columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
     got = by_key(registered.op7_license_scan(spark, SF), *columns)
     assert got == sorted(((d, *brute_scan(t)) for d, t in texts), key=repr)
+
+
+def brute_statements(text, drift=2, enough=0.6):
+    """Labels and score by looking at every k-gram of every template."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    labels, score = set(), 0.0
+    for template in diagonal_voting.BASE + diagonal_voting.STATEMENTS:
+        own = template.text.split()
+        grams = len(own) - 1
+        points = [(i, j) for j in range(grams) for i in range(len(words) - 1) if words[i : i + 2] == own[j : j + 2]]
+        parts, last = [], None
+        for d, i, j in sorted((i - j, i, j) for i, j in points):
+            if last is None or d - last > (0 if template.exact else drift):
+                parts.append([])
+            parts[-1].append((i, j))
+            last = d
+        for part in parts:
+            seen = {own[j + x] for _, j in part for x in (0, 1)}
+            if not set(template.needs) <= seen:
+                continue
+            best = {}
+            for i, j in sorted(part):
+                best[i, j] = 1 + max((n for (a, b), n in best.items() if a < i and b < j), default=0)
+            share = max(best.values()) / grams
+            score = max(score, share)
+            if share >= (1 if template.exact else enough):
+                labels.add(template.label)
+    return ",".join(sorted(labels)), score
+
+
+def test_spans_are_verified(spark):
+    rng = random.Random(5)
+    texts = [
+        (1, "Licensed under CC BY 4.0"), (2, "licensed under CC BY-NC 4.0 here"), (3, "nc. Licensed under cc by 4 0"),
+        (4, "this work is licensed under the GNU General Public License, version 2"),
+        (5, "This work is hereby licensed under the GNU general public license version 3"),
+        (6, "public license version 3 gnu general this work is licensed under the"),
+        (7, "licensed under a creative commons attribution license"), (8, None), (9, ""), (None, "released under the MIT license"),
+        (10, "under the " * 500 + "mit license"), (11, "released under the mit license " * 3),
+    ]
+    for k in range(120):  # statements with words left out, put in, and moved
+        words = rng.choice(diagonal_voting.STATEMENTS + diagonal_voting.BASE).text.split()
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(words))
+            words = rng.choice([words[:at] + words[at + 1 :], [*words[:at], "so", *words[at:]], words[at:] + words[:at]]) or ["x"]
+        texts.append((100 + k, " ".join(["a", *words, "b"] + words[: rng.randrange(3)])))
+    got = by_key(diagonal_voting.scan(documents(spark, texts)), "doc_id", "labels", "score")
+    assert [g[:2] for g in got] == [w[:2] for w in sorted(((d, *brute_statements(t)) for d, t in texts), key=repr)]
+    assert got == sorted(((d, *brute_statements(t)) for d, t in texts), key=repr)
+    labels = {g[0]: g[1] for g in got}
+    assert labels[1] == labels[3] == "cc-by" and labels[2] == "cc-by,cc-by-nc"
+    assert labels[4] == "gpl" and labels[5] == "gpl,gpl-3" and labels[7] == ""
