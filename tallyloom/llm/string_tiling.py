@@ -8,9 +8,14 @@ of ``seed`` words is left. Tiles may come in any order, so a passage whose sente
 is covered all the same. A document is contaminated by an item if its tiles cover at least
 ``coverage`` of the item's words, and at least eight of them (or all).
 
-The item side is small: if it has at most ``most_seeds`` runs (16 MB), their hashes are sent to
-all tasks, which then pass on only the runs that occur in an item. Beyond that all runs are
-joined, with the same result.
+A run common to many documents and items ("which of the following") would join them all. So an
+item's runs are taken from the one that most items have to the rarest, and set aside while the
+words that they cover all together are fewer than a leak needs. What an item shares with a
+document then reaches the bound only if one of the other runs, the *anchors*, is shared too:
+anchors find the candidates, and only these are compared by all their runs. Nothing is lost.
+
+If the items have at most ``most_seeds`` runs (16 MB), their hashes are sent to all tasks, which
+then pass on only the runs that occur in an item. Beyond that a semi join does it, with the same result.
 
 Definitions and edge cases
   * Words are runs of digits, letters A-Z (lower-cased) and characters beyond ASCII.
@@ -23,6 +28,7 @@ Definitions and edge cases
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -107,16 +113,36 @@ def greedy_tiles(shared: Iterable[tuple[int, int]], seed: int) -> list[tuple[int
     return tiles
 
 
-def _tile(seed: int):
+def _need(n_words: int, coverage: float) -> int:
+    """The words that tiles must cover at least."""
+    return max(math.ceil(coverage * n_words), min(8, n_words))
+
+
+def _union(starts: Iterable[int], seed: int) -> int:
+    """Words covered by runs of ``seed`` words at these places, each word once."""
+    total = end = 0
+    for j in sorted(set(starts)):
+        total += j + seed - max(end, j)
+        end = j + seed
+    return total
+
+
+def _tile(seed: int, coverage: float | None):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows = part.to_pylist()
-            for row in rows:
-                tiles = greedy_tiles([(p["at"], p["j"]) for p in row.pop("places")], seed)
+            rows = []
+            for row in part.to_pylist():
+                shared = [(p["at"], p["j"]) for p in row.pop("places")]
+                if coverage is not None and _union((j for _, j in shared), seed) < _need(
+                    row["n_words"], coverage
+                ):
+                    continue
+                tiles = greedy_tiles(shared, seed)
                 row["covered"] = sum(n for _, _, n in tiles)
                 row["tiles"] = [
                     {"doc_start": i, "item_start": j, "length": n} for i, j, n in sorted(tiles)
                 ]
+                rows.append(row)
             tile = pa.struct([(c, pa.int32()) for c in ("doc_start", "item_start", "length")])
             kinds = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_words", pa.int32()),
                      ("covered", pa.int32()), ("tiles", pa.list_(tile))]
@@ -125,27 +151,88 @@ def _tile(seed: int):
     return run
 
 
-def tilings(
-    docs: DataFrame, benchmark: DataFrame, seed: int = 4, most_seeds: int = 2_000_000
-) -> DataFrame:
-    """The tiles of every document (by its row key) and item with a shared run of ``seed`` words."""
+def _anchor_runs(seed: int, coverage: float):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            out: set[tuple[int, int, int]] = set()
+            for row in part.to_pylist():
+                need = _need(row["n_words"], coverage)
+                free = np.ones(row["n_words"], dtype=bool)
+                aside = 0
+                for p in sorted(row["places"], key=lambda p: (-p["weight"], p["j"], p["seed"])):
+                    window = free[p["j"] : p["j"] + seed]
+                    more = int(window.sum())
+                    if aside + more < need:
+                        aside += more
+                        window[:] = False
+                    else:
+                        out.add((p["seed"], row["item_id"], row["n_words"]))
+            columns = zip(*sorted(out), strict=True) if out else [[]] * 3
+            kinds = zip(columns, (pa.int64(), pa.int64(), pa.int32()), strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in kinds], ["seed", "item_id", "n_words"]
+            )
+
+    return run
+
+
+def item_runs(benchmark: DataFrame, seed: int = 4) -> DataFrame:
+    """The runs of the test items: (seed, item_id, j, n_words)."""
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text").filter("id is not null")
-    items = stage(items.mapInArrow(_runs(seed), _RUN_TYPE).distinct(), "items")
-    only = None
+    runs = items.mapInArrow(_runs(seed), _RUN_TYPE).distinct()
+    return stage(runs.select("seed", F.col("id").alias("item_id"), F.col("at").alias("j"), "n_words"), "items")
+
+
+def shared_runs(
+    docs: DataFrame, items: DataFrame, seed: int = 4, most_seeds: int = 2_000_000
+) -> DataFrame:
+    """The documents' runs that occur in an item: (doc_id, at, seed)."""
     hashes = items.select("seed").distinct()
+    runs = keyed_documents(docs)
     if hashes.count() <= most_seeds:  # checked, so the collected hashes have a bound
-        known = np.array([r[0] for r in hashes.collect()], dtype=np.int64).view(np.uint64)
+        known = hashes.toArrow()["seed"].to_numpy().view(np.uint64)
         if not len(known):
             known = np.zeros(1, np.uint64)
         only = docs.sparkSession.sparkContext.broadcast(np.sort(known))
-    shared = keyed_documents(docs).mapInArrow(_runs(seed, only), _RUN_TYPE).drop("n_words")
-    items = items.select("seed", F.col("id").alias("item_id"), F.col("at").alias("j"), "n_words")
+        runs = runs.mapInArrow(_runs(seed, only), _RUN_TYPE)
+    else:
+        runs = runs.mapInArrow(_runs(seed), _RUN_TYPE).join(hashes, "seed", "left_semi")
+    return runs.select(F.col("id").alias("doc_id"), "at", "seed")
+
+
+def candidates(shared: DataFrame, items: DataFrame, coverage: float, seed: int = 4) -> DataFrame:
+    """(doc_id, item_id, n_words): the pairs that share an anchor, each once."""
+    weights = items.groupBy("seed").agg(F.count_distinct("item_id").alias("weight"))
+    anchors = (
+        items.join(weights, "seed")
+        .groupBy("item_id", "n_words")
+        .agg(F.collect_list(F.struct("weight", "j", "seed")).alias("places"))
+        .mapInArrow(_anchor_runs(seed, coverage), "seed long, item_id long, n_words int")
+    )
+    anchors = stage(anchors, "anchors")
+    return shared.select("doc_id", "seed").join(anchors, "seed").drop("seed").distinct()
+
+
+def tilings(
+    docs: DataFrame, benchmark: DataFrame, seed: int = 4, most_seeds: int = 2_000_000,
+    coverage: float | None = None,
+) -> DataFrame:
+    """The tiles of every document (by its row key) and item with a shared run of ``seed`` words.
+
+    With ``coverage``, only of pairs whose shared runs hold that share of the item's words.
+    """
+    items = item_runs(benchmark, seed)
+    shared = shared_runs(docs, items, seed, most_seeds)
+    if coverage is None:
+        met = shared.join(items, "seed")
+    else:
+        shared = stage(shared, "shared")
+        pairs = candidates(shared, items, coverage, seed)
+        met = pairs.join(items, ["item_id", "n_words"]).join(shared, ["doc_id", "seed"])
     return (
-        shared.withColumnRenamed("id", "doc_id")
-        .join(items, "seed")
-        .groupBy("doc_id", "item_id", "n_words")
+        met.groupBy("doc_id", "item_id", "n_words")
         .agg(F.collect_list(F.struct("at", "j")).alias("places"))
-        .mapInArrow(_tile(seed), _TILE_TYPE)
+        .mapInArrow(_tile(seed, coverage), _TILE_TYPE)
     )
 
 
@@ -154,7 +241,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, seed: in
     enough = (F.col("covered") >= coverage * F.col("n_words")) & (
         F.col("covered") >= F.least(F.lit(8), "n_words")
     )
-    return tilings(docs, benchmark, seed).filter(enough)
+    return tilings(docs, benchmark, seed, coverage=coverage).filter(enough)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5) -> DataFrame:

@@ -160,6 +160,49 @@ def test_reordered_passages_are_found(spark):
     assert not string_tiling.leaks(documents(spark, texts), items.limit(0)).collect()
 
 
+def common_runs(n, seed):
+    """Documents and items that all share a phrase; every 40th document holds its item in two moved halves."""
+    rng = random.Random(seed)
+    start = "which of the following statements about"
+    items, texts = [], []
+    for k in range(n):
+        own = [f"w{rng.randrange(40 * n)}" for _ in range(rng.randrange(3, 20))]
+        items.append((k, f"{start} {' '.join(own)}"))
+        body = " ".join(f"d{rng.randrange(40 * n)}" for _ in range(12))
+        half = len(own) // 2
+        leak = " ".join([*own[half:], "and", *own[:half]]) if k % 40 == 0 else ""
+        texts.append((k, f"{body} {start} {leak} {body} {start}"))
+    return texts, items
+
+
+@pytest.mark.parametrize("coverage", [0.3, 0.5, 1.0])
+def test_anchors_lose_no_leak(spark, coverage):
+    texts, items = common_runs(60, seed=3)
+    texts += [(1000 + k, t + " tail") for k, (_, t) in enumerate(items[::7])] + [(None, items[5][1]), (7, None), (8, "")]
+    items += [(500, "which of the following statements about"), (501, "of the following which of the following"), (1, "a b c")]
+    docs, bench = documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    every = string_tiling.tilings(docs, bench).filter(
+        (F.col("covered") >= coverage * F.col("n_words")) & (F.col("covered") >= F.least(F.lit(8), "n_words"))
+    )
+    columns = ("doc_id", "item_id", "n_words", "covered", "tiles")
+    want = by_key(every, *columns)
+    assert want and by_key(string_tiling.leaks(docs, bench, coverage), *columns) == want
+
+
+def test_a_common_run_joins_no_pairs(spark):
+    n = 2000
+    texts, items = common_runs(n, seed=4)
+    docs, bench = documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    runs = string_tiling.item_runs(bench)
+    shared = string_tiling.shared_runs(docs, runs)
+    pairs = string_tiling.candidates(shared, runs, 0.5).count()
+    assert shared.join(runs, "seed").select("doc_id", "item_id").distinct().count() == n * n
+    assert pairs < n
+    found = {(r["doc_id"], r["item_id"]) for r in string_tiling.leaks(docs, bench).collect()}
+    whole = {(k, k) for k in range(0, n, 40) if len(items[k][1].split()) >= 18}
+    assert whole <= found <= {(k, k) for k in range(0, n, 40)}
+
+
 def test_decontamination_of_the_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
