@@ -15,7 +15,10 @@ probes it:
    repeats*, with the place of the original.
 3. *Remove*: each document drops the words that repeats cover.
 
-Both steps are linear in the text, however many documents share a passage.
+Both steps are linear in the text, however many documents share a passage. A window that one
+packet of a task (2 million windows) holds more than 16 times is settled there: as a hit, or as
+a repeat of the packet's smallest document. Only its smallest and largest document go to
+the bucket of the hash, so a passage of a third of all rows fills no single task.
 
 Definitions and edge cases
   * Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. A word goes if a window of ``span`` words over
@@ -32,12 +35,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import batches as B
 from tallyloom.llm.common import documents, parts_for, stage, text_size
-from tallyloom.llm.packed import PACKED_TYPE, Packer, by_document, joined, per_key, places
+from tallyloom.llm.packed import PACKED_TYPE, Packer, answer_row, by_document, joined, per_key, places
 
 _HIT_TYPE = "doc_id long, at binary"
 _REPEAT_TYPE = "doc_id long, at binary, ref binary, ref_at binary"
@@ -46,6 +50,97 @@ _KEPT_TYPE = "doc_id long, n_words long, n_removed long, kept string"
 _ZIPPED_TYPE = "doc_id long, size long, zipped binary"
 
 
+#: A window found more often than this in one packet is settled there.
+_MANY = 16
+#: In place of the position: stands for a window that was settled, and is an anchor for others.
+_SETTLED = 1 << 31
+
+
+def _often(hashes: np.ndarray) -> np.ndarray:
+    """The indexes of what occurs more than ``_MANY`` times."""
+    order = np.argsort(hashes)
+    ranked = hashes[order]
+    cuts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    lengths = np.diff(np.append(cuts, len(ranked)))
+    return np.sort(order[np.repeat(lengths > _MANY, lengths)])
+
+
+def _settle_probes(step: int):
+    """Hits in place of frequent windows: of windows that follow one another, every ``step``-th."""
+
+    def settle(hashes, doc, ids, place, more):
+        rows = _often(hashes)
+        fresh = np.ones(len(rows), dtype=bool)
+        fresh[1:] = (np.diff(doc[rows]) != 0) | (np.diff(place[rows]) != 1)
+        begin = np.maximum.accumulate(np.where(fresh, np.arange(len(rows)), 0))
+        keep = (np.arange(len(rows)) - begin) % step == 0
+        keep[:-1] |= fresh[1:]
+        keep[-1:] = True
+        answer = {"ids": ids[doc[rows[keep]]], "at": place[rows[keep]]}
+        order = rows[np.lexsort((ids[doc[rows]], hashes[rows]))]
+        turn = np.flatnonzero(hashes[order][1:] != hashes[order][:-1])
+        ends = order[np.concatenate([[0], turn + 1, turn, [len(order) - 1]])] if len(order) else order
+        stay = np.ones(len(hashes), dtype=bool)
+        stay[rows] = False
+        stay[ends] = True
+        place[ends] = _SETTLED
+        return stay, answer
+
+    return settle
+
+
+def _settle_repeats(hashes, doc, ids, place, more):
+    """Frequent windows with the first of the packet as their original, which stays itself."""
+    rows = _often(hashes)
+    rows = rows[np.lexsort((place[rows], ids[doc[rows]], more[rows], hashes[rows]))]
+    own, at = ids[doc[rows]], place[rows]
+    fresh = np.ones(len(rows), dtype=bool)
+    fresh[1:] = (np.diff(hashes[rows]) != 0) | (np.diff(more[rows]) != 0)
+    origin = np.maximum.accumulate(np.where(fresh, np.arange(len(rows)), 0))
+    again = np.flatnonzero(own > own[origin])
+    stay = np.ones(len(hashes), dtype=bool)
+    stay[rows[again]] = False
+    origin = origin[again]
+    return stay, {"ids": own[again], "at": at[again], "tags": own[origin], "keys": at[origin]}
+
+
+class SettlingPacker(Packer):
+    """A packer that settles frequent windows; the answers travel in buckets below zero.
+
+    There are as many of these as others, and the packets of all tasks are dealt over them.
+    """
+
+    def __init__(self, buckets: int, settle, turn: int, **options) -> None:
+        super().__init__(buckets, **options)
+        self.settle, self.turn = settle, turn
+        self.answers: list[pa.RecordBatch] = []
+
+    def add(self, *arrays, **named) -> Iterator[pa.RecordBatch]:
+        yield from self._with_answers(super().add(*arrays, **named))
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        yield from self._with_answers(super().end())
+
+    def _with_answers(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            yield from self.answers
+            self.answers = []
+
+    def flush(self) -> pa.RecordBatch:
+        hashes, doc, ids, place, tags, more = (
+            np.concatenate(x) for x in zip(*self.parts, strict=True)
+        )
+        place = place.astype(np.int64)
+        stay, answer = self.settle(hashes, doc, ids, place, more)
+        if len(answer["ids"]):
+            self.answers = [answer_row(-1 - self.turn % self.buckets, **answer)]
+            self.turn += 1
+            more = more[stay] if len(more) else more
+            self.parts = [(hashes[stay], doc[stay], ids, place[stay], tags, more)]
+        return super().flush()
+
+
 def _zip(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts take less room in a shuffle this way."""
     codec = pa.Codec("zstd", compression_level=1)
@@ -70,9 +165,9 @@ def _unzip(part: pa.RecordBatch) -> list[bytes]:
     ]
 
 
-def _probe_tasks(block: int, buckets: int):
+def _probe_tasks(block: int, step: int, buckets: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(buckets)
+        packer = SettlingPacker(buckets, _settle_probes(step), TaskContext.get().partitionId())
         for piece in B.pieces(parts):
             words = B.split_words(piece.column(1), B.NOT_SPACE)
             starts = B.window_starts(words.first, block)
@@ -88,8 +183,11 @@ def _probe_tasks(block: int, buckets: int):
 
 def _probe_bucket(block: int):
     def run(table: pa.Table) -> pa.Table:
+        if table["bucket"][0].as_py() < 0:
+            return by_document(joined(table["ids"], np.int64), at=places(table).astype(np.uint32))
         keys, ids, at = joined(table["keys"], np.uint32), per_key(table, "ids"), places(table)
-        anchor = at % block == 0
+        settled = at == _SETTLED
+        anchor = (at % block == 0) | settled
         order = np.argsort(keys[anchor])
         index = keys[anchor][order]
         if not len(index):
@@ -102,7 +200,7 @@ def _probe_bucket(block: int):
         most = least.copy()
         np.maximum.at(most, place, ids[met])
         hit = (least[place] < ids[met]) | (anchor[met] & (most[place] > ids[met]))
-        met = met[hit]
+        met = met[hit & ~settled[met]]
         return by_document(ids[met], at=at[met].astype(np.uint32))
 
     return run
@@ -110,7 +208,7 @@ def _probe_bucket(block: int):
 
 def _extend_tasks(block: int, span: int, buckets: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(buckets, wide=True)
+        packer = SettlingPacker(buckets, _settle_repeats, TaskContext.get().partitionId(), wide=True)
         for part in parts:
             texts = _unzip(part)
             for piece, low in _sized(texts):
@@ -151,6 +249,10 @@ def _sized(texts: list[bytes]) -> Iterator[tuple[list[bytes], int]]:
 
 
 def _extend_bucket(table: pa.Table) -> pa.Table:
+    if table["bucket"][0].as_py() < 0:
+        at, ref_at = places(table).astype(np.uint32), joined(table["keys"], np.uint32)
+        ids, ref = joined(table["ids"], np.int64), joined(table["tags"], np.int64)
+        return by_document(ids, at=at, ref=ref, ref_at=ref_at)
     keys, more = joined(table["keys"], np.uint64), joined(table["more"], np.uint32)
     ids, at = per_key(table, "ids"), places(table)
     order = np.lexsort((at, ids, more, keys))
@@ -198,15 +300,15 @@ def repeats(docs: DataFrame, span: int = 50) -> DataFrame:
     """Maximal exact repeats of at least ``span`` words.
 
     Rows (doc_id, start, end, ref_doc, ref_start): words start..end-1 of the document are words
-    ref_start.. of ref_doc, which has a smaller id: the smallest that has them. Where the
-    original changes, the next repeat begins, so repeats of a document may overlap.
+    ref_start.. of ref_doc, which has a smaller id: the smallest that has them, or of very common
+    words the smallest beside it. Where the original changes, the next repeat begins, so repeats of a document may overlap.
     """
     base = documents(docs).filter("doc_id is not null")
     block = span // 2
     size = text_size(base)
     buckets = parts_for(size, 16 << 20, 64)
     hits = (
-        base.mapInArrow(_probe_tasks(block, buckets), PACKED_TYPE)
+        base.mapInArrow(_probe_tasks(block, span - block, buckets), PACKED_TYPE)
         .groupBy("bucket")
         .applyInArrow(_probe_bucket(block), _HIT_TYPE)
     )

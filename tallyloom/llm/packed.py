@@ -95,6 +95,16 @@ def fact_row(bucket: int, **arrays: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
 
 
+def answer_row(bucket: int, ids, at, tags=None, keys=None) -> pa.RecordBatch:
+    """A row of places in documents, each with its id (and tag and key), without counts."""
+    at = at.astype(np.uint32)
+    row = {"bucket": bucket, "ids": ids.astype(np.int64).tobytes()}
+    row |= {"low": at.astype(np.uint16).tobytes(), "high": (at >> np.uint32(16)).astype(np.uint16).tobytes()}
+    if tags is not None:
+        row |= {"tags": tags.astype(np.int64).tobytes(), "keys": keys.astype(np.uint32).tobytes()}
+    return pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
+
+
 def joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     """All packed arrays of a column behind one another; null is empty."""
     return np.frombuffer(b"".join(x for x in column.to_pylist() if x), dtype=kind)

@@ -122,6 +122,39 @@ def test_substring_dedup(spark, span):
     assert got == brute_repeats(texts, span)
 
 
+@pytest.mark.parametrize("many", [1, 3])
+def test_frequent_windows_are_settled_alike(spark, monkeypatch, many):
+    monkeypatch.setattr(block_anchors, "_MANY", many)
+    passage = " ".join(f"p{k}" for k in range(60))
+    hot = [(50_000 + 7 * k % 40, f"{'u' * (k % 3)} {k} {passage} {k * k} " + "same " * (k % 5) * 20) for k in range(40)]
+    texts = [*TEXTS, *noisy_copies(1), *hot, (-9, "z " * 300), (90_000, "z " * 200)]
+    for span in (3, 7, 50):
+        out = block_anchors.remove_repeats(documents(spark, texts).repartition(3), span)
+        got = by_key(out.withColumn("s", F.sha2("kept", 256)), "doc_id", "n_words", "n_removed", "s")
+        assert got == brute_repeats(texts, span)
+
+
+def test_a_hot_window_fills_no_bucket():
+    """20,000 documents with one passage at different places send a few rows for each of its windows."""
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 1 << 63, 30, dtype=np.uint64)
+    settle = block_anchors._settle_probes(25)
+    packer = block_anchors.SettlingPacker(64, settle, 5)
+    batches = []
+    for low in range(0, 20_000, 1000):
+        doc, at = np.repeat(np.arange(1000), 30), np.repeat(rng.integers(0, 9, 1000), 30) + np.tile(np.arange(30), 1000)
+        batches += packer.add(np.tile(passage, 1000), doc, np.arange(low, low + 1000), at)
+    batches += packer.end()
+    table = pa.Table.from_batches(batches)
+    below = np.array([b < 0 for b in table["bucket"].to_pylist()])
+    sent = table.filter(pa.array(~below))
+    assert len(packed.joined(sent["keys"], np.uint32)) <= 2 * 30 * 1
+    assert set(packed.per_key(sent, "ids").tolist()) == {0, 19_999}
+    hits = packed.joined(table.filter(pa.array(below))["ids"], np.int64)
+    assert set(hits.tolist()) == set(range(20_000)) and len(hits) <= 3 * 20_000
+    assert not below.all() and below.sum() == 1
+
+
 def test_repeats_name_their_original(spark):
     passage = " ".join(f"p{k}" for k in range(12))
     texts = [(5, f"a b {passage} c"), (2, f"{passage} d"), (9, f"x {passage}")]
