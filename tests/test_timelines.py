@@ -235,6 +235,26 @@ def test_state_of_old_orders_is_forgotten(spark, tmp_path):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
 
 
+def test_a_bucket_of_orders_is_one_call_and_keeps_them_apart(spark, tmp_path):
+    days = [
+        [(f"o{k}", at(0), 5, float(k)) for k in range(300)],
+        [("o1", at(24 * 30), 4, 9.0), ("o2", at(24 * 30), 6, None), ("o2", at(24 * 29), 2, 8.0)],
+        [("o3", at(24 * 31), 1, 7.0)],  # forgotten by now, so its event is news
+    ]
+    for k, rows in enumerate(days):
+        events = spark.createDataFrame(rows, EVENTS)
+        events = events.withColumn("shipping_cost", F.col("shipping_cost").cast("decimal(18,2)"))
+        events.write.parquet(f"{tmp_path}/in/{k}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{tmp_path}/in/*")
+        changes = stateful.last_costs(stream, delay="1 day", forget_days=3, buckets=2)
+        query = stateful.keep_updates(changes, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+    got = rows_of(spark.read.parquet(f"{tmp_path}/out"), "order_id", "position", "shipping_cost")
+    want = {(f"o{k}", 5, float(k)) for k in range(300)} | {("o2", 6, None), ("o3", 1, 7.0)}
+    assert {(o, p, c if c is None else float(c)) for o, p, c in got} == want and len(got) == len(want)
+
+
 def test_orders_with_returns_on_tables(spark):
     orders = spark.createDataFrame([("a", at(0)), ("b", at(0)), ("c", at(0))], "order_id string, order_time timestamp")
     returns = spark.createDataFrame(
