@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from tallyloom.operators import cleaning
-from tallyloom.operators.ordinals import HOME, ORDINAL
+from tallyloom.operators.ordinals import DEALT, HOME, ORDINAL
 from tallyloom.operators.star import enrich_all
-from tallyloom.plans.job import build_star, unseen_orders
+from tallyloom.plans.job import build_star, of_orders, unseen_orders
 from tallyloom.sources.trade import TRADE_PARAMS, raw_orders, trade_sources
 
 LINES = [  # order, line, day shipped, part, quantity, price; the copy shipped first counts
@@ -90,3 +90,56 @@ def test_new_facts_are_computed_once(spark, folder):
     new = registered.queries()["incremental_new_facts"](spark, folder)
     assert "l_orderkey" not in plan_of(new)
     assert sorted(r["order_id"] for r in new.filter(F.col("date_key") > 0).collect()) == ["2-1", "4-1"]
+
+
+def test_dealt_sources_hold_the_same_rows(spark, folder):
+    plain, dealt = trade_sources(spark, folder, dirty=True), trade_sources(spark, folder, dirty=True, dealt=True)
+    for name in ("orders", "returns", "shipping"):
+        assert DEALT in dealt[name].columns
+        columns = [c for c in plain[name].columns if c != HOME]
+        assert plain[name].count() > 0 or name == "returns"
+        assert plain[name].select(columns).exceptAll(dealt[name].select(columns)).isEmpty()
+        assert dealt[name].count() == plain[name].count()
+
+
+def test_dealt_orders_meet_their_events_without_an_exchange(spark, folder, shuffled):
+    ready = {d: enrich_all(cleaning.clean_all(trade_sources(spark, folder, dealt=d)))["orders"] for d in (False, True)}
+    assert plan_of(ready[False]).count("Exchange hashpartitioning") > 2
+    assert "Exchange hashpartitioning" not in plan_of(ready[True])
+    columns = [c for c in ready[True].columns if c != ORDINAL]
+    assert columns == [c for c in ready[False].columns if c != ORDINAL]
+    both = [sorted(map(repr, ready[d].select(columns).collect())) for d in (False, True)]
+    assert both[0] == both[1] and len(both[0]) == 5
+
+
+def test_a_line_without_order_key_still_meets_the_order_of_its_id(spark, folder, tmp_path):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    lone = lines.filter("l_orderkey = 4").limit(1).withColumns(
+        {"l_orderkey": F.lit(None).cast("long"), "l_linenumber": F.lit(1), "l_returnflag": F.lit("R"), "l_tax": F.lit(0.07)}
+    )
+    lines.unionByName(lone).write.parquet(f"{tmp_path}/more/lineitem.parquet")
+    for name in ("orders", "customer", "part", "supplier", "nation", "region"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/more/{name}.parquet")
+    for dealt in (False, True):
+        orders = enrich_all(cleaning.clean_all(trade_sources(spark, f"{tmp_path}/more", dealt=dealt)))["orders"]
+        assert [r[0] for r in orders.filter("is_returned").select("order_id").collect()] == ["1"]
+
+
+def test_events_of_dealt_orders_stay_where_they_are(spark, folder, shuffled):
+    sources = trade_sources(spark, folder, dealt=True)
+    early = {**sources, "orders": sources["orders"].filter("order_date < '2001-01-01'")}
+    known = build_star(enrich_all(cleaning.clean_all(early)), TRADE_PARAMS)
+    fresh = unseen_orders(sources, known)
+    assert sorted(r["order_id"] for r in fresh["orders"].collect()) == ["2-1", "4-1"]  # a cancelled one is not loaded
+    assert plan_of(fresh["shipping"]).count("Exchange hashpartitioning") == 1  # the ids of the new orders
+    assert sorted(r["order_id"] for r in fresh["shipping"].collect()) == ["2-1", "4-1", "4-1"]
+    fact = build_star(enrich_all(cleaning.clean_all(fresh)), TRADE_PARAMS, known).fact_sales
+    assert sorted((r["order_id"], float(r["shipping_cost"])) for r in fact.collect()) == [("2-1", 4.99), ("4-1", 4.99)]
+
+
+def test_copies_of_a_return_stay_together(spark):
+    returns = spark.createDataFrame([(1, "R1", "a"), (1, "R1", "b"), (1, "R2", "c"), (2, "R3", None)], f"{DEALT} long, return_id string, order_id string")
+    orders = spark.createDataFrame([(1, "b"), (2, "d")], f"{DEALT} long, order_id string")
+    found = of_orders(returns, orders, "return_id")
+    assert found.columns == returns.columns
+    assert sorted((r["return_id"], r["order_id"]) for r in found.collect()) == [("R1", "a"), ("R1", "b")]

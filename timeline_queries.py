@@ -100,6 +100,7 @@ def facts_as_of(spark: SparkSession, folder: str) -> DataFrame:
         F.max("unit_price").alias("list_price")
     )
     tiered = as_of_join(orders, tiers, ["customer_id"], "order_date", "valid_from", ["tier", "version"])
+    tiered = stage(tiered, "tiered")  # read twice
     priced = as_of_join(tiered, prices, ["product_id"], "order_date", "listed_from", ["list_price"])
     return priced.select(
         "order_id", "order_date", "tier", "version", "list_price", (F.col("list_price") - F.col("unit_price")).alias("below_list")
@@ -300,7 +301,7 @@ def reconciled_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _bucketed(spark: SparkSession, folder: str) -> Star:
     """The star with fact and customers in the same 16 buckets by customer."""
-    star = _star(spark, folder)
+    star = star_of(trade_sources(spark, folder, dealt=True), TRADE_PARAMS)
     name = f"fact_{uuid.uuid4().hex}"
     fact = save_bucketed(star.fact_sales, name, "customer_key", 16)
     customers = save_bucketed(star.dim_customer, f"{name}_customer", "customer_key", 16)
