@@ -70,10 +70,17 @@ def pieces(batches, limit: int = PIECE, piece_column: int = 1) -> Iterator[pa.Re
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(piece_column)), 0)
-        group = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)) // limit
-        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
-        for low, high in zip(cuts, cuts[1:], strict=False):
-            yield batch.slice(low, high - low)
+        yield from cut(batch, sizes.to_numpy(zero_copy_only=False), limit)
+
+
+def cut(batch: pa.RecordBatch, sizes: np.ndarray, limit: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """The batch, cut between rows so that the sizes of a piece come to about ``limit``."""
+    if not batch.num_rows:
+        return
+    group = np.cumsum(sizes.astype(np.int64)) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(low, high - low)
 
 
 @dataclass

@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,8 @@ _ZIPPED_TYPE = "doc_id long, size long, zipped binary"
 _MANY = 16
 #: In place of the position: stands for a window that was settled, and is an anchor for others.
 _SETTLED = 1 << 31
+#: Repeated windows are merged in pieces of about so many bytes of their places.
+_MERGED = 1 << 20
 
 
 def _often(hashes: np.ndarray) -> np.ndarray:
@@ -156,6 +159,12 @@ def _zip(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _zipped_pieces(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of zipped texts, cut so that the texts of a piece have about ``PIECE`` bytes."""
+    for part in parts:
+        yield from B.cut(part, part.column("size").to_numpy())
+
+
 def _unzip(part: pa.RecordBatch) -> list[bytes]:
     codec = pa.Codec("zstd")
     sizes = part.column("size").to_pylist()
@@ -209,45 +218,30 @@ def _probe_bucket(block: int):
 def _extend_tasks(block: int, span: int, buckets: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = SettlingPacker(buckets, _settle_repeats, TaskContext.get().partitionId(), wide=True)
-        for part in parts:
-            texts = _unzip(part)
-            for piece, low in _sized(texts):
-                words = B.split_words(pa.array(piece, pa.large_binary()), B.NOT_SPACE)
-                n = len(words.start)
-                near = np.zeros(n + 1, dtype=np.int32)
-                for d in range(len(piece)):
-                    first = words.first[d]
-                    for at in part.column("ats")[low + d].as_py():
-                        x = first + np.frombuffer(at, dtype=np.uint32).astype(np.int64)
-                        np.add.at(near, np.maximum(x - (span - block), first), 1)
-                        np.subtract.at(near, x + 1, 1)
-                starts = B.window_starts(words.first, span)
-                starts = starts[np.cumsum(near)[starts] > 0]
-                if not len(starts):
-                    continue
-                hashes = B.window_hashes(words.hashes(), span)[starts]
-                other = B.window_hashes(words.hashes(seed=1), span)[starts]
-                ids = part.column("doc_id").slice(low, len(piece)).to_numpy(zero_copy_only=False)
-                yield from packer.add(
-                    hashes, words.documents()[starts], ids, words.positions()[starts], more=other
-                )
+        for part in _zipped_pieces(parts):
+            words = B.split_words(pa.array(_unzip(part), pa.large_binary()), B.NOT_SPACE)
+            n = len(words.start)
+            near = np.zeros(n + 1, dtype=np.int32)
+            for first, ats in zip(words.first[:-1], part.column("ats"), strict=True):
+                for at in ats.as_py():
+                    x = first + np.frombuffer(at, dtype=np.uint32).astype(np.int64)
+                    np.add.at(near, np.maximum(x - (span - block), first), 1)
+                    np.subtract.at(near, x + 1, 1)
+            starts = B.window_starts(words.first, span)
+            starts = starts[np.cumsum(near)[starts] > 0]
+            if not len(starts):
+                continue
+            hashes = B.window_hashes(words.hashes(), span)[starts]
+            other = B.window_hashes(words.hashes(seed=1), span)[starts]
+            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+            yield from packer.add(
+                hashes, words.documents()[starts], ids, words.positions()[starts], more=other
+            )
         yield from packer.end()
 
     return run
 
 
-def _sized(texts: list[bytes]) -> Iterator[tuple[list[bytes], int]]:
-    """The texts in groups of about ``PIECE`` bytes, with the index of the first."""
-    low = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size >= B.PIECE:
-            yield texts[low : k + 1], low
-            low, size = k + 1, 0
-    if low < len(texts):
-        yield texts[low:], low
-
-
 def _extend_bucket(table: pa.Table) -> pa.Table:
     if table["bucket"][0].as_py() < 0:
         at, ref_at = places(table).astype(np.uint32), joined(table["keys"], np.uint32)
@@ -268,34 +262,47 @@ def _extend_bucket(table: pa.Table) -> pa.Table:
 
 
 def _merge(span: int):
+    """Merges windows that come sorted by document; a document may go on in the next batch."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            out: list[tuple] = []
-            for row in part.to_pylist():
-                kinds = (np.uint32, np.int64, np.uint32)
-                at, ref, ref_at = (
-                    np.frombuffer(b"".join(x[n] for x in row["found"]), dtype=kind).astype(np.int64)
-                    for n, kind in zip(("at", "ref", "ref_at"), kinds, strict=True)
-                )
-                at, keep = np.unique(at, return_index=True)
-                ref, ref_at = ref[keep], ref_at[keep]
-                new = np.ones(len(at), dtype=bool)
-                new[1:] = (np.diff(at) != 1) | (np.diff(ref_at) != 1) | (ref[1:] != ref[:-1])
-                begin = np.flatnonzero(new)
-                stop = np.append(begin[1:], len(at)) - 1
-                out += zip(
-                    [row["doc_id"]] * len(begin), at[begin].tolist(), (at[stop] + span).tolist(),
-                    ref[begin].tolist(), ref_at[begin].tolist(), strict=True,
-                )
-            columns = zip(*out, strict=True) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns],
-                ["doc_id", "start", "end", "ref_doc", "ref_start"],
-            )
+        held: list[pa.RecordBatch] = []  # the rows of the last document so far
+        for part in B.pieces(parts, _MERGED):
+            ids = part.column("doc_id").to_numpy()
+            if held and held[-1].column("doc_id")[-1].as_py() != ids[0]:
+                yield _merged(pa.Table.from_batches(held), span)
+                held = []
+            last = int(np.searchsorted(ids, ids[-1]))
+            if last:
+                yield _merged(pa.Table.from_batches([*held, part.slice(0, last)]), span)
+                held = []
+            held.append(part.slice(last))
+        if held:
+            yield _merged(pa.Table.from_batches(held), span)
 
     return run
 
 
+def _merged(found: pa.Table, span: int) -> pa.RecordBatch:
+    """The maximal repeats of whole documents."""
+    at = joined(found["at"], np.uint32).astype(np.int64)
+    ref, ref_at = joined(found["ref"], np.int64), joined(found["ref_at"], np.uint32).astype(np.int64)
+    counts = pc.binary_length(found["at"]).to_numpy() // np.dtype(np.uint32).itemsize
+    doc = np.repeat(found["doc_id"].to_numpy(), counts)
+    order = np.lexsort((at, doc))
+    doc, at, ref, ref_at = doc[order], at[order], ref[order], ref_at[order]
+    keep = np.ones(len(at), dtype=bool)
+    keep[1:] = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
+    doc, at, ref, ref_at = doc[keep], at[keep], ref[keep], ref_at[keep]
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (np.diff(at) != 1) | (np.diff(ref_at) != 1) | (ref[1:] != ref[:-1])
+    begin = np.flatnonzero(new)
+    stop = np.append(begin[1:], len(at)) - 1
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x, pa.int64()) for x in (doc[begin], at[begin], at[stop] + span, ref[begin], ref_at[begin])],
+        ["doc_id", "start", "end", "ref_doc", "ref_start"],
+    )
+
+
 def repeats(docs: DataFrame, span: int = 50) -> DataFrame:
     """Maximal exact repeats of at least ``span`` words.
 
@@ -320,15 +327,12 @@ def repeats(docs: DataFrame, span: int = 50) -> DataFrame:
         .groupBy("bucket")
         .applyInArrow(_extend_bucket, _REPEAT_TYPE)
     )
-    return (
-        found.groupBy("doc_id")
-        .agg(F.collect_list(F.struct("at", "ref", "ref_at")).alias("found"))
-        .mapInArrow(_merge(span), _SPAN_TYPE)
-    )
+    # sorted rows and not a list per document: a batch holds the windows of many documents otherwise
+    return found.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(_merge(span), _SPAN_TYPE)
 
 
 def _remove(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
+    for part in _zipped_pieces(parts):
         n_words, n_removed, kept = [], [], []
         for text, spans in zip(_unzip(part), part.column("spans").to_pylist(), strict=True):
             words = text.split()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -165,6 +166,36 @@ def test_repeats_name_their_original(spark):
     ]
 
 
+def test_merging_holds_a_few_documents_at_a_time():
+    """Windows come in sorted rows, cut anywhere; what is held is a piece and the last document's rows."""
+    rows, want = [], []
+    for doc in range(2_000):
+        for k in range(40):  # each row has every 40th window from k on: of two repeats and one more place
+            at = np.arange(k, 400, 40)
+            ref = np.where(at < 200, doc + 10_000, doc + 20_000)
+            kinds = (at, np.uint32), (ref, np.int64), (at + 7, np.uint32)
+            rows.append((doc, *(x.astype(t).tobytes() for x, t in kinds)))
+        rows.append((doc, *(np.array([x]).astype(t).tobytes() for x, t in ((500, "u4"), (1, "i8"), (3, "u4")))))
+        want += [(doc, 0, 249, doc + 10_000, 7), (doc, 200, 449, doc + 20_000, 207), (doc, 500, 550, 1, 3)]
+    names = ["doc_id", "at", "ref", "ref_at"]
+    table = pa.table([pa.array(c) for c in zip(*rows, strict=True)], names)
+    for size in (7, 41, 10_000):
+        got = []
+        tracemalloc.start()
+        for part in block_anchors._merge(50)(iter(table.to_batches(size))):
+            got += zip(*(c.to_pylist() for c in part.columns), strict=True)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got == want
+        assert peak < 60e6
+
+
+def test_windows_are_not_gathered_in_lists(spark, capsys):
+    block_anchors.repeats(documents(spark, TEXTS), 10).explain()
+    plan = capsys.readouterr().out
+    assert "MapInArrow" in plan and "collect_list(struct(" not in plan.replace("named_struct", "struct")
+
+
 def test_substring_dedup_of_nothing(spark):
     assert block_anchors.remove_repeats(documents(spark, []), 50).collect() == []
 
