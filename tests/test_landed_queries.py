@@ -6,6 +6,7 @@ from conftest import ROWS
 
 from tallyloom.operators import validation
 from tallyloom.schemas import RAW
+from tallyloom.sources import trade
 from tallyloom.sources.registry import read_source
 
 
@@ -58,3 +59,18 @@ def test_tiers_are_looked_up_once(spark, monkeypatch):
     found = timeline_queries.facts_as_of(spark, "nowhere")
     assert all("/tiered-" in f for f in seen[1]) and seen[1]
     assert [r[0] for r in found.select("order_id").collect()] == ["1-1"]
+
+
+def test_loads_read_products_written_once(spark, tmp_path):
+    """Suppliers of products are looked up in all lines once, not by each load."""
+    folder = str(tmp_path)
+    lines = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame([(1, 5, 9, 1, 1.0, 2.0, 0.0, 0.0, "N", "O", None), (2, 5, 8, 1, 1.0, 2.0, 0.0, 0.0, "N", "O", None)], lines).write.parquet(f"{folder}/lineitem.parquet")
+    parts = "p_partkey long, p_name string, p_type string, p_size int, p_brand string, p_retailprice double"
+    spark.createDataFrame([(5, "n", "t", 3, "b", 7.5), (None, "n", "t", None, "b", None)], parts).write.parquet(f"{folder}/part.parquet")
+    kept = landed_queries.load_sources(spark, folder)["products"]
+    assert "lineitem" not in "".join(kept.inputFiles()) and kept.inputFiles()
+    plain = trade.raw_products(spark, folder)
+    assert kept.schema.names == plain.schema.names
+    assert sorted(kept.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert sorted(r.supplier_id or "" for r in kept.collect()) == ["", "8"]

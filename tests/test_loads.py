@@ -130,6 +130,30 @@ def test_unchanged_dimensions_are_not_written_again(loaded, sources, frame, para
     ]
 
 
+def test_later_increments_on_one_state_leave_unchanged_dimensions_alone(loaded, sources, frame, params):
+    """Of two batches built on one state the second is keyed anew only where the first changed a dimension."""
+    before, known = loaded._state().tables, loaded.star()
+
+    def batch(n, **changed):
+        some = {**sources, "orders": frame("orders", [order(n), order(40, "C7"), order(n + 1)]), **changed}
+        return build_star(enrich_all(clean_all(unseen_orders(some, known))), params, known)
+
+    same = [batch(n) for n in (60, 62)]
+    renamed = frame("suppliers", [("L1", "Elbe AG", "PL", 9, 4.1), ("L7", "New", "FR", 9, 4.0)])
+    fresh = frame("suppliers", [("L8", "Newer", "FR", 9, 4.0)])
+    customers = frame("customers", [("C7", "Seven", "7@x", "Nord", "Kiel", "B2C", "2024-08-01")])
+    other = [batch(64, suppliers=renamed), batch(66, suppliers=fresh, customers=customers)]
+    assert [loaded.load_incremental(b, facts_checked=True) for b in same] == [3, 2]
+    after = loaded._state().tables
+    assert all(after[n] == before[n] for n in ("dim_date", "dim_customer", "dim_supplier", "dim_product"))
+    assert [loaded.load_incremental(b, facts_checked=True) for b in other] == [2, 2]
+    last = loaded._state().tables
+    assert last["dim_customer"] != before["dim_customer"] and last["dim_supplier"] != before["dim_supplier"]
+    assert rows_of(loaded.table("dim_supplier"), "supplier_key", "supplier_id")[3:] == [(4, "L7"), (5, "L8")]
+    fact = loaded.table("fact_sales")
+    assert sorted(r.order_key for r in fact.collect()) == list(range(1, fact.count() + 1))
+
+
 def test_full_load_between_building_and_loading_an_increment(loaded, sources, frame, params):
     """The full load gives other keys; unchanged members of the increment follow them too."""
     known = loaded.star()
