@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
-from tallyloom.operators import cleaning
+from tallyloom.operators import cleaning, dealt
 from tallyloom.operators.ordinals import DEALT, HOME, ORDINAL
 from tallyloom.operators.star import enrich_all
 from tallyloom.plans.job import build_star, of_orders, unseen_orders
@@ -137,6 +137,19 @@ def test_events_of_dealt_orders_stay_where_they_are(spark, folder, shuffled):
     assert sorted((r["order_id"], float(r["shipping_cost"])) for r in fact.collect()) == [("2-1", 4.99), ("4-1", 4.99)]
 
 
+def test_buckets_follow_the_number_of_lines(spark, folder, shuffled, monkeypatch):
+    monkeypatch.setattr(dealt, "BUCKET_ROWS", 1)
+    sources = trade_sources(spark, folder, dealt=True)
+    ready = plan_of(enrich_all(cleaning.clean_all(sources))["orders"])
+    assert f"SelectedBucketsCount: {len(LINES)} out of {len(LINES)}" in ready
+    assert "Exchange hashpartitioning" not in ready
+    early = {**sources, "orders": sources["orders"].filter("order_date < '2001-01-01'")}
+    known = build_star(enrich_all(cleaning.clean_all(early)), TRADE_PARAMS)
+    fresh = unseen_orders(sources, known)
+    assert plan_of(fresh["shipping"]).count("Exchange hashpartitioning") == 1  # the ids, into as many buckets
+    assert sorted(r["order_id"] for r in fresh["shipping"].collect()) == ["2-1", "4-1", "4-1"]
+
+
 def test_copies_of_a_return_stay_together(spark):
     returns = spark.createDataFrame([(1, "R1", "a"), (1, "R1", "b"), (1, "R2", "c"), (2, "R3", None)], f"{DEALT} long, return_id string, order_id string")
     orders = spark.createDataFrame([(1, "b"), (2, "d")], f"{DEALT} long, order_id string")
