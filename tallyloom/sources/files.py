@@ -163,16 +163,18 @@ def read_json(
         rows = lines.filter(F.trim("value") != "").select(parsed.alias("_m"), "value", meta)
     else:
         rows = lines.select(F.explode_outer(parsed).alias("_m"), "value", meta)
-    # A later spelling of the same key in one object doesn't count.
-    names = F.array_distinct(F.transform(F.map_keys("_m"), _key))
-    found = [r[0] for r in rows.select(F.explode(names)).distinct().collect()]  # column names
+    keys = rows.select(F.explode(F.map_keys("_m")).alias("key")).distinct()
+    found: dict[str, list[str]] = {}
+    for name, key in keys.select(_key(F.col("key")), "key").collect():  # column names
+        found.setdefault(name, []).append(key)
     declared = [f.name for f in schema.fields]
     wanted = declared + sorted(set(found) - set(declared))
     kinds = {f.name: f.dataType for f in schema.fields}
-    columns = [_typed(_value(n), kinds.get(n, T.StringType())).alias(n) for n in wanted]
+    values = {n: _value(n, found.get(n, [])) for n in wanted}
+    columns = [_typed(values[n], kinds.get(n, T.StringType())).alias(n) for n in wanted]
     corrupt = []
     if keep_corrupt:
-        odd = F.when(_unparsed([(_value(n), kinds[n]) for n in declared]), F.to_json("_m"))
+        odd = F.when(_unparsed([(values[n], kinds[n]) for n in declared]), F.to_json("_m"))
         whole = F.when(F.col("_m").isNull(), F.col("value"))
         corrupt = [F.coalesce(whole, odd).alias(CORRUPT)]
     return rows.select(*columns, *corrupt, ordinal)
@@ -182,8 +184,14 @@ def _key(name: Column) -> Column:
     return F.lower(F.trim(name))
 
 
-def _value(name: str) -> Column:
-    """The value of a key, in whatever case and padding an object has it."""
+def _value(name: str, spellings: list[str]) -> Column:
+    """The value of a key, in whatever case and padding an object has it.
+
+    Where all objects spell it alike it is looked up as it is. A later spelling of the same key in
+    one object doesn't count.
+    """
+    if len(spellings) == 1:
+        return F.col("_m").getItem(spellings[0])
     same = F.map_filter("_m", lambda k, _: _key(k) == name)
     return F.get(F.map_values(same), F.lit(0))
 

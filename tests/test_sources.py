@@ -147,6 +147,19 @@ def test_json_keys_in_any_case_and_undeclared_ones(spark, tmp_path, lines):
     ]
 
 
+@pytest.mark.parametrize("lines", [False, True])
+def test_json_keys_spelled_alike_are_looked_up_as_they_are(spark, tmp_path, lines):
+    one, two = (json.dumps({" SUPPLIER_ID": k, "Name": k, "name": "later", "name ": "last"}) for k in ("S1", "S2"))
+    three = json.dumps({" SUPPLIER_ID": None, "name": "x", " SUPPLIER_ID ": "S9"}).replace(" SUPPLIER_ID ", " SUPPLIER_ID")
+    rows = [one, two, three]
+    (tmp_path / "s.json").write_text("\n".join(rows) if lines else f"[{', '.join(rows)}]")
+    df = read_json(spark, str(tmp_path), RAW["suppliers"], json_lines=lines)
+    alike = df.select("supplier_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_filter" not in alike
+    found = df.select("supplier_id", "name", "country").collect()
+    assert sorted(map(tuple, found), key=str) == sorted([("S1", "S1", None), ("S2", "S2", None), (None, "x", None)], key=str)
+
+
 def test_parquet_keeps_undeclared_columns(spark, tmp_path):
     rows = spark.createDataFrame([("S1", "n", "DE", 5, 4.5, 7)],
                                  "SUPPLIER_ID string, name string, country string, lead_time_days int,"
