@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
+import timeline_queries
 from tallyloom.operators import cleaning, dealt
 from tallyloom.operators.ordinals import DEALT, HOME, ORDINAL
 from tallyloom.operators.star import enrich_all
@@ -150,6 +151,17 @@ def test_buckets_follow_the_number_of_lines(spark, folder, shuffled, monkeypatch
     assert sorted(r["order_id"] for r in fresh["shipping"].collect()) == ["2-1", "4-1", "4-1"]
 
 
+def test_buckets_of_the_fact_follow_the_number_of_lines(spark, folder, tmp_path, shuffled, monkeypatch):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    lines.unionByName(lines).write.parquet(f"{tmp_path}/more/lineitem.parquet")
+    for name in ("orders", "customer", "part", "supplier", "nation", "region"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/more/{name}.parquet")
+    monkeypatch.setattr(timeline_queries, "BUCKET_ROWS", 1)
+    churn = timeline_queries.bucketed_churn(spark, f"{tmp_path}/more")
+    assert f"SelectedBucketsCount: {2 * len(LINES)} out of {2 * len(LINES)}" in plan_of(churn)
+    assert [(r["customer_id"], r["total_orders"]) for r in churn.collect()] == [("5", 5)]
+
+
 def test_copies_of_a_return_stay_together(spark):
     returns = spark.createDataFrame([(1, "R1", "a"), (1, "R1", "b"), (1, "R2", "c"), (2, "R3", None)], f"{DEALT} long, return_id string, order_id string")
     orders = spark.createDataFrame([(1, "b"), (2, "d")], f"{DEALT} long, order_id string")
