@@ -192,21 +192,29 @@ def _search_tasks(k: int):
 
 def top_k(
     vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, block: int = 16_384,
-    chunk: int = 64,
+    chunk: int = 64, slot: int = 64,
 ) -> DataFrame:
-    """query_id, rank, vec_id and score of the k best rows for each row with ``is_query``."""
+    """query_id, rank, vec_id and score of the k best rows for each row with ``is_query``.
+
+    Queries go in chunks to each block, of which there is a copy for every ``slot`` chunks: what meets is one
+    block and so many chunks. The planner sees the chunks before they are copied to the blocks and would
+    broadcast the copies, hence the hint.
+    """
     rows = stage(usable(vectors, scale), "vectors")
     blocks = max(1, -(-rows.count() // block))
     dealt = rows.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int"))
     index = stage(dealt.groupBy("dim", "block").applyInArrow(_index_block, _INDEX_TYPE), "index")
     queries = rows.filter(is_query).withColumn("chunk", F.floor(F.monotonically_increasing_id() / chunk))
-    queries = (
-        queries.groupBy("dim", "chunk")
-        .agg(F.collect_list(F.struct(F.col("vec_id").alias("query_id"), "v")).alias("queries"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .drop("chunk")
+    queries = queries.groupBy("dim", "chunk").agg(
+        F.collect_list(F.struct(F.col("vec_id").alias("query_id"), "v")).alias("queries")
     )
-    found = index.join(queries, ["dim", "block"]).mapInArrow(_search_tasks(k), _FOUND_TYPE)
+    queries = stage(queries.drop("chunk"), "queries")
+    slots = max(1, -(-queries.count() // slot))
+    queries = queries.withColumn("slot", F.pmod(F.monotonically_increasing_id(), F.lit(slots)).cast("int"))
+    queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    copies = index.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    met = queries.hint("merge").join(copies, ["dim", "block", "slot"])
+    found = met.mapInArrow(_search_tasks(k), _FOUND_TYPE)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("vec_id"))
     return (
         found.withColumn("rank", F.row_number().over(best))

@@ -241,6 +241,18 @@ def test_top_k(spark, block):
     assert bit_sliced.top_k(df.limit(0), F.col("vec_id") % 10 == 0).collect() == []
 
 
+def test_copies_of_queries_are_not_broadcast(spark):
+    """The planner sees the queries before there is a copy of them for each block: they looked small."""
+    rng = np.random.default_rng(8)
+    rows = [(int(k), rng.normal(size=6).astype(np.float32).tolist()) for k in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = bit_sliced.top_k(df, F.col("vec_id") % 5 == 0, k=5, scale=256, block=7, chunk=3, slot=2)
+    assert by_key(found, "query_id", "rank", "vec_id", "score") == sorted(brute_top(rows, 5, 256, 5), key=repr)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_score_slices_add_up():
     rng = np.random.default_rng(9)
     values = rng.integers(-300, 300, (130, 5))
