@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import itertools
 import random
+import uuid
 from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+import timeline_queries
 from tallyloom.operators.history import interval_faults, merge_history, versions
 from tallyloom.operators.timejoin import as_of_join, interval_join
 from tallyloom.session import stage
@@ -264,6 +266,34 @@ def test_orders_with_returns_on_tables(spark):
     assert rows_of(got, "order_id", "return_time") == [("a", at(5)), ("b", None), ("c", None)]
 
 
+LINE = (
+    "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+)
+ORDER = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+
+
+def test_streamed_orders_are_held_on_disk(spark, tmp_path, monkeypatch):
+    """The first micro-batch holds nearly all orders, which don't fit in the executors' memory."""
+    placed = {1: at(0), 2: at(24), 20: at(48), 3: at(24 * 500)}
+    orders = [(k, 7, "F", 9.0, t, "1") for k, t in placed.items()]
+    lines = [
+        (1, 5, 6, 1, 2.0, 20.0, 0.0, 0.1, "R", "F", at(24 * 3)), (2, 5, 6, 1, 2.0, 20.0, 0.0, 0.1, "R", "F", at(24 * 60)),
+        (20, 5, 6, 1, 2.0, 20.0, 0.0, 0.1, "R", "F", at(24 * 4)), (3, 5, 6, 1, 2.0, 20.0, 0.0, 0.1, "N", "F", at(24 * 501)),
+        (3, 5, 6, 2, 2.0, 20.0, 0.0, 0.1, "R", "F", at(24 * 505)),
+    ]
+    spark.createDataFrame(lines, LINE).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(orders, ORDER).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(timeline_queries, "_FIRST_LATE", "2024-06-01")
+    monkeypatch.setattr(timeline_queries, "_place", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    got = timeline_queries.streamed_order_returns(spark, str(tmp_path))
+    want = [("1-1", at(0), at(24 * 3)), ("2-1", at(24), None), ("3-1", at(24 * 500), None), ("3-2", at(24 * 500), at(24 * 505))]
+    assert rows_of(got, "order_id", "order_time", "return_time") == want
+    assert list(tmp_path.glob("return-stream-*/checkpoint/state/**/*.zip"))
+    assert not list(tmp_path.glob("return-stream-*/checkpoint/state/**/*.delta"))
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", "as before") == "as before"
+
+
 def test_sessions_end_at_a_pause(spark):
     rows = [(1, at(0)), (1, at(0.25)), (1, at(0.75)), (1, at(1.3)), (2, at(0.1)), (None, at(0)), (3, None), (1, at(0.25))]
     events = spark.createDataFrame(rows, "user_id long, ts timestamp")
