@@ -31,6 +31,16 @@ def test_layout_uses_several_partitions(many_partitions, skewed):
     assert len(sizes) == 4 and max(sizes) < 500
 
 
+def test_layout_has_as_many_parts_as_asked_for(many_partitions, skewed):
+    layout = range_layout(skewed, [F.col("v"), F.col("id")], "t", parts=9, without=["v"])
+    assert layout.groupBy("_part").count().count() == 9 and "v" not in layout.columns
+    few = range_layout(skewed, [F.col("v"), F.col("id")], "t", parts=2)
+    assert few.groupBy("_part").count().count() == 4
+    got = row_index(skewed, [F.desc("v"), F.col("id")], parts=9, without=["v"]).join(skewed, "id")
+    expected = skewed.withColumn("row_index", F.row_number().over(W.orderBy(F.desc("v"), "id")))
+    assert sorted(got.select("id", "v", "row_index").collect()) == sorted(expected.collect())
+
+
 def test_row_index_matches_row_number(many_partitions, skewed):
     got = row_index(skewed, [F.desc("v"), F.col("id")])
     expected = skewed.withColumn("row_index", F.row_number().over(W.orderBy(F.desc("v"), "id")))

@@ -78,6 +78,18 @@ def test_ordinals_are_staged_only_for_keys_in_source_order(spark, folder):
         assert sorted(r[0] for r in fact.select("order_key").collect()) == [1, 2, 3, 4, 5]
 
 
+def test_facts_in_source_order_move_little(spark, folder, shuffled):
+    """Lines are dealt once, and the ordinal is gone before customers and products are looked up."""
+    fact = registered.queries()["fact_sales"](spark, folder)
+    got = [tuple(r) for r in fact.orderBy("order_key").select("order_key", "order_id", "customer_key", "shipping_cost").collect()]
+    ids = ["4-1", "1-1", "1", "1-2", "2-1"]  # by the day that the first copy was shipped
+    assert got == [(k, i, 1, 4.99) for k, i in enumerate(ids, 1)]
+    assert plan_of(fact).count("Exchange hashpartitioning(customer_id") == 2
+    staged = [set(spark.read.parquet(f).columns) for f in fact.inputFiles()]
+    of_facts = [columns for columns in staged if "order_id" in columns]
+    assert of_facts and all("order_key" not in c and ORDINAL not in c and "_slot" in c for c in of_facts)
+
+
 def test_copies_go_before_known_orders_are_looked_up(spark, folder):
     sources = trade_sources(spark, folder)
     early = {**sources, "orders": sources["orders"].filter("order_date < '2001-01-01'")}
